@@ -113,3 +113,68 @@ def with_ctes(*needed: str) -> str:
     last = max(_ORDER.index(n) for n in needed)
     names = _ORDER[: last + 1]
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in names) + "\n"
+
+
+# ------------------------------------------------------------ survival ----
+STUDY_END_SQL = "date '2001-01-01'"
+PC_COLS = (
+    ["business_id", "month", "active_license_count", *CAT_COLS, "total_311", *CMP_COLS, "open",
+     "months_since_first_license", "business_latitude", "business_longitude", "business_category_sum", "complaint_sum"]
+)
+FEATURES = [c for c in PC_COLS if c not in ("business_id", "month")]
+COX_DROP = ("open", "business_category_sum", "complaint_sum", "total_311", "location_cluster", "months_since_first_license")
+
+
+def _rule(c: str) -> str:
+    if c in ("business_latitude", "business_longitude"):
+        return "first"
+    if c.startswith("business_category_"):
+        return "max"
+    if c.startswith("complaint_type_") or c in ("complaint_sum", "total_311"):
+        return "sum"
+    if c == "active_license_count":
+        return "mean"
+    return "max"
+
+
+def _agg_sql(c: str, rule: str) -> str:
+    return {
+        "first": f"arg_min({c}, case when {c} is not null then month end)",
+        "max": f"max({c})",
+        "sum": f"cast(coalesce(sum({c}), 0) as bigint)",
+        "mean": f"avg({c})",
+    }[rule]
+
+
+_MONTHS = "cast((year({a})-year({b}))*12 + month({a})-month({b}) as integer)"
+
+CTES.update(
+    {
+        "pc": f"select * from panel_core where month <= {STUDY_END_SQL}",
+        "surv": "select business_id, min(month) first_month, max(month) last_month, "
+        + _MONTHS.format(a="max(month)", b="min(month)") + " duration_months, cast("
+        + _MONTHS.format(a="max(month)", b="min(month)") + " >= 36 as integer) survived_36m from pc group by business_id",
+        "elig": f"select * from surv where first_month <= cast({STUDY_END_SQL} - interval 36 month as date)"
+        " and last_month >= cast(first_month + interval 11 month as date)",
+        "fyw": "select * from (select *, row_number() over (partition by business_id order by month) - 1 row_num_within_business"
+        " from pc where business_id in (select business_id from elig)) t where row_num_within_business < 12",
+        "fya": "select business_id, "
+        + ", ".join(f"{_agg_sql(c, _rule(c))} {c}_first12m_{_rule(c)}" for c in FEATURES)
+        + ", count(*) observed_months_in_first_window from fyw group by business_id",
+        "train": "select f.*, e.first_month, e.last_month, e.duration_months, e.survived_36m from fya f join elig e on f.business_id = e.business_id",
+    }
+)
+_ORDER[:] = list(CTES)
+
+TV_SQL = (
+    "select "
+    + ", ".join(c for c in PC_COLS if c not in COX_DROP)
+    + ", cast(months_since_first_license - 1 as integer) start, cast(months_since_first_license as integer) stop,"
+    f" cast(month = max(month) over (partition by business_id) and month < {STUDY_END_SQL} as integer) event from pc"
+)
+BL_SQL = (
+    "select business_id, "
+    + ", ".join(f"{_agg_sql(c, 'first')} {c}" for c in FEATURES if c not in COX_DROP)
+    + ", " + _MONTHS.format(a=f"least(max(month), {STUDY_END_SQL})", b="min(month)")
+    + f" duration_months, cast(max(month) < {STUDY_END_SQL} as integer) event from pc group by business_id"
+)

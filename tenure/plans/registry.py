@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenure.config import CATEGORY_PREFIX, COMPLAINT_PREFIX, PanelSettings
-from tenure.operators import cleaning, clustering, panel, spatial
+from tenure.operators import cleaning, clustering, panel, spatial, survival
 from tenure.plans import oracle as O
 from tenure.sources import fixtures
 
@@ -258,3 +258,56 @@ def q_build_joined(spark, sf):
     from tenure.plans.panel import build_panel
 
     return build_panel(fixtures.licenses(spark, sf), fixtures.requests(spark, sf))
+
+
+# -------------------------------------------------- 2.6/2.7 survival sets ----
+SURV_MONTHS, AGG_MONTHS = 36, 12
+
+
+def _study_panel(spark, sf):
+    return survival.restrict_study_window(_panel_core(spark, sf), FIXTURE_STUDY_END)
+
+
+@query("restrict_study_window", O.with_ctes("pc") + "select * from pc")
+def q_restrict(spark, sf):
+    return _study_panel(spark, sf)
+
+
+@query("survival_summary", O.with_ctes("surv") + "select * from surv")
+def q_survival_summary(spark, sf):
+    return survival.survival_summary(_study_panel(spark, sf), SURV_MONTHS)
+
+
+@query("eligible_businesses", O.with_ctes("elig") + "select * from elig")
+def q_eligible(spark, sf):
+    s = survival.survival_summary(_study_panel(spark, sf), SURV_MONTHS)
+    return survival.eligible_businesses(s, FIXTURE_STUDY_END, SURV_MONTHS, AGG_MONTHS)
+
+
+@query("first_year_window", O.with_ctes("fyw") + "select * from fyw")
+def q_first_year_window(spark, sf):
+    p = _study_panel(spark, sf)
+    e = survival.eligible_businesses(survival.survival_summary(p, SURV_MONTHS), FIXTURE_STUDY_END, SURV_MONTHS, AGG_MONTHS)
+    return survival.first_year_window(p.join(e.select("business_id"), "business_id", "left_semi"), AGG_MONTHS)
+
+
+@query("first_year_aggregate", O.with_ctes("fya") + "select * from fya")
+def q_first_year_aggregate(spark, sf):
+    p = _study_panel(spark, sf)
+    e = survival.eligible_businesses(survival.survival_summary(p, SURV_MONTHS), FIXTURE_STUDY_END, SURV_MONTHS, AGG_MONTHS)
+    return survival.first_year_aggregate(p.join(e.select("business_id"), "business_id", "left_semi"), AGG_MONTHS)
+
+
+@query("training_dataset", O.with_ctes("train") + "select * from train")
+def q_training_dataset(spark, sf):
+    return survival.training_dataset(_study_panel(spark, sf), FIXTURE_STUDY_END, SURV_MONTHS, AGG_MONTHS)
+
+
+@query("time_varying_panel", O.with_ctes("pc") + O.TV_SQL)
+def q_time_varying(spark, sf):
+    return survival.time_varying_panel(_panel_core(spark, sf), FIXTURE_STUDY_END)
+
+
+@query("business_level_dataset", O.with_ctes("pc") + O.BL_SQL)
+def q_business_level(spark, sf):
+    return survival.business_level_dataset(_panel_core(spark, sf), FIXTURE_STUDY_END)
