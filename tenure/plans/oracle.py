@@ -178,3 +178,41 @@ BL_SQL = (
     + ", " + _MONTHS.format(a=f"least(max(month), {STUDY_END_SQL})", b="min(month)")
     + f" duration_months, cast(max(month) < {STUDY_END_SQL} as integer) event from pc group by business_id"
 )
+
+
+# ------------------------------------------------------------ logistic ----
+LOGISTIC_EXCLUDED = ("business_id", "first_month", "last_month", "duration_months", "survived_36m",
+    "months_since_first_license_first12m_max", "business_category_sum_first12m_max", "complaint_sum_first12m_sum",
+    "total_311_first12m_sum", "open_first12m_max", "location_cluster_first12m_first")
+TRAIN_FEATURES = [f"{c}_first12m_{_rule(c)}" for c in FEATURES] + ["observed_months_in_first_window"]
+LOGIT_FEATURES = [c for c in TRAIN_FEATURES if c not in LOGISTIC_EXCLUDED]
+EVAL_SCORE = "active_license_count_first12m_mean / (1.0 + active_license_count_first12m_mean)"
+
+EVAL_SQL = f"""
+, sc AS (select survived_36m y, {EVAL_SCORE} p, case when {EVAL_SCORE} > 0.5 then 1 else 0 end pred from train)
+, conf AS (select count(*) filter (where y=0 and pred=0) tn, count(*) filter (where y=0 and pred=1) fp,
+    count(*) filter (where y=1 and pred=0) fn, count(*) filter (where y=1 and pred=1) tp from sc)
+, g AS (select p s, cast(sum(case when y=1 then 1 else 0 end) as double) n1, cast(sum(case when y=0 then 1 else 0 end) as double) n0 from sc group by p)
+, pref AS (select *, coalesce(sum(n0) over (order by s rows between unbounded preceding and 1 preceding), 0) n0_below from g)
+, rk AS (select sum(n1) n1, sum(n0) n0, sum(n1*(n0_below+0.5*n0)) u, sum((n1+n0)*(n1+n0)*(n1+n0)-(n1+n0)) tie from pref)
+, mp AS (select avg(p) filter (where y=1) mean_predicted_probability_survivors, avg(p) filter (where y=0) mean_predicted_probability_nonsurvivors from sc)
+, rep AS (select tn, fp, fn, tp, tn::double/nullif(tn+fn,0) p0, tn::double/nullif(tn+fp,0) r0, tp::double/nullif(tp+fp,0) p1,
+    tp::double/nullif(tp+fn,0) r1, tn+fp s0, fn+tp s1 from conf)
+, rep2 AS (select *, coalesce(2*p0*r0/nullif(p0+r0,0),0) f0, coalesce(2*p1*r1/nullif(p1+r1,0),0) f1 from
+    (select tn, fp, fn, tp, coalesce(p0,0) p0, coalesce(r0,0) r0, coalesce(p1,0) p1, coalesce(r1,0) r1, s0, s1 from rep) t)
+select tn, fp, fn, tp, (tn+tp)::double/(s0+s1) accuracy, p0 precision_0, r0 recall_0, f0 f1_0, s0 support_0,
+  p1 precision_1, r1 recall_1, f1 f1_1, s1 support_1, (p0+p1)/2 macro_precision, (r0+r1)/2 macro_recall, (f0+f1)/2 macro_f1,
+  (p0*s0+p1*s1)/(s0+s1) weighted_precision, (r0*s0+r1*s1)/(s0+s1) weighted_recall, (f0*s0+f1*s1)/(s0+s1) weighted_f1,
+  cast(n1 as bigint) n_positive, cast(n0 as bigint) n_negative, u u_statistic, u/(n1*n0) roc_auc,
+  (u - n1*n0/2.0 - 0.5) / sqrt(n1*n0/12.0*((n1+n0+1) - tie/((n1+n0)*(n1+n0-1)))) mannwhitney_z,
+  mean_predicted_probability_survivors, mean_predicted_probability_nonsurvivors
+from rep2, rk, mp
+"""
+
+CLASS_METRICS_SQL = """
+, sc AS (select survived_36m y, case when active_license_count_first12m_mean / (1.0 + active_license_count_first12m_mean) > 0.5 then 1 else 0 end pred from train)
+, conf AS (select count(*) filter (where y=0 and pred=0) tn, count(*) filter (where y=0 and pred=1) fp,
+    count(*) filter (where y=1 and pred=0) fn, count(*) filter (where y=1 and pred=1) tp from sc)
+select 0 class_label, tn::double/nullif(tn+fn,0) accuracy, tn::double/nullif(tn+fp,0) recall from conf
+union all select 1, tp::double/nullif(tp+fp,0), tp::double/nullif(tp+fn,0) from conf
+"""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenure.config import CATEGORY_PREFIX, COMPLAINT_PREFIX, PanelSettings
-from tenure.operators import cleaning, clustering, panel, spatial, survival
+from tenure.operators import cleaning, clustering, evaluation, features, logistic, panel, sampling, spatial, survival
 from tenure.plans import oracle as O
 from tenure.sources import fixtures
 
@@ -36,6 +36,25 @@ def query(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- inputs ----
+_MEMO: dict = {}
+
+
+def _memo(key, spark, build):
+    """Per-session memo for expensive shared steps (KMeans, model fits)."""
+    full = (id(spark.sparkContext), key)
+    if full not in _MEMO:
+        _MEMO[full] = build()
+    return _MEMO[full]
+
+
+def _full_panel(spark, sf):
+    """The complete panel (KMeans clusters included), built once per session
+    and checkpointed to the shared checkpoint folder."""
+    from tenure.operators.sampling import _checkpoint
+    from tenure.plans.panel import build_panel
+
+    return _memo(("panel", sf), spark, lambda: _checkpoint(build_panel(fixtures.licenses(spark, sf), fixtures.requests(spark, sf))))
+
 def _licenses(spark, sf):
     return cleaning.clean_licenses(fixtures.licenses(spark, sf))
 
@@ -311,3 +330,128 @@ def q_time_varying(spark, sf):
 @query("business_level_dataset", O.with_ctes("pc") + O.BL_SQL)
 def q_business_level(spark, sf):
     return survival.business_level_dataset(_panel_core(spark, sf), FIXTURE_STUDY_END)
+
+
+# ------------------------------------------------------ 2.12 logistic ----
+def _training(spark, sf):
+    return survival.training_dataset(_study_panel(spark, sf), FIXTURE_STUDY_END, SURV_MONTHS, AGG_MONTHS)
+
+
+def _logit_features(training):
+    from tenure.config import LOGISTIC_EXCLUDED
+
+    return features.feature_columns(training.columns, LOGISTIC_EXCLUDED)
+
+
+@query(
+    "split_features_target",
+    O.with_ctes("train") + "select business_id, " + ", ".join(O.LOGIT_FEATURES) + ", survived_36m from train",
+)
+def q_split_features(spark, sf):
+    t = _training(spark, sf)
+    return t.select("business_id", *_logit_features(t), "survived_36m")
+
+
+@query(
+    "variance_filter",
+    O.with_ctes("train") + "select " + ", ".join(f"var_pop(coalesce({c}, 0)) {c}" for c in O.LOGIT_FEATURES) + " from train",
+)
+def q_variance_filter(spark, sf):
+    """Population variance of every candidate feature (kept iff > 1e-8)."""
+    t = _training(spark, sf)
+    return features.variances(t, _logit_features(t))
+
+
+@query(
+    "standardize",
+    O.with_ctes("train") + "select business_id, "
+    + ", ".join(
+        f"(coalesce({c},0) - avg(coalesce({c},0)) over ()) / case when stddev_pop(coalesce({c},0)) over () > 2.220446049250313e-15"
+        f" * greatest(1.0, abs(avg(coalesce({c},0)) over ())) then stddev_pop(coalesce({c},0)) over () else 1.0 end {c}"
+        for c in O.LOGIT_FEATURES
+    )
+    + " from train",
+)
+def q_standardize(spark, sf):
+    t = _training(spark, sf)
+    cols = _logit_features(t)
+    return features.standardize(t, features.fit_scaler(t, cols), keep=["business_id"])
+
+
+@query(
+    "impute_zero",
+    O.with_ctes("train") + "select business_id, " + ", ".join(f"coalesce({c}, 0) {c}" for c in O.LOGIT_FEATURES) + " from train",
+)
+def q_impute_zero(spark, sf):
+    t = _training(spark, sf)
+    cols = _logit_features(t)
+    return t.select("business_id", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in cols])
+
+
+@query(
+    "class_balance_counts",
+    O.with_ctes("train") + "select survived_36m, count(*) n from train group by survived_36m",
+)
+def q_class_balance(spark, sf):
+    return _training(spark, sf).groupBy("survived_36m").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _eval_scored(spark, sf):
+    a = F.col("active_license_count_first12m_mean")
+    p = a / (F.lit(1.0) + a)
+    return _training(spark, sf).select(
+        F.col("survived_36m"), p.alias("probability"), (p > 0.5).cast("int").alias("predicted_label")
+    )
+
+
+@query("evaluate_classifier", O.with_ctes("train") + O.EVAL_SQL)
+def q_evaluate(spark, sf):
+    """Exact metrics of a score column (here first-year licence-count score)."""
+    return evaluation.evaluate_classifier(_eval_scored(spark, sf), "survived_36m", "probability", "predicted_label")
+
+
+@query("class_metrics", O.with_ctes("train") + O.CLASS_METRICS_SQL)
+def q_class_metrics(spark, sf):
+    return evaluation.class_metrics(evaluation.confusion_counts(_eval_scored(spark, sf), "survived_36m", "predicted_label"))
+
+
+@query("balance_oversample")
+def q_balance(spark, sf):
+    t = _training(spark, sf)
+    data = t.select("business_id", *_logit_features(t), "survived_36m")
+    return sampling.balance_oversample(data, "survived_36m", ["business_id"], 42)
+
+
+@query("stratified_split")
+def q_split(spark, sf):
+    t = _training(spark, sf)
+    data = t.select("business_id", *_logit_features(t), "survived_36m").withColumn("_copy", F.lit(-1).cast("long"))
+    train, test = sampling.stratified_split(data, "survived_36m", ["business_id", "_copy"], 0.2, 42)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+def _logistic_run(spark, sf):
+    from tenure.config import ModelSettings
+    from tenure.plans.logistic_job import run_logistic
+
+    return _memo(("logistic", sf), spark, lambda: run_logistic(_full_panel(spark, sf), ModelSettings(study_end=FIXTURE_STUDY_END)))
+
+
+@query("logistic_pipeline")
+def q_logistic(spark, sf):
+    """Coefficient table of the fitted L2 logistic model (ranked by |coef|)."""
+    run = _logistic_run(spark, sf)
+    return run.model.coefficient_frame(spark)
+
+
+@query("predict_logistic")
+def q_predict_logistic(spark, sf):
+    run = _logistic_run(spark, sf)
+    return run.scored.select("business_id", "_copy", "survived_36m", "probability", "predicted_label")
+
+
+@query("top_positive_negative")
+def q_top_pos_neg(spark, sf):
+    run = _logistic_run(spark, sf)
+    top, bottom = logistic.top_positive_negative(run.model.coefficient_frame(spark).drop("abs_coefficient"), "coefficient", 10)
+    return top.withColumn("side", F.lit("positive")).unionByName(bottom.withColumn("side", F.lit("negative")))
