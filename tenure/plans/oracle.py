@@ -216,3 +216,21 @@ CLASS_METRICS_SQL = """
 select 0 class_label, tn::double/nullif(tn+fn,0) accuracy, tn::double/nullif(tn+fp,0) recall from conf
 union all select 1, tp::double/nullif(tp+fp,0), tp::double/nullif(tp+fn,0) from conf
 """
+
+
+# ----------------------------------------------------------------- cox ----
+BL_FEATURES = [c for c in FEATURES if c not in COX_DROP]
+
+
+def _z(c: str, src: str) -> str:
+    return (f"({c} - avg({c}) over ()) / case when stddev_pop({c}) over () > 2.220446049250313e-15"
+            f" * greatest(1.0, abs(avg({c}) over ())) then stddev_pop({c}) over () else 1.0 end {c}")
+
+
+COX_STD_SQL = "select business_id, duration_months, event, " + ", ".join(_z(c, "bl") for c in BL_FEATURES) + " from (" + BL_SQL + ") bl"
+RISK_SET_SQL = (
+    "select cast(time as integer) time, n_events, n_at_risk from (select duration_months time,"
+    " count(*) filter (where event = 1) n_events, sum(count(*)) over (order by duration_months desc"
+    " rows between unbounded preceding and current row) n_at_risk from (" + BL_SQL + ") bl group by duration_months) t"
+    " where n_events > 0"
+)

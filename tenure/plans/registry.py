@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenure.config import CATEGORY_PREFIX, COMPLAINT_PREFIX, PanelSettings
-from tenure.operators import cleaning, clustering, evaluation, features, logistic, panel, sampling, spatial, survival
+from tenure.operators import cleaning, clustering, cox, evaluation, features, logistic, panel, sampling, spatial, survival
 from tenure.plans import oracle as O
 from tenure.sources import fixtures
 
@@ -455,3 +455,66 @@ def q_top_pos_neg(spark, sf):
     run = _logistic_run(spark, sf)
     top, bottom = logistic.top_positive_negative(run.model.coefficient_frame(spark).drop("abs_coefficient"), "coefficient", 10)
     return top.withColumn("side", F.lit("positive")).unionByName(bottom.withColumn("side", F.lit("negative")))
+
+
+# ----------------------------------------------------------- 2.12 cox ----
+@query("cox_prepare_std", O.with_ctes("pc") + O.COX_STD_SQL)
+def q_cox_prepare_std(spark, sf):
+    from tenure.config import ModelSettings
+    from tenure.plans.cox_job import prepare_business_level
+
+    modeling, _, _ = prepare_business_level(_panel_core(spark, sf), ModelSettings(study_end=FIXTURE_STUDY_END))
+    return modeling
+
+
+@query("cox_prepare_tv")
+def q_cox_prepare_tv(spark, sf):
+    from tenure.config import ModelSettings
+    from tenure.plans.cox_job import prepare_time_varying
+
+    modeling, _, _ = prepare_time_varying(_full_panel(spark, sf), ModelSettings(study_end=FIXTURE_STUDY_END))
+    return modeling
+
+
+@query("cox_risk_set_stats", O.with_ctes("pc") + O.RISK_SET_SQL)
+def q_cox_risk_sets(spark, sf):
+    bl = survival.business_level_dataset(_panel_core(spark, sf), FIXTURE_STUDY_END)
+    return cox.risk_set_stats(bl, "duration_months", "event")
+
+
+def _cox_runs(spark, sf):
+    from tenure.config import ModelSettings
+    from tenure.plans.cox_job import run_cox
+
+    return _memo(("cox", sf), spark, lambda: run_cox(_full_panel(spark, sf), ModelSettings(study_end=FIXTURE_STUDY_END)))
+
+
+@query("cox_fit_standard")
+def q_cox_standard(spark, sf):
+    """Coefficient summary of the penalised standard Cox model."""
+    return cox.summary_frame(spark, _cox_runs(spark, sf)["standard"].model)
+
+
+@query("cox_fit_time_varying")
+def q_cox_tv(spark, sf):
+    """Coefficient summary of the penalised time-varying Cox model."""
+    return cox.summary_frame(spark, _cox_runs(spark, sf)["time_varying"].model)
+
+
+@query("cox_predict_hazard")
+def q_cox_hazard(spark, sf):
+    """Partial hazard of every business-month under the time-varying model."""
+    run = _cox_runs(spark, sf)["time_varying"]
+    return cox.partial_hazard(run.modeling, run.model).select("business_id", "month", "partial_hazard")
+
+
+@query("cox_predict_survival")
+def q_cox_survival(spark, sf):
+    """Survival at 12/36/60/120 months for every business (standard model)."""
+    from tenure.config import COX_SURVIVAL_TIMES
+
+    run = _cox_runs(spark, sf)["standard"]
+    scored = cox.partial_hazard(run.modeling, run.model)
+    return cox.survival_at(scored, run.model, COX_SURVIVAL_TIMES).select(
+        "business_id", "partial_hazard", *[f"survival_prob_{t}m" for t in COX_SURVIVAL_TIMES]
+    )
