@@ -234,3 +234,59 @@ RISK_SET_SQL = (
     " rows between unbounded preceding and current row) n_at_risk from (" + BL_SQL + ") bl group by duration_months) t"
     " where n_events > 0"
 )
+
+
+# ------------------------------------------------------------- scoring ----
+LOGISTIC_SCENARIOS = (
+    ("electronics_store", "business_category_electronics_store_first12m_max", 1.0),
+    ("vape_shop", "business_category_electronic_cigarette_dealer_first12m_max", 1.0),
+    ("bingo_operator", "business_category_bingo_game_operator_first12m_max", 1.0),
+    ("many_licenses", "active_license_count_first12m_mean", 5.0),
+    ("industrial_laundry", "business_category_industrial_laundry_first12m_max", 1.0),
+    ("debt_collection", "business_category_debt_collection_agency_first12m_max", 1.0),
+    ("home_improvement_contractor", "business_category_home_improvement_contractor_first12m_max", 1.0),
+)
+COX_CATEGORY_SCENARIOS = (
+    ("electronics_store", "business_category_electronics_store"),
+    ("electronic_cigarette_dealer", "business_category_electronic_cigarette_dealer"),
+    ("bingo_game_operator", "business_category_bingo_game_operator"),
+)
+
+BASELINE_MEDIAN_SQL = "select 'baseline' profile, " + ", ".join(f"cast(median({c}) as double) {c}" for c in LOGIT_FEATURES) + " from train"
+
+
+def _scen(name, feat, value, cols, base="bm"):
+    sel = ", ".join(f"cast({value} as double) {c}" if c == feat else f"cast({c} as double) {c}" for c in cols)
+    f = "null" if feat is None else f"'{feat}'"
+    return f"select '{name}' profile, cast({f} as varchar) scenario_feature, {sel} from {base}"
+
+
+SCEN_LOGIT_SQL = (
+    ", bm AS (" + BASELINE_MEDIAN_SQL + ")\n"
+    + " union all ".join([_scen("baseline", None, 0, LOGIT_FEATURES)] + [_scen(n, f, v, LOGIT_FEATURES) for n, f, v in LOGISTIC_SCENARIOS])
+)
+UNPIVOT_SQL = (
+    ", bm AS (" + BASELINE_MEDIAN_SQL + "), sp AS ("
+    + " union all ".join([_scen("baseline", None, 0, LOGIT_FEATURES)] + [_scen(n, f, v, LOGIT_FEATURES) for n, f, v in LOGISTIC_SCENARIOS])
+    + ") select profile, feature, value from (select profile, unnest(["
+    + ", ".join(f"{{'feature': '{c}', 'value': {c}}}" for c in LOGIT_FEATURES)
+    + "], recursive := true) from sp) t where value <> 0"
+)
+FIRST_ROW_SQL = "select 'baseline' profile, " + ", ".join(f"cast({c} as double) {c}" for c in BL_FEATURES) + " from pc order by business_id, month limit 1"
+
+
+def _cox_scen():
+    cats = [c for c in BL_FEATURES if c.startswith("business_category_") and c != "business_category_sum"]
+    parts = ["select 'baseline' profile, cast(null as varchar) scenario_feature, " + ", ".join(BL_FEATURES) + " from fr"]
+    for name, feat in COX_CATEGORY_SCENARIOS:
+        cols = []
+        for c in BL_FEATURES:
+            v = "1.0" if c == feat else "0.0" if c in cats else "1.0" if c == "active_license_count" else c
+            cols.append(f"cast({v} as double) {c}")
+        parts.append(f"select '{name}' profile, '{feat}' scenario_feature, " + ", ".join(cols) + " from fr")
+    parts.append("select 'multi_license_business' profile, 'active_license_count' scenario_feature, "
+                 + ", ".join(f"cast({'3.0' if c == 'active_license_count' else c} as double) {c}" for c in BL_FEATURES) + " from fr")
+    return ", fr AS (" + FIRST_ROW_SQL + ")\n" + " union all ".join(parts)
+
+
+SCEN_COX_SQL = _cox_scen()

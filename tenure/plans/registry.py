@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenure.config import CATEGORY_PREFIX, COMPLAINT_PREFIX, PanelSettings
-from tenure.operators import cleaning, clustering, cox, evaluation, features, logistic, panel, sampling, spatial, survival
+from tenure.operators import cleaning, clustering, cox, evaluation, features, logistic, panel, sampling, scoring, spatial, survival
 from tenure.plans import oracle as O
 from tenure.sources import fixtures
 
@@ -518,3 +518,174 @@ def q_cox_survival(spark, sf):
     return cox.survival_at(scored, run.model, COX_SURVIVAL_TIMES).select(
         "business_id", "partial_hazard", *[f"survival_prob_{t}m" for t in COX_SURVIVAL_TIMES]
     )
+
+
+# ------------------------------------------------------- 2.12 profiles ----
+@query("baseline_median_profile", O.with_ctes("train") + O.BASELINE_MEDIAN_SQL)
+def q_baseline_median(spark, sf):
+    t = _training(spark, sf)
+    return scoring.baseline_median_profile(t, _logit_features(t))
+
+
+@query("scenario_profiles_logistic", O.with_ctes("train") + O.SCEN_LOGIT_SQL)
+def q_scen_logit(spark, sf):
+    t = _training(spark, sf)
+    kept = _logit_features(t)
+    return scoring.scenario_profiles_logistic(scoring.baseline_median_profile(t, kept), kept)
+
+
+@query("unpivot_nonzero_features", O.with_ctes("train") + O.UNPIVOT_SQL)
+def q_unpivot(spark, sf):
+    t = _training(spark, sf)
+    kept = _logit_features(t)
+    prof = scoring.scenario_profiles_logistic(scoring.baseline_median_profile(t, kept), kept)
+    return scoring.unpivot_nonzero_features(prof.drop("scenario_feature"), "profile", kept)
+
+
+def _bl_features():
+    return [c for c in O.BL_FEATURES]
+
+
+@query("baseline_first_row", O.with_ctes("pc") + O.FIRST_ROW_SQL)
+def q_baseline_first_row(spark, sf):
+    return scoring.baseline_first_row(_study_panel(spark, sf), _bl_features())
+
+
+@query("scenario_profiles_cox", O.with_ctes("pc") + O.SCEN_COX_SQL)
+def q_scen_cox(spark, sf):
+    base = scoring.baseline_first_row(_study_panel(spark, sf), _bl_features())
+    return scoring.scenario_profiles_cox(base, _bl_features(), 3)
+
+
+@query(
+    "reference_median",
+    O.with_ctes("pc") + "select coalesce(cast(median(business_latitude) as double), 40.7128) median_lat,"
+    " coalesce(cast(median(business_longitude) as double), -74.0060) median_lng from pc",
+)
+def q_reference_median(spark, sf):
+    return scoring.reference_median(_study_panel(spark, sf), "business_latitude", "business_longitude")
+
+
+@query(
+    "clamp_bounds",
+    O.with_ctes("loc") + "select business_id, least(greatest(business_latitude, 40.49), 40.92) business_latitude,"
+    " least(greatest(business_longitude, -74.27), -73.68) business_longitude from loc",
+)
+def q_clamp(spark, sf):
+    return spatial.clamp_bounds(_locations(spark, sf), "business_latitude", "business_longitude")
+
+
+@query("distinct_centroids")
+def q_distinct_centroids(spark, sf):
+    return scoring.distinct_centroids(_full_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
+
+
+@query("nearest_centroid")
+def q_nearest_centroid(spark, sf):
+    """Every business location mapped to its nearest panel cluster centre."""
+    cents = scoring.centroid_list(
+        scoring.distinct_centroids(_full_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
+    )
+    return spatial.nearest_centroid(_locations(spark, sf), "business_latitude", "business_longitude", cents)
+
+
+def _profile_requests(training, prefix_cat="business_category_", prefix_cmp="complaint_type_", suffix_cat="_first12m_max", suffix_cmp="_first12m_sum"):
+    """One request per eligible business from its first-year features."""
+    cats = [c for c in training.columns if c.startswith(prefix_cat) and c.endswith(suffix_cat) and not c.startswith("business_category_sum")]
+    cmps = [c for c in training.columns if c.startswith(prefix_cmp) and c.endswith(suffix_cmp)]
+    cat_arr = F.filter(F.array(*[F.when(F.col(c) > 0, F.lit(c)) for c in cats]), lambda x: x.isNotNull()) if cats else F.array().cast("array<string>")
+    cmp_map = F.create_map(*[x for c in cmps for x in (F.lit(c), F.col(c).cast("double"))]) if cmps else F.create_map().cast("map<string,double>")
+    return scoring.clamp_profile_coordinates(training.select(
+        F.col("business_id").alias("profile_id"),
+        F.col("active_license_count_first12m_mean").alias("active_license_count"),
+        F.col("business_latitude_first12m_first").alias("business_latitude"),
+        F.col("business_longitude_first12m_first").alias("business_longitude"),
+        cat_arr.alias("categories"),
+        cmp_map.alias("complaints"),
+    ))
+
+
+@query("build_profiles")
+def q_build_profiles(spark, sf):
+    """Profile requests of every eligible business -> logistic feature rows."""
+    run = _logistic_run(spark, sf)
+    cents = scoring.centroid_list(
+        scoring.distinct_centroids(_full_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
+    )
+    return scoring.build_profiles(_profile_requests(run.training), run.selection.kept_columns, cents)
+
+
+@query("predict_profiles_logistic")
+def q_predict_profiles(spark, sf):
+    """Probability of surviving 36 months for every profile request, ranked."""
+    run = _logistic_run(spark, sf)
+    cents = scoring.centroid_list(
+        scoring.distinct_centroids(_full_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
+    )
+    prof = scoring.build_profiles(_profile_requests(run.training), run.selection.kept_columns, cents)
+    return logistic.predict_logistic(prof, run.model).select("profile_id", "probability", "predicted_label").orderBy(F.desc("probability"), "profile_id")
+
+
+@query("directional_check_logistic")
+def q_directional_logistic(spark, sf):
+    run = _logistic_run(spark, sf)
+    kept = run.selection.kept_columns
+    prof = scoring.scenario_profiles_logistic(scoring.baseline_median_profile(run.train, kept), kept)
+    scored = logistic.predict_logistic(prof, run.model, prob_col="predicted_survival_probability")
+    related = scoring.relation_to_baseline(scored, "predicted_survival_probability")
+    return scoring.directional_check(related, run.model.coefficient_frame(spark), "coefficient", "above_baseline", "below_baseline", "same_as_baseline")
+
+
+def _cox_scenarios(spark, sf):
+    run = _cox_runs(spark, sf)["time_varying"]
+    kept = run.selection.kept_columns
+    base = scoring.baseline_first_row(survival.restrict_study_window(_full_panel(spark, sf), FIXTURE_STUDY_END), kept)
+    prof = scoring.scenario_profiles_cox(base, kept, 3)
+    scaled = features.standardize(prof, run.scaler, keep=["profile", "scenario_feature"])
+    return run, cox.partial_hazard(scaled, run.model)
+
+
+@query("risk_vs_baseline")
+def q_risk_vs_baseline(spark, sf):
+    """Hazard ratio of each Cox scenario profile to the baseline profile."""
+    _, scored = _cox_scenarios(spark, sf)
+    return scoring.relation_to_baseline(scored, "partial_hazard", "higher_risk", "lower_risk", "same_risk").select(
+        "profile", "scenario_feature", "partial_hazard", "ratio_to_baseline", "actual_vs_baseline"
+    )
+
+
+@query("directional_check_cox")
+def q_directional_cox(spark, sf):
+    run, scored = _cox_scenarios(spark, sf)
+    related = scoring.relation_to_baseline(scored, "partial_hazard", "higher_risk", "lower_risk", "same_risk")
+    return scoring.directional_check(related, cox.summary_frame(spark, run.model), "coef", "higher_risk", "lower_risk", "same_risk")
+
+
+@query("profiles_over_time")
+def q_profiles_over_time(spark, sf):
+    """Time-varying profiles: each business-month of the first year as a
+    timepoint, scored by the time-varying Cox model, sorted by month."""
+    run = _cox_runs(spark, sf)["time_varying"]
+    p = survival.first_year_window(survival.restrict_study_window(_full_panel(spark, sf), FIXTURE_STUDY_END), 12)
+    cats = [c for c in p.columns if c.startswith("business_category_") and c != "business_category_sum"]
+    cmps = [c for c in p.columns if c.startswith("complaint_type_")]
+    req = p.select(
+        F.col("business_id").alias("profile_id"), "month", "active_license_count", "business_latitude", "business_longitude",
+        F.filter(F.array(*[F.when(F.col(c) > 0, F.lit(c)) for c in cats]), lambda x: x.isNotNull()).alias("categories"),
+        F.create_map(*[x for c in cmps for x in (F.lit(c), F.col(c).cast("double"))]).alias("complaints"),
+    )
+    cents = scoring.centroid_list(
+        scoring.distinct_centroids(_full_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
+    )
+    prof = scoring.build_profiles(req, run.selection.kept_columns, cents, scoring.COX_INPUTS)
+    scaled = features.standardize(prof, run.scaler, keep=["profile_id", "month"])
+    return cox.partial_hazard(scaled, run.model).select("profile_id", "month", "partial_hazard").orderBy("profile_id", "month")
+
+
+@query("check_features_available")
+def q_check_features(spark, sf):
+    """Scenario features the logistic model did not keep (left-anti join)."""
+    run = _logistic_run(spark, sf)
+    kept = spark.createDataFrame([(c,) for c in run.selection.kept_columns], "feature string")
+    req = run.training.select(F.explode(F.array(*[F.lit(f) for _, f, _ in scoring.LOGISTIC_SCENARIOS])).alias("feature")).distinct()
+    return scoring.check_features_available(kept, req)
