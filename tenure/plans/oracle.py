@@ -290,3 +290,46 @@ def _cox_scen():
 
 
 SCEN_COX_SQL = _cox_scen()
+
+
+# ----------------------------------------------------------------- geo ----
+def _initcap(x: str) -> str:
+    return f"array_to_string(list_transform(string_split(lower({x}), ' '), lambda w: upper(w[1:1]) || w[2:]), ' ')"
+
+
+CTES.update({
+    "meta_raw": """select cast(l.license_number as bigint) record_ordinal, l.business_id, l.latitude, l.longitude,
+        case c.c_mktsegment when 'AUTOMOBILE' then 'Bronx' when 'BUILDING' then 'Brooklyn' when 'FURNITURE' then 'manhattan '
+          when 'HOUSEHOLD' then 'Queens' when 'MACHINERY' then 'Staten Island' else 'Outside' end borough,
+        c.c_name business_name, l.business_category industry, l.license_number address_building, 'Main St' address_street_name,
+        n.n_name address_city, 'NY' address_state, cast(null as varchar) address_zip, l.license_status,
+        l.issue_date license_creation_date, l.expire_date license_expiration_date, l.license_number,
+        l.license_status license_type, l.business_category
+        from lic_raw l left join customer c on l.business_id = cast(c.c_custkey as varchar)
+        left join nation n on c.c_nationkey = n.n_nationkey""",
+    "meta": "select * replace (trim(business_id) as business_id, " + _initcap("trim(borough)") + " as borough),"
+        " concat_ws(' ', " + ", ".join(f"nullif(trim(coalesce(cast({c} as varchar), '')), '')" for c in
+        ("address_building", "address_street_name", "address_city", "address_state", "address_zip")) + ") full_address"
+        " from meta_raw where " + _initcap("trim(borough)") + " in ('Bronx', 'Brooklyn', 'Manhattan', 'Queens', 'Staten Island')"
+        " and latitude between 40.49 and 40.92 and longitude between -74.27 and -73.68",
+    "gsum": f"select business_id, max(month) last_month, sum(cast(complaint_sum as double)) complaint_sum,"
+        f" cast(max(month) >= {STUDY_END_SQL} as integer) active from pc0 group by business_id",
+    "gmeta": "select business_id, arg_min(latitude, record_ordinal) latitude, arg_min(longitude, record_ordinal) longitude,"
+        " arg_min(borough, record_ordinal) first_borough, count(*) license_count from meta group by business_id",
+    "gfeat": "select s.business_id, coalesce(s.active, 0) active, strftime(s.last_month, '%Y-%m-%d') last_month,"
+        " coalesce(s.complaint_sum, 0.0) complaint_sum, cast(coalesce(m.license_count, 0) as integer) license_count,"
+        " m.first_borough borough, m.longitude lng, m.latitude lat from gsum s join gmeta m on s.business_id = m.business_id"
+        " where m.latitude is not null and m.longitude is not null",
+    "gfacet": """select business_id, case when borough is null or trim(borough) = '' then 'Unknown' else trim(borough) end borough,
+        case when active = 1 then 'Active' else 'Inactive' end status,
+        case when complaint_sum is null or isnan(complaint_sum) then 'Unknown' when complaint_sum = 0 then '0'
+          when complaint_sum <= 2 then '1-2' when complaint_sum <= 5 then '3-5' when complaint_sum <= 10 then '6-10'
+          when complaint_sum <= 20 then '11-20' when complaint_sum <= 50 then '21-50' when complaint_sum <= 100 then '51-100'
+          else '101+' end complaint_bin,
+        case when license_count is null then 'Unknown' when license_count <= 1 then 'Single license' else 'Multiple licenses' end license_band
+        from gfeat""",
+})
+CTES["pc0"] = "select * from panel_core"
+for _k in ("meta_raw", "meta", "pc0", "gsum", "gmeta", "gfeat", "gfacet"):
+    CTES[_k] = CTES.pop(_k)
+_ORDER[:] = list(CTES)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenure.config import CATEGORY_PREFIX, COMPLAINT_PREFIX, PanelSettings
-from tenure.operators import cleaning, clustering, cox, evaluation, features, logistic, panel, sampling, scoring, spatial, survival
+from tenure.operators import cleaning, clustering, cox, evaluation, features, geojson, logistic, panel, sampling, scoring, spatial, survival
 from tenure.plans import oracle as O
 from tenure.sources import fixtures
 
@@ -689,3 +689,87 @@ def q_check_features(spark, sf):
     kept = spark.createDataFrame([(c,) for c in run.selection.kept_columns], "feature string")
     req = run.training.select(F.explode(F.array(*[F.lit(f) for _, f, _ in scoring.LOGISTIC_SCENARIOS])).alias("feature")).distinct()
     return scoring.check_features_available(kept, req)
+
+
+# ------------------------------------------------------------- 2.x geo ----
+def _geo_inputs(spark, sf):
+    return geojson.prepare_geojson_inputs(_panel_core(spark, sf), fixtures.license_metadata(spark, sf))
+
+
+def _geo_businesses(spark, sf):
+    panel_df, meta = _geo_inputs(spark, sf)
+    summary = geojson.business_activity_summary(panel_df, FIXTURE_STUDY_END)
+    return geojson.join_geo(summary, geojson.business_license_metadata(meta))
+
+
+@query("prepare_geojson_inputs", O.with_ctes("meta") + "select * from meta")
+def q_prepare_geo(spark, sf):
+    """Licence metadata cleaned (ids, title-case borough, coordinates, dates),
+    full address built, valid boroughs and the map box only."""
+    return _geo_inputs(spark, sf)[1]
+
+
+@query("business_activity_summary", O.with_ctes("gsum") + "select * from gsum")
+def q_activity(spark, sf):
+    return geojson.business_activity_summary(_geo_inputs(spark, sf)[0], FIXTURE_STUDY_END)
+
+
+@query("business_license_metadata", O.with_ctes("gmeta") + "select * from gmeta")
+def q_license_meta(spark, sf):
+    return geojson.business_license_metadata(_geo_inputs(spark, sf)[1])
+
+
+@query(
+    "license_records",
+    O.with_ctes("meta") + "select business_id, record_ordinal, latitude, longitude, borough, license_number, license_type,"
+    " business_category, strftime(license_creation_date, '%Y-%m-%d') license_creation_date,"
+    " strftime(license_expiration_date, '%Y-%m-%d') license_expiration_date, full_address from meta",
+)
+def q_license_records(spark, sf):
+    rows = geojson.license_record_rows(_geo_inputs(spark, sf)[1])
+    return rows.select(
+        "business_id", "record_ordinal", "record.latitude", "record.longitude", "record.borough", "record.license_number",
+        "record.license_type", "record.business_category", "record.license_creation_date", "record.license_expiration_date",
+        "record.full_address",
+    )
+
+
+@query("geo_feature", O.with_ctes("gfeat") + "select * from gfeat")
+def q_geo_feature(spark, sf):
+    """GeoJSON features (flattened properties for comparison)."""
+    f = geojson.geo_feature(_geo_businesses(spark, sf))
+    p = F.col("feature.properties")
+    return f.select(
+        "business_id", p["active"].alias("active"), p["last_month"].alias("last_month"), p["complaint_sum"].alias("complaint_sum"),
+        p["license_count"].alias("license_count"), p["borough"].alias("borough"),
+        F.col("feature.geometry.coordinates")[0].alias("lng"), F.col("feature.geometry.coordinates")[1].alias("lat"),
+    )
+
+
+@query("write_geojson")
+def q_write_geojson(spark, sf):
+    """Newline-delimited GeoJSON text (one Feature per line)."""
+    return geojson.geo_feature(_geo_businesses(spark, sf)).select(F.to_json("feature").alias("value"))
+
+
+@query("facet_table", O.with_ctes("gfacet") + "select * from gfacet")
+def q_facets(spark, sf):
+    return geojson.facet_table(geojson.geo_feature(_geo_businesses(spark, sf)))
+
+
+@query(
+    "facet_values",
+    O.with_ctes("gfacet") + "select complaint_bin, count(*) n from gfacet group by complaint_bin",
+)
+def q_facet_values(spark, sf):
+    return geojson.facet_values(geojson.facet_table(geojson.geo_feature(_geo_businesses(spark, sf))), "complaint_bin")
+
+
+@query(
+    "facet_filter",
+    O.with_ctes("gfacet") + "select * from gfacet where borough in ('Bronx', 'Queens') and status in ('Inactive')",
+)
+def q_facet_filter(spark, sf):
+    """OR within a facet, AND across facets; the licence-band facet is empty (no filter)."""
+    facets = geojson.facet_table(geojson.geo_feature(_geo_businesses(spark, sf)))
+    return geojson.facet_filter(facets, {"borough": ["Bronx", "Queens"], "status": ["Inactive"], "license_band": []})
