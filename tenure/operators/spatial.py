@@ -69,10 +69,10 @@ def radius_join(
     req = requests.select("unique_key", "month", "complaint_type", "latitude", "longitude").where(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     )
-    # One small aggregate fixes the cell width for the data's latitude range.
-    bounds = biz.agg(F.max(F.abs("business_latitude")).alias("m")).union(
-        req.agg(F.max(F.abs("latitude")).alias("m"))
-    ).agg(F.max("m").alias("m")).first()["m"]
+    # One small aggregate over the businesses fixes the cell width: a request
+    # farther than one cell beyond the highest business latitude has no
+    # partner, so the business side alone bounds the latitudes that matter.
+    bounds = biz.agg(F.max(F.abs("business_latitude")).alias("m")).first()["m"]
     if bounds is None:
         return _empty_pairs(requests, businesses)
     height, width, n_cols = grid_geometry(radius_meters, float(bounds))
@@ -92,7 +92,7 @@ def radius_join(
         biz_cells = biz_cells.dropDuplicates(["business_id", "cy", "cx"])
 
     keys = ["cy", "cx"]
-    if hot_cell_rows:
+    if hot_cell_rows and not requests.isStreaming:
         hot = (
             req_cells.groupBy("cy", "cx")
             .agg(F.count(F.lit(1)).alias("n"))

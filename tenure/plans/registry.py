@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tenure.config import CATEGORY_PREFIX, COMPLAINT_PREFIX, PanelSettings
 from tenure.operators import cleaning, clustering, cox, evaluation, features, geojson, logistic, panel, sampling, scoring, spatial, survival
+from tenure.operators import upsert as U
 from tenure.plans import oracle as O
 from tenure.sources import fixtures
 
@@ -773,3 +774,88 @@ def q_facet_filter(spark, sf):
     """OR within a facet, AND across facets; the licence-band facet is empty (no filter)."""
     facets = geojson.facet_table(geojson.geo_feature(_geo_businesses(spark, sf)))
     return geojson.facet_filter(facets, {"borough": ["Bronx", "Queens"], "status": ["Inactive"], "license_band": []})
+
+
+# ---------------------------------------------------------- ingest 2.1/2.2 ----
+EV_SPLIT = "2024-01-15 12:00:00"
+EV_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _ev_cfg():
+    from tenure.plans.ingest_job import IngestConfig, SERVICE_REQUESTS
+
+    return IngestConfig("event_id", "ts", ("ts",), SERVICE_REQUESTS.limit)
+
+
+def _ev_target(spark, sf):
+    ev = fixtures.table(spark, sf, "events")
+    return U.align_to_schema(ev.where(F.col("ts") < F.lit(EV_SPLIT).cast("timestamp")), EV_COLUMNS, ("ts",))
+
+
+def _ev_source(spark, sf):
+    cfg = _ev_cfg()
+    wm = U.high_watermark(_ev_target(spark, sf), "ts").first()["watermark"]
+    return U.incremental_source(fixtures.table(spark, sf, "events"), "ts", "event_id", wm, cfg.limit)
+
+
+@query("high_watermark", O.with_ctes("ev_wm") + "select * from ev_wm")
+def q_high_watermark(spark, sf):
+    return U.high_watermark(_ev_target(spark, sf), "ts")
+
+
+@query("incremental_source", O.with_ctes("ev_src") + "select * from ev_src")
+def q_incremental_source(spark, sf):
+    """Landing rows after the day-truncated watermark, ordered cap."""
+    return _ev_source(spark, sf)
+
+
+@query("align_to_schema", O.with_ctes("ev_src_aligned") + "select * from ev_src_aligned")
+def q_align(spark, sf):
+    return U.align_to_schema(_ev_source(spark, sf), EV_COLUMNS, ("ts",))
+
+
+@query("dedupe_latest", O.with_ctes("ev_src_aligned") + "select * from ev_src_aligned")
+def q_dedupe(spark, sf):
+    return U.dedupe_latest(U.align_to_schema(_ev_source(spark, sf), EV_COLUMNS, ("ts",)), "event_id", "ts")
+
+
+@query("upsert", O.with_ctes("ev_upsert") + "select * from ev_upsert")
+def q_upsert(spark, sf):
+    src = U.dedupe_latest(U.align_to_schema(_ev_source(spark, sf), EV_COLUMNS, ("ts",)), "event_id", "ts")
+    return U.upsert(_ev_target(spark, sf), src, "event_id")
+
+
+def _scratch(spark, name):
+    import uuid
+
+    from tenure.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+@query("stream_ingest_upsert")
+def q_stream_ingest(spark, sf):
+    """Events landed one file set per day, streamed (availableNow) into a
+    versioned table with a keyed upsert per micro-batch."""
+    from tenure.streaming.ingest import stream_ingest_upsert
+
+    root = _scratch(spark, "stream-ingest")
+    ev = U.align_to_schema(fixtures.table(spark, sf, "events"), EV_COLUMNS, ("ts",))
+    ev.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(f"{root}/landing")
+    q = stream_ingest_upsert(spark, f"{root}/landing", ev.schema, f"{root}/table", f"{root}/ckpt", _ev_cfg())
+    q.awaitTermination()
+    return U.VersionedTable(spark, f"{root}/table").read()
+
+
+@query("stream_monthly_complaints")
+def q_stream_complaints(spark, sf):
+    """Request files streamed through cleaning and the radius join into
+    per-(business, month) complaint counts kept current by upsert."""
+    from tenure.streaming.ingest import stream_monthly_complaints
+
+    root = _scratch(spark, "stream-complaints")
+    req = fixtures.requests(spark, sf)
+    req.withColumn("m", F.date_format("created_date", "yyyy-MM")).write.partitionBy("m").parquet(f"{root}/landing")
+    q = stream_monthly_complaints(spark, f"{root}/landing", req.schema, _locations(spark, sf), f"{root}/table", f"{root}/ckpt")
+    q.awaitTermination()
+    return U.VersionedTable(spark, f"{root}/table").read()
