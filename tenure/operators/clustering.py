@@ -20,7 +20,9 @@ from tenure.operators.spatial import nearest_centroid
 
 
 def _fit(points: DataFrame, k: int, seed: int, max_iter: int, tol: float):
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", initMode="k-means||").fit(points)
+    model = KMeans(
+        k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", weightCol="w", initMode="k-means||"
+    ).fit(points)
     return model.summary.trainingCost, seed, model
 
 
@@ -43,11 +45,18 @@ def fit_location_clusters(
     if n < k:
         row = coords.agg(F.avg("business_latitude").alias("a"), F.avg("business_longitude").alias("b")).first()
         return [(0, float(row["a"]), float(row["b"]))]
-    points = VectorAssembler(inputCols=["business_latitude", "business_longitude"], outputCol="features").transform(coords).select("features")
-    points = points.persist()
+    # Businesses sharing a coordinate become one weighted point: the KMeans
+    # objective and its Lloyd steps are identical, the input is smaller.
+    weighted = coords.groupBy("business_latitude", "business_longitude").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    n_points = weighted.count()
+    points = VectorAssembler(inputCols=["business_latitude", "business_longitude"], outputCol="features").transform(weighted)
+    # Each Lloyd iteration is one small job: few, large partitions keep the
+    # per-iteration task overhead down (about one partition per million points).
+    points = points.select("features", "w").coalesce(max(1, -(-n_points // 1_000_000))).persist()
     try:
         seeds = [seed + i for i in range(max(1, restarts))]
-        with ThreadPoolExecutor(max_workers=min(8, len(seeds))) as pool:
+        # restarts are independent jobs; run them concurrently
+        with ThreadPoolExecutor(max_workers=min(32, len(seeds))) as pool:
             fits = list(pool.map(lambda s: _fit(points, k, s, max_iter, tol), seeds))
     finally:
         points.unpersist()

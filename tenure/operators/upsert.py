@@ -70,6 +70,12 @@ def upsert(target: DataFrame, source: DataFrame, key_col) -> DataFrame:
     return target.join(source.select(*keys), keys, "left_anti").unionByName(source.select(*target.columns))
 
 
+def upsert_latest(target: DataFrame, source: DataFrame, key_col: str, ts_col: str) -> DataFrame:
+    """Order-insensitive MERGE: per key the row with the latest timestamp
+    wins, whichever batch brought it (idempotent under replays)."""
+    return dedupe_latest(target.unionByName(source.select(*target.columns)), key_col, ts_col)
+
+
 class VersionedTable:
     """Parquet versions under ``root`` plus a pointer file ``_CURRENT``."""
 

@@ -1,9 +1,9 @@
 """Structured Streaming twins of the incremental jobs.
 
 * ``stream_ingest_upsert``: landing files -> per micro-batch align / cast /
-  latest-per-key -> upsert into a versioned table.  Re-running a batch after
-  a failure replaces the same keys with the same rows (idempotent), and the
-  checkpoint records which files were consumed.
+  latest-per-key -> merge into a versioned table where the latest timestamp
+  wins (files may arrive out of order).  Re-running a batch after a failure
+  gives the same table (idempotent); the checkpoint records consumed files.
 * ``stream_monthly_complaints``: landing request files -> cleaning -> grid
   radius join against the static business locations (stream-static join) ->
   counts per (business, month) in update mode -> upsert on the two keys.
@@ -41,7 +41,8 @@ def stream_ingest_upsert(
         target = table.read() if table.exists() else None
         columns = target.columns if target is not None else df.columns
         src = U.dedupe_latest(U.align_to_schema(df, columns, cfg.timestamp_cols), cfg.key, cfg.ts_col)
-        table.commit(src if target is None else U.upsert(target, src, cfg.key))
+        # files arrive in any order: latest timestamp wins, not latest batch
+        table.commit(src if target is None else U.upsert_latest(target, src, cfg.key, cfg.ts_col))
 
     return (
         _file_stream(spark, landing_dir, schema, files_per_trigger)
