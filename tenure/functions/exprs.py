@@ -88,12 +88,24 @@ def sanitize_feature_name(raw: Column, prefix: str) -> Column:
     return F.concat(F.lit(prefix + "_"), s)
 
 
-def prettify_feature_name(name: Column, prefixes: tuple[str, ...] = ("business_category_", "complaint_type_")) -> Column:
-    """Display label: drop ``_first12m_<agg>`` and a known prefix, ``_`` -> space, title case."""
+def title_case(s: Column) -> Column:
+    """Python ``str.title``: a letter is upper-cased after a non-letter (or at
+    the start) and lower-cased after a letter."""
+    chars = F.split(s, "(?!^)")
+    return F.array_join(
+        F.transform(
+            chars,
+            lambda c, i: F.when((i == 0) | ~F.element_at(chars, i).rlike("[A-Za-z]"), F.upper(c)).otherwise(F.lower(c)),
+        ),
+        "",
+    )
+
+
+def prettify_feature_name(name: Column) -> Column:
+    """Display label: drop ``_first12m_<agg>`` and one known prefix, ``_`` -> space, title case."""
     s = F.regexp_replace(name, "_first12m_(sum|mean|max|last|first)$", "")
-    for prefix in prefixes:
-        s = F.regexp_replace(s, "^" + prefix, "")
-    return F.initcap(F.regexp_replace(s, "_", " "))
+    s = F.regexp_replace(s, "^(business_category_|complaint_type_)", "")
+    return title_case(F.regexp_replace(s, "_", " "))
 
 
 def feature_group(name: Column) -> Column:

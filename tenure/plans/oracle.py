@@ -346,3 +346,23 @@ CTES.update({
     "ev_upsert": "select * from ev_target where event_id not in (select event_id from ev_src_aligned) union all select * from ev_src_aligned",
 })
 _ORDER[:] = list(CTES)
+
+
+# --------------------------------------------------------------- names ----
+def title_sql(x: str) -> str:
+    """Python str.title(): upper after a non-letter, lower after a letter."""
+    return (f"array_to_string(list_transform(string_split({x}, ''), lambda c, i: case when i = 1 or not"
+            f" regexp_matches(string_split({x}, '')[i - 1], '[A-Za-z]') then upper(c) else lower(c) end), '')")
+
+
+def prettify_sql(x: str) -> str:
+    s = f"regexp_replace({x}, '_first12m_(sum|mean|max|last|first)$', '')"
+    s = f"regexp_replace({s}, '^(business_category_|complaint_type_)', '')"
+    return title_sql(f"replace({s}, '_', ' ')")
+
+
+CTES.update({
+    "fnames": "select feature || '_first12m_max' feature from dict_cat union all select feature || '_first12m_sum' from dict_cmp"
+              " union all select 'active_license_count_first12m_mean'",
+})
+_ORDER[:] = list(CTES)

@@ -859,3 +859,168 @@ def q_stream_complaints(spark, sf):
     q = stream_monthly_complaints(spark, f"{root}/landing", req.schema, _locations(spark, sf), f"{root}/table", f"{root}/ckpt")
     q.awaitTermination()
     return U.VersionedTable(spark, f"{root}/table").read()
+
+
+# ------------------------------------------------- 2.10 scalar functions ----
+from tenure.functions import exprs as X  # noqa: E402
+
+
+def _feature_names(spark, sf):
+    lic = _licenses(spark, sf)
+    cats = panel.feature_dictionary_frame(lic, "business_category", CATEGORY_PREFIX)
+    cmps = panel.feature_dictionary_frame(_pairs(spark, sf), "complaint_type", COMPLAINT_PREFIX)
+    return (
+        cats.select(F.concat("feature", F.lit("_first12m_max")).alias("feature"))
+        .unionByName(cmps.select(F.concat("feature", F.lit("_first12m_sum")).alias("feature")))
+        .unionByName(spark.range(1).select(F.lit("active_license_count_first12m_mean").alias("feature")))
+    )
+
+
+@query(
+    "sanitize_feature_name",
+    O.with_ctes("lic") + "select business_category raw, " + O.sanitize_sql("business_category", "business_category")
+    + " sanitized from (select distinct business_category from lic) t",
+)
+def q_sanitize(spark, sf):
+    return _licenses(spark, sf).select(F.col("business_category").alias("raw")).distinct().select(
+        "raw", X.sanitize_feature_name(F.col("raw"), CATEGORY_PREFIX).alias("sanitized")
+    )
+
+
+@query(
+    "prettify_feature_name",
+    O.with_ctes("fnames") + "select feature, " + O.prettify_sql("feature") + " label,"
+    " case when starts_with(feature, 'business_category_') then 'Business category'"
+    " when starts_with(feature, 'complaint_type_') then '311 complaint' else 'Other' end feature_group from fnames",
+)
+def q_prettify(spark, sf):
+    n = _feature_names(spark, sf)
+    return n.select("feature", X.prettify_feature_name(F.col("feature")).alias("label"), X.feature_group(F.col("feature")).alias("feature_group"))
+
+
+@query(
+    "display_map",
+    O.with_ctes("fnames") + "select " + O.prettify_sql("feature") + " label, feature from fnames"
+    " where starts_with(feature, 'business_category_') and ends_with(feature, '_first12m_max')",
+)
+def q_display_map(spark, sf):
+    """Display label -> model column for the category features (selected by prefix/suffix)."""
+    n = _feature_names(spark, sf).where(F.col("feature").startswith("business_category_") & F.col("feature").endswith("_first12m_max"))
+    return n.select(X.prettify_feature_name(F.col("feature")).alias("label"), "feature")
+
+
+@query(
+    "haversine",
+    O.with_ctes("loc") + "select business_id, 6371000.0 * " + O.HAVERSINE.format(
+        blat="40.7128", blng="-74.0060", rlat="business_latitude", rlng="business_longitude") + " meters_to_reference from loc",
+)
+def q_haversine(spark, sf):
+    """Great-circle distance of every business to the reference point."""
+    return _locations(spark, sf).select(
+        "business_id",
+        X.haversine_meters(F.col("business_latitude"), F.col("business_longitude"), F.lit(40.7128), F.lit(-74.0060)).alias("meters_to_reference"),
+    )
+
+
+@query(
+    "months_since_first",
+    O.with_ctes("lcounts") + "select lc.business_id, lc.month, cast((year(lc.month)-year(f.first_license_date))*12"
+    " + month(lc.month)-month(f.first_license_date) as integer) months_since_first_license"
+    " from lcounts lc join facts f on lc.business_id = f.business_id",
+)
+def q_months_since(spark, sf):
+    out, _ = panel.license_panel(_licenses(spark, sf))
+    return out.select("business_id", "month", F.col("months_since_first_license").cast("int"))
+
+
+@query(
+    "last_month_event",
+    O.with_ctes("pc") + "select business_id, month, cast(month = max(month) over (partition by business_id)"
+    " and month < date '2001-01-01' as integer) event from pc",
+)
+def q_last_month_event(spark, sf):
+    return survival.time_varying_panel(_panel_core(spark, sf), FIXTURE_STUDY_END).select("business_id", "month", "event")
+
+
+@query(
+    "dataset_sizes",
+    O.with_ctes("train") + f"select 'training_dataset' dataset, count(*) n_rows, {len(O.TRAIN_FEATURES) + 5} n_columns from train"
+    f" union all select 'business_level_dataset', count(*), {len(O.BL_FEATURES) + 3} from (" + O.BL_SQL + ") bl",
+)
+def q_dataset_sizes(spark, sf):
+    t = _training(spark, sf)
+    bl = survival.business_level_dataset(_panel_core(spark, sf), FIXTURE_STUDY_END)
+    return t.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit("training_dataset").alias("dataset"), "n_rows", F.lit(len(t.columns)).alias("n_columns")
+    ).unionByName(
+        bl.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit("business_level_dataset").alias("dataset"), "n_rows", F.lit(len(bl.columns)).alias("n_columns")
+        )
+    )
+
+
+@query(
+    "to_timestamp_cols",
+    O.with_ctes("ev_src_aligned") + "select event_id, try_cast(cast(ts as varchar) as timestamp) ts from ev_src_aligned",
+)
+def q_to_timestamp(spark, sf):
+    src = U.align_to_schema(_ev_source(spark, sf), EV_COLUMNS, ())  # everything as text, as landed
+    return U.to_timestamp_cols(src, ["ts"]).select("event_id", "ts")
+
+
+@query("coef_summary_logistic")
+def q_coef_summary(spark, sf):
+    return _logistic_run(spark, sf).model.coefficient_frame(spark)
+
+
+@query("cox_summary")
+def q_cox_summary(spark, sf):
+    """Both Cox summaries, ranked by |coef| within each model."""
+    runs = _cox_runs(spark, sf)
+    return cox.summary_frame(spark, runs["standard"].model).withColumn("model", F.lit("standard")).unionByName(
+        cox.summary_frame(spark, runs["time_varying"].model).withColumn("model", F.lit("time_varying"))
+    )
+
+
+# ------------------------------------------------- 2.1/2.2 files + jobs ----
+@query("scan_licenses_requests", O.with_ctes("lic") + "select business_id, license_number, business_category, license_status,"
+       " issue_date, expire_date, latitude, longitude, issue_month, expire_month from lic")
+def q_scan_csv(spark, sf):
+    """Licences written in the raw export layout (header names, M/d/yyyy
+    dates, text coordinates), read back as strings and cleaned."""
+    from tenure.config import LICENSE_HEADER_MAP
+    from tenure.sources import readers
+
+    root = _scratch(spark, "csv")
+    readers.write_source_csv(fixtures.licenses(spark, sf), f"{root}/licenses", LICENSE_HEADER_MAP,
+                             {"issue_date": "M/d/yyyy", "expire_date": "MM/dd/yyyy"})
+    raw = readers.read_source_csv(spark, f"{root}/licenses", LICENSE_HEADER_MAP, ["License Number", "Business Unique ID"])
+    return cleaning.clean_licenses(raw).select(
+        "business_id", "license_number", "business_category", "license_status", "issue_date", "expire_date",
+        "latitude", "longitude", "issue_month", "expire_month",
+    )
+
+
+@query("write_panel")
+def q_write_panel(spark, sf):
+    """Panel written (partitioned by year, business-ordered) and scanned back."""
+    from tenure.plans.panel import write_panel
+    from tenure.sources.readers import scan_panel
+
+    root = _scratch(spark, "panel")
+    write_panel(_full_panel(spark, sf), f"{root}/panel")
+    return scan_panel(spark, f"{root}/panel")
+
+
+@query("job_all")
+def q_job_all(spark, sf):
+    """Whole pipeline run; one row with the JSON run summary."""
+    import json
+
+    from tenure.config import ModelSettings
+    from tenure.plans.run_pipeline import PipelineConfig, run_pipeline
+
+    root = _scratch(spark, "run")
+    cfg = PipelineConfig(output_dir=root, model=ModelSettings(study_end=FIXTURE_STUDY_END))
+    summary = run_pipeline(fixtures.licenses(spark, sf), fixtures.requests(spark, sf), fixtures.license_metadata(spark, sf), cfg)
+    return spark.read.text(f"{root}/summary").select(F.col("value").alias("summary_json"))
