@@ -110,9 +110,9 @@ def prettify_feature_name(name: Column) -> Column:
 
 def feature_group(name: Column) -> Column:
     return (
-        F.when(name.startswith("business_category_"), F.lit("Business category"))
-        .when(name.startswith("complaint_type_"), F.lit("311 complaint"))
-        .otherwise(F.lit("Other"))
+        F.when(name.startswith("business_category_"), F.lit("category"))
+        .when(name.startswith("complaint_type_"), F.lit("complaint"))
+        .otherwise(F.lit("other"))
     )
 
 

@@ -890,8 +890,8 @@ def q_sanitize(spark, sf):
 @query(
     "prettify_feature_name",
     O.with_ctes("fnames") + "select feature, " + O.prettify_sql("feature") + " label,"
-    " case when starts_with(feature, 'business_category_') then 'Business category'"
-    " when starts_with(feature, 'complaint_type_') then '311 complaint' else 'Other' end feature_group from fnames",
+    " case when starts_with(feature, 'business_category_') then 'category'"
+    " when starts_with(feature, 'complaint_type_') then 'complaint' else 'other' end feature_group from fnames",
 )
 def q_prettify(spark, sf):
     n = _feature_names(spark, sf)
