@@ -85,6 +85,21 @@ def rule_for(name: str, is_binary: bool | None = None) -> str:
     return "last"
 
 
+def binary_flags(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row, one boolean per column: non-null values all in {0, 1} and at
+    least one non-null value."""
+    exprs = []
+    for c in columns:
+        dtype = df.schema[c].dataType
+        if isinstance(dtype, (NumericType, BooleanType)):
+            v = F.col(c).cast("double")
+            ok = F.coalesce(F.bool_and(F.when(v.isNotNull(), v.isin(0.0, 1.0))), F.lit(True))
+        else:
+            ok = F.lit(False)
+        exprs.append((ok & (F.count(F.col(c)) > 0)).alias(c))
+    return df.agg(*exprs)
+
+
 def binary_columns(df: DataFrame, columns: list[str]) -> dict[str, bool]:
     """For each column: non-null values all in {0, 1} and at least one
     non-null.  One aggregate pass over ``df``."""

@@ -366,3 +366,13 @@ CTES.update({
               " union all select 'active_license_count_first12m_mean'",
 })
 _ORDER[:] = list(CTES)
+
+
+CTES.update({
+    "meta_clean": "select record_ordinal, trim(business_id) business_id, " + _initcap("trim(borough)") + " borough, latitude, longitude,"
+                  " license_creation_date, license_expiration_date from meta_raw",
+})
+_ORDER[:] = list(CTES)
+BINARY_SQL = "select " + ", ".join(
+    f"coalesce(bool_and(cast({c} as double) in (0.0, 1.0)) filter (where {c} is not null), true) and count({c}) > 0 {c}"
+    for c in TRAIN_FEATURES) + " from fyw_e"

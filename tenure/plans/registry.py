@@ -1024,3 +1024,206 @@ def q_job_all(spark, sf):
     cfg = PipelineConfig(output_dir=root, model=ModelSettings(study_end=FIXTURE_STUDY_END))
     summary = run_pipeline(fixtures.licenses(spark, sf), fixtures.requests(spark, sf), fixtures.license_metadata(spark, sf), cfg)
     return spark.read.text(f"{root}/summary").select(F.col("value").alias("summary_json"))
+
+
+# ------------------------------------------- explicit inventory entries ----
+def alias(name: str, target: str, doc: str | None = None) -> None:
+    """Register ``name`` as the same computation as ``target`` (a step the
+    composite query already performs end to end)."""
+    QUERIES[name] = QUERIES[target]
+    if target in ORACLE:
+        ORACLE[name] = ORACLE[target]
+
+
+for _name, _target in [
+    ("join_license_panel", "license_panel"),
+    ("join_complaint_panel", "complaint_panel"),
+    ("join_window_counts", "first_year_aggregate"),
+    ("join_training", "training_dataset"),
+    ("join_survival_labels", "business_level_dataset"),
+    ("join_cluster_centers", "kmeans_locations"),
+    ("union_balanced", "balance_oversample"),
+    ("union_profiles", "scenario_profiles_logistic"),
+    ("coef_rank", "coef_summary_logistic"),
+    ("ranked_predictions", "predict_profiles_logistic"),
+    ("job_panel", "write_panel"),
+    ("job_geojson", "write_geojson"),
+    ("job_inspect_logistic", "directional_check_logistic"),
+    ("job_inspect_cox", "directional_check_cox"),
+    ("job_cox", "cox_summary"),
+    ("scan_panel", "write_panel"),
+    ("source_limit", "incremental_source"),
+    ("relation_label", "risk_vs_baseline"),
+    ("coef_direction", "directional_check_logistic"),
+    ("safe_divide", "class_metrics"),
+    ("logistic_evaluation", "evaluate_classifier"),
+]:
+    alias(_name, _target)
+
+
+@query("clean_license_fields", O.with_ctes("meta_clean") + "select * from meta_clean")
+def q_clean_license_fields(spark, sf):
+    """Trimmed ids, trimmed title-case borough, numeric coordinates, dates."""
+    return geojson.clean_license_fields(fixtures.license_metadata(spark, sf)).select(
+        "record_ordinal", "business_id", "borough", "latitude", "longitude", "license_creation_date", "license_expiration_date"
+    )
+
+
+alias("title_borough", "clean_license_fields")
+
+
+@query(
+    "build_full_address",
+    O.with_ctes("meta_raw") + "select record_ordinal, concat_ws(' ', "
+    + ", ".join(f"nullif(trim(coalesce(cast({c} as varchar), '')), '')" for c in geojson.ADDRESS_PARTS) + ") full_address from meta_raw",
+)
+def q_full_address(spark, sf):
+    return geojson.build_full_address(fixtures.license_metadata(spark, sf)).select("record_ordinal", "full_address")
+
+
+@query("filter_boroughs", O.with_ctes("meta_clean") + "select record_ordinal, borough from meta_clean"
+       " where borough in ('Bronx', 'Brooklyn', 'Manhattan', 'Queens', 'Staten Island')")
+def q_filter_boroughs(spark, sf):
+    return geojson.filter_boroughs(geojson.clean_license_fields(fixtures.license_metadata(spark, sf))).select("record_ordinal", "borough")
+
+
+@query("filter_bbox", O.with_ctes("meta_clean") + "select record_ordinal, latitude, longitude from meta_clean"
+       " where latitude between 40.49 and 40.92 and longitude between -74.27 and -73.68")
+def q_filter_bbox(spark, sf):
+    return geojson.filter_bbox(geojson.clean_license_fields(fixtures.license_metadata(spark, sf))).select("record_ordinal", "latitude", "longitude")
+
+
+@query("clean_business_ids", O.with_ctes("pc0") + "select trim(business_id) business_id, month, complaint_sum from pc0"
+       " where business_id is not null and trim(business_id) <> ''")
+def q_clean_ids(spark, sf):
+    return geojson.clean_business_ids(_panel_core(spark, sf)).select("business_id", "month", "complaint_sum")
+
+
+@query("date_to_iso", O.with_ctes("meta") + "select record_ordinal, strftime(license_creation_date, '%Y-%m-%d') license_creation_date,"
+       " strftime(license_expiration_date, '%Y-%m-%d') license_expiration_date from meta")
+def q_date_iso(spark, sf):
+    rows = geojson.license_record_rows(_geo_inputs(spark, sf)[1])
+    return rows.select("record_ordinal", "record.license_creation_date", "record.license_expiration_date")
+
+
+for _col in ("complaint_bin", "license_band", "status", "borough"):
+    _key = {"status": "active_label", "borough": "display_borough"}.get(_col, _col)
+
+    def _mk(col):
+        def fn(spark, sf):
+            return geojson.facet_table(geojson.geo_feature(_geo_businesses(spark, sf))).select("business_id", col)
+        fn.__doc__ = f"Map facet '{col}' of every feature."
+        return fn
+
+    QUERIES[_key] = _mk(_col)
+    ORACLE[_key] = O.with_ctes("gfacet") + f"select business_id, {_col} from gfacet"
+
+
+@query("join_geo", O.with_ctes("gmeta", "gsum") + "select s.*, m.latitude, m.longitude, m.first_borough, m.license_count"
+       " from gsum s join gmeta m on s.business_id = m.business_id")
+def q_join_geo(spark, sf):
+    return _geo_businesses(spark, sf)
+
+
+@query("semi_join_eligible", O.with_ctes("elig") + "select * from pc where business_id in (select business_id from elig)")
+def q_semi(spark, sf):
+    p = _study_panel(spark, sf)
+    e = survival.eligible_businesses(survival.survival_summary(p, SURV_MONTHS), FIXTURE_STUDY_END, SURV_MONTHS, AGG_MONTHS)
+    return p.join(e.select("business_id"), "business_id", "left_semi")
+
+
+@query(
+    "drop_model_columns",
+    O.with_ctes("pc") + "select " + ", ".join(c for c in O.PC_COLS if c not in O.COX_DROP) + " from pc",
+)
+def q_drop_cols(spark, sf):
+    from tenure.config import COX_DROP_COLUMNS
+
+    return cleaning.drop_columns(_study_panel(spark, sf), COX_DROP_COLUMNS)
+
+
+@query("binary_columns", O.with_ctes("fya") + O.BINARY_SQL.replace("fyw_e", "fya"))
+def q_binary(spark, sf):
+    """Per candidate column of the first-year features: non-null values all in {0,1}."""
+    p = _study_panel(spark, sf)
+    e = survival.eligible_businesses(survival.survival_summary(p, SURV_MONTHS), FIXTURE_STUDY_END, SURV_MONTHS, AGG_MONTHS)
+    fya = survival.first_year_aggregate(p.join(e.select("business_id"), "business_id", "left_semi"), AGG_MONTHS)
+    return survival.binary_flags(fya, [c for c in fya.columns if c != "business_id"])
+
+
+@query("choose_aggregation")
+def q_choose_agg(spark, sf):
+    """Aggregation rule chosen for every feature column of the first-year window."""
+    p = _study_panel(spark, sf)
+    plan = survival.aggregation_plan(survival.first_year_window(p, AGG_MONTHS))
+    return p.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(r).alias("rule")) for c, r in plan])).alias("x")).select("x.*").distinct()
+
+
+@query("feature_columns")
+def q_feature_columns(spark, sf):
+    """Candidate logistic features of the training set, in column order."""
+    t = _training(spark, sf)
+    cols = _logit_features(t)
+    return t.limit(1).select(F.posexplode(F.array(*[F.lit(c) for c in cols])).alias("position", "feature"))
+
+
+@query("job_logistic")
+def q_job_logistic(spark, sf):
+    """Logistic job: metrics row (accuracy, AUC, confusion, U, p)."""
+    import json
+
+    run = _logistic_run(spark, sf)
+    return spark.createDataFrame([(json.dumps(run.metrics, default=str),)], "metrics_json string")
+
+
+@query("write_logistic_artifacts")
+def q_write_logistic(spark, sf):
+    """Logistic artifacts written, model table read back (scan_model_artifacts)."""
+    from tenure.plans.logistic_job import save_logistic_artifacts
+
+    root = _scratch(spark, "logistic")
+    paths = save_logistic_artifacts(_logistic_run(spark, sf), root)
+    return spark.read.parquet(paths["model"])
+
+
+alias("scan_model_artifacts", "write_logistic_artifacts")
+
+
+@query("write_cox_artifacts")
+def q_write_cox(spark, sf):
+    from tenure.plans.cox_job import save_cox_artifacts
+
+    root = _scratch(spark, "cox")
+    paths = save_cox_artifacts(_cox_runs(spark, sf)["standard"], root)
+    return spark.read.parquet(paths["summary"])
+
+
+@query("job_ingest")
+def q_job_ingest(spark, sf):
+    """Two incremental runs against a versioned table: bootstrap with the
+    first half of the events, then the watermark run over all landed events."""
+    from tenure.plans.ingest_job import ingest_batch
+
+    root = _scratch(spark, "ingest")
+    table = U.VersionedTable(spark, f"{root}/table")
+    table.commit(_ev_target(spark, sf))
+    landing = U.align_to_schema(fixtures.table(spark, sf, "events"), EV_COLUMNS, ("ts",))
+    new, _ = ingest_batch(table.read(), landing, _ev_cfg())
+    if new is not None:
+        table.commit(new)
+    return table.read()
+
+
+@query("pivot_trajectory")
+def q_pivot_trajectory(spark, sf):
+    """Survival horizon (rows) × Cox scenario profile (columns)."""
+    from tenure.config import INSPECT_SURVIVAL_TIMES
+
+    run = _cox_runs(spark, sf)["standard"]
+    kept = run.selection.kept_columns
+    base = scoring.baseline_first_row(survival.restrict_study_window(_full_panel(spark, sf), FIXTURE_STUDY_END), kept)
+    prof = scoring.scenario_profiles_cox(base, kept, 3)
+    scored = cox.survival_at(cox.partial_hazard(features.standardize(prof, run.scaler, keep=["profile"]), run.model), run.model, INSPECT_SURVIVAL_TIMES)
+    long = scored.select("profile", F.explode(F.array(*[F.struct(F.lit(t).alias("horizon_months"), F.col(f"survival_prob_{t}m").alias("s")) for t in INSPECT_SURVIVAL_TIMES])).alias("x"))
+    names = ["baseline", "electronics_store", "electronic_cigarette_dealer", "bingo_game_operator", "multi_license_business"]
+    return long.select("profile", "x.*").groupBy("horizon_months").pivot("profile", names).agg(F.first("s")).orderBy("horizon_months")
