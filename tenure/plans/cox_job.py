@@ -55,7 +55,13 @@ def run_cox(panel: DataFrame, settings: ModelSettings = ModelSettings(), validat
     if validate:
         cleaning.validate_panel(panel)
     shared = _checkpoint(survival.restrict_study_window(panel, settings.study_end))
-    return {"time_varying": run_time_varying(shared, settings), "standard": run_standard(shared, settings)}
+    # the two fits are independent job sequences: run them side by side
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        tv = pool.submit(run_time_varying, shared, settings)
+        std = pool.submit(run_standard, shared, settings)
+        return {"time_varying": tv.result(), "standard": std.result()}
 
 
 def save_cox_artifacts(run: CoxRun, out_dir: str) -> dict[str, str]:

@@ -230,8 +230,8 @@ def _z(c: str, src: str) -> str:
 COX_STD_SQL = "select business_id, duration_months, event, " + ", ".join(_z(c, "bl") for c in BL_FEATURES) + " from (" + BL_SQL + ") bl"
 RISK_SET_SQL = (
     "select cast(time as integer) time, n_events, n_at_risk from (select duration_months time,"
-    " count(*) filter (where event = 1) n_events, sum(count(*)) over (order by duration_months desc"
-    " rows between unbounded preceding and current row) n_at_risk from (" + BL_SQL + ") bl group by duration_months) t"
+    " count(*) filter (where event = 1) n_events, cast(sum(count(*)) over (order by duration_months desc"
+    " rows between unbounded preceding and current row) as bigint) n_at_risk from (" + BL_SQL + ") bl group by duration_months) t"
     " where n_events > 0"
 )
 
