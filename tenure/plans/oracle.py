@@ -156,7 +156,7 @@ CTES.update(
         + _MONTHS.format(a="max(month)", b="min(month)") + " >= 36 as integer) survived_36m from pc group by business_id",
         "elig": f"select * from surv where first_month <= cast({STUDY_END_SQL} - interval 36 month as date)"
         " and last_month >= cast(first_month + interval 11 month as date)",
-        "fyw": "select * from (select *, row_number() over (partition by business_id order by month) - 1 row_num_within_business"
+        "fyw": "select * from (select *, cast(row_number() over (partition by business_id order by month) - 1 as integer) row_num_within_business"
         " from pc where business_id in (select business_id from elig)) t where row_num_within_business < 12",
         "fya": "select business_id, "
         + ", ".join(f"{_agg_sql(c, _rule(c))} {c}_first12m_{_rule(c)}" for c in FEATURES)
