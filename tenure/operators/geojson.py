@@ -33,6 +33,24 @@ RECORD_FIELDS = (
 )
 
 
+def validate_panel_map(panel: DataFrame) -> str:
+    """Needs business_id, month and a complaint signal; returns the column
+    the complaint signal comes from (or 'none')."""
+    missing = [c for c in ("business_id", "month") if c not in panel.columns]
+    if missing:
+        raise ValueError(f"Joined dataset is missing required columns: {missing}")
+    for c in (*COMPLAINT_COUNT_CANDIDATES, *COMPLAINT_TYPE_CANDIDATES):
+        if c in panel.columns:
+            return c
+    raise ValueError("Joined dataset has no complaint count or complaint type column.")
+
+
+def validate_license_metadata(meta: DataFrame) -> None:
+    missing = [c for c in ("business_id", "latitude", "longitude", "borough") if c not in meta.columns]
+    if missing:
+        raise ValueError(f"Licence dataset is missing required columns: {missing}")
+
+
 def clean_business_ids(panel: DataFrame) -> DataFrame:
     """Trim ids; drop null and empty ids."""
     return panel.withColumn("business_id", F.trim(F.col("business_id").cast("string"))).where(

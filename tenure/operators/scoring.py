@@ -247,3 +247,37 @@ def directional_check(related: DataFrame, coefs: DataFrame, coef_col: str, up: s
 def check_features_available(kept: DataFrame, required: DataFrame) -> DataFrame:
     """Required features that are not kept (left-anti join); empty = OK."""
     return required.join(kept, "feature", "left_anti")
+
+
+def flatten_timelines(timepoints: DataFrame) -> DataFrame:
+    """One display row per timepoint: business, month, licence count,
+    coordinates, prettified categories joined by ', ' and complaint counts as
+    'Label (n)' sorted by column name; 'None' when empty.  Sorted by
+    business, month.  ``timepoints`` has the profile-request shape plus
+    ``business`` and ``month``."""
+    from tenure.functions.exprs import prettify_feature_name
+
+    cats = F.array_join(F.transform(F.col("categories"), lambda c: prettify_feature_name(c)), ", ")
+    entries = F.array_sort(F.map_entries(F.col("complaints")))
+    cmps = F.array_join(
+        F.transform(entries, lambda e: F.concat(prettify_feature_name(e["key"]), F.lit(" ("), e["value"].cast("int").cast("string"), F.lit(")"))),
+        ", ",
+    )
+    return timepoints.select(
+        F.col("business").alias("business"),
+        F.col("month").cast("int").alias("month"),
+        F.col("active_license_count").cast("int").alias("active_license_count"),
+        F.col("business_latitude").cast("double").alias("latitude"),
+        F.col("business_longitude").cast("double").alias("longitude"),
+        F.when(F.size("categories") > 0, cats).otherwise(F.lit("None")).alias("categories"),
+        F.when(F.size("complaints") > 0, cmps).otherwise(F.lit("None")).alias("complaint_counts"),
+    ).orderBy("business", "month")
+
+
+def pivot_risk_over_time(scored: DataFrame, id_col: str, ids: list[str], month_col: str = "month", value_col: str = "partial_hazard", max_columns: int = 1000) -> DataFrame:
+    """Month (rows) × chosen profile (columns) risk table for a chart.  The
+    column list is explicit and bounded; a table with one column per
+    business of the whole data is refused."""
+    if len(ids) > max_columns:
+        raise ValueError(f"{len(ids)} columns requested; a chart pivot takes at most {max_columns}")
+    return scored.where(F.col(id_col).isin(ids)).groupBy(month_col).pivot(id_col, ids).agg(F.first(value_col)).orderBy(month_col)

@@ -376,3 +376,15 @@ _ORDER[:] = list(CTES)
 BINARY_SQL = "select " + ", ".join(
     f"coalesce(bool_and(cast({c} as double) in (0.0, 1.0)) filter (where {c} is not null), true) and count({c}) > 0 {c}"
     for c in TRAIN_FEATURES) + " from fyw_e"
+
+
+# ----------------------------------------------------------- timelines ----
+def _flat_sql():
+    cats = ", ".join(f"case when {c} > 0 then {prettify_sql(repr(c))} end" for c in CAT_COLS)
+    cmps = ", ".join(f"case when {c} > 0 then {prettify_sql(repr(c))} || ' (' || cast(cast({c} as integer) as varchar) || ')' end" for c in CMP_COLS)
+    return (f"select business_id business, months_since_first_license AS month, cast(active_license_count as integer) active_license_count,"
+            f" business_latitude latitude, business_longitude longitude, coalesce(nullif(concat_ws(', ', {cats}), ''), 'None') categories,"
+            f" coalesce(nullif(concat_ws(', ', {cmps}), ''), 'None') complaint_counts from pc")
+
+
+FLATTEN_SQL = _flat_sql()

@@ -1227,3 +1227,138 @@ def q_pivot_trajectory(spark, sf):
     long = scored.select("profile", F.explode(F.array(*[F.struct(F.lit(t).alias("horizon_months"), F.col(f"survival_prob_{t}m").alias("s")) for t in INSPECT_SURVIVAL_TIMES])).alias("x"))
     names = ["baseline", "electronics_store", "electronic_cigarette_dealer", "bingo_game_operator", "multi_license_business"]
     return long.select("profile", "x.*").groupBy("horizon_months").pivot("profile", names).agg(F.first("s")).orderBy("horizon_months")
+
+
+# ------------------------------------------- remaining inventory entries ----
+for _name, _target in [
+    ("feature_dictionary", "feature_dictionary_categories"),
+    ("panel_finalize", "merge_panel"),
+    ("feature_group", "prettify_feature_name"),
+    ("directional_check", "directional_check_logistic"),
+    ("job_cox_time_varying", "cox_fit_time_varying"),
+    ("job_cox_standard", "cox_fit_standard"),
+]:
+    alias(_name, _target)
+
+
+@query(
+    "select_category_cols",
+    O.with_ctes("fnames") + "select feature from fnames where starts_with(feature, 'business_category_') and ends_with(feature, '_first12m_max')",
+)
+def q_select_cats(spark, sf):
+    n = _feature_names(spark, sf)
+    return n.where(F.col("feature").startswith("business_category_") & F.col("feature").endswith("_first12m_max"))
+
+
+@query(
+    "select_complaint_cols",
+    O.with_ctes("fnames") + "select feature from fnames where starts_with(feature, 'complaint_type_') and ends_with(feature, '_first12m_sum')",
+)
+def q_select_cmps(spark, sf):
+    n = _feature_names(spark, sf)
+    return n.where(F.col("feature").startswith("complaint_type_") & F.col("feature").endswith("_first12m_sum"))
+
+
+@query("complaint_signal", O.with_ctes("pc0") + "select business_id, month, cast(complaint_sum as double) complaint_value from pc0")
+def q_complaint_signal(spark, sf):
+    p = _panel_core(spark, sf)
+    return p.select("business_id", "month", geojson.complaint_signal(p).alias("complaint_value"))
+
+
+@query("panel_sort")
+def q_panel_sort(spark, sf):
+    """Panel rows of a business together and month-ordered (no global sort)."""
+    return panel.sort_panel(_full_panel(spark, sf))
+
+
+@query("validate_panel_map")
+def q_validate_panel_map(spark, sf):
+    """Map-side panel check; one row per business with the signal column used."""
+    p = _panel_core(spark, sf)
+    col = geojson.validate_panel_map(p)
+    return geojson.clean_business_ids(p).select("business_id").distinct().withColumn("signal_column", F.lit(col))
+
+
+@query("validate_license_metadata")
+def q_validate_meta(spark, sf):
+    meta = fixtures.license_metadata(spark, sf)
+    geojson.validate_license_metadata(meta)
+    return meta.select("business_id", "latitude", "longitude", "borough")
+
+
+@query("scan_panel_map", O.with_ctes("pc0") + "select business_id, month, cast(complaint_sum as double) complaint_sum from pc0")
+def q_scan_panel_map(spark, sf):
+    """Panel written as CSV, read back as text: month parsed, id as string."""
+    from tenure.sources.readers import scan_panel
+
+    root = _scratch(spark, "panel-csv")
+    _panel_core(spark, sf).select("business_id", "month", "complaint_sum").write.option("header", True).csv(f"{root}/p")
+    back = scan_panel(spark, f"{root}/p", fmt="csv")
+    return back.select("business_id", "month", geojson.complaint_signal(back).alias("complaint_sum"))
+
+
+@query(
+    "scan_license_metadata",
+    O.with_ctes("meta_raw") + "select business_id, borough, latitude, longitude, license_status from meta_raw",
+)
+def q_scan_meta(spark, sf):
+    """Licence metadata written in the raw export layout and read back."""
+    from tenure.config import LICENSE_METADATA_HEADER_MAP
+    from tenure.functions.exprs import to_double
+    from tenure.sources import readers
+
+    root = _scratch(spark, "meta-csv")
+    meta = fixtures.license_metadata(spark, sf)
+    inv = {v: k for k, v in LICENSE_METADATA_HEADER_MAP.items()}
+    meta.select(*[F.col(c).cast("string").alias(inv[c]) for c in ("business_id", "borough", "latitude", "longitude", "license_status")]) \
+        .write.option("header", True).option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(f"{root}/m")
+    raw = readers.read_source_csv(spark, f"{root}/m", LICENSE_METADATA_HEADER_MAP, ["Business Unique ID", "Latitude", "Longitude", "Borough"])
+    return raw.select(
+        "business_id", "borough", to_double(F.col("latitude"), raw.schema["latitude"].dataType).alias("latitude"),
+        to_double(F.col("longitude"), raw.schema["longitude"].dataType).alias("longitude"), "license_status",
+    )
+
+
+@query("write_table_artifact")
+def q_write_table(spark, sf):
+    """Training dataset written as a table artifact and read back."""
+    root = _scratch(spark, "table")
+    _training(spark, sf).write.mode("overwrite").parquet(f"{root}/training")
+    return spark.read.parquet(f"{root}/training")
+
+
+@query("write_json_artifact")
+def q_write_json(spark, sf):
+    """Evaluation metrics written as a one-row JSON artifact and read back."""
+    root = _scratch(spark, "json")
+    evaluation.evaluate_classifier(_eval_scored(spark, sf), "survived_36m", "probability", "predicted_label").write.mode("overwrite").json(f"{root}/metrics")
+    return spark.read.json(f"{root}/metrics")
+
+
+@query("baseline_profiles")
+def q_baseline_profiles(spark, sf):
+    """Baseline new-business profile (median location, one licence) built
+    for the logistic model and scored."""
+    run = _logistic_run(spark, sf)
+    cents = scoring.centroid_list(
+        scoring.distinct_centroids(_full_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
+    )
+    req = scoring.baseline_requests(run.training, "business_latitude_first12m_first", "business_longitude_first12m_first")
+    prof = scoring.build_profiles(req, run.selection.kept_columns, cents)
+    return logistic.predict_logistic(prof, run.model)
+
+
+@query("flatten_timelines", O.with_ctes("pc") + O.FLATTEN_SQL)
+def q_flatten(spark, sf):
+    """Every business-month of the study panel as a timeline point: licence
+    count, coordinates, categories and complaint counts as display text."""
+    p = _study_panel(spark, sf)
+    cats = [c for c in p.columns if c.startswith("business_category_") and c != "business_category_sum"]
+    cmps = [c for c in p.columns if c.startswith("complaint_type_")]
+    tp = p.select(
+        F.col("business_id").alias("business"), F.col("months_since_first_license").alias("month"), "active_license_count",
+        "business_latitude", "business_longitude",
+        F.filter(F.array(*[F.when(F.col(c) > 0, F.lit(c)) for c in cats]), lambda x: x.isNotNull()).alias("categories"),
+        F.map_filter(F.create_map(*[x for c in cmps for x in (F.lit(c), F.col(c).cast("double"))]), lambda k, v: v > 0).alias("complaints"),
+    )
+    return scoring.flatten_timelines(tp)

@@ -72,3 +72,25 @@ def test_panel_violations(spark):
 
     with pytest.raises(ValueError, match="null month"):
         cleaning.validate_panel(df)
+
+
+def test_flatten_timelines_and_risk_pivot(spark):
+    import pytest
+
+    from tenure.operators import scoring
+
+    tp = spark.createDataFrame(
+        [("A", 1, 2, 40.7, -73.9, ["business_category_home_improvement_contractor"], {"complaint_type_noise_residential": 3.0, "complaint_type_heat_hot_water": 1.0}),
+         ("A", 0, 1, 40.7, -73.9, [], {})],
+        "business string, month int, active_license_count int, business_latitude double, business_longitude double,"
+        " categories array<string>, complaints map<string,double>",
+    )
+    rows = scoring.flatten_timelines(tp).collect()
+    assert (rows[0].month, rows[0].categories, rows[0].complaint_counts) == (0, "None", "None")
+    assert rows[1].categories == "Home Improvement Contractor"
+    assert rows[1].complaint_counts == "Heat Hot Water (1), Noise Residential (3)"
+    scored = spark.createDataFrame([("A", 1, 0.5), ("B", 1, 2.0), ("A", 2, 0.7), ("C", 2, 9.0)], "business string, month int, partial_hazard double")
+    piv = scoring.pivot_risk_over_time(scored, "business", ["A", "B"]).collect()
+    assert [(r.month, r.A, r.B) for r in piv] == [(1, 0.5, 2.0), (2, 0.7, None)]
+    with pytest.raises(ValueError):
+        scoring.pivot_risk_over_time(scored, "business", [str(i) for i in range(2000)])
