@@ -9,7 +9,13 @@
 * ``upsert``: target rows whose key is not in the source, plus the source
   (anti-join + union: MERGE update-all / insert-all).
 * ``VersionedTable``: each commit writes a new version directory, then
-  replaces a small pointer file, so readers always see a complete version.
+  replaces a small pointer file, so readers always see a complete version
+  (small tables).
+* ``PartitionedTable``: the large-table layout.  Rows are partitioned by the
+  month of an immutable timestamp (a request's created date), so a key's
+  row always lives in the same partition; an upsert reads and rewrites only
+  the partitions the batch touches (dynamic partition overwrite), i.e. the
+  cost follows the batch, not the table.
 """
 
 from __future__ import annotations
@@ -57,11 +63,13 @@ def to_timestamp_cols(df: DataFrame, cols, pattern: str | None = None) -> DataFr
     return df
 
 
-def dedupe_latest(df: DataFrame, key_col: str, ts_col: str) -> DataFrame:
-    """Latest row per key (ties: larger struct wins, deterministic)."""
-    others = [c for c in df.columns if c != key_col]
-    latest = df.groupBy(key_col).agg(F.max_by(F.struct(*others), F.struct(F.col(ts_col), F.struct(*others))).alias("_r"))
-    return latest.select(key_col, "_r.*").select(*df.columns)
+def dedupe_latest(df: DataFrame, key_col, ts_col: str) -> DataFrame:
+    """Latest row per key (a column or a list; ties: larger struct wins,
+    deterministic)."""
+    keys = [key_col] if isinstance(key_col, str) else list(key_col)
+    others = [c for c in df.columns if c not in keys]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(F.col(ts_col), F.struct(*others))).alias("_r"))
+    return latest.select(*keys, "_r.*").select(*df.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, key_col) -> DataFrame:
@@ -136,3 +144,55 @@ def string_schema(columns: list[str]) -> StructType:
 def first_of_month(today: dt.date | None = None) -> dt.datetime:
     today = today or dt.date.today()
     return dt.datetime(today.year, today.month, 1)
+
+
+class PartitionedTable:
+    """Parquet table partitioned by ``part_col`` (derived from ``ts_col``);
+    upserts rewrite only the partitions present in the batch."""
+
+    def __init__(self, spark: SparkSession, root: str, key_col, ts_col: str, part_col: str = "part_month", part_source: str | None = None):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.key_col, self.ts_col, self.part_col = key_col, ts_col, part_col
+        self.part_source = part_source or ts_col  # immutable column the partition derives from
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(conf)
+        self._path = jvm.org.apache.hadoop.fs.Path
+
+    def exists(self) -> bool:
+        """True once at least one partition directory has been committed."""
+        root = self._path(self.root)
+        if not self._fs.exists(root):
+            return False
+        prefix = self.part_col + "="
+        return any(st.isDirectory() and st.getPath().getName().startswith(prefix) for st in self._fs.listStatus(root))
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.root).drop(self.part_col)
+
+    def _with_part(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.part_col, F.date_format(F.col(self.part_source), "yyyy-MM"))
+
+    def upsert(self, source: DataFrame) -> int:
+        """Latest-timestamp-wins merge of ``source``; returns the number of
+        partitions rewritten."""
+        from tenure.operators.sampling import _checkpoint
+
+        src = self._with_part(source)
+        parts = [r[0] for r in src.select(self.part_col).distinct().collect()]  # months in the batch
+        if not parts:
+            return 0
+        if self.exists():
+            target = self.spark.read.parquet(self.root).where(F.col(self.part_col).isin(parts))
+            merged = dedupe_latest(target.unionByName(src.select(*target.columns)), self.key_col, self.ts_col)
+        else:
+            merged = dedupe_latest(src, self.key_col, self.ts_col)
+        # lineage cut: the write below must not read the paths it replaces
+        merged = _checkpoint(merged.repartition(self.part_col))
+        (
+            merged.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.part_col)
+            .parquet(self.root)
+        )
+        return len(parts)

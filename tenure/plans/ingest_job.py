@@ -45,10 +45,19 @@ def ingest_batch(target: DataFrame | None, landing: DataFrame, cfg: IngestConfig
 
 
 def ingest(spark: SparkSession, table_root: str, landing: DataFrame, cfg: IngestConfig) -> int:
-    """One incremental run against a versioned table; no-op on empty batch."""
-    table = U.VersionedTable(spark, table_root)
+    """One incremental run against a month-partitioned table; only the
+    months the new rows fall in are rewritten.  No-op on an empty batch."""
+    table = U.PartitionedTable(spark, table_root, cfg.key, cfg.ts_col)
     target = table.read() if table.exists() else None
-    new, n = ingest_batch(target, landing, cfg)
-    if new is not None:
-        table.commit(new)
+    if target is not None:
+        wm = U.high_watermark(target, cfg.ts_col).first()["watermark"]
+        columns = target.columns
+    else:
+        wm = U.first_of_month()
+        columns = landing.columns
+    src = U.incremental_source(landing, cfg.ts_col, cfg.key, wm, cfg.limit)
+    src = U.align_to_schema(src, columns, cfg.timestamp_cols)
+    n = src.count()
+    if n:
+        table.upsert(src)
     return n

@@ -844,7 +844,7 @@ def q_stream_ingest(spark, sf):
     ev.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(f"{root}/landing")
     q = stream_ingest_upsert(spark, f"{root}/landing", ev.schema, f"{root}/table", f"{root}/ckpt", _ev_cfg())
     q.awaitTermination()
-    return U.VersionedTable(spark, f"{root}/table").read()
+    return U.PartitionedTable(spark, f"{root}/table", "event_id", "ts").read()
 
 
 @query("stream_monthly_complaints")
@@ -858,7 +858,7 @@ def q_stream_complaints(spark, sf):
     req.withColumn("m", F.date_format("created_date", "yyyy-MM")).write.partitionBy("m").parquet(f"{root}/landing")
     q = stream_monthly_complaints(spark, f"{root}/landing", req.schema, _locations(spark, sf), f"{root}/table", f"{root}/ckpt")
     q.awaitTermination()
-    return U.VersionedTable(spark, f"{root}/table").read()
+    return U.PartitionedTable(spark, f"{root}/table", ["business_id", "month"], "_epoch", part_source="month").read().drop("_epoch")
 
 
 # ------------------------------------------------- 2.10 scalar functions ----
@@ -1204,13 +1204,13 @@ def q_job_ingest(spark, sf):
     first half of the events, then the watermark run over all landed events."""
     from tenure.plans.ingest_job import ingest_batch
 
+    from tenure.plans.ingest_job import ingest
+
     root = _scratch(spark, "ingest")
-    table = U.VersionedTable(spark, f"{root}/table")
-    table.commit(_ev_target(spark, sf))
+    table = U.PartitionedTable(spark, f"{root}/table", "event_id", "ts")
+    table.upsert(_ev_target(spark, sf))
     landing = U.align_to_schema(fixtures.table(spark, sf, "events"), EV_COLUMNS, ("ts",))
-    new, _ = ingest_batch(table.read(), landing, _ev_cfg())
-    if new is not None:
-        table.commit(new)
+    ingest(spark, f"{root}/table", landing, _ev_cfg())
     return table.read()
 
 

@@ -1,12 +1,14 @@
 """Structured Streaming twins of the incremental jobs.
 
-* ``stream_ingest_upsert``: landing files -> per micro-batch align / cast /
-  latest-per-key -> merge into a versioned table where the latest timestamp
-  wins (files may arrive out of order).  Re-running a batch after a failure
-  gives the same table (idempotent); the checkpoint records consumed files.
+* ``stream_ingest_upsert``: landing files -> per micro-batch align / cast ->
+  latest-timestamp-wins merge into a month-partitioned table, rewriting only
+  the months present in the batch (files may arrive out of order).
+  Re-running a batch after a failure gives the same table (idempotent); the
+  checkpoint records consumed files.
 * ``stream_monthly_complaints``: landing request files -> cleaning -> grid
   radius join against the static business locations (stream-static join) ->
-  counts per (business, month) in update mode -> upsert on the two keys.
+  counts per (business, month) in update mode -> upsert on the two keys into
+  a month-partitioned table (only the batch's months are rewritten).
   Calendar months are not fixed-width windows, so the month is a key column.
 """
 
@@ -35,14 +37,14 @@ def stream_ingest_upsert(
     cfg: IngestConfig,
     files_per_trigger: int = 8,
 ) -> StreamingQuery:
-    table = U.VersionedTable(spark, table_root)
+    table = U.PartitionedTable(spark, table_root, cfg.key, cfg.ts_col)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        target = table.read() if table.exists() else None
-        columns = target.columns if target is not None else df.columns
-        src = U.dedupe_latest(U.align_to_schema(df, columns, cfg.timestamp_cols), cfg.key, cfg.ts_col)
-        # files arrive in any order: latest timestamp wins, not latest batch
-        table.commit(src if target is None else U.upsert_latest(target, src, cfg.key, cfg.ts_col))
+        columns = table.read().columns if table.exists() else df.columns
+        src = U.align_to_schema(df, columns, cfg.timestamp_cols)
+        # files arrive in any order: latest timestamp wins, not latest batch;
+        # only the months present in this micro-batch are rewritten
+        table.upsert(src)
 
     return (
         _file_stream(spark, landing_dir, schema, files_per_trigger)
@@ -63,16 +65,15 @@ def stream_monthly_complaints(
     radius_meters: float = 50.0,
     files_per_trigger: int = 8,
 ) -> StreamingQuery:
-    table = U.VersionedTable(spark, table_root)
+    table = U.PartitionedTable(spark, table_root, ["business_id", "month"], "_epoch", part_source="month")
     requests = cleaning.clean_service_requests(_file_stream(spark, landing_dir, schema, files_per_trigger))
     pairs = spatial.radius_join(locations, requests, radius_meters, hot_cell_rows=None)
     counts = pairs.groupBy("business_id", "month").agg(F.count("unique_key").alias("total_311"))
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        if table.exists():
-            table.commit(U.upsert(table.read(), df, ["business_id", "month"]))
-        else:
-            table.commit(df)
+        # update mode emits the running count of each touched key; the later
+        # micro-batch wins, and only the batch's months are rewritten
+        table.upsert(df.withColumn("_epoch", F.lit(epoch_id).cast("long")))
 
     return (
         counts.writeStream.outputMode("update")

@@ -52,7 +52,7 @@ def test_versioned_table_and_stream_equals_batch(spark, tmp_path):
     cfg = IngestConfig("k", "ts", ("ts",), None)
     q = stream_ingest_upsert(spark, str(tmp_path / "landing"), df.schema, str(tmp_path / "table"), str(tmp_path / "ckpt"), cfg, files_per_trigger=1)
     q.awaitTermination()
-    got = sorted((r.k, r.v) for r in U.VersionedTable(spark, str(tmp_path / "table")).read().collect())
+    got = sorted((r.k, r.v) for r in U.PartitionedTable(spark, str(tmp_path / "table"), "k", "ts").read().collect())
     want = sorted((r.k, r.v) for r in U.dedupe_latest(df, "k", "ts").collect())
     assert got == want
 
@@ -68,3 +68,36 @@ def test_latest_wins_merge_is_replay_safe(spark, tmp_path):
         table.commit(U.upsert_latest(table.read(), batch, "k", "ts"))
     assert table.current_version() == 4
     assert sorted((r.k, r.v) for r in table.read().collect()) == [("1", "new"), ("2", "b"), ("3", "c")]
+
+
+def test_partitioned_upsert_touches_only_batch_months(spark, tmp_path):
+    import os
+
+    t = U.PartitionedTable(spark, str(tmp_path / "p"), "k", "ts")
+    base = spark.createDataFrame(
+        [("1", "a", dt.datetime(2024, 1, 5)), ("2", "b", dt.datetime(2024, 2, 5)), ("3", "c", dt.datetime(2024, 3, 5))],
+        "k string, v string, ts timestamp",
+    )
+    assert t.upsert(base) == 3
+    jan = str(tmp_path / "p" / "part_month=2024-01")
+    before = {f: os.path.getmtime(os.path.join(jan, f)) for f in os.listdir(jan)}
+    batch = spark.createDataFrame([("2", "b2", dt.datetime(2024, 2, 5, 1)), ("4", "d", dt.datetime(2024, 3, 9))], base.schema)
+    assert t.upsert(batch) == 2  # February and March only
+    assert {f: os.path.getmtime(os.path.join(jan, f)) for f in os.listdir(jan)} == before
+    assert sorted((r.k, r.v) for r in t.read().collect()) == [("1", "a"), ("2", "b2"), ("3", "c"), ("4", "d")]
+
+
+def test_stream_monthly_complaints_equals_batch(spark, tmp_path):
+    from tenure.operators import cleaning, spatial
+    from tenure.streaming.ingest import stream_monthly_complaints
+
+    biz = spark.createDataFrame([("b1", 40.7000, -74.0000), ("b2", 40.7100, -74.0100)], "business_id string, business_latitude double, business_longitude double")
+    rows = [(str(i), dt.datetime(2024, 1 + i % 3, 1 + i % 20, 10), "Noise", 40.7000 + (i % 7) * 0.0001, -74.0 + (i % 5) * 0.0001) for i in range(90)]
+    req = spark.createDataFrame(rows, "unique_key string, created_date timestamp, complaint_type string, latitude double, longitude double")
+    req.withColumn("d", F.to_date("created_date")).write.partitionBy("d").parquet(str(tmp_path / "landing"))
+    q = stream_monthly_complaints(spark, str(tmp_path / "landing"), req.schema, biz, str(tmp_path / "t"), str(tmp_path / "c"), files_per_trigger=3)
+    q.awaitTermination()
+    got = sorted((r.business_id, r.month, r.total_311) for r in U.PartitionedTable(spark, str(tmp_path / "t"), ["business_id", "month"], "_epoch", part_source="month").read().collect())
+    pairs = spatial.radius_join(biz, cleaning.clean_service_requests(req), 50.0)
+    want = sorted((r.business_id, r.month, r.n) for r in pairs.groupBy("business_id", "month").agg(F.count("*").alias("n")).collect())
+    assert got == want and got
