@@ -130,6 +130,24 @@ def license_panel(licenses: DataFrame, dictionary: FeatureDictionary | None = No
     return panel, dictionary
 
 
+def complaint_counts_long(pairs: DataFrame) -> DataFrame:
+    """Long form (business_id, month, complaint_type, n): the radius pairs
+    aggregated once, with map-side partial aggregation."""
+    return pairs.groupBy("business_id", "month", "complaint_type").agg(F.count("unique_key").alias("n"))
+
+
+def complaint_panel_from_long(long: DataFrame, dictionary: FeatureDictionary) -> DataFrame:
+    """Wide complaint panel from the long form: total_311 and one column per
+    complaint type (pivot with an explicit value list, pivot last)."""
+    return long.groupBy("business_id", "month").agg(
+        F.sum("n").alias("total_311"),
+        *[
+            F.coalesce(F.sum(F.when(F.col("complaint_type").isin(dictionary.labels_for(c)), F.col("n"))), F.lit(0)).alias(c)
+            for c in dictionary.columns
+        ],
+    )
+
+
 def complaint_panel(pairs: DataFrame, dictionary: FeatureDictionary | None = None) -> tuple[DataFrame, FeatureDictionary]:
     """Per (business, month): ``total_311`` and one count column per complaint
     type.  Empty pairs give a typed empty frame."""
@@ -144,7 +162,6 @@ def complaint_panel(pairs: DataFrame, dictionary: FeatureDictionary | None = Non
 
 def merge_panel(
     license_counts: DataFrame,
-    first_dates: DataFrame,
     complaints: DataFrame,
     located: DataFrame,
     categories: FeatureDictionary,
@@ -155,14 +172,13 @@ def merge_panel(
     dropped, as the final panel does), 0-fill, row sums, fixed column order.
 
     ``license_counts`` has (business_id, month, active_license_count, categories...);
-    ``first_dates`` has (business_id, first_license_date);
-    ``located`` has business_id + LOCATION_FEATURE_COLUMNS.
+    ``located`` has business_id, first_license_date + LOCATION_FEATURE_COLUMNS
+    (one row per business: a single per-business join).
     """
     cat_cols = categories.columns
     cmp_cols = complaint_types.columns
     joined = (
         license_counts.join(complaints, ["business_id", "month"], "left")
-        .join(first_dates, "business_id", "left")
         .join(located.where(F.col("location_cluster").isNotNull()), "business_id", "inner")
         .where(F.col("location_cluster_lat").isNotNull() & F.col("location_cluster_lng").isNotNull())
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tenure.config import CATEGORY_PREFIX, COMPLAINT_PREFIX, PanelSettings
 from tenure.operators import cleaning, clustering, panel, spatial
+from tenure.operators.sampling import _checkpoint
 
 
 @dataclass
@@ -45,7 +46,7 @@ def build_panel_parts(
     categories = panel.feature_dictionary(licenses, "business_category", CATEGORY_PREFIX)
     license_counts = panel.license_month_counts(panel.expand_to_months(licenses), categories)
 
-    facts = panel.business_facts(licenses).persist()
+    facts = _checkpoint(panel.business_facts(licenses))  # per business; reused by KMeans, merge
     locations = facts.where(F.col("business_latitude").isNotNull()).select(
         "business_id", "business_latitude", "business_longitude"
     )
@@ -53,20 +54,18 @@ def build_panel_parts(
         centres = clustering.fit_location_clusters(
             locations, settings.location_k, settings.kmeans_restarts, settings.kmeans_seed
         )
-    clustered = clustering.assign_location_clusters(locations, centres)
+    clustered = clustering.assign_location_clusters(
+        facts.where(F.col("business_latitude").isNotNull()), centres
+    )  # keeps first_license_date: one per-business join in the merge
 
     pairs = spatial.radius_join(locations, requests, settings.radius_meters, settings.hot_cell_rows)
-    complaint_types = panel.feature_dictionary(pairs, "complaint_type", COMPLAINT_PREFIX)
-    complaints, _ = panel.complaint_panel(pairs, complaint_types)
-
-    merged = panel.merge_panel(
-        license_counts,
-        facts.select("business_id", "first_license_date"),
-        complaints,
-        clustered,
-        categories,
-        complaint_types,
-    )
+    # the join runs once: its long-form counts are materialised, and both the
+    # complaint dictionary and the wide pivot are read from them
+    long = _checkpoint(panel.complaint_counts_long(pairs))
+    complaint_types = panel.feature_dictionary(long, "complaint_type", COMPLAINT_PREFIX)
+    complaints = panel.complaint_panel_from_long(long, complaint_types)
+
+    merged = panel.merge_panel(license_counts, complaints, clustered, categories, complaint_types)
     return PanelParts(
         licenses, requests, facts, locations, centres, clustered, pairs, license_counts, complaints,
         categories, complaint_types, merged,

@@ -81,14 +81,18 @@ def _panel_core(spark, sf):
     facts = panel.business_facts(lic)
     locs = facts.where(F.col("business_latitude").isNotNull()).select("business_id", "business_latitude", "business_longitude")
     pairs = spatial.radius_join(locs, _requests(spark, sf), PanelSettings().radius_meters)
-    cmps = panel.feature_dictionary(pairs, "complaint_type", COMPLAINT_PREFIX)
-    complaints, _ = panel.complaint_panel(pairs, cmps)
+    from tenure.operators.sampling import _checkpoint
+
+    long = _checkpoint(panel.complaint_counts_long(pairs))
+    cmps = panel.feature_dictionary(long, "complaint_type", COMPLAINT_PREFIX)
+    complaints = panel.complaint_panel_from_long(long, cmps)
     located = (
-        locs.withColumn("location_cluster", F.lit(0))
+        facts.where(F.col("business_latitude").isNotNull())
+        .withColumn("location_cluster", F.lit(0))
         .withColumn("location_cluster_lat", F.col("business_latitude"))
         .withColumn("location_cluster_lng", F.col("business_longitude"))
     )
-    merged = panel.merge_panel(counts, facts.select("business_id", "first_license_date"), complaints, located, cats, cmps)
+    merged = panel.merge_panel(counts, complaints, located, cats, cmps)
     return merged.drop("location_cluster", "location_cluster_lat", "location_cluster_lng")
 
 
@@ -228,7 +232,9 @@ def q_complaint_type_counts(spark, sf):
 
 @query("complaint_panel", O.with_ctes("ccounts") + "select * from ccounts")
 def q_complaint_panel(spark, sf):
-    return panel.complaint_panel(_pairs(spark, sf))[0]
+    """Long-form counts of the radius pairs, pivoted last."""
+    long = panel.complaint_counts_long(_pairs(spark, sf))
+    return panel.complaint_panel_from_long(long, panel.feature_dictionary(long, "complaint_type", COMPLAINT_PREFIX))
 
 
 # ------------------------------------------------------------ 2.5 joins ----
