@@ -39,9 +39,9 @@ def feature_columns(columns, exclude) -> list[str]:
 
 
 def variances(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row: population variance of each column (nulls as 0, as the
-    logistic path imputes before fitting)."""
-    return df.agg(*[F.var_pop(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(c) for c in columns])
+    """One row: population variance of each column over its non-null values
+    (an all-null column has no variance and is dropped)."""
+    return df.agg(*[F.var_pop(F.col(c).cast("double")).alias(c) for c in columns])
 
 
 def variance_filter(df: DataFrame, columns: list[str], threshold: float) -> FeatureSelection:

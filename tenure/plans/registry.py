@@ -361,10 +361,11 @@ def q_split_features(spark, sf):
 
 @query(
     "variance_filter",
-    O.with_ctes("train") + "select " + ", ".join(f"var_pop(coalesce({c}, 0)) {c}" for c in O.LOGIT_FEATURES) + " from train",
+    O.with_ctes("train") + "select " + ", ".join(f"var_pop(cast({c} as double)) {c}" for c in O.LOGIT_FEATURES) + " from train",
 )
 def q_variance_filter(spark, sf):
-    """Population variance of every candidate feature (kept iff > 1e-8)."""
+    """Population variance of every candidate feature over its non-null
+    values (kept iff > 1e-8)."""
     t = _training(spark, sf)
     return features.variances(t, _logit_features(t))
 
