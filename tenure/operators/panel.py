@@ -87,12 +87,33 @@ def _wide_counts(label_col: str, dictionary: FeatureDictionary) -> list:
     ]
 
 
-def license_month_counts(expanded: DataFrame, dictionary: FeatureDictionary) -> DataFrame:
+# Above this many generated columns an aggregate over the raw licence-months
+# would exceed spark.sql.codegen.maxFields and lose whole-stage codegen.
+WIDE_LIMIT = 50
+
+
+def license_month_counts(expanded: DataFrame, dictionary: FeatureDictionary, wide_limit: int = WIDE_LIMIT) -> DataFrame:
     """Per (business, month): distinct active licence numbers and non-distinct
-    licence rows per category, 0-filled."""
-    return expanded.groupBy("business_id", "month").agg(
-        F.countDistinct("license_number").alias("active_license_count"),
-        *_wide_counts("business_category", dictionary),
+    licence rows per category, 0-filled.
+
+    Few categories: one aggregate over the licence-months.  Many categories:
+    aggregate in long form first (narrow rows, codegen), pivot last over the
+    much smaller long form, and join the distinct counts on the same keys."""
+    if len(dictionary.columns) <= wide_limit:
+        return expanded.groupBy("business_id", "month").agg(
+            F.countDistinct("license_number").alias("active_license_count"),
+            *_wide_counts("business_category", dictionary),
+        )
+    long = expanded.groupBy("business_id", "month", "business_category").agg(F.count("license_number").alias("n"))
+    wide = long.groupBy("business_id", "month").agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("business_category").isin(dictionary.labels_for(c)), F.col("n"))), F.lit(0)).alias(c)
+            for c in dictionary.columns
+        ]
+    )
+    distinct = expanded.groupBy("business_id", "month").agg(F.countDistinct("license_number").alias("active_license_count"))
+    return distinct.join(wide, ["business_id", "month"], "inner").select(
+        "business_id", "month", "active_license_count", *dictionary.columns
     )
 
 

@@ -94,3 +94,22 @@ def test_flatten_timelines_and_risk_pivot(spark):
     assert [(r.month, r.A, r.B) for r in piv] == [(1, 0.5, 2.0), (2, 0.7, None)]
     with pytest.raises(ValueError):
         scoring.pivot_risk_over_time(scored, "business", [str(i) for i in range(2000)])
+
+
+def test_license_counts_wide_and_long_paths_agree(spark):
+    import datetime as dt
+
+    from tenure.operators import panel
+
+    rows = [("L1", "B1", "Cat A", dt.date(2020, 1, 1), dt.date(2020, 3, 1)),
+            ("L1", "B1", "Cat B", dt.date(2020, 2, 1), dt.date(2020, 2, 1)),
+            ("L2", "B1", "Cat A", dt.date(2020, 1, 1), dt.date(2020, 1, 1)),
+            ("L3", "B2", "Cat-A", dt.date(2020, 5, 1), dt.date(2020, 6, 1))]
+    lic = spark.createDataFrame(rows, "license_number string, business_id string, business_category string, issue_month date, expire_month date")
+    d = panel.feature_dictionary(lic, "business_category", "business_category")
+    exp = panel.expand_to_months(lic)
+    wide = sorted(tuple(r) for r in panel.license_month_counts(exp, d, wide_limit=100).collect())
+    long = sorted(tuple(r) for r in panel.license_month_counts(exp, d, wide_limit=0).collect())
+    assert wide == long
+    # Jan: two licence numbers, Cat A twice; Feb: L1 twice (two categories) counts once
+    assert ("B1", dt.date(2020, 2, 1), 1, 1, 0, 1) in wide
