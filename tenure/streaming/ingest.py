@@ -67,10 +67,9 @@ def stream_monthly_complaints(
 ) -> StreamingQuery:
     # State holds one running count per (business, month): the panel's key
     # space, not the request volume.  No watermark, so late requests are
-    # never dropped; a disk-backed state store keeps that state off the heap.
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if not spark.conf.get(key, None) or "HDFSBackedStateStoreProvider" in spark.conf.get(key):
-        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # never dropped.  On a cluster, run with the RocksDB state store
+    # (spark.sql.streaming.stateStore.providerClass) to keep it off the heap;
+    # the provider is the cluster's choice, since it must match the checkpoint.
     table = U.PartitionedTable(spark, table_root, ["business_id", "month"], "_epoch", part_source="month")
     requests = cleaning.clean_service_requests(_file_stream(spark, landing_dir, schema, files_per_trigger))
     pairs = spatial.radius_join(locations, requests, radius_meters, hot_cell_rows=None)
