@@ -61,3 +61,37 @@ def test_nearest_centroid_and_clamp(spark):
     assert (c.lat, c.lng) == (40.92, -74.27)
     empty = spatial.nearest_centroid(pts, "lat", "lng", []).first()
     assert empty.location_cluster is None and empty.location_cluster_lat == 40.705
+
+
+def test_radius_join_property(spark):
+    from hypothesis import given, settings, HealthCheck
+    from hypothesis import strategies as st
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(
+        lat0=st.floats(-88.0, 88.0),
+        lng0=st.sampled_from([-179.9995, -74.0, 0.0, 179.9995]),
+        radius=st.sampled_from([5.0, 50.0, 500.0]),
+        seed=st.integers(0, 10_000),
+    )
+    def check(lat0, lng0, radius, seed):
+        rng = random.Random(seed)
+        span = radius / 111_000.0 * 3
+        def pt():
+            lng = lng0 + (rng.random() - 0.5) * span / max(math.cos(math.radians(lat0)), 0.05)
+            lng = ((lng + 180.0) % 360.0) - 180.0
+            return max(-89.9, min(89.9, lat0 + (rng.random() - 0.5) * span)), lng
+        biz = [(f"b{i}", *pt()) for i in range(25)]
+        req = [(f"r{i}", *pt()) for i in range(40)]
+        bdf = spark.createDataFrame(biz, "business_id string, business_latitude double, business_longitude double")
+        rdf = spark.createDataFrame([(k, None, "t", a, b) for k, a, b in req],
+                                    "unique_key string, month date, complaint_type string, latitude double, longitude double")
+        got = {(r.unique_key, r.business_id) for r in spatial.radius_join(bdf, rdf, radius, hot_cell_rows=None).collect()}
+        for k, a, b in req:
+            for bid, c, d in biz:
+                dist = _hav(a, b, c, d)
+                if abs(dist - radius) < 1e-6:
+                    continue  # last-ulp boundary: either answer is right
+                assert ((k, bid) in got) == (dist <= radius), (k, bid, dist, radius)
+
+    check()
