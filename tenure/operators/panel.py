@@ -61,12 +61,18 @@ def expand_to_months(licenses: DataFrame) -> DataFrame:
     )
 
 
+# Generated names that would collide with the panel's own columns.
+RESERVED_NAMES = (f"{CATEGORY_PREFIX}_sum",)
+
+
 def feature_dictionary_frame(df: DataFrame, label_col: str, prefix: str) -> DataFrame:
     """Distinct labels -> sanitized name -> ``name``, ``name_1``, ``name_2`` in
-    sorted-label order.  Bounded by the number of distinct labels."""
+    sorted-label order.  A name reserved by the panel (the category row sum)
+    starts at ``_1``.  Bounded by the number of distinct labels."""
     labels = df.select(F.col(label_col).alias("raw")).where(F.col("raw").isNotNull()).distinct()
     named = labels.withColumn("base", sanitize_feature_name(F.col("raw"), prefix))
     rank = F.row_number().over(Window.partitionBy("base").orderBy("raw")) - 1
+    rank = rank + F.col("base").isin(*RESERVED_NAMES).cast("int")
     return named.withColumn("k", rank).select(
         "raw",
         F.when(F.col("k") == 0, F.col("base")).otherwise(F.concat_ws("_", F.col("base"), F.col("k").cast("string"))).alias("feature"),

