@@ -90,18 +90,21 @@ def _pass_a(data: DataFrame, features: list[str], beta: np.ndarray, mean: np.nda
             if has_start:
                 keys.append((0, pdf["start"].to_numpy(dtype=float)))
             for kind, tvals in keys:
-                times, inv = np.unique(tvals, return_inverse=True)
+                # group rows by time with one sort, then segment sums
+                order = np.argsort(tvals, kind="stable")
+                ts = tvals[order]
+                starts = np.flatnonzero(np.r_[True, ts[1:] != ts[:-1]])
+                times = ts[starts]
                 m = len(times)
-                s0 = np.bincount(inv, weights=w, minlength=m)
-                s1 = np.zeros((m, d))
-                np.add.at(s1, inv, w[:, None] * x)
+                wx = (w[:, None] * x)[order]
+                s0 = np.add.reduceat(w[order], starts)
+                s1 = np.add.reduceat(wx, starts, axis=0)
                 if kind == 1:
-                    dd = np.bincount(inv, weights=ev, minlength=m).astype(np.int64)
-                    a0 = np.bincount(inv, weights=w * ev, minlength=m)
-                    a1 = np.zeros((m, d))
-                    np.add.at(a1, inv, (w * ev)[:, None] * x)
-                    xd = np.zeros((m, d))
-                    np.add.at(xd, inv, ev[:, None] * x)
+                    evo = ev[order]
+                    dd = np.add.reduceat(evo, starts).astype(np.int64)
+                    a0 = np.add.reduceat(w[order] * evo, starts)
+                    a1 = np.add.reduceat(wx * evo[:, None], starts, axis=0)
+                    xd = np.add.reduceat(x[order] * evo[:, None], starts, axis=0)
                 else:
                     dd = np.zeros(m, dtype=np.int64)
                     a0 = np.zeros(m)
