@@ -50,21 +50,30 @@ def build_panel_parts(
     locations = facts.where(F.col("business_latitude").isNotNull()).select(
         "business_id", "business_latitude", "business_longitude"
     )
-    if centres is None:
-        centres = clustering.fit_location_clusters(
-            locations, settings.location_k, settings.kmeans_restarts, settings.kmeans_seed
-        )
+    pairs = spatial.radius_join(locations, requests, settings.radius_meters, settings.hot_cell_rows)
+
+    def complaint_side():
+        # the join runs once: its long-form counts are materialised, and both
+        # the complaint dictionary and the wide pivot are read from them
+        long = _checkpoint(panel.complaint_counts_long(pairs))
+        types = panel.feature_dictionary(long, "complaint_type", COMPLAINT_PREFIX)
+        return types, panel.complaint_panel_from_long(long, types)
+
+    # KMeans (small iterative jobs) and the radius join (one large job) only
+    # share the business locations: run them side by side
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        side = pool.submit(complaint_side)
+        if centres is None:
+            centres = clustering.fit_location_clusters(
+                locations, settings.location_k, settings.kmeans_restarts, settings.kmeans_seed
+            )
+        complaint_types, complaints = side.result()
     clustered = clustering.assign_location_clusters(
         facts.where(F.col("business_latitude").isNotNull()), centres
     )  # keeps first_license_date: one per-business join in the merge
 
-    pairs = spatial.radius_join(locations, requests, settings.radius_meters, settings.hot_cell_rows)
-    # the join runs once: its long-form counts are materialised, and both the
-    # complaint dictionary and the wide pivot are read from them
-    long = _checkpoint(panel.complaint_counts_long(pairs))
-    complaint_types = panel.feature_dictionary(long, "complaint_type", COMPLAINT_PREFIX)
-    complaints = panel.complaint_panel_from_long(long, complaint_types)
-
     merged = panel.merge_panel(license_counts, complaints, clustered, categories, complaint_types)
     return PanelParts(
         licenses, requests, facts, locations, centres, clustered, pairs, license_counts, complaints,
