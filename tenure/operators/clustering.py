@@ -35,11 +35,18 @@ def fit_location_clusters(
     tol: float = 1e-4,
 ) -> list[tuple[int, float, float]]:
     """Cluster centres [(cluster_id, lat, lng)] for ``locations``
-    (business_latitude, business_longitude).  Empty input -> []."""
+    (business_latitude, business_longitude).  Empty input -> [].
+    ``tol`` is relative to the mean coordinate variance, as in the
+    reference's clustering."""
     coords = locations.select("business_latitude", "business_longitude").where(
         F.col("business_latitude").isNotNull() & F.col("business_longitude").isNotNull()
     )
-    n = coords.count()
+    stats = coords.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.var_pop("business_latitude").alias("va"),
+        F.var_pop("business_longitude").alias("vb"),
+    ).first()
+    n = stats["n"]
     if n == 0:
         return []
     if n < k:
@@ -53,11 +60,17 @@ def fit_location_clusters(
     # Each Lloyd iteration is one small job: few, large partitions keep the
     # per-iteration task overhead down (about one partition per million points).
     points = points.select("features", "w").coalesce(max(1, -(-n_points // 1_000_000))).persist()
+    # The reference's tolerance is relative: the summed squared centre shift
+    # must fall below tol * mean feature variance.  MLlib stops when every
+    # centre moves less than its tol, so per-centre sqrt(tol * var / k)
+    # guarantees the same condition.
+    mean_var = ((stats["va"] or 0.0) + (stats["vb"] or 0.0)) / 2.0
+    mllib_tol = max((tol * mean_var / k) ** 0.5, 1e-12)
     try:
         seeds = [seed + i for i in range(max(1, restarts))]
         # restarts are independent jobs; run them concurrently
         with ThreadPoolExecutor(max_workers=min(32, len(seeds))) as pool:
-            fits = list(pool.map(lambda s: _fit(points, k, s, max_iter, tol), seeds))
+            fits = list(pool.map(lambda s: _fit(points, k, s, max_iter, mllib_tol), seeds))
     finally:
         points.unpersist()
     cost, _, best = min(fits, key=lambda t: (t[0], t[1]))
