@@ -1055,8 +1055,6 @@ for _name, _target in [
     ("ranked_predictions", "predict_profiles_logistic"),
     ("job_panel", "write_panel"),
     ("job_geojson", "write_geojson"),
-    ("job_inspect_logistic", "directional_check_logistic"),
-    ("job_inspect_cox", "directional_check_cox"),
     ("job_cox", "cox_summary"),
     ("scan_panel", "write_panel"),
     ("source_limit", "incremental_source"),
@@ -1369,3 +1367,25 @@ def q_flatten(spark, sf):
         F.map_filter(F.create_map(*[x for c in cmps for x in (F.lit(c), F.col(c).cast("double"))]), lambda k, v: v > 0).alias("complaints"),
     )
     return scoring.flatten_timelines(tp)
+
+
+@query("job_inspect_logistic")
+def q_job_inspect_logistic(spark, sf):
+    """Inspection run of the logistic model: scenario scores ranked, with
+    the directional check of each scenario."""
+    from tenure.plans.inspect_job import inspect_logistic
+
+    ins = inspect_logistic(_logistic_run(spark, sf))
+    return ins.scores.join(ins.checks.withColumnRenamed("actual_vs_baseline", "checked_vs_baseline"), "profile", "left")
+
+
+@query("job_inspect_cox")
+def q_job_inspect_cox(spark, sf):
+    """Inspection run of the time-varying Cox model: scenario hazards,
+    relation to baseline and directional checks."""
+    from tenure.plans.inspect_job import inspect_cox
+
+    ins = inspect_cox(_cox_runs(spark, sf)["time_varying"], _full_panel(spark, sf), FIXTURE_STUDY_END)
+    return ins.scores.select("profile", "partial_hazard", "ratio_to_baseline", "actual_vs_baseline").join(
+        ins.checks.select("profile", "expected_vs_baseline", "matches_expectation"), "profile", "left"
+    )

@@ -114,3 +114,29 @@ def test_cox_matches_dense_efron(spark, tv):
     assert np.allclose(np.sqrt(np.diag(model.variance)), se, atol=1e-9)
     rows = model.summary_rows()
     assert all(abs(r[9] - r[1] / r[3]) < 1e-12 for r in rows)  # z = coef / se
+
+
+def test_inspection_jobs(spark):
+    import datetime as dt
+
+    from tenure.config import ModelSettings
+    from tenure.plans import registry as R
+    from tenure.plans.cox_job import run_cox
+    from tenure.plans.inspect_job import inspect_cox, inspect_logistic
+    from tenure.plans.logistic_job import run_logistic
+
+    sf = "/root/testdata/sf0.001"
+    panel = R._panel_core(spark, sf)
+    for c in ("location_cluster", "location_cluster_lat", "location_cluster_lng"):
+        panel = panel.withColumn(c, F.lit(0).cast("double") if c != "location_cluster" else F.lit(0))
+    settings = ModelSettings(study_end=dt.date(2001, 1, 1))
+    ins = inspect_logistic(run_logistic(panel, settings))
+    assert ins.scores.count() == 8 and ins.checks.count() == 7
+    many = ins.checks.where(F.col("profile") == "many_licenses").first()
+    assert many.expected_vs_baseline in ("above_baseline", "below_baseline", "same_as_baseline")
+    runs = run_cox(panel, settings)
+    ic = inspect_cox(runs["standard"], panel, settings.study_end)
+    row = ic.scores.where(F.col("profile") == "baseline").first()
+    assert row.ratio_to_baseline == pytest.approx(1.0) and 0 < row.survival_prob_12m <= 1
+    with pytest.raises(ValueError, match="not kept"):
+        inspect_cox(runs["standard"], panel, settings.study_end, strict=True)  # scenario categories absent here
