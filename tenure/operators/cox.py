@@ -327,16 +327,21 @@ def partial_hazard(df: DataFrame, model: CoxModel, out_col: str = "partial_hazar
     return df.withColumn(out_col, F.exp(eta))
 
 
-def survival_at(df: DataFrame, model: CoxModel, months, hazard_col: str = "partial_hazard") -> DataFrame:
-    """S(t|x) = exp(-H0(t)·hazard) at each requested month; H0 is the
-    baseline step function (last time <= t), a table of distinct times."""
+def baseline_cumulative_hazard_at(model: CoxModel, t: float) -> float:
+    """H0(t), linearly interpolated between the distinct observed times and
+    constant beyond both ends (the reference's library interpolates the
+    same way when asked for arbitrary times)."""
     base = model.baseline
+    if base is None or base.empty:
+        return 0.0
+    return float(np.interp(t, base["time"].to_numpy(float), base["baseline_cumulative_hazard"].to_numpy(float)))
+
+
+def survival_at(df: DataFrame, model: CoxModel, months, hazard_col: str = "partial_hazard") -> DataFrame:
+    """S(t|x) = exp(-H0(t)·hazard) at each requested month; H0 comes from the
+    baseline table (one row per distinct time, model-sized)."""
     out = df
     for t in months:
-        if base is None or base.empty:
-            h0 = 0.0
-        else:
-            ok = base[base["time"] <= t]
-            h0 = float(ok["baseline_cumulative_hazard"].iloc[-1]) if len(ok) else 0.0
+        h0 = baseline_cumulative_hazard_at(model, t)
         out = out.withColumn(f"survival_prob_{t}m", F.exp(-F.lit(h0) * F.col(hazard_col)))
     return out

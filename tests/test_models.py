@@ -140,3 +140,14 @@ def test_inspection_jobs(spark):
     assert row.ratio_to_baseline == pytest.approx(1.0) and 0 < row.survival_prob_12m <= 1
     with pytest.raises(ValueError, match="not kept"):
         inspect_cox(runs["standard"], panel, settings.study_end, strict=True)  # scenario categories absent here
+
+
+def test_baseline_interpolation():
+    import pandas as pd
+
+    m = cox.CoxModel(["a"], np.zeros(1), np.eye(1), np.zeros(1), 0.0, 0, 10,
+                     baseline=pd.DataFrame({"time": [1.0, 3.0], "baseline_hazard": [0.1, 0.2], "baseline_cumulative_hazard": [0.1, 0.3]}))
+    assert cox.baseline_cumulative_hazard_at(m, 0) == 0.1
+    assert cox.baseline_cumulative_hazard_at(m, 2) == pytest.approx(0.2)
+    assert cox.baseline_cumulative_hazard_at(m, 3) == pytest.approx(0.3)
+    assert cox.baseline_cumulative_hazard_at(m, 120) == pytest.approx(0.3)
