@@ -41,8 +41,11 @@ _MEMO: dict = {}
 
 
 def _memo(key, spark, build):
-    """Per-session memo for expensive shared steps (KMeans, model fits)."""
-    full = (id(spark.sparkContext), key)
+    """Per-application memo for expensive shared steps (KMeans, model fits).
+    Keyed by the Spark application id, so a new context never sees frames
+    bound to a stopped one."""
+    sc = spark.sparkContext
+    full = (sc.applicationId, sc.startTime, key)
     if full not in _MEMO:
         _MEMO[full] = build()
     return _MEMO[full]
