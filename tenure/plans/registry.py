@@ -76,8 +76,15 @@ def _pairs(spark, sf):
 
 
 def _panel_core(spark, sf):
-    """Panel without KMeans: every located business in one cluster slot is
-    not used; the core columns only."""
+    """The panel flow without KMeans (core columns only: cluster ids are
+    arbitrary, so the oracle-checked queries derive from this), built and
+    checkpointed once per application."""
+    from tenure.operators.sampling import _checkpoint
+
+    return _memo(("panel_core", sf), spark, lambda: _checkpoint(_build_panel_core(spark, sf)))
+
+
+def _build_panel_core(spark, sf):
     lic = _licenses(spark, sf)
     cats = panel.feature_dictionary(lic, "business_category", CATEGORY_PREFIX)
     counts = panel.license_month_counts(panel.expand_to_months(lic), cats)
