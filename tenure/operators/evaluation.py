@@ -54,13 +54,15 @@ def rank_statistics(scored: DataFrame, label: str, score: str) -> DataFrame:
         F.sum(t * t * t - t).alias("tie_term"),
     )
     n = F.col("n1") + F.col("n0")
-    sigma = F.sqrt(F.col("n1") * F.col("n0") / F.lit(12.0) * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
+    ties = F.coalesce(F.try_divide(F.col("tie_term"), n * (n - 1)), F.lit(0.0))
+    sigma = F.sqrt(F.col("n1") * F.col("n0") / F.lit(12.0) * ((n + 1) - ties))
+    # one class only: AUC and the test are undefined -> NULL, not an error
     return agg.select(
         F.col("n1").cast("long").alias("n_positive"),
         F.col("n0").cast("long").alias("n_negative"),
         "u_statistic",
-        (F.col("u_statistic") / (F.col("n1") * F.col("n0"))).alias("roc_auc"),
-        ((F.col("u_statistic") - F.col("n1") * F.col("n0") / F.lit(2.0) - F.lit(0.5)) / sigma).alias("mannwhitney_z"),
+        F.try_divide(F.col("u_statistic"), F.col("n1") * F.col("n0")).alias("roc_auc"),
+        F.try_divide(F.col("u_statistic") - F.col("n1") * F.col("n0") / F.lit(2.0) - F.lit(0.5), sigma).alias("mannwhitney_z"),
     )
 
 

@@ -151,3 +151,30 @@ def test_baseline_interpolation():
     assert cox.baseline_cumulative_hazard_at(m, 2) == pytest.approx(0.2)
     assert cox.baseline_cumulative_hazard_at(m, 3) == pytest.approx(0.3)
     assert cox.baseline_cumulative_hazard_at(m, 120) == pytest.approx(0.3)
+
+
+def test_balance_train_only_keeps_test_split_unbalanced(spark):
+    import datetime as dt
+
+    from tenure.config import ModelSettings
+    from tenure.plans import registry as R
+    from tenure.plans.logistic_job import run_logistic
+
+    panel = R._panel_core(spark, "/root/testdata/sf0.001")
+    for c in ("location_cluster", "location_cluster_lat", "location_cluster_lng"):
+        panel = panel.withColumn(c, F.lit(0))
+    run = run_logistic(panel, ModelSettings(study_end=dt.date(2001, 1, 1), balance="train_only"))
+    test_ids = [r.business_id for r in run.test.select("business_id").collect()]
+    assert len(test_ids) == len(set(test_ids))  # no oversampled copies leak into the test split
+    counts = {r.survived_36m: r.n for r in run.train.groupBy("survived_36m").agg(F.count("*").alias("n")).collect()}
+    assert len(counts) == 2 and len(set(counts.values())) == 1
+    auc = run.metrics["roc_auc"]
+    assert auc is None or 0.0 <= auc <= 1.0  # undefined when the test split holds one class
+
+
+def test_rank_statistics_single_class_is_null(spark):
+    df = spark.createDataFrame([(1, 0.3, 0), (1, 0.9, 1)], "y int, p double, pred int")
+    row = evaluation.evaluate_classifier(df, "y", "p", "pred").first()
+    assert row.roc_auc is None and row.mannwhitney_z is None and row.tp == 1
+    one = evaluation.evaluate_classifier(df.limit(1), "y", "p", "pred").first()
+    assert one.roc_auc is None
