@@ -95,3 +95,24 @@ def test_radius_join_property(spark):
                 assert ((k, bid) in got) == (dist <= radius), (k, bid, dist, radius)
 
     check()
+
+
+def test_kmeans_invariants(spark):
+    from tenure.operators import clustering
+
+    rng = random.Random(11)
+    centres_true = [(40.6 + 0.05 * i, -74.0 + 0.04 * (i % 3)) for i in range(6)]
+    pts = [(f"b{i}", a + rng.gauss(0, 0.004), b + rng.gauss(0, 0.004)) for i in range(300) for a, b in [centres_true[i % 6]]]
+    locs = spark.createDataFrame(pts, "business_id string, business_latitude double, business_longitude double")
+    best = clustering.fit_location_clusters(locs, 6, restarts=5, seed=42)
+    one = clustering.fit_location_clusters(locs, 6, restarts=1, seed=42)
+    assigned = clustering.assign_location_clusters(locs, best).collect()
+    for r in assigned:  # nearest-centre assignment
+        d = [(r.business_latitude - a) ** 2 + (r.business_longitude - b) ** 2 for _, a, b in best]
+        assert d[r.location_cluster] == min(d)
+    cost_best = clustering.clustering_cost(clustering.assign_location_clusters(locs, best)).first().cost
+    cost_one = clustering.clustering_cost(clustering.assign_location_clusters(locs, one)).first().cost
+    assert cost_best <= cost_one + 1e-12
+    # fewer businesses than clusters: one cluster at the mean
+    few = clustering.fit_location_clusters(locs.limit(3), 6)
+    assert len(few) == 1 and few[0][0] == 0
