@@ -388,3 +388,11 @@ def _flat_sql():
 
 
 FLATTEN_SQL = _flat_sql()
+
+
+# rule per first-year feature (derived from the column names of the panel)
+CHOOSE_AGG_SQL = "select * from (values " + ", ".join(f"('{c}', '{_rule(c)}')" for c in FEATURES) + ") t(feature, rule)"
+BALANCED_COUNTS_SQL = (
+    "select survived_36m, (select max(n) from (select count(*) n from train group by survived_36m) a) n"
+    " from train group by survived_36m"
+)

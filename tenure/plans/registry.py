@@ -1166,12 +1166,12 @@ def q_binary(spark, sf):
     return survival.binary_flags(fya, [c for c in fya.columns if c != "business_id"])
 
 
-@query("choose_aggregation")
+@query("choose_aggregation", O.with_ctes("pc") + O.CHOOSE_AGG_SQL)
 def q_choose_agg(spark, sf):
     """Aggregation rule chosen for every feature column of the first-year window."""
     p = _study_panel(spark, sf)
-    plan = survival.aggregation_plan(survival.first_year_window(p, AGG_MONTHS))
-    return p.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(r).alias("rule")) for c, r in plan])).alias("x")).select("x.*").distinct()
+    plan = survival.aggregation_plan(survival.first_year_window(p, AGG_MONTHS))  # one pass for the binary check
+    return spark.createDataFrame(plan, "feature string, rule string")  # one row per column (schema-sized)
 
 
 @query("feature_columns")
@@ -1399,3 +1399,11 @@ def q_job_inspect_cox(spark, sf):
     return ins.scores.select("profile", "partial_hazard", "ratio_to_baseline", "actual_vs_baseline").join(
         ins.checks.select("profile", "expected_vs_baseline", "matches_expectation"), "profile", "left"
     )
+
+
+@query("balanced_class_counts", O.with_ctes("train") + O.BALANCED_COUNTS_SQL)
+def q_balanced_counts(spark, sf):
+    """Rows per class after oversampling the minority to the majority size."""
+    t = _training(spark, sf)
+    bal = sampling.balance_oversample(t.select("business_id", *_logit_features(t), "survived_36m"), "survived_36m", ["business_id"], 42)
+    return bal.groupBy("survived_36m").agg(F.count(F.lit(1)).alias("n"))
