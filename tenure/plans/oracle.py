@@ -396,3 +396,19 @@ BALANCED_COUNTS_SQL = (
     "select survived_36m, (select max(n) from (select count(*) n from train group by survived_36m) a) n"
     " from train group by survived_36m"
 )
+
+
+# exact stratified allocation: test = ceil(0.2 n); train per class = floor of
+# its share plus the remainder to the largest fractional parts (ties by label)
+SPLIT_SIZES_SQL = """
+, c AS (select survived_36m, count(*) n_c from train group by survived_36m)
+, t AS (select sum(n_c) n from c)
+, s AS (select c.survived_36m, c.n_c, (t.n - cast(ceil(0.2 * t.n) as bigint)) * c.n_c / t.n share,
+        t.n - cast(ceil(0.2 * t.n) as bigint) n_train from c, t)
+, f AS (select *, cast(floor(share) as bigint) fl from s)
+, r AS (select *, row_number() over (order by share - fl desc, survived_36m) rk,
+        n_train - sum(fl) over () left_over from f)
+, a AS (select survived_36m, n_c, fl + case when rk <= left_over then 1 else 0 end n_tr from r)
+select * from (select 'train' split, survived_36m, n_tr n from a
+union all select 'test', survived_36m, n_c - n_tr from a) g where n > 0
+"""

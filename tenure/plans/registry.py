@@ -1407,3 +1407,14 @@ def q_balanced_counts(spark, sf):
     t = _training(spark, sf)
     bal = sampling.balance_oversample(t.select("business_id", *_logit_features(t), "survived_36m"), "survived_36m", ["business_id"], 42)
     return bal.groupBy("survived_36m").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("split_sizes", O.with_ctes("train") + O.SPLIT_SIZES_SQL)
+def q_split_sizes(spark, sf):
+    """Rows per non-empty (split, class) group of the seeded stratified
+    80/20 split."""
+    t = _training(spark, sf)
+    data = t.select("business_id", *_logit_features(t), "survived_36m").withColumn("_copy", F.lit(-1).cast("long"))
+    train, test = sampling.stratified_split(data, "survived_36m", ["business_id", "_copy"], 0.2, 42)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return both.groupBy("split", "survived_36m").agg(F.count(F.lit(1)).alias("n"))
