@@ -185,6 +185,24 @@ def write_geojson(features: DataFrame, path: str) -> str:
     return path
 
 
+def write_feature_collection(features: DataFrame, path: str, max_features: int = 100_000) -> str:
+    """Opt-in single-document export ({"type": "FeatureCollection", ...}) for
+    small maps.  One document means one task, so the feature count is
+    checked first; larger exports use ``write_geojson`` (one Feature per line)."""
+    n = features.count()
+    if n > max_features:
+        raise ValueError(f"{n} features exceed the single-document limit {max_features}; use write_geojson")
+    doc = features.select(F.to_json("feature").alias("f")).agg(
+        F.concat(
+            F.lit('{"type":"FeatureCollection","features":['),
+            F.coalesce(F.array_join(F.array_sort(F.collect_list("f")), ","), F.lit("")),
+            F.lit("]}"),
+        ).alias("value")
+    )
+    doc.coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
 # ------------------------------------------------------- facet helpers ----
 def complaint_bin(col) -> F.Column:
     return (

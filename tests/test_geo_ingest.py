@@ -101,3 +101,19 @@ def test_stream_monthly_complaints_equals_batch(spark, tmp_path):
     pairs = spatial.radius_join(biz, cleaning.clean_service_requests(req), 50.0)
     want = sorted((r.business_id, r.month, r.n) for r in pairs.groupBy("business_id", "month").agg(F.count("*").alias("n")).collect())
     assert got == want and got
+
+
+def test_feature_collection_export(spark, tmp_path):
+    import pytest
+
+    biz = spark.createDataFrame(
+        [("B1", 1, dt.date(2026, 3, 1), 2.0, 40.75, -73.9, "Queens", 1), ("B2", 0, dt.date(2025, 1, 1), 0.0, 40.7, -74.0, "Bronx", 2)],
+        "business_id string, active int, last_month date, complaint_sum double, latitude double, longitude double, first_borough string, license_count long",
+    )
+    feats = geojson.geo_feature(biz)
+    out = geojson.write_feature_collection(feats, str(tmp_path / "fc"))
+    text = "".join(r.value for r in spark.read.text(out).collect())
+    doc = json.loads(text)
+    assert doc["type"] == "FeatureCollection" and len(doc["features"]) == 2
+    with pytest.raises(ValueError):
+        geojson.write_feature_collection(feats, str(tmp_path / "fc2"), max_features=1)
