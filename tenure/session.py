@@ -21,6 +21,8 @@ _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.driver.memory": "16g",
     "spark.sql.ansi.enabled": "true",
+    # checkpoint files of collected DataFrames are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
