@@ -6,9 +6,8 @@ Each reads its whole table and returns its full result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import packing, pii, quality_rules, sentencepiece_tokens, token_counts
+from . import embedding_dedup, near_dedup, packing, pii, quality_rules, sentencepiece_tokens, token_counts
 from .common import table
 
 
@@ -23,6 +22,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4).drop("key")
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_tokens.encode(
         table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), verify=True, with_ids=False
@@ -37,15 +40,21 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=2)
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_pii": op7_pii,
     "op8_packing": op8_packing,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
