@@ -73,3 +73,43 @@ def slices(batch, column: str, most_bytes: int = 8 << 20) -> Iterator:
         size += n
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def sample_ids(df: DataFrame, most: int, id_col: str = "id", salt: int = 0) -> DataFrame:
+    """At most ``most`` distinct ids, those of smallest hash (a bounded table)."""
+    return df.select(id_col).where(F.col(id_col).isNotNull()).distinct().orderBy(F.xxhash64(id_col, F.lit(salt)), id_col).limit(most)
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, chars: int) -> list[tuple]:
+    """(id, text) of a bounded table of ids, texts cut at ``chars``: a fitting sample for the driver."""
+    cut = docs.select("id", F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text"))
+    found = cut.join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text").alias("text"))
+    return [(r["id"], r["text"]) for r in found.orderBy("id").collect()]
+
+
+def without_copies(texts: list[str], seen: set | None = None, words: int = 6) -> list[str]:
+    """Texts that share no run of ``words`` words with an earlier one."""
+    seen = set() if seen is None else seen
+    out = []
+    for text in texts:
+        w = text.lower().split()
+        runs = {hash(tuple(w[i : i + words])) for i in range(max(1, len(w) - words + 1))}
+        if not runs & seen:
+            out.append(text)
+        seen |= runs
+    return out
+
+
+def logistic(x, y, ridge: float = 1e-2, steps: int = 50):
+    """Weights (the last is the intercept) of a ridge logistic regression by Newton steps."""
+    import numpy as np
+
+    x = np.c_[x, np.ones(len(x))]
+    w = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (p - y) + ridge * w)
+        w -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w

@@ -6,9 +6,10 @@ Each reads its whole table and returns its full result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import embedding_dedup, near_dedup, packing, pii, quality_rules, sentencepiece_tokens, token_counts
-from .common import table
+from . import embedding_dedup, language_id, near_dedup, packing, pii, quality_classifier, quality_rules, sentencepiece_tokens, token_counts, toxicity
+from .common import held_out, table
 
 
 def _tokenizer(name: str) -> str:
@@ -22,6 +23,34 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def _learnable(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents that may be learnt from, as id and ``columns``."""
+    docs = table(spark, sf_dir, "documents").where(~held_out())
+    return docs.select(F.col("doc_id").alias("id"), *columns)
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").where(~held_out()).withColumnRenamed("doc_id", "id")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = toxicity.learn(_learnable(spark, sf_dir, "text"), _labels(spark, sf_dir))
+    scored = toxicity.score(table(spark, sf_dir, "documents"), model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dictionaries = language_id.learn(_learnable(spark, sf_dir, "text", "lang"))
+    found = language_id.identify(table(spark, sf_dir, "documents"), dictionaries)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality_classifier.learn(_learnable(spark, sf_dir, "text"), _labels(spark, sf_dir))
+    scored = quality_classifier.score(table(spark, sf_dir, "documents"), model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4).drop("key")
 
@@ -50,6 +79,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_toxicity": op2_toxicity,
+    "op3_language_id": op3_language_id,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_pii": op7_pii,
