@@ -314,3 +314,18 @@ def near_duplicates(
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
         "key",
     )
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``df`` with one row of each group of near duplicates, that of the smallest id; columns stay.
+
+    Rows with a null id, and texts without words, stay.  Of rows that share an id one stays.
+    """
+    found = near_duplicates(df, id_col=id_col, text_col=text_col, **options)
+    stay = found.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("n"))
+    stay = save(stay, "near-kept")
+    own = F.col(f"`{id_col}`")
+    rows = lambda some: df.join(stay.where(some).select(id_col), id_col, "left_semi").select(*df.columns)
+    out = rows("n = 1").unionByName(df.where(own.isNull()))
+    again = stay.where("n > 1")
+    return out if again.isEmpty() else out.unionByName(rows("n > 1").dropDuplicates([id_col]))

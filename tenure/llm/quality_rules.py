@@ -14,6 +14,7 @@ documents on a salted key, so one source may hold any share of the rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -24,18 +25,24 @@ from .common import save
 _SPACE = "[ \\t-\\r]+"
 
 
+Get = Callable[[str], Column]
+
+
 class Rule(NamedTuple):
-    """A ratio (an integer) and how far beyond its quantile it may lie."""
+    """A ratio (an integer, of counts that a getter names) and how far beyond its quantile it may lie."""
 
     name: str
-    value: Column
+    value: Callable[[Get], Column]
     #: at least so much room beyond the quantile, whatever the spread
     slack: int
     upper: bool = True
 
 
-def _per(part: str, whole: str, scale: int) -> Column:
-    return F.when(F.col(whole) > 0, F.floor(F.col(part) * scale / F.col(whole)).cast("long")).otherwise(F.lit(0).cast("long"))
+def _per(part: str, whole: str, scale: int) -> Callable[[Get], Column]:
+    def value(c: Get) -> Column:
+        return F.when(c(whole) > 0, F.floor(c(part) * scale / c(whole)).cast("long")).otherwise(F.lit(0).cast("long"))
+
+    return value
 
 
 RULES = (
@@ -116,7 +123,7 @@ def sketches(measured: DataFrame, rules=RULES, by=("lang", "source")) -> DataFra
     ``level`` is the number of columns of ``by`` in the key; the others are null.
     Null is a group of its own (``by`` are texts with a mark before non-nulls).
     """
-    values = F.array(*[F.struct(F.lit(r.name).alias("rule"), _bucket(r.value).alias("bucket")) for r in rules])
+    values = F.array(*[F.struct(F.lit(r.name).alias("rule"), _bucket(r.value(F.col)).alias("bucket")) for r in rules])
     long = measured.select(*by, F.explode(values).alias("v")).select(*by, "v.rule", "v.bucket")
     out = long.groupBy(*by, "rule", "bucket").agg(F.count("*").alias("n")).withColumn("level", F.lit(len(by)))
     finest = save(out, "quality-sketches")
@@ -157,6 +164,41 @@ def fences(sketch: DataFrame, rules=RULES, by=("lang", "source"), tail: float =
     return per_rule.groupBy(*keys).agg(F.max("total").alias("n_docs"), *cols)
 
 
+def _marked(column: str) -> Column:
+    """A text that tells null from any value."""
+    c = F.col(f"`{column}`")
+    return F.when(c.isNotNull(), F.concat(F.lit("="), c.cast("string"))).otherwise(F.lit("0"))
+
+
+def _limits(got: DataFrame, least: int) -> DataFrame:
+    """``lang, source, f``: the fences that hold for each group of ``got``."""
+    by = ("lang", "source")
+    passed = got.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    fence = save(fences(sketches(passed)), "quality-fences")
+    names = [r.name for r in RULES]
+    at = lambda level: fence.where(F.col("level") == level).select(*by[:level], F.struct("n_docs", *names).alias(f"f{level}"))
+    groups = got.select(*by).distinct().join(at(2), list(by), "left").join(at(1), "lang", "left")
+    enough = lambda level: F.col(f"f{level}.n_docs") >= least
+    corpus = fence.where("level = 0").select("n_docs", *names).first()  # one row
+    rest = F.struct(*[F.lit(corpus[c] if corpus else None).cast("long").alias(c) for c in ("n_docs", *names)])
+    # a group takes the finest sketch that is large enough
+    chosen = F.when(enough(2), F.col("f2")).when(enough(1), F.col("f1")).otherwise(rest)
+    return groups.select(*by, chosen.alias("f"))
+
+
+def _verdict(c: Get, limit: str) -> tuple[Column, Column]:
+    failed = base_failed(c("n_words"), c("n_repeat_words"))
+    beyond = F.lit(False)
+    for r in RULES:
+        at, value = F.col(f"{limit}.{r.name}"), r.value(c)
+        beyond = beyond | F.coalesce(value > at if r.upper else value < at, F.lit(False))
+    return failed, ~failed & ~beyond
+
+
+def _source(df: DataFrame, text_col: str, lang_col: str, source_col: str, *more: Column) -> DataFrame:
+    return df.select(*more, _marked(lang_col).alias("lang"), _marked(source_col).alias("source"), F.col(f"`{text_col}`").alias("text"))
+
+
 def judge(
     df: DataFrame,
     least: int = 200,
@@ -165,7 +207,6 @@ def judge(
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
-    keep: list[str] | None = None,
 ) -> DataFrame:
     """Per row the counts, ``base_failed`` and ``kept``.
 
@@ -174,38 +215,14 @@ def judge(
     those have fewer than ``least`` rows).  A null language or source is a
     group of its own.  A null text is empty: no words, so not kept.  Null
     ids and repeated rows are judged as they stand; other columns are not
-    read (``keep`` names some to carry along as a struct ``kept_row``); an empty table gives
-    an empty result.
+    read; an empty table gives an empty result.
     """
-    marked = lambda c: F.when(F.col(f"`{c}`").isNotNull(), F.concat(F.lit("="), F.col(f"`{c}`").cast("string"))).otherwise(F.lit("0"))
-    src = df.select(
-        F.col(f"`{id_col}`").alias("id"),
-        marked(lang_col).alias("lang"),
-        marked(source_col).alias("source"),
-        F.col(f"`{text_col}`").alias("text"),
-        *([F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept_row")] if keep else []),
-    )
-    got = measures(src)
-    got = save(got if keep else got.drop("text"), "quality-measures")
-    by = ("lang", "source")
-    fence = save(fences(sketches(got.where(~base_failed(F.col("n_words"), F.col("n_repeat_words"))))), "quality-fences")
-
-    names = [r.name for r in RULES]
-    at = lambda level: fence.where(F.col("level") == level).select(*by[:level], F.struct("n_docs", *names).alias(f"f{level}"))
-    # a group takes the finest sketch that is large enough
-    groups = got.select(*by).distinct().join(at(2), list(by), "left").join(at(1), "lang", "left").join(at(0).withColumn("one", F.lit(1)), F.lit(1) == F.col("one"), "left")
-    enough = lambda level: F.col(f"f{level}.n_docs") >= least
-    chosen = F.when(enough(2), F.col("f2")).when(enough(1), F.col("f1")).otherwise(F.col("f0"))
-    groups = groups.select(*by, chosen.alias("f")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-
+    src = _source(df, text_col, lang_col, source_col, F.col(f"`{id_col}`").alias("id"))
+    got = save(measures(src).drop("text"), "quality-measures")
+    limits = _limits(got, least).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = got.withColumn("salt", F.pmod(F.xxhash64("id", "n_words", "word_chars", "n_capitals", "n_signs"), F.lit(salts)).cast("int"))
-    beyond = F.lit(False)
-    for r in RULES:
-        limit = F.col(f"f.{r.name}")
-        beyond = beyond | F.coalesce(r.value > limit if r.upper else r.value < limit, F.lit(False))
-    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
-    out = salted.join(groups, [*by, "salt"], "left")
-    return out.select(
+    failed, kept = _verdict(F.col, "f")
+    return salted.join(limits, ["lang", "source", "salt"], "left").select(
         F.col("id").alias(id_col),
         "n_words",
         "word_chars",
@@ -213,6 +230,39 @@ def judge(
         "n_dup_lines",
         "n_repeat_words",
         failed.alias("base_failed"),
-        (~failed & ~beyond).alias("kept"),
-        *(["kept_row"] if keep else []),
+        kept.alias("kept"),
     )
+
+
+def keep(
+    df: DataFrame,
+    least: int = 200,
+    salts: int = 64,
+    most_broadcast: int = 100_000,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    source_col: str = "source",
+) -> DataFrame:
+    """The rows of ``df`` that ``judge`` keeps, with their columns.
+
+    The counts are taken twice, once for the fences and once beside the rows,
+    which are never shuffled while there are at most ``most_broadcast`` groups; with
+    more, rows and fences meet on a salted key.
+    """
+    got = save(measures(_source(df, text_col, lang_col, source_col)).drop("text"), "quality-measures")
+    limits = save(_limits(got, least), "quality-limits")
+    pre = "__tenure_q_"
+    limits = limits.select(F.col("lang").alias(pre + "lang"), F.col("source").alias(pre + "source"), F.col("f").alias(pre + "f"))
+    rows = measures(df, text_col, pre).withColumns({pre + "lang": _marked(lang_col), pre + "source": _marked(source_col)})
+    # a row number keeps the filter above the projections: pushed below them it would
+    # take the counts' whole expressions along, once for each use
+    rows = rows.withColumn(pre + "row", F.monotonically_increasing_id())
+    on = [pre + "lang", pre + "source"]
+    if limits.count() <= most_broadcast:
+        both = rows.join(F.broadcast(limits), on, "left")
+    else:
+        salt = F.pmod(F.xxhash64(*[pre + x for x in ("n_words", "word_chars", "n_capitals", "n_signs")]), F.lit(salts)).cast("int")
+        limits = limits.withColumn(pre + "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        both = rows.withColumn(pre + "salt", salt).join(limits, [*on, pre + "salt"], "left")
+    _, kept = _verdict(lambda name: F.col(pre + name), pre + "f")
+    return both.where(kept & (F.col(pre + "row") >= 0)).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -15,6 +15,7 @@ from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -158,8 +159,6 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
 def keep(df: DataFrame, model: Model, below: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` whose text scores below ``below``, with their columns."""
-    import pandas as pd
-
     one = _scores(model)
 
     @F.pandas_udf("double")
