@@ -77,8 +77,13 @@ def _marked(a: Counter, b: Counter, na: int, nb: int) -> list[str]:
     return sorted((w for w, v in z.items() if v > 3 and v >= 0.1 * most), key=lambda w: (z[w], w))
 
 
-def fit(toxic: list[str], ordinary: list[str], base_size: int = 65536, marked_size: int = 2048) -> Model:
-    """Train both dictionaries and calibrate on the same labelled texts."""
+def fit(
+    toxic: list[str], ordinary: list[str], background: list[str] = [], base_size: int = 65536, marked_size: int = 2048  # noqa: B006
+) -> Model:
+    """Train both dictionaries and calibrate on the same labelled texts.
+
+    ``background`` is unlabelled text that adds to what both dictionaries share.
+    """
     import zstandard as z
 
     share = len(toxic) / max(1, len(toxic) + len(ordinary))
@@ -89,7 +94,7 @@ def fit(toxic: list[str], ordinary: list[str], base_size: int = 65536, marked_si
     one, two = without_copies(toxic, seen), without_copies(ordinary, seen)
     count = lambda texts: Counter(w for t in texts for w in set(t.lower().split()))
     a, b = count(one), count(two)
-    samples = [x for t in two for x in windows(t)][:100_000]
+    samples = [x for t in [*two, *without_copies(background, seen)] for x in windows(t)][:100_000]
     try:
         base = z.train_dictionary(base_size, samples).as_bytes()
     except z.ZstdError:  # too few samples to train on: their text itself
@@ -107,12 +112,13 @@ def fit(toxic: list[str], ordinary: list[str], base_size: int = 65536, marked_si
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, chars: int = 8192) -> Model:
     """Fit on at most ``per_class`` labelled texts of each class, cut at ``chars`` characters.
 
-    ``docs``: id, text.  ``labels``: id, toxic (0 or 1; other values and nulls are left out).
+    ``docs``: id, text; as many of them serve as background.  ``labels``: id, toxic (0 or 1;
+    other values and nulls are left out).
     """
     texts = [
         [t for _, t in texts_of(docs, sample_ids(labels.where(F.col("toxic") == k), per_class), chars)] for k in (1, 0)
     ]
-    return fit(*texts)
+    return fit(*texts, [t for _, t in texts_of(docs, sample_ids(docs, per_class, salt=1), chars)])
 
 
 _SCORERS: dict[int, Scorer] = {}
