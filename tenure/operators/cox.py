@@ -79,13 +79,14 @@ def _pass_a(data: DataFrame, features: list[str], beta: np.ndarray, mean: np.nda
     d = len(features)
 
     def part(it):
+        # sums by (kind, time) over all batches of the partition
+        sums: dict = {}
         for pdf in it:
             if pdf.empty:
                 continue
             x = (pdf[features].to_numpy(dtype=float) - mean) / std
             w = np.exp(x @ beta)
             ev = pdf["event"].to_numpy(dtype=float)
-            out = []
             keys = [(1, pdf["stop"].to_numpy(dtype=float))]
             if has_start:
                 keys.append((0, pdf["start"].to_numpy(dtype=float)))
@@ -109,10 +110,16 @@ def _pass_a(data: DataFrame, features: list[str], beta: np.ndarray, mean: np.nda
                     dd = np.zeros(m, dtype=np.int64)
                     a0 = np.zeros(m)
                     a1 = xd = np.zeros((m, d))
-                out.append(pd.DataFrame({
-                    "kind": kind, "time": times, "s0": s0, "s1": list(s1), "d": dd, "a0": a0, "a1": list(a1), "xd": list(xd),
-                }))
-            yield pd.concat(out, ignore_index=True)
+                for k in range(m):
+                    new = [s0[k], s1[k], int(dd[k]), a0[k], a1[k], xd[k]]
+                    have = sums.get((kind, times[k]))
+                    sums[kind, times[k]] = new if have is None else [a + b for a, b in zip(have, new)]
+        if sums:
+            cols = list(zip(*sums.values()))
+            yield pd.DataFrame({
+                "kind": [k for k, _ in sums], "time": [t for _, t in sums], "s0": cols[0], "s1": cols[1], "d": cols[2],
+                "a0": cols[3], "a1": cols[4], "xd": cols[5],
+            })
 
     def combine(pdf):
         return pd.DataFrame({
@@ -122,12 +129,21 @@ def _pass_a(data: DataFrame, features: list[str], beta: np.ndarray, mean: np.nda
         })
 
     cols = features + ["stop", "event"] + (["start"] if has_start else [])
-    rows = data.select(*cols).mapInPandas(part, _A_SCHEMA).groupBy("kind", "time").applyInPandas(combine, _A_SCHEMA).collect()
+    partial = data.select(*cols).mapInPandas(part, _A_SCHEMA)
+    # added in two levels, so that one time's partials of all partitions never meet in one task
+    spread = _spread(data)
+    partial = partial.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(spread)))
+    rows = partial.groupBy("kind", "time", "g").applyInPandas(combine, _A_SCHEMA).groupBy("kind", "time").applyInPandas(combine, _A_SCHEMA).collect()
     stop = sorted((r for r in rows if r["kind"] == 1), key=lambda r: r["time"])
     start = sorted((r for r in rows if r["kind"] == 0), key=lambda r: r["time"])
     return {"stop": stop, "start": start, "d": d}
 
 
+def _spread(data: DataFrame) -> int:
+    """Groups of the first level: the square root of the number of partitions."""
+    return max(1, int(np.ceil(np.sqrt(data.rdd.getNumPartitions()))))
+
+
 def _suffix(rows, times, d):
     """Σ over rows with key >= t, for each t in ``times`` (both sorted)."""
     if not rows:
@@ -208,8 +224,8 @@ def _pass_b(data: DataFrame, features: list[str], beta, mean, std, has_start, ti
 
     cols = features + ["stop", "event"] + (["start"] if has_start else [])
     partial = data.select(*cols).mapInPandas(part, "g int, m array<double>")
-    # two-level reduction: spread partition partials over 16 groups, then sum
-    partial = partial.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(16)))
+    # two-level reduction: partition partials by groups first, the driver adds the groups
+    partial = partial.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(_spread(data))))
     rows = partial.groupBy("g").applyInPandas(combine, "g int, m array<double>").collect()
     total = np.zeros(d * d)
     for r in rows:

@@ -181,7 +181,7 @@ def nest_license_records(businesses: DataFrame, records: DataFrame, max_records:
 
 def write_geojson(features: DataFrame, path: str) -> str:
     """Newline-delimited GeoJSON: one Feature per line, written by executors."""
-    features.select(F.to_json("feature").alias("value")).write.mode("overwrite").text(path)
+    features.select(F.to_json("feature", {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
     return path
 
 
@@ -192,7 +192,7 @@ def write_feature_collection(features: DataFrame, path: str, max_features: int =
     n = features.count()
     if n > max_features:
         raise ValueError(f"{n} features exceed the single-document limit {max_features}; use write_geojson")
-    doc = features.select(F.to_json("feature").alias("f")).agg(
+    doc = features.select(F.to_json("feature", {"ignoreNullFields": "false"}).alias("f")).agg(
         F.concat(
             F.lit('{"type":"FeatureCollection","features":['),
             F.coalesce(F.array_join(F.array_sort(F.collect_list("f")), ","), F.lit("")),

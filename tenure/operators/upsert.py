@@ -2,29 +2,31 @@
 
 * ``high_watermark``: max timestamp truncated to the day (fallback: first of
   the current month).
-* ``incremental_source``: rows strictly after the watermark, capped by an
-  *ordered* limit (timestamp, key) so no row is skipped for good.
+* ``incremental_source``: all rows strictly after the watermark.
+* ``source_page``: one ordered page of the landing rows after a
+  (timestamp, key) cursor, for callers that want a bounded run.
 * ``dedupe_latest``: one row per key, the latest by timestamp (``max_by``
   with map-side partial aggregation; a hot key never lands whole in a task).
 * ``upsert``: target rows whose key is not in the source, plus the source
   (anti-join + union: MERGE update-all / insert-all).
-* ``VersionedTable``: each commit writes a new version directory, then
-  replaces a small pointer file, so readers always see a complete version
-  (small tables).
-* ``PartitionedTable``: the large-table layout.  Rows are partitioned by the
-  month of an immutable timestamp (a request's created date), so a key's
-  row always lives in the same partition; an upsert reads and rewrites only
-  the partitions the batch touches (dynamic partition overwrite), i.e. the
-  cost follows the batch, not the table.
+* ``PartitionedTable``: the large-table layout, partitioned by the month of
+  a timestamp.  An upsert reads the keys and months of the table and rewrites
+  only the months that the batch falls in or that hold its keys.  There is no
+  atomic commit over several months: a failed run is repeated whole.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+
+
+def _timestamp(df: DataFrame, column: str) -> Column:
+    """The column as a timestamp; unreadable text is NULL."""
+    c = F.col(column)
+    return F.try_to_timestamp(c) if df.schema[column].dataType.simpleString() == "string" else c.cast("timestamp")
 
 
 def high_watermark(target: DataFrame, ts_col: str) -> DataFrame:
@@ -34,23 +36,35 @@ def high_watermark(target: DataFrame, ts_col: str) -> DataFrame:
     return target.agg(F.coalesce(F.date_trunc("day", F.max(F.col(ts_col).cast("timestamp"))), fallback).alias("watermark"))
 
 
-def incremental_source(landing: DataFrame, ts_col: str, key_col: str, watermark, limit: int | None) -> DataFrame:
-    rows = landing.where(F.col(ts_col).cast("timestamp") > F.lit(watermark).cast("timestamp"))
-    if limit:
-        rows = rows.orderBy(F.col(ts_col), F.col(key_col)).limit(limit)
-    return rows
+def incremental_source(landing: DataFrame, ts_col: str, watermark) -> DataFrame:
+    """All landing rows after the watermark, however many share a day."""
+    return landing.where(_timestamp(landing, ts_col) > F.lit(watermark).cast("timestamp"))
+
+
+def source_page(landing: DataFrame, ts_col: str, key_col: str, size: int, after: tuple | None = None) -> DataFrame:
+    """The next ``size`` rows by (timestamp, key) after the cursor ``after``.
+
+    The cursor is the last row's pair, so a day or a timestamp with more rows
+    than a page is read over several pages and never skipped.
+    """
+    ts = _timestamp(landing, ts_col)
+    rows = landing.where(ts.isNotNull())
+    if after:
+        at = F.lit(after[0]).cast("timestamp")
+        rows = rows.where((ts > at) | (ts == at) & (F.col(key_col) > F.lit(after[1])))
+    return rows.orderBy(ts, F.col(key_col)).limit(size)
 
 
 def align_to_schema(df: DataFrame, columns: list[str], timestamp_cols=()) -> DataFrame:
     """Target column order; missing columns NULL, extra dropped; strings
-    except the timestamp columns."""
+    except the timestamp columns (unreadable -> NULL)."""
     out = []
     for c in columns:
-        if c in df.columns:
-            v = F.col(c)
+        if c not in df.columns:
+            v = F.lit(None).cast("timestamp" if c in timestamp_cols else "string")
         else:
-            v = F.lit(None)
-        out.append((v.cast("timestamp") if c in timestamp_cols else v.cast("string")).alias(c))
+            v = _timestamp(df, c) if c in timestamp_cols else F.col(c).cast("string")
+        out.append(v.alias(c))
     return df.select(*out)
 
 
@@ -78,82 +92,37 @@ def upsert(target: DataFrame, source: DataFrame, key_col) -> DataFrame:
     return target.join(source.select(*keys), keys, "left_anti").unionByName(source.select(*target.columns))
 
 
-def upsert_latest(target: DataFrame, source: DataFrame, key_col: str, ts_col: str) -> DataFrame:
-    """Order-insensitive MERGE: per key the row with the latest timestamp
-    wins, whichever batch brought it (idempotent under replays)."""
-    return dedupe_latest(target.unionByName(source.select(*target.columns)), key_col, ts_col)
-
-
-class VersionedTable:
-    """Parquet versions under ``root`` plus a pointer file ``_CURRENT``."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self.fs = self._path(self.root).getFileSystem(conf)
-
-    def _read_text(self, path: str) -> str | None:
-        p = self._path(path)
-        if not self.fs.exists(p):
-            return None
-        stream = self.fs.open(p)
-        try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream)
-            )
-            return reader.readLine()
-        finally:
-            stream.close()
-
-    def current_version(self) -> int | None:
-        txt = self._read_text(f"{self.root}/_CURRENT")
-        return int(txt) if txt else None
-
-    def exists(self) -> bool:
-        return self.current_version() is not None
-
-    def read(self) -> DataFrame:
-        v = self.current_version()
-        if v is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        return self.spark.read.parquet(f"{self.root}/v{v:06d}")
-
-    def commit(self, df: DataFrame) -> int:
-        v = (self.current_version() or 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/v{v:06d}")
-        tmp = self._path(f"{self.root}/_CURRENT.tmp{v}")
-        out = self.fs.create(tmp, True)
-        try:
-            out.write(bytearray(str(v), "utf-8"))
-        finally:
-            out.close()
-        final = self._path(f"{self.root}/_CURRENT")
-        if self.fs.exists(final):
-            self.fs.delete(final, False)
-        self.fs.rename(tmp, final)
-        return v
-
-
-def string_schema(columns: list[str]) -> StructType:
-    return StructType([StructField(c, StringType(), True) for c in columns])
-
-
 def first_of_month(today: dt.date | None = None) -> dt.datetime:
     today = today or dt.date.today()
     return dt.datetime(today.year, today.month, 1)
 
 
 class PartitionedTable:
-    """Parquet table partitioned by ``part_col`` (derived from ``ts_col``);
-    upserts rewrite only the partitions present in the batch."""
-
-    def __init__(self, spark: SparkSession, root: str, key_col, ts_col: str, part_col: str = "part_month", part_source: str | None = None):
+    """Parquet table partitioned by ``part_col``, the month of ``part_source``.
+
+    Rows without that timestamp live in a partition of their own.  On a key
+    match the batch's row replaces the stored one; with ``latest_wins`` only
+    if its ``ts_col`` is not earlier (for streams, whose files come in any order; at
+    equal timestamps the later batch wins).  Within a batch the latest row
+    of a key counts.  A key that moves to another month leaves the old one.
+    """
+
+    NO_MONTH = "none"
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        key_col,
+        ts_col: str,
+        part_col: str = "part_month",
+        part_source: str | None = None,
+        latest_wins: bool = False,
+    ):
         self.spark, self.root = spark, root.rstrip("/")
-        self.key_col, self.ts_col, self.part_col = key_col, ts_col, part_col
-        self.part_source = part_source or ts_col  # immutable column the partition derives from
+        self.keys = [key_col] if isinstance(key_col, str) else list(key_col)
+        self.ts_col, self.part_col, self.latest_wins = ts_col, part_col, latest_wins
+        self.part_source = part_source or ts_col
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(conf)
@@ -167,32 +136,48 @@ class PartitionedTable:
         prefix = self.part_col + "="
         return any(st.isDirectory() and st.getPath().getName().startswith(prefix) for st in self._fs.listStatus(root))
 
+    def _stored(self) -> DataFrame:
+        df = self.spark.read.option("basePath", self.root).parquet(self.root)
+        return df.withColumn(self.part_col, F.col(self.part_col).cast("string"))
+
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.root).drop(self.part_col)
+        return self._stored().drop(self.part_col)
 
     def _with_part(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.part_col, F.date_format(F.col(self.part_source), "yyyy-MM"))
+        month = F.date_format(F.col(self.part_source), "yyyy-MM")
+        return df.withColumn(self.part_col, F.coalesce(month, F.lit(self.NO_MONTH)))
 
     def upsert(self, source: DataFrame) -> int:
-        """Latest-timestamp-wins merge of ``source``; returns the number of
-        partitions rewritten."""
+        """Merge ``source``; returns the number of months rewritten."""
         from tenure.operators.sampling import _checkpoint
 
-        src = self._with_part(source)
-        parts = [r[0] for r in src.select(self.part_col).distinct().collect()]  # months in the batch
-        if not parts:
+        src = _checkpoint(self._with_part(dedupe_latest(source, self.keys, self.ts_col)))
+        months = {r[0] for r in src.select(self.part_col).distinct().collect()}
+        if not months:
             return 0
         if self.exists():
-            target = self.spark.read.parquet(self.root).where(F.col(self.part_col).isin(parts))
-            merged = dedupe_latest(target.unionByName(src.select(*target.columns)), self.key_col, self.ts_col)
+            stored = self._stored()
+            # months in which keys of the batch stand now: keys and months of the table only
+            held = stored.join(src.select(*self.keys), self.keys, "left_semi").select(self.part_col).distinct()
+            months |= {r[0] for r in held.collect()}
+            target = stored.where(F.col(self.part_col).isin(sorted(months)))
+            both = target.withColumn("_batch", F.lit(0)).unionByName(src.select(*target.columns).withColumn("_batch", F.lit(1)))
+            others = [c for c in both.columns if c not in self.keys]
+            rank = F.struct(F.col(self.ts_col), F.col("_batch")) if self.latest_wins else F.col("_batch")
+            newest = both.groupBy(*self.keys).agg(F.max_by(F.struct(*others), rank).alias("_r"))
+            merged = newest.select(*self.keys, "_r.*").select(*target.columns)
         else:
-            merged = dedupe_latest(src, self.key_col, self.ts_col)
-        # lineage cut: the write below must not read the paths it replaces
-        merged = _checkpoint(merged.repartition(self.part_col))
+            merged = src
+        # lineage cut: the write below must not read the paths it replaces;
+        # a month is spread over tasks by its keys
+        merged = _checkpoint(merged.repartition(self.part_col, *self.keys))
+        left = {r[0] for r in merged.select(self.part_col).distinct().collect()}
         (
             merged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.part_col)
             .parquet(self.root)
         )
-        return len(parts)
+        for month in months - left:  # all their keys have moved
+            self._fs.delete(self._path(f"{self.root}/{self.part_col}={month}"), True)
+        return len(months)

@@ -1,5 +1,4 @@
-"""Incremental ingest: high-water mark -> landing rows after it (ordered cap)
--> align to the target schema -> cast timestamps -> dedupe -> upsert.
+"""Incremental ingest: high-water mark -> all landing rows after it -> align to the target schema -> cast timestamps -> dedupe -> upsert.
 One function, two configurations (service requests, licences)."""
 
 from __future__ import annotations
@@ -17,12 +16,11 @@ class IngestConfig:
     key: str
     ts_col: str
     timestamp_cols: tuple[str, ...]
-    limit: int | None
 
 
 # The reference's two ingest jobs.
-SERVICE_REQUESTS = IngestConfig("unique_key", "created_date", ("created_date", "closed_date", "resolution_action_updated_date"), 200_000)
-LICENSES = IngestConfig("license_nbr", "license_creation_date", ("license_creation_date", "lic_expir_dd"), 500_000)
+SERVICE_REQUESTS = IngestConfig("unique_key", "created_date", ("created_date", "closed_date", "resolution_action_updated_date"))
+LICENSES = IngestConfig("license_nbr", "license_creation_date", ("license_creation_date", "lic_expir_dd"))
 
 
 def ingest_batch(target: DataFrame | None, landing: DataFrame, cfg: IngestConfig) -> tuple[DataFrame | None, int]:
@@ -33,7 +31,7 @@ def ingest_batch(target: DataFrame | None, landing: DataFrame, cfg: IngestConfig
     else:
         wm = U.first_of_month()
         columns = landing.columns
-    src = U.incremental_source(landing, cfg.ts_col, cfg.key, wm, cfg.limit)
+    src = U.incremental_source(landing, cfg.ts_col, wm)
     src = U.align_to_schema(src, columns, cfg.timestamp_cols)
     src = U.dedupe_latest(src, cfg.key, cfg.ts_col)
     n = src.count()
@@ -46,7 +44,7 @@ def ingest_batch(target: DataFrame | None, landing: DataFrame, cfg: IngestConfig
 
 def ingest(spark: SparkSession, table_root: str, landing: DataFrame, cfg: IngestConfig) -> int:
     """One incremental run against a month-partitioned table; only the
-    months the new rows fall in are rewritten.  No-op on an empty batch."""
+    months the new rows fall in, or leave, are rewritten.  No-op on an empty batch."""
     table = U.PartitionedTable(spark, table_root, cfg.key, cfg.ts_col)
     target = table.read() if table.exists() else None
     if target is not None:
@@ -55,7 +53,7 @@ def ingest(spark: SparkSession, table_root: str, landing: DataFrame, cfg: Ingest
     else:
         wm = U.first_of_month()
         columns = landing.columns
-    src = U.incremental_source(landing, cfg.ts_col, cfg.key, wm, cfg.limit)
+    src = U.incremental_source(landing, cfg.ts_col, wm)
     src = U.align_to_schema(src, columns, cfg.timestamp_cols)
     n = src.count()
     if n:

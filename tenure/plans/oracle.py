@@ -341,7 +341,7 @@ EV_COLS = "cast(event_id as varchar) event_id, ts, cast(user_id as varchar) user
 CTES.update({
     "ev_target": f"select {EV_COLS} from events where ts < {EV_SPLIT}",
     "ev_wm": "select coalesce(date_trunc('day', max(ts)), cast(date_trunc('month', current_date) as timestamp)) watermark from ev_target",
-    "ev_src": "select * from events where ts > (select watermark from ev_wm) order by ts, event_id limit 200000",
+    "ev_src": "select * from events where ts > (select watermark from ev_wm)",
     "ev_src_aligned": f"select {EV_COLS} from ev_src",
     "ev_upsert": "select * from ev_target where event_id not in (select event_id from ev_src_aligned) union all select * from ev_src_aligned",
 })

@@ -799,9 +799,9 @@ EV_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 def _ev_cfg():
-    from tenure.plans.ingest_job import IngestConfig, SERVICE_REQUESTS
+    from tenure.plans.ingest_job import IngestConfig
 
-    return IngestConfig("event_id", "ts", ("ts",), SERVICE_REQUESTS.limit)
+    return IngestConfig("event_id", "ts", ("ts",))
 
 
 def _ev_target(spark, sf):
@@ -810,9 +810,8 @@ def _ev_target(spark, sf):
 
 
 def _ev_source(spark, sf):
-    cfg = _ev_cfg()
     wm = U.high_watermark(_ev_target(spark, sf), "ts").first()["watermark"]
-    return U.incremental_source(fixtures.table(spark, sf, "events"), "ts", "event_id", wm, cfg.limit)
+    return U.incremental_source(fixtures.table(spark, sf, "events"), "ts", wm)
 
 
 @query("high_watermark", O.with_ctes("ev_wm") + "select * from ev_wm")
@@ -822,10 +821,16 @@ def q_high_watermark(spark, sf):
 
 @query("incremental_source", O.with_ctes("ev_src") + "select * from ev_src")
 def q_incremental_source(spark, sf):
-    """Landing rows after the day-truncated watermark, ordered cap."""
+    """All landing rows after the day-truncated watermark."""
     return _ev_source(spark, sf)
 
 
+@query("source_limit", "select * from events where ts is not null order by ts, event_id limit 1000")
+def q_source_limit(spark, sf):
+    """The first page of landing rows by (timestamp, key)."""
+    return U.source_page(fixtures.table(spark, sf, "events"), "ts", "event_id", 1000)
+
+
 @query("align_to_schema", O.with_ctes("ev_src_aligned") + "select * from ev_src_aligned")
 def q_align(spark, sf):
     return U.align_to_schema(_ev_source(spark, sf), EV_COLUMNS, ("ts",))
@@ -1067,7 +1072,6 @@ for _name, _target in [
     ("job_geojson", "write_geojson"),
     ("job_cox", "cox_summary"),
     ("scan_panel", "write_panel"),
-    ("source_limit", "incremental_source"),
     ("relation_label", "risk_vs_baseline"),
     ("coef_direction", "directional_check_logistic"),
     ("safe_divide", "class_metrics"),
@@ -1215,10 +1219,8 @@ def q_write_cox(spark, sf):
 
 @query("job_ingest")
 def q_job_ingest(spark, sf):
-    """Two incremental runs against a versioned table: bootstrap with the
+    """Two incremental runs against a partitioned table: bootstrap with the
     first half of the events, then the watermark run over all landed events."""
-    from tenure.plans.ingest_job import ingest_batch
-
     from tenure.plans.ingest_job import ingest
 
     root = _scratch(spark, "ingest")

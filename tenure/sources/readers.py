@@ -14,8 +14,10 @@ REQUEST_REQUIRED = tuple(REQUEST_HEADER_MAP)
 
 def read_source_csv(spark: SparkSession, path: str, header_map: dict, required) -> DataFrame:
     """Header CSV, every column a string (ids such as ``007`` stay text);
-    only the mapped columns are kept, renamed to canonical names."""
-    raw = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
+    only the mapped columns are kept, renamed to canonical names.  Quoted
+    fields may hold commas, doubled quotes and line breaks (such files are
+    not split: a large export should come in many files)."""
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     missing = [c for c in required if c not in raw.columns]
     if missing:
         raise ValueError(f"{path} is missing required columns: {missing}")
@@ -28,10 +30,22 @@ def load_source_data(spark: SparkSession, licenses_path: str, requests_path: str
     return lic, req
 
 
+def _typed(column: str):
+    """A CSV panel's column with its type: text keys, double coordinates, whole counts."""
+    c = F.col(f"`{column}`")
+    if column in ("business_id", "month"):
+        return c
+    number = c.try_cast("double")
+    if any(x in column for x in ("latitude", "longitude", "_lat", "_lng")):
+        return number.alias(column)
+    return number.try_cast("bigint").alias(column)
+
+
 def scan_panel(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Written panel; ``month`` parsed (bad -> NULL), ids as strings."""
     if fmt == "csv":
-        df = spark.read.option("header", True).csv(path)
+        df = spark.read.option("header", True).option("escape", '"').csv(path)
+        df = df.select(*[_typed(c) for c in df.columns])
         df = df.withColumn("month", F.to_date(F.try_to_timestamp(F.col("month"), F.lit("yyyy-MM-dd"))))
     else:
         df = spark.read.parquet(path)

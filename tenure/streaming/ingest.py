@@ -2,7 +2,7 @@
 
 * ``stream_ingest_upsert``: landing files -> per micro-batch align / cast ->
   latest-timestamp-wins merge into a month-partitioned table, rewriting only
-  the months present in the batch (files may arrive out of order).
+  the months the batch's rows and keys stand in (files may arrive out of order).
   Re-running a batch after a failure gives the same table (idempotent); the
   checkpoint records consumed files.
 * ``stream_monthly_complaints``: landing request files -> cleaning -> grid
@@ -37,13 +37,12 @@ def stream_ingest_upsert(
     cfg: IngestConfig,
     files_per_trigger: int = 8,
 ) -> StreamingQuery:
-    table = U.PartitionedTable(spark, table_root, cfg.key, cfg.ts_col)
+    table = U.PartitionedTable(spark, table_root, cfg.key, cfg.ts_col, latest_wins=True)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         columns = table.read().columns if table.exists() else df.columns
         src = U.align_to_schema(df, columns, cfg.timestamp_cols)
-        # files arrive in any order: latest timestamp wins, not latest batch;
-        # only the months present in this micro-batch are rewritten
+        # files arrive in any order: the latest timestamp wins, at a tie the later batch
         table.upsert(src)
 
     return (
@@ -70,7 +69,7 @@ def stream_monthly_complaints(
     # never dropped.  On a cluster, run with the RocksDB state store
     # (spark.sql.streaming.stateStore.providerClass) to keep it off the heap;
     # the provider is the cluster's choice, since it must match the checkpoint.
-    table = U.PartitionedTable(spark, table_root, ["business_id", "month"], "_epoch", part_source="month")
+    table = U.PartitionedTable(spark, table_root, ["business_id", "month"], "_epoch", part_source="month", latest_wins=True)
     requests = cleaning.clean_service_requests(_file_stream(spark, landing_dir, schema, files_per_trigger))
     pairs = spatial.radius_join(locations, requests, radius_meters, hot_cell_rows=None)
     counts = pairs.groupBy("business_id", "month").agg(F.count("unique_key").alias("total_311"))

@@ -49,7 +49,7 @@ def test_versioned_table_and_stream_equals_batch(spark, tmp_path):
     rows = [(str(i % 7), f"v{i}", dt.datetime(2024, 1, 1 + i % 5, i % 24)) for i in range(60)]
     df = spark.createDataFrame(rows, "k string, v string, ts timestamp")
     df.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(str(tmp_path / "landing"))
-    cfg = IngestConfig("k", "ts", ("ts",), None)
+    cfg = IngestConfig("k", "ts", ("ts",))
     q = stream_ingest_upsert(spark, str(tmp_path / "landing"), df.schema, str(tmp_path / "table"), str(tmp_path / "ckpt"), cfg, files_per_trigger=1)
     q.awaitTermination()
     got = sorted((r.k, r.v) for r in U.PartitionedTable(spark, str(tmp_path / "table"), "k", "ts").read().collect())
@@ -62,14 +62,84 @@ def test_latest_wins_merge_is_replay_safe(spark, tmp_path):
     target = spark.createDataFrame(rows, "k string, v string, ts timestamp")
     late_old = spark.createDataFrame([("1", "older", dt.datetime(2023, 12, 1)), ("3", "c", dt.datetime(2024, 1, 3))], target.schema)
     newer = spark.createDataFrame([("1", "new", dt.datetime(2024, 2, 1))], target.schema)
-    table = U.VersionedTable(spark, str(tmp_path / "t"))
-    table.commit(target)
-    for batch in (newer, late_old, newer):  # out of order, and a replayed batch
-        table.commit(U.upsert_latest(table.read(), batch, "k", "ts"))
-    assert table.current_version() == 4
+    table = U.PartitionedTable(spark, str(tmp_path / "t"), "k", "ts", latest_wins=True)
+    for batch in (target, newer, late_old, newer):  # out of order, and a replayed batch
+        table.upsert(batch)
     assert sorted((r.k, r.v) for r in table.read().collect()) == [("1", "new"), ("2", "b"), ("3", "c")]
 
 
+def test_upsert_updates_ties_moves_and_nulls(spark, tmp_path):
+    kind = "k string, v string, ts timestamp"
+    jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
+    for latest in (False, True):
+        t = U.PartitionedTable(spark, str(tmp_path / f"p{latest}"), "k", "ts", latest_wins=latest)
+        t.upsert(spark.createDataFrame([("tie", "Open", jan), ("moved", "a", jan), ("null", "n", None)], kind))
+        t.upsert(spark.createDataFrame([("tie", "Closed", jan), ("moved", "b", feb), ("other", "m", None)], kind))
+        want = [("moved", "b"), ("null", "n"), ("other", "m"), ("tie", "Closed")]
+        assert sorted((r.k, r.v) for r in t.read().collect()) == want
+    t.upsert(spark.createDataFrame([("tie", "x", feb)], kind))  # January is empty now
+    assert sorted((r.k, r.v) for r in t.read().collect()) == [("moved", "b"), ("null", "n"), ("other", "m"), ("tie", "x")]
+
+
+def test_ingest_takes_a_whole_day_and_bad_timestamps(spark, tmp_path):
+    from tenure.plans.ingest_job import IngestConfig, ingest
+
+    day = dt.datetime.combine(dt.date.today(), dt.time(12))
+    rows = [(str(i), f"v{i}", str(day)) for i in range(50)] + [("bad", "x", "not a date"), ("none", "y", None)]
+    landing = spark.createDataFrame(rows, "k string, v string, ts string")
+    cfg = IngestConfig("k", "ts", ("ts",))
+    assert ingest(spark, str(tmp_path / "t"), landing, cfg) == 50
+    more = spark.createDataFrame([("7", "changed", str(day)), ("new", "z", str(day))], landing.schema)
+    ingest(spark, str(tmp_path / "t"), more, cfg)
+    got = {r.k: r.v for r in U.PartitionedTable(spark, str(tmp_path / "t"), "k", "ts").read().collect()}
+    assert len(got) == 51 and got["7"] == "changed" and got["8"] == "v8"
+
+
+def test_source_pages_cover_a_large_timestamp(spark):
+    day = dt.datetime(2024, 1, 5)
+    df = spark.createDataFrame([(str(i), day) for i in range(10)], "k string, ts timestamp")
+    seen, after = [], None
+    while page := U.source_page(df, "ts", "k", 3, after).collect():
+        seen += [r.k for r in page]
+        after = (page[-1].ts, page[-1].k)
+    assert seen == sorted(map(str, range(10)))
+
+
+def test_csv_sources_keep_quotes_and_types(spark, tmp_path):
+    from tenure.sources.readers import read_source_csv, scan_panel
+
+    (tmp_path / "a.csv").write_text('A,B\n"say ""hi"", ok",x\n"two\nlines",y\n')
+    got = read_source_csv(spark, str(tmp_path / "a.csv"), {"A": "a", "B": "b"}, ("A", "B")).collect()
+    assert [(r.a, r.b) for r in got] == [('say "hi", ok', "x"), ("two\nlines", "y")]
+    (tmp_path / "p.csv").write_text("business_id,month,business_latitude,complaint_sum\n007,2024-01-01,40.5,3.0\n")
+    df = scan_panel(spark, str(tmp_path / "p.csv"), "csv")
+    assert dict(df.dtypes)["complaint_sum"] == "bigint" and df.first().business_id == "007"
+
+
+def test_local_checkpoint_folder_is_refused_on_a_cluster():
+    import pytest
+
+    from tenure.session import ensure_checkpoint_dir
+
+    class Stub:
+        class conf:
+            get = staticmethod(lambda k, d=None: None)
+
+        class sparkContext:
+            master = "yarn"
+
+            class _jsc:
+                @staticmethod
+                def sc():
+                    class Dir:
+                        isDefined = staticmethod(lambda: False)
+
+                    return type("S", (), {"getCheckpointDir": staticmethod(lambda: Dir)})
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Stub)
+
+
 def test_partitioned_upsert_touches_only_batch_months(spark, tmp_path):
     import os
 
