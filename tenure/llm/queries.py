@@ -90,4 +90,51 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+#: Smallest id reachable over ``links(a, b)`` (both directions) from ``nodes(id)``.
+_REACH = """
+    reach(id, other) as (
+        select id, id from nodes
+        union
+        select r.id, l.b from reach r join links l on l.a = r.other
+    ),
+    roots as (select id, min(other) as component_id from reach group by id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_minhash_near_dedup": f"""
+    with recursive words as (
+        select doc_id as id, list_filter(
+            string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+            lambda x: x <> '') as w
+        from documents
+    ),
+    nodes as (
+        select id, case when len(w) >= 4 then list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+                        when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s
+        from words
+    ),
+    shingles as (select id, len(s) as n, unnest(s) as x from nodes),
+    links as (
+        select a.id as a, b.id as b from shingles a join shingles b on a.x = b.x and a.id <> b.id
+        group by a.id, b.id having 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+    ),
+    {_REACH}
+    select id as doc_id, len(s)::bigint as n_shingles, component_id, id = component_id as kept from nodes join roots using (id)
+    """,
+    "op9_embedding_near_dedup": f"""
+    with recursive good as (
+        select vec_id as id, embedding::double[] as v from embeddings
+        where embedding is not null and len(embedding) > 0
+          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    nodes as (select vec_id as id from embeddings),
+    links as (
+        select a.id as a, b.id as b from good a join good b on a.id <> b.id and len(a.v) = len(b.v)
+        where list_cosine_similarity(a.v, b.v) >= 0.95
+    ),
+    counts as (select a as id, count(*) as n_links from links group by a),
+    {_REACH}
+    select id as vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, id = component_id as kept
+    from nodes join roots using (id) left join counts using (id)
+    """,
+}
