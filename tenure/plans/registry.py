@@ -855,7 +855,7 @@ def _scratch(spark, name):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
 
 
-@query("stream_ingest_upsert")
+@query("stream_ingest_upsert", O.with_ctes("ev_upsert") + "select * from ev_upsert")
 def q_stream_ingest(spark, sf):
     """Events landed one file set per day, streamed (availableNow) into a
     versioned table with a keyed upsert per micro-batch."""
@@ -1217,7 +1217,7 @@ def q_write_cox(spark, sf):
     return spark.read.parquet(paths["summary"])
 
 
-@query("job_ingest")
+@query("job_ingest", O.with_ctes("ev_upsert") + "select * from ev_upsert")
 def q_job_ingest(spark, sf):
     """Two incremental runs against a partitioned table: bootstrap with the
     first half of the events, then the watermark run over all landed events."""

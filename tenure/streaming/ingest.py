@@ -25,7 +25,8 @@ from tenure.plans.ingest_job import IngestConfig
 
 
 def _file_stream(spark: SparkSession, landing_dir: str, schema: StructType, files_per_trigger: int) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing_dir)
+    # columns found in folder names are not part of the rows
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing_dir).select(*schema.names)
 
 
 def stream_ingest_upsert(
