@@ -118,7 +118,3 @@ def feature_group(name: Column) -> Column:
 
 def clamp(col: Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(col, F.lit(lo)), F.lit(hi))
-
-
-def degrees_per_meter() -> float:
-    return 180.0 / (math.pi * EARTH_RADIUS_METERS)

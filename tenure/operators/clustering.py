@@ -55,11 +55,8 @@ def fit_location_clusters(
     # Businesses sharing a coordinate become one weighted point: the KMeans
     # objective and its Lloyd steps are identical, the input is smaller.
     weighted = coords.groupBy("business_latitude", "business_longitude").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    n_points = weighted.count()
     points = VectorAssembler(inputCols=["business_latitude", "business_longitude"], outputCol="features").transform(weighted)
-    # Each Lloyd iteration is one small job: few, large partitions keep the
-    # per-iteration task overhead down (about one partition per million points).
-    points = points.select("features", "w").coalesce(max(1, -(-n_points // 1_000_000))).persist()
+    points = points.select("features", "w").persist()
     # The reference's tolerance is relative: the summed squared centre shift
     # must fall below tol * mean feature variance.  MLlib stops when every
     # centre moves less than its tol, so per-centre sqrt(tol * var / k)

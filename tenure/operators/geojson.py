@@ -166,19 +166,6 @@ def geo_feature(businesses: DataFrame) -> DataFrame:
     )
 
 
-def nest_license_records(businesses: DataFrame, records: DataFrame, max_records: int = 10_000) -> DataFrame:
-    """Opt-in nested ``license_records`` (file order) for small exports.
-    Refuses when any business has more than ``max_records`` records, so a
-    group never grows without bound."""
-    worst = businesses.agg(F.max("license_count").alias("m")).first()["m"] or 0
-    if worst > max_records:
-        raise ValueError(f"a business has {worst} licence records (> {max_records}); write records as rows instead")
-    nested = records.groupBy("business_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("record_ordinal", "record"))), lambda s: s["record"]).alias("license_records")
-    )
-    return businesses.join(nested, "business_id", "left")
-
-
 def write_geojson(features: DataFrame, path: str) -> str:
     """Newline-delimited GeoJSON: one Feature per line, written by executors."""
     features.select(F.to_json("feature", {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)

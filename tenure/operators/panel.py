@@ -93,25 +93,16 @@ def _wide_counts(label_col: str, dictionary: FeatureDictionary) -> list:
     ]
 
 
-# Above this many generated columns an aggregate over the raw licence-months
-# would exceed spark.sql.codegen.maxFields and lose whole-stage codegen.
-WIDE_LIMIT = 50
-
-
-def license_month_counts(expanded: DataFrame, dictionary: FeatureDictionary, wide_limit: int = WIDE_LIMIT) -> DataFrame:
+def license_month_counts(expanded: DataFrame, dictionary: FeatureDictionary) -> DataFrame:
     """Per (business, month): distinct active licence numbers and non-distinct
     licence rows per category, 0-filled.
 
-    Few categories: one aggregate over the licence-months.  Many categories:
-    aggregate in long form first (narrow rows, codegen), pivot last over the
-    much smaller long form, and join the distinct counts on the same keys."""
-    if len(dictionary.columns) <= wide_limit:
-        return expanded.groupBy("business_id", "month").agg(
-            F.countDistinct("license_number").alias("active_license_count"),
-            *_wide_counts("business_category", dictionary),
-        )
-    long = expanded.groupBy("business_id", "month", "business_category").agg(F.count("license_number").alias("n"))
+    Categories are counted in long form first (narrow rows, whole-stage
+    codegen) and pivoted last over the much smaller long form; the distinct
+    counts are joined on the same keys."""
+    long = expanded.groupBy("business_id", "month", "business_category").agg(F.count(F.lit(1)).alias("n"))
     wide = long.groupBy("business_id", "month").agg(
+        F.sum("n").alias("_rows"),
         *[
             F.coalesce(F.sum(F.when(F.col("business_category").isin(dictionary.labels_for(c)), F.col("n"))), F.lit(0)).alias(c)
             for c in dictionary.columns
@@ -233,9 +224,3 @@ def merge_panel(
 def sort_panel(panel: DataFrame) -> DataFrame:
     """Rows of a business together and in month order, without a global sort."""
     return panel.repartition("business_id").sortWithinPartitions("business_id", "month")
-
-
-def category_columns(columns, prefix: str = CATEGORY_PREFIX) -> list[str]:
-    """Generated category/complaint columns of a frame (excludes the row sums)."""
-    reserved = {f"{CATEGORY_PREFIX}_sum"}
-    return sorted(c for c in columns if c.startswith(prefix + "_") and c not in reserved)

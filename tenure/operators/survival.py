@@ -3,7 +3,7 @@
 All operators here group or window on ``business_id``.  The panel holds at
 most one row per business-month, so a business's group is bounded by the
 number of months in the study window, whatever the data volume: repartition
-the panel by ``business_id`` once (``by_business``) and the window, the
+the panel by ``business_id`` once and the window, the
 survival summary and the first-year aggregate share that partitioning.
 """
 
@@ -21,11 +21,6 @@ STATIC_FIRST = ("business_latitude", "business_longitude", "location_cluster_lat
 SUM_COLUMNS = ("complaint_sum", "total_311")
 
 
-def by_business(panel: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Hash-partition the panel by business (one shuffle reused downstream)."""
-    return panel.repartition(partitions, "business_id") if partitions else panel.repartition("business_id")
-
-
 def restrict_study_window(panel: DataFrame, study_end) -> DataFrame:
     return panel.where(F.col("month") <= F.lit(study_end).cast("date"))
 
