@@ -53,13 +53,16 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-            if len(key) > self.longest:
-                return value
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(key) > self.longest:
+            return
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 def slices(batch, column: str, most_bytes: int = 8 << 20) -> Iterator:

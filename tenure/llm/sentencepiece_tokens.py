@@ -15,6 +15,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -161,7 +162,7 @@ class Codec:
         new = list({c for doc in docs for c in doc if len(c) <= self.known.longest} - self.known.keys() - self.known.old.keys())
         for at in range(0, len(new), 10_000):
             for c, x in zip(new[at : at + 10_000], self._new(new[at : at + 10_000])):
-                self.known[c] = x
+                self.known.put(c, x)
         out = []
         for doc in docs:
             parts = list(map(self.known.__getitem__, doc))
@@ -233,9 +234,9 @@ def decode(df: DataFrame, model: str, threads: int = 2, ids_col: str = "ids", to
     """``df`` with the text of each row's ids (null ids: null text); other columns stay."""
 
     @F.pandas_udf("string")
-    def texts(ids):
+    def texts(ids: pd.Series) -> pd.Series:
         codec = _codec(model, threads)
         got = codec.decode([[] if x is None else [int(i) for i in x] for x in ids])
-        return ids.__class__([None if x is None else t for x, t in zip(ids, got)], dtype=object)
+        return pd.Series([None if x is None else t for x, t in zip(ids, got)], dtype=object)
 
     return df.withColumn(to, texts(F.col(ids_col)))
