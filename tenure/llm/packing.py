@@ -14,6 +14,7 @@ round of rests, so no key or group can grow a task beyond its input split.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 
 import pyarrow as pa
@@ -55,12 +56,16 @@ def fill(sizes: list[int], capacity: int) -> list[list[int]]:
     return []
 
 
+#: Lower-case Latin letters that no normaliser changes.
+_LETTERS = "".join(c for c in map(chr, [*range(97, 123), *range(0xDF, 0x100)]) if c.isalpha())
+
+
 class Encoder:
     """Ids of whole texts as little-endian uint32 bytes.
 
     With ``by_space`` the texts are cut at plain spaces and line breaks and the
     pieces' ids are kept; this is exact for tokenizers that drop white space
-    and never join what stands on its two sides.
+    and split words from signs.
     """
 
     def __init__(self, path: str, by_space: bool = True):
@@ -70,14 +75,37 @@ class Encoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.by_space = by_space
-        self.memo = Memo(self.encode)
+        #: ASCII capitals may be lowered before, where no special token stands
+        self.lowers = by_space and self.encode("ABC Xyz") == self.encode("abc xyz")
+        self.memo = Memo(self._piece, 500_000)
+        self.plain = None  # words of these letters go to the model as they are
+        if by_space and self.tok.pre_tokenizer is not None:
+            found = {c: self.tok.pre_tokenizer.pre_tokenize_str(c) for c in _LETTERS}
+            self.mapped = {c: x[0][0] for c, x in found.items() if len(x) == 1}
+            words = [*_LETTERS, "hello", "straße", "élève", "pingüino", "internationalization"]
+            if len(self.mapped) == len(_LETTERS) and all(self._word(w) == self.encode(w) for w in words):
+                self.plain = re.compile(f"[{_LETTERS}]+")
 
     def encode(self, text: str) -> bytes:
         return b"".join(x.to_bytes(4, "little") for x in self.tok.encode(text, add_special_tokens=False).ids)
 
+    def _word(self, word: str) -> bytes:
+        mapped = "".join(map(self.mapped.__getitem__, word))
+        return b"".join(x.id.to_bytes(4, "little") for x in self.tok.model.tokenize(mapped))
+
+    def _piece(self, piece: str) -> bytes:
+        if self.plain and self.plain.fullmatch(piece):
+            return self._word(piece)
+        # the pre-tokenizer never joins letters with a sign after them
+        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
+            return self.memo[piece[:-1]] + self.memo[piece[-1]]
+        return self.encode(piece)
+
     def __call__(self, text: str) -> bytes:
         if not self.by_space:
             return self.encode(text)
+        if self.lowers and "<|" not in text:
+            text = text.encode().lower().decode()
         return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
 
 
