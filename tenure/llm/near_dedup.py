@@ -10,8 +10,9 @@ are then counted on whole signatures, and what passes is confirmed on the full
 shingle sets.
 
 A list of n sets never becomes n^2 pairs: in each round one member is compared
-with the others, and members that hang together already are left out.  What is
-still apart after the rounds is compared in blocks.
+with the others, and members that hang together already are left out.  For what is
+still apart after the rounds the same prefix argument is used once more, on the
+full sets: only pairs that can still reach the similarity are confirmed.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import save, slices
@@ -211,35 +212,40 @@ def _apart(lists: DataFrame, edges: DataFrame) -> DataFrame:
     return save(got.join(several, "token", "left_semi"), "near-apart")
 
 
-def _blocks(apart: DataFrame, active: DataFrame, matches: int, block: int) -> DataFrame:
-    """Pairs of different components in one list that share enough coordinates, found block by block."""
-    sizes = apart.groupBy("token").agg(F.count("*").alias("n"))
-    placed = apart.join(sizes, "token").join(active, "id")
-    count = F.ceil(F.col("n") / block).cast("int")
-    placed = placed.withColumn("blocks", count).withColumn("own", F.pmod(F.xxhash64("id"), count).cast("int"))
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select(
-        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component", "tokens"
-    )
-    kind = apart.schema["id"].dataType.simpleString()
+def _across(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that can reach the similarity, by prefixes of full sets.
 
-    def compare(pdf):
-        import pandas as pd
+    With a set's shingles ordered by rising frequency, a similar set shares one
+    of the first ``size - ceil(percent * size) + 1``.  Shingles that no other set has
+    come first and need no list, so sets with many of their own drop out.
+    """
+    who = apart.select("id", "component").distinct()
+    rows = sets.join(who, "id").select("id", "component", "shingles")
 
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        ids, comps = pdf["id"].to_numpy(), pdf["component"].to_numpy()
-        values, where = np.unique(np.concatenate([np.asarray(x) for x in pdf["tokens"]]), return_inverse=True)
-        rows = np.repeat(np.arange(len(pdf)), [len(x) for x in pdf["tokens"]])
-        hit = np.zeros((len(pdf), len(values)), np.float32)
-        hit[rows, where] = 1
-        ok = (hit @ hit.T >= matches) & (comps[:, None] != comps[None, :]) & (ids[:, None] < ids[None, :])
-        if i != j:  # within a block the pairs are found where both numbers are its own
-            own = pdf["own"].to_numpy()
-            ok &= own[:, None] != own[None, :]
-        a, b = np.nonzero(ok)
-        return pd.DataFrame({"a": ids[a], "b": ids[b]})
+    def spread(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                values = np.frombuffer(batch.column(2)[k].as_buffer(), np.int64)
+                n = len(values)
+                one = lambda c: pa.array([batch.column(c)[k].as_py()] * n, batch.schema.field(c).type)  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays([one(0), one(1), pa.array([n] * n, pa.int64()), pa.array(values)], ["id", "component", "size", "shingle"])
 
-    return spread.groupBy("token", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}").distinct()
+    kind = apart.schema["id"].dataType.simpleString()
+    posts = save(rows.mapInArrow(spread, f"id {kind}, component {kind}, size long, shingle long"), "near-shingles")
+    shared = posts.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    own = Window.partitionBy("id")
+    ranked = (
+        posts.join(shared, "shingle")
+        .withColumn("rank", F.row_number().over(own.orderBy("n", "shingle")) + F.col("size") - F.count("*").over(own))
+        .where(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
+    )
+    lists = save(ranked.select("shingle", "id", "component", "size"), "near-shingle-lists")
+    mixed = lists.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("shingle")
+    lists = lists.join(mixed, "shingle", "left_semi")
+    left = lists.select("shingle", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("size").alias("na"))
+    right = lists.select("shingle", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("size").alias("nb"))
+    pairs = left.join(right, "shingle").where("a < b and ca != cb").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    return pairs.select("a", "b").distinct()
 
 
 def near_duplicates(
@@ -248,8 +254,8 @@ def near_duplicates(
     percent: int = 80,
     coordinates: int = 48,
     matches: int = 26,
-    rounds: int = 3,
-    block: int = 256,
+    rounds: int = 2,
+    common_values: int = 8,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -288,19 +294,23 @@ def near_duplicates(
     sets = save(full_sets(src.join(lists.select("id").distinct(), "id", "left_semi"), words), "near-sets")
     confirm = lambda pairs: save(_confirm(pairs, signature, sets, matches, percent), "near-edges")
 
-    edges = confirm(lists.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
+    # first stars over each set's commonest values: they join large groups at once,
+    # whose prefixes hold only what few members have in common
+    common = active.select("id", F.explode(F.slice("hits", -common_values, common_values)).alias("hit")).select("id", "hit.token")
+    middle = common.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", "token").alias("h"), "id")).alias("c")).select("token", F.col("c.id").alias("centre"))
+    star = lambda df: df.where("id != centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+    edges = confirm(star(common.join(middle, "token")).unionByName(star(lists)).distinct())
     members = lists.select("token", "id")
     apart = _apart(members, edges)
     for r in range(1, rounds):
         if apart.isEmpty():
             break
         centre = apart.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", "token", F.lit(r)).alias("h"), "id", "component")).alias("c"))
-        star = apart.join(centre, "token").where("component != c.component")
-        star = star.select(F.least("id", F.col("c.id")).alias("a"), F.greatest("id", F.col("c.id")).alias("b")).distinct()
-        edges = edges.unionByName(confirm(star))
+        other = apart.join(centre, "token").where("component != c.component")
+        edges = edges.unionByName(confirm(star(other.select("id", F.col("c.id").alias("centre")))))
         apart = _apart(members, edges)
     if not apart.isEmpty():
-        edges = edges.unionByName(confirm(_blocks(apart, signature, matches, block)))
+        edges = edges.unionByName(confirm(_across(apart, sets, percent)))
 
     roots = components(edges).select(F.col("id").alias("node"), "component")
     of_key = nodes.join(roots, "node", "left").select("key", F.coalesce("component", "node").alias("component"))

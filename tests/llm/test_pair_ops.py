@@ -36,7 +36,7 @@ def test_near_duplicates_equal_brute_force(spark):
             if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
         ]
         want = roots(range(len(texts)), links)
-        got = near_dedup.near_duplicates(df, words=words, rounds=2, block=8).collect()
+        got = near_dedup.near_duplicates(df, words=words).collect()
         assert len(got) == len(rows)
         for r in got:
             if r.doc_id is not None:
@@ -53,11 +53,11 @@ def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_exhaustive_blocks_find_what_stars_leave(spark):
-    """One round only, so that all links between the copies come from the blocks."""
+def test_prefixes_find_what_stars_leave(spark):
+    """One round only, so that other links between the copies come from the full sets' prefixes."""
     texts = _texts()[:160]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    a = near_dedup.near_duplicates(df, rounds=1, block=4).select("doc_id", "component_id").collect()
+    a = near_dedup.near_duplicates(df, rounds=1).select("doc_id", "component_id").collect()
     b = near_dedup.near_duplicates(df, rounds=4).select("doc_id", "component_id").collect()
     assert sorted(a) == sorted(b)
 
