@@ -34,7 +34,7 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.learn(_learnable(spark, sf_dir, "text"), _labels(spark, sf_dir))
+    model = toxicity.learn(_learnable(spark, sf_dir, "text", "lang"), _labels(spark, sf_dir))
     scored = toxicity.score(table(spark, sf_dir, "documents"), model)
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 

@@ -1,17 +1,19 @@
 """Toxic text by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text.
-They share what zstandard's trainer finds in ordinary text; each adds the words
-that are far more frequent in its class.  A window of words is compressed with
-both, and the difference of the lengths says which class it is nearer to;
-windows without such words differ by nothing.  A text's score weighs its
-windows' differences against thresholds calibrated on labelled texts.
+Two zstandard dictionaries share what zstandard's trainer finds in ordinary and
+unlabelled text; each adds every word that is significantly more frequent in its
+class.  Words are compared within their language, and a repeated passage counts
+once.  A window of words is compressed with both, and the difference of the
+lengths says which class it is nearer to; windows without such words differ by
+nothing.  A text's score weighs its windows' differences against thresholds
+calibrated on labelled texts.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -20,9 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import logistic, sample_ids, slices, texts_of, without_copies
+from .common import logistic, sample_ids, save, slices
 
 _LEVEL, _WORDS, _LONGEST = 9, 12, 512
+_RUN, _SAMPLES, _SIGNS = 6, 100_000, ".,;:!?\"'()"
+#: Least likelihood ratio statistic of a class's word: one in a thousand at one degree of freedom.
+_SIGNIFICANT = 10.83
 
 
 class Model(NamedTuple):
@@ -66,59 +71,183 @@ class Scorer:
         return [d.mean(), *at, min(d.max(), 12.0), min((d >= 4).sum(), 8), n, at[1] * n]
 
 
-def _marked(a: Counter, b: Counter, na: int, nb: int) -> list[str]:
-    """Words of class a that lie furthest above their rate in class b, the strongest last."""
-    z = {}
-    for w, k in a.items():
-        expected = na * (b[w] + 1) / nb
-        if k >= 5:
-            z[w] = (k - expected) / math.sqrt(expected)
-    most = max(z.values(), default=0.0)
-    return sorted((w for w, v in z.items() if v > 3 and v >= 0.1 * most), key=lambda w: (z[w], w))
+def _runs(text: str) -> Iterator[tuple[str, str]]:
+    """Each word with the run of words that starts at it (at the end of the text, the last run)."""
+    words = text.lower().split()
+    last = max(0, len(words) - _RUN)
+    for i, w in enumerate(words):
+        k = min(i, last)
+        yield w, " ".join(words[k : k + _RUN])
 
 
-def fit(
-    toxic: list[str], ordinary: list[str], background: list[str] = [], base_size: int = 65536, marked_size: int = 2048  # noqa: B006
-) -> Model:
-    """Train both dictionaries and calibrate on the same labelled texts.
+def _least(sizes: dict[str, tuple[int, int]]) -> int:
+    """Texts that a word needs to be significant in any language, if one class holds them all."""
+    shares = [min(n) / sum(n) for n in sizes.values() if min(n) > 0]
+    return math.ceil(_SIGNIFICANT / (2 * math.log(1 / min(shares)))) if shares else 1
+
+
+def _marked(counts: dict[str, dict[str, tuple[int, int]]], sizes: dict[str, tuple[int, int]]) -> tuple[list[str], list[str]]:
+    """Toxic and ordinary words, the strongest last.
 
-    ``background`` is unlabelled text that adds to what both dictionaries share.
+    ``counts``: texts of both classes by word and language; ``sizes``: all texts
+    of both classes by language.  Texts with the word are expected to fall on the classes as
+    all texts of their language do; languages where only one class is labelled say nothing.
     """
+    strength: tuple[dict, dict] = {}, {}
+    for word, by_lang in counts.items():
+        both = [0, 0]
+        expected = 0.0
+        for lang, found in by_lang.items():
+            n = sizes[lang]
+            if min(n) > 0:
+                both = [both[0] + found[0], both[1] + found[1]]
+                expected += sum(found) * n[0] / sum(n)
+        total = sum(both)
+        g = 2 * sum(k * math.log(k / e) for k, e in zip(both, (expected, total - expected)) if k)
+        if g >= _SIGNIFICANT:
+            strength[both[0] < expected][word] = g
+    toxic, ordinary = (sorted(x, key=lambda w: (x[w], w)) for x in strength)
+    return toxic, ordinary
+
+
+def _contents(marks: tuple[list[str], list[str]], samples: list[bytes], base_size: int) -> tuple[bytes, bytes]:
+    """Both dictionaries' bytes, of one length: what they share lies equally far from a text."""
     import zstandard as z
 
-    share = len(toxic) / max(1, len(toxic) + len(ordinary))
-    none = np.zeros(10)
-    if not toxic or not ordinary:
-        return Model(b"", b"", none, none, none, share)
-    seen: set = set()
-    one, two = without_copies(toxic, seen), without_copies(ordinary, seen)
-    count = lambda texts: Counter(w for t in texts for w in set(t.lower().split()))
-    a, b = count(one), count(two)
-    samples = [x for t in [*two, *without_copies(background, seen)] for x in windows(t)][:100_000]
     try:
         base = z.train_dictionary(base_size, samples).as_bytes()
     except z.ZstdError:  # too few samples to train on: their text itself
         base = b"".join(samples)[-base_size:]
-    content = lambda words: "".join(f" {w} " for w in words).encode()[-marked_size:]
-    toxic_words = content(_marked(a, b, len(one), max(1, len(two))))
-    ordinary_words = content(_marked(b, a, max(1, len(two)), len(one)))[-len(toxic_words) :] if toxic_words else b""
-    scorer = Scorer(toxic_words + base, ordinary_words + base)
-    x = np.array([scorer.features(t) for t in [*toxic, *ordinary]])
-    y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
+    words = ["".join(f" {w} " for w in x).encode("utf-8", "replace") for x in marks]
+    if not words[0]:
+        return base, base
+    size = max(map(len, words))
+    return words[0].rjust(size, b"\xff") + base, words[1].rjust(size, b"\xff") + base
+
+
+def _calibrated(contents: tuple[bytes, bytes], x: np.ndarray, y: np.ndarray) -> Model:
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    return Model(toxic_words + base, ordinary_words + base, mean, scale, logistic((x - mean) / scale, y), share)
+    return Model(*contents, mean, scale, logistic((x - mean) / scale, y), float(y.mean()))
+
+
+def _untaught(toxic: int, ordinary: int) -> Model:
+    none = np.zeros(10)
+    return Model(b"", b"", none, none, none, toxic / max(1, toxic + ordinary))
+
+
+def fit(toxic: list[str], ordinary: list[str], background: list[str] = [], base_size: int = 65536, langs: list | None = None) -> Model:  # noqa: B006
+    """Train both dictionaries and calibrate on the same labelled texts.
+
+    ``background`` is unlabelled text that adds to what both dictionaries share;
+    ``langs`` are the languages of the toxic and then of the ordinary texts.
+    """
+    if not toxic or not ordinary:
+        return _untaught(len(toxic), len(ordinary))
+    texts = [*toxic, *ordinary]
+    langs = langs or [""] * len(texts)
+    seen, found, owners = set(), set(), set()
+    for k, (text, lang) in enumerate(zip(texts, langs)):
+        side = int(k >= len(toxic))
+        for word, run in _runs(text):
+            if (side, lang, word, run) not in seen:
+                seen.add((side, lang, word, run))
+                found.add((side, lang, word, k))
+                owners.add((side, lang, k))
+    sizes = Counter((side, lang) for side, lang, _ in owners)
+    tally = Counter((side, lang, word) for side, lang, word, _ in found)
+    counts: dict = {}
+    for _, lang, word in tally:
+        counts.setdefault(word, {})[lang] = (tally[0, lang, word], tally[1, lang, word])
+    marks = _marked(counts, {lang: (sizes[0, lang], sizes[1, lang]) for lang in set(langs)})
+    samples = list(dict.fromkeys(x for t in [*ordinary, *background] for x in _shared(t, set(marks[0]))))[:_SAMPLES]
+    contents = _contents(marks, samples, base_size)
+    scorer = Scorer(*contents)
+    y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
+    return _calibrated(contents, np.array([scorer.features(t) for t in texts]), y)
+
+
+def _occurrences(batches):
+    """Of (id, toxic, lang, text): a row for each word, with its run."""
+    for batch in batches:
+        ids, toxic, langs, texts = batch.columns
+        at, words, runs = [], [], []
+
+        def rows():
+            i = pa.array(at, pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [ids.take(i), toxic.take(i), langs.take(i), pa.array(words, pa.string()), pa.array(runs, pa.string())],
+                ["id", "toxic", "lang", "word", "run"],
+            )
+
+        for k, text in enumerate(texts):
+            for word, run in _runs(text.as_py()):
+                at.append(k)
+                words.append(word)
+                runs.append(run)
+                if len(at) >= 50_000:
+                    yield rows()
+                    at, words, runs = [], [], []
+        if at:
+            yield rows()
+
+
+def _shared(text: str, toxic: set[str]) -> list[bytes]:
+    """The windows without a toxic word, which would teach it to both dictionaries."""
+    return [x for x in windows(text) if toxic.isdisjoint(w for y in x.decode("utf-8", "replace").split() for w in (y, y.strip(_SIGNS)))]
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, chars: int = 8192) -> Model:
-    """Fit on at most ``per_class`` labelled texts of each class, cut at ``chars`` characters.
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, base_size: int = 65536) -> Model:
+    """Fit on at most ``per_class`` labelled texts of each class, read whole on the executors.
 
-    ``docs``: id, text; as many of them serve as background.  ``labels``: id, toxic (0 or 1;
-    other values and nulls are left out).
+    ``docs``: id, text and, where known, lang; as many of them, not labelled toxic, serve as background.  ``labels``: id, toxic
+    (0 or 1; other values and nulls are left out).  The driver gets counts of words, at most
+    100,000 windows and a few numbers for each labelled text.
     """
-    texts = [
-        [t for _, t in texts_of(docs, sample_ids(labels.where(F.col("toxic") == k), per_class), chars)] for k in (1, 0)
-    ]
-    return fit(*texts, [t for _, t in texts_of(docs, sample_ids(docs, per_class, salt=1), chars)])
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    texts = docs.select("id", F.struct(F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang")).alias("doc"))
+    bad = labels.where("toxic = 1").select("id")
+    ids = sample_ids(docs.join(bad, "id", "left_anti"), per_class, salt=1).withColumn("toxic", F.lit(-1))
+    for k in (0, 1):
+        ids = ids.union(sample_ids(labels.where(F.col("toxic") == k), per_class).withColumn("toxic", F.lit(k)))
+    parts = docs.sparkSession.sparkContext.defaultParallelism
+    picked = texts.join(F.broadcast(ids), "id").repartition(parts, "id", "toxic").groupBy("id", "toxic").agg(F.min("doc").alias("doc"))
+    sample = save(picked.select("id", "toxic", "doc.lang", "doc.text"), "toxicity-sample")
+    labelled = sample.where("toxic >= 0")
+
+    kind = sample.schema["id"].dataType.simpleString()
+    fields = f"id {kind}, toxic int, lang string, word string, run string"
+    owned = labelled.mapInArrow(_occurrences, fields).groupBy("toxic", "lang", "word", F.xxhash64("run").alias("run")).agg(F.min("id").alias("id"))
+    found = save(owned.select("toxic", "lang", "word", "id").distinct(), "toxicity-words")
+    sizes: dict = {}
+    for r in found.select("toxic", "lang", "id").distinct().groupBy("lang").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).collect():
+        sizes[r["lang"]] = (r["a"], r["b"])
+    classes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    if len(classes) < 2:
+        return _untaught(classes.get(1, 0), classes.get(0, 0))
+    by_word = found.groupBy("word", "lang").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    # words too rare to be significant wherever they stand stay on the executors
+    by_word = by_word.groupBy("word").agg(F.collect_list(F.struct("lang", "a", "b")).alias("by"), F.sum(F.col("a") + F.col("b")).alias("n"))
+    counts = {r["word"]: {x["lang"]: (x["a"], x["b"]) for x in r["by"]} for r in by_word.where(F.col("n") >= _least(sizes)).collect()}
+    marks = _marked(counts, sizes)
+
+    def shared(batches):
+        toxic = set(marks[0])
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(_shared(text.as_py(), toxic), pa.binary())], ["part"])
+
+    samples = sample.where("toxic <= 0").select("text").mapInArrow(shared, "part binary").distinct()
+    samples = [bytes(r["part"]) for r in samples.orderBy(F.xxhash64("part"), "part").limit(_SAMPLES).collect()]
+    contents = _contents(marks, samples, base_size)
+
+    def measured(batches):
+        scorer = Scorer(*contents)
+        for batch in batches:
+            x = [scorer.features(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
+
+    got = sorted((r["toxic"], r["x"]) for r in labelled.select("toxic", "text").mapInArrow(measured, "toxic int, x array<double>").collect())
+    return _calibrated(contents, np.array([x for _, x in got]), np.array([float(y) for y, _ in got]))
 
 
 _SCORERS: dict[int, Scorer] = {}

@@ -206,6 +206,35 @@ def test_toxicity_separates_and_takes_edge_cases(spark, docs):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def _taught(spark, texts):
+    """A toxicity model of (text, lang, toxic)."""
+    rows = [(k, *x) for k, x in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string, toxic int")
+    return toxicity.learn(df.select("id", "text", "lang"), df.select("id", "toxic"))
+
+
+def test_toxicity_keeps_words_of_small_languages(spark):
+    bad, rare = ["wretched", "vileness", "hateful", "rottenly"], [f"{x}obriqua" for x in "kzxvjqwp"]
+    other = [x[::-1] for x in PLAIN]
+    en = lambda k, toxic: _prose(k, PLAIN + bad * 3 * toxic, 60)
+    xx = lambda k, toxic: _prose(k, other + [rare[k % 8]] * 12 * toxic, 60)
+    texts = [(en(k, k % 3 == 0), "en", int(k % 3 == 0)) for k in range(450)]
+    texts += [(xx(k, k % 3 == 0), "xx", int(k % 3 == 0)) for k in range(1000, 1240)]
+    model = _taught(spark, texts)
+    assert all(x.encode() in model.toxic and x.encode() not in model.ordinary for x in bad + rare)
+    df = spark.createDataFrame([(k, xx(k, k % 2)) for k in range(3000, 3080)], "doc_id long, text string")
+    assert np.mean([r.predicted == r.doc_id % 2 for r in toxicity.score(df, model).collect()]) >= 0.9
+
+
+def test_toxicity_drops_repeated_passages_not_texts():
+    line = " this very line stands below each text here"
+    bad = ["wretched", "vileness", "hateful", "rottenly"]
+    model = toxicity.fit([_prose(k, PLAIN + bad, 80) + line for k in range(60)], [_prose(k, PLAIN, 80) for k in range(100, 220)])
+    assert all(x.encode() in model.toxic for x in bad)
+    copied = toxicity.fit([_prose(1, PLAIN + bad, 80)] * 60, [_prose(k, PLAIN, 80) for k in range(100, 220)])
+    assert b"wretched" not in copied.toxic
+
+
 def test_language_by_compression(spark, docs):
     words = {"aa": PLAIN, "bb": [x[::-1] for x in PLAIN]}
     rows = [(k, _prose(k, words[lang], 60).upper() if k % 5 == 0 else _prose(k, words[lang], 60), lang) for k in range(200) for lang in [("aa", "bb")[k % 2]]]
