@@ -75,7 +75,7 @@ class Encoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.by_space = by_space
-        #: ASCII capitals may be lowered before, where no special token stands
+        #: pieces of ASCII alone may be lowered before, where no special token stands
         self.lowers = by_space and self.encode("ABC Xyz") == self.encode("abc xyz")
         self.memo = Memo(self._piece, 500_000)
         self.plain = None  # words of these letters go to the model as they are
@@ -104,9 +104,14 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not self.by_space:
             return self.encode(text)
-        if self.lowers and "<|" not in text:
-            text = text.encode().lower().decode()
-        return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
+        lowers = self.lowers and "<|" not in text
+        if lowers and text.isascii():
+            text, lowers = text.lower(), False
+        pieces = text.replace("\n", " ").split(" ")
+        if lowers:
+            # a capital may compose with a mark after it in one case only
+            pieces = [x.lower() if x.isascii() else x for x in pieces]
+        return b"".join(map(self.memo.__getitem__, pieces))
 
 
 _ENCODERS: dict[tuple, Encoder] = {}

@@ -150,6 +150,14 @@ def test_packing_is_exact_and_gapless(spark, docs):
     assert packing.pack(docs.limit(0), path, end_id=2).count() == 0
 
 
+def test_packing_keeps_capitals_before_combining_marks():
+    encoder = _encoder(P.path("word_bpe_49k.json"))
+    pairs = ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a"]
+    texts = [f"{a}{x}{b} The End." for x in pairs for a in ("", "A ", "kA", "\n") for b in ("", "adith", ".", "É", " X")]
+    for text in texts:
+        assert encoder(text) == encoder.encode(text)
+
+
 _ENCODERS = {}
 
 
