@@ -5,9 +5,8 @@ borough, OR-within / AND-across facet filter).
 Every per-business value is an aggregate with map-side partial aggregation
 (``max``, ``sum``, ``count``, ``min_by`` over the file ordinal), so a business
 with a huge number of licences never lands whole in one task.  Licence
-records stay one row per record (ordered by the file ordinal); nesting them
-into each Feature is an opt-in for small exports, behind a size check.
-Features are written newline-delimited by the executors.
+records stay one row per record (with the file ordinal) and are written beside
+the Features, both newline-delimited by the executors.
 """
 
 from __future__ import annotations
@@ -172,6 +171,15 @@ def write_geojson(features: DataFrame, path: str) -> str:
     return path
 
 
+def write_license_records(features: DataFrame, meta: DataFrame, path: str) -> str:
+    """All licence records of the exported businesses, newline-delimited: one
+    {"business_id", "record_ordinal", "record"} per line."""
+    rows = license_record_rows(meta).join(features.select("business_id"), "business_id", "left_semi")
+    value = F.to_json(F.struct("business_id", "record_ordinal", "record"), {"ignoreNullFields": "false"})
+    rows.select(value.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
 def write_feature_collection(features: DataFrame, path: str, max_features: int = 100_000) -> str:
     """Opt-in single-document export ({"type": "FeatureCollection", ...}) for
     small maps.  One document means one task, so the feature count is

@@ -766,8 +766,22 @@ def q_geo_feature(spark, sf):
 
 @query("write_geojson")
 def q_write_geojson(spark, sf):
-    """Newline-delimited GeoJSON text (one Feature per line)."""
-    return geojson.geo_feature(_geo_businesses(spark, sf)).select(F.to_json("feature").alias("value"))
+    """Newline-delimited GeoJSON (one Feature per line) written and read back."""
+    path = geojson.write_geojson(geojson.geo_feature(_geo_businesses(spark, sf)), _scratch(spark, "geojson"))
+    return spark.read.text(path)
+
+
+@query("job_geojson")
+def q_job_geojson(spark, sf):
+    """Map export written and read back: the Features and their licence records."""
+    root = _scratch(spark, "map")
+    feats = geojson.geo_feature(_geo_businesses(spark, sf))
+    paths = {
+        "feature": geojson.write_geojson(feats, f"{root}/geojson"),
+        "license_record": geojson.write_license_records(feats, _geo_inputs(spark, sf)[1], f"{root}/license_records"),
+    }
+    feature, record = (spark.read.text(path).select(F.lit(kind).alias("kind"), "value") for kind, path in paths.items())
+    return feature.unionByName(record)
 
 
 @query("facet_table", O.with_ctes("gfacet") + "select * from gfacet")
@@ -1069,7 +1083,6 @@ for _name, _target in [
     ("coef_rank", "coef_summary_logistic"),
     ("ranked_predictions", "predict_profiles_logistic"),
     ("job_panel", "write_panel"),
-    ("job_geojson", "write_geojson"),
     ("job_cox", "cox_summary"),
     ("scan_panel", "write_panel"),
     ("relation_label", "risk_vs_baseline"),

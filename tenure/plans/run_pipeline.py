@@ -53,6 +53,7 @@ def run_pipeline(licenses_raw: DataFrame, requests_raw: DataFrame, metadata_raw:
         s = geojson.business_activity_summary(p, cfg.map_cutoff or cfg.model.study_end)
         feats = geojson.geo_feature(geojson.join_geo(s, geojson.business_license_metadata(meta)))
         summary["geojson_path"] = geojson.write_geojson(feats, f"{out}/geojson")
+        summary["license_records_path"] = geojson.write_license_records(feats, meta, f"{out}/license_records")
         if cfg.extra.get("feature_collection"):  # opt-in single document, size-checked
             summary["feature_collection_path"] = geojson.write_feature_collection(feats, f"{out}/feature_collection")
     summary_json = json.dumps(summary, default=str, sort_keys=True)

@@ -187,3 +187,39 @@ def test_feature_collection_export(spark, tmp_path):
     assert doc["type"] == "FeatureCollection" and len(doc["features"]) == 2
     with pytest.raises(ValueError):
         geojson.write_feature_collection(feats, str(tmp_path / "fc2"), max_features=1)
+
+
+def test_map_export_writes_nulls_and_records(spark, tmp_path, monkeypatch):
+    from tenure.plans import registry
+
+    meta = spark.createDataFrame(
+        [(1, "B1", 40.75, -73.9, "Queens", None), (2, "B1", 40.75, -73.9, "Queens", "7"), (3, "gone", 40.75, -73.9, "Bronx", "8")],
+        "record_ordinal long, business_id string, latitude double, longitude double, borough string, license_number string",
+    )
+    biz = spark.createDataFrame(
+        [("B1", 1, None, 2.0, 40.75, -73.9, None, 2)],
+        "business_id string, active int, last_month date, complaint_sum double, latitude double, longitude double, first_borough string, license_count long",
+    )
+    monkeypatch.setattr(registry, "_geo_businesses", lambda spark, sf: biz)
+    monkeypatch.setattr(registry, "_geo_inputs", lambda spark, sf: (None, meta))
+    props = json.loads(registry.QUERIES["write_geojson"](spark, "").first().value)["properties"]
+    assert props["borough"] is None and props["last_month"] is None
+    rows = registry.QUERIES["job_geojson"](spark, "").collect()
+    records = sorted((json.loads(r.value) for r in rows if r.kind == "license_record"), key=lambda r: r["record_ordinal"])
+    assert [(r["business_id"], r["record"]["license_number"]) for r in records] == [("B1", None), ("B1", "7")]
+    assert [r.kind for r in rows].count("feature") == 1
+
+
+def test_pipeline_writes_license_records(spark, tmp_path):
+    from tenure.config import ModelSettings
+    from tenure.plans.run_pipeline import PipelineConfig, run_pipeline
+    from tenure.sources import fixtures
+
+    sf = "/root/testdata/sf0.001"
+    cfg = PipelineConfig(output_dir=str(tmp_path / "run"), model=ModelSettings(study_end=dt.date(2001, 1, 1)), stages=("geojson",))
+    summary = run_pipeline(fixtures.licenses(spark, sf), fixtures.requests(spark, sf), fixtures.license_metadata(spark, sf), cfg)
+    features = [json.loads(r.value)["properties"] for r in spark.read.text(summary["geojson_path"]).collect()]
+    records = [json.loads(r.value) for r in spark.read.text(summary["license_records_path"]).collect()]
+    assert features and {r["business_id"] for r in records} == {p["business_id"] for p in features}
+    assert len(records) == sum(p["license_count"] for p in features)
+    assert all(r["record"]["address_zip"] is None for r in records)
