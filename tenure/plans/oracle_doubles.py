@@ -38,6 +38,7 @@ DOUBLE_COLUMNS = {
     'safe_divide': ['accuracy', 'recall'],
     'scan_license_metadata': ['latitude', 'longitude'],
     'scan_licenses_requests': ['latitude', 'longitude'],
+    'scan_service_requests': ['latitude', 'longitude'],
     'scan_panel_map': ['complaint_sum'],
     'scenario_profiles_cox': ['active_license_count', 'business_category_1_urgent', 'business_category_2_high', 'business_category_3_medium', 'business_category_4_not_specified', 'business_category_5_low', 'complaint_type_click', 'complaint_type_error', 'complaint_type_purchase', 'complaint_type_signup', 'complaint_type_view', 'business_latitude', 'business_longitude'],
     'scenario_profiles_logistic': ['active_license_count_first12m_mean', 'business_category_1_urgent_first12m_max', 'business_category_2_high_first12m_max', 'business_category_3_medium_first12m_max', 'business_category_4_not_specified_first12m_max', 'business_category_5_low_first12m_max', 'complaint_type_click_first12m_sum', 'complaint_type_error_first12m_sum', 'complaint_type_purchase_first12m_sum', 'complaint_type_signup_first12m_sum', 'complaint_type_view_first12m_sum', 'business_latitude_first12m_first', 'business_longitude_first12m_first', 'observed_months_in_first_window'],

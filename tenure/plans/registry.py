@@ -1019,24 +1019,37 @@ def q_cox_summary(spark, sf):
 
 
 # ------------------------------------------------- 2.1/2.2 files + jobs ----
-@query("scan_licenses_requests", O.with_ctes("lic") + "select business_id, license_number, business_category, license_status,"
-       " issue_date, expire_date, latitude, longitude, issue_month, expire_month from lic")
-def q_scan_csv(spark, sf):
-    """Licences written in the raw export layout (header names, M/d/yyyy
-    dates, text coordinates), read back as strings and cleaned."""
-    from tenure.config import LICENSE_HEADER_MAP
+def _scanned_csv(spark, sf):
+    """Both exports written in their raw layout (header names, M/d/yyyy dates,
+    text coordinates) and read back as strings: licences, requests."""
+    from tenure.config import LICENSE_HEADER_MAP, REQUEST_HEADER_MAP, REQUEST_TS_FORMAT
     from tenure.sources import readers
 
     root = _scratch(spark, "csv")
     readers.write_source_csv(fixtures.licenses(spark, sf), f"{root}/licenses", LICENSE_HEADER_MAP,
                              {"issue_date": "M/d/yyyy", "expire_date": "MM/dd/yyyy"})
-    raw = readers.read_source_csv(spark, f"{root}/licenses", LICENSE_HEADER_MAP, ["License Number", "Business Unique ID"])
-    return cleaning.clean_licenses(raw).select(
+    readers.write_source_csv(fixtures.requests(spark, sf), f"{root}/requests", REQUEST_HEADER_MAP, {"created_date": REQUEST_TS_FORMAT})
+    return readers.load_source_data(spark, f"{root}/licenses", f"{root}/requests")
+
+
+@query("scan_licenses_requests", O.with_ctes("lic") + "select business_id, license_number, business_category, license_status,"
+       " issue_date, expire_date, latitude, longitude, issue_month, expire_month from lic")
+def q_scan_csv(spark, sf):
+    """Licences of the raw exports, cleaned."""
+    return cleaning.clean_licenses(_scanned_csv(spark, sf)[0]).select(
         "business_id", "license_number", "business_category", "license_status", "issue_date", "expire_date",
         "latitude", "longitude", "issue_month", "expire_month",
     )
 
 
+@query("scan_service_requests", O.with_ctes("req") + "select unique_key, complaint_type, created_date, latitude, longitude, month from req")
+def q_scan_requests_csv(spark, sf):
+    """Requests of the raw exports, cleaned."""
+    return cleaning.clean_service_requests(_scanned_csv(spark, sf)[1]).select(
+        "unique_key", "complaint_type", "created_date", "latitude", "longitude", "month"
+    )
+
+
 @query("write_panel")
 def q_write_panel(spark, sf):
     """Panel written (partitioned by year, business-ordered) and scanned back."""
@@ -1223,11 +1236,15 @@ alias("scan_model_artifacts", "write_logistic_artifacts")
 
 @query("write_cox_artifacts")
 def q_write_cox(spark, sf):
+    """Artifacts of both Cox models written, their summaries read back."""
     from tenure.plans.cox_job import save_cox_artifacts
 
     root = _scratch(spark, "cox")
-    paths = save_cox_artifacts(_cox_runs(spark, sf)["standard"], root)
-    return spark.read.parquet(paths["summary"])
+    standard, varying = (
+        spark.read.parquet(save_cox_artifacts(_cox_runs(spark, sf)[kind], root)["summary"]).withColumn("model", F.lit(kind))
+        for kind in ("standard", "time_varying")
+    )
+    return standard.unionByName(varying)
 
 
 @query("job_ingest", O.with_ctes("ev_upsert") + "select * from ev_upsert")

@@ -64,5 +64,5 @@ def write_source_csv(df: DataFrame, path: str, header_map: dict, date_cols: dict
             continue
         v = F.date_format(F.col(c), date_cols[c]) if c in date_cols else F.col(c).cast("string")
         cols.append(v.alias(inv[c]))
-    df.select(*cols).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path

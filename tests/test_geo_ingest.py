@@ -223,3 +223,26 @@ def test_pipeline_writes_license_records(spark, tmp_path):
     assert features and {r["business_id"] for r in records} == {p["business_id"] for p in features}
     assert len(records) == sum(p["license_count"] for p in features)
     assert all(r["record"]["address_zip"] is None for r in records)
+
+
+def test_both_csv_exports_are_read_back(spark, monkeypatch):
+    from tenure.plans import registry
+
+    kind = "unique_key string, complaint_type string, created_date timestamp, latitude double, longitude double"
+    rows = [("1", 'Noise, "loud"', dt.datetime(2024, 1, 5, 13, 2, 3), 40.75, -73.9), ("2", "two\nlines", dt.datetime(2024, 2, 5), 40.7, -74.0)]
+    monkeypatch.setattr(registry.fixtures, "requests", lambda spark, sf: spark.createDataFrame(rows, kind))
+    got = registry.QUERIES["scan_service_requests"](spark, "/root/testdata/sf0.001").orderBy("unique_key").collect()
+    assert [tuple(r)[:5] for r in got] == rows
+
+
+def test_scan_service_requests_matches_its_oracle(spark):
+    from tests.tools_check import compare
+
+    assert compare(spark, "/root/testdata/sf0.001", "scan_service_requests")
+
+
+def test_cox_artifacts_hold_both_models(spark):
+    from tenure.plans import registry
+
+    kinds = {r.model for r in registry.QUERIES["write_cox_artifacts"](spark, "/root/testdata/sf0.001").select("model").distinct().collect()}
+    assert kinds == {"standard", "time_varying"}
