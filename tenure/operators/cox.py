@@ -45,6 +45,7 @@ class CoxModel:
     n_rows: int
     baseline: pd.DataFrame | None = None  # time, baseline_hazard, baseline_cumulative_hazard
     extra: dict = field(default_factory=dict)
+    converged: bool = True  # False where the step limit ended the fit
 
     def summary_rows(self) -> list[tuple]:
         se = np.sqrt(np.diag(self.variance))
@@ -55,14 +56,14 @@ class CoxModel:
             lo, hi = b - Z95 * s, b + Z95 * s
             rows.append(
                 (name, float(b), math.exp(b), float(s), float(lo), float(hi), math.exp(lo), math.exp(hi), 0.0,
-                 float(z), float(p), float(-math.log2(p)) if p > 0 else float("inf"), abs(float(b)))
+                 float(z), float(p), float(-math.log2(p)) if p > 0 else float("inf"), abs(float(b)), self.converged)
             )
         return rows
 
 
 SUMMARY_SCHEMA = (
     "feature string, coef double, exp_coef double, se_coef double, coef_lower_95 double, coef_upper_95 double, "
-    "exp_coef_lower_95 double, exp_coef_upper_95 double, cmp_to double, z double, p double, neg_log2_p double, abs_coef double"
+    "exp_coef_lower_95 double, exp_coef_upper_95 double, cmp_to double, z double, p double, neg_log2_p double, abs_coef double, converged boolean"
 )
 
 
@@ -276,7 +277,7 @@ def fit_cox(
         return ll, ef, stats
 
     ll, ef, stats = evaluate(beta)
-    step, it = 1.0, 0
+    step, it, converged = 1.0, 0, False
     for it in range(1, max_steps + 1):
         h2 = _pass_b(model_data, features, beta, mean, std, has_start, ef["times"], ef["C"], ef["e"])
         grad = ef["grad"] - penalizer * n * beta
@@ -291,13 +292,14 @@ def fit_cox(
         beta, ll, ef, stats = cand, new_ll, new_ef, new_stats
         step = min(1.0, step * 2)
         if np.linalg.norm(step * delta) < precision or np.linalg.norm(delta) < precision:
+            converged = True
             break
     h2 = _pass_b(model_data, features, beta, mean, std, has_start, ef["times"], ef["C"], ef["e"])
     hess = -(h2 - ef["h1"]) - penalizer * n * np.eye(d)
     var_norm = np.linalg.inv(-hess)
     coef = beta / std
     variance = var_norm / np.outer(std, std)
-    model = CoxModel(list(features), coef, variance, mean, ll, it, n)
+    model = CoxModel(list(features), coef, variance, mean, ll, it, n, converged=converged)
     if baseline:
         model.baseline = _breslow(stats, d)
     return model

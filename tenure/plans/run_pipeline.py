@@ -47,7 +47,7 @@ def run_pipeline(licenses_raw: DataFrame, requests_raw: DataFrame, metadata_raw:
         summary["cox"] = {}
         for kind, r in runs.items():
             save_cox_artifacts(r, f"{out}/cox")
-            summary["cox"][kind] = {"features": len(r.selection.kept_columns), "iterations": r.model.iterations, "rows": r.model.n_rows}
+            summary["cox"][kind] = {"features": len(r.selection.kept_columns), "iterations": r.model.iterations, "converged": r.model.converged, "rows": r.model.n_rows}
     if "geojson" in cfg.stages and metadata_raw is not None:
         p, meta = geojson.prepare_geojson_inputs(panel_df, metadata_raw)
         s = geojson.business_activity_summary(p, cfg.map_cutoff or cfg.model.study_end)

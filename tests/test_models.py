@@ -178,3 +178,12 @@ def test_rank_statistics_single_class_is_null(spark):
     assert row.roc_auc is None and row.mannwhitney_z is None and row.tp == 1
     one = evaluation.evaluate_classifier(df.limit(1), "y", "p", "pred").first()
     assert one.roc_auc is None
+
+
+def test_cox_says_whether_it_converged(spark):
+    rng = np.random.default_rng(6)
+    rows = [(float(a), float(t), float(e)) for a, t, e in zip(rng.normal(size=80), rng.integers(1, 9, 80), rng.random(80) < 0.6)]
+    df = spark.createDataFrame(rows, "a double, stop double, event double")
+    whole, cut = (cox.fit_cox(df, ["a"], "stop", "event", max_steps=k) for k in (50, 1))
+    assert whole.converged and not cut.converged
+    assert [r.converged for r in cox.summary_frame(spark, cut).collect()] == [False]
