@@ -234,6 +234,16 @@ def test_toxicity_keeps_words_of_small_languages(spark):
     assert np.mean([r.predicted == r.doc_id % 2 for r in toxicity.score(df, model).collect()]) >= 0.9
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    bad = ["wretched", "vileness", "hateful", "rottenly"]
+    late = lambda k, toxic: _prose(k, PLAIN, 1700) + " " + _prose(k + 9000, PLAIN + bad * 9 * toxic, 60)
+    texts = [(late(k, k % 2), "en", k % 2) for k in range(80)]
+    assert all(len(t) > 8192 + 300 for t, _, _ in texts)
+    model = _taught(spark, texts)
+    df = spark.createDataFrame([(k, late(k, k % 2)) for k in range(3000, 3040)], "doc_id long, text string")
+    assert np.mean([r.predicted == r.doc_id % 2 for r in toxicity.score(df, model).collect()]) >= 0.9
+
+
 def test_toxicity_drops_repeated_passages_not_texts():
     line = " this very line stands below each text here"
     bad = ["wretched", "vileness", "hateful", "rottenly"]
