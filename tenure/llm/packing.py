@@ -96,9 +96,11 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         if self.plain and self.plain.fullmatch(piece):
             return self._word(piece)
-        # the pre-tokenizer never joins letters with a sign after them
-        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
-            return self.memo[piece[:-1]] + self.memo[piece[-1]]
+        # the pre-tokenizer joins a sign with a mark before it, and the normaliser makes
+        # letters plus marks of some letters: only words of plain letters are cut off
+        word = piece[:-1]
+        if piece[-1:] in (".", ",") and (word.isascii() and word.isalpha() or self.plain and self.plain.fullmatch(word)):
+            return self.memo[word] + self.memo[piece[-1]]
         return self.encode(piece)
 
     def __call__(self, text: str) -> bytes:

@@ -161,6 +161,18 @@ def test_packing_keeps_capitals_before_combining_marks():
 _ENCODERS = {}
 
 
+def test_packing_signs_after_every_letter():
+    path = P.path("word_bpe_49k.json")
+    fast = packing.Encoder(path)
+    words = [chr(c) for c in range(0x30000) if chr(c).isalpha()]
+    for sign in ".,":
+        want = fast.tok.encode_batch([w + sign for w in words], add_special_tokens=False)
+        bad = [w for w, x in zip(words, want) if fast(w + sign) != b"".join(i.to_bytes(4, "little") for i in x.ids)]
+        assert not bad
+    for text in ("YEN\u0130.", "a\u0958, b.", "caf\u00e9. na\u00efve, Stra\u00dfe."):
+        assert fast(text) == fast.encode(text)
+
+
 def _encoder(path):
     return _ENCODERS.setdefault(path, None) or _ENCODERS.__setitem__(path, packing.Encoder(path)) or _ENCODERS[path]
 
