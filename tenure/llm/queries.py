@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, embedding_dedup, language_id, near_dedup, packing, pii, quality_classifier, quality_rules, sentencepiece_tokens, token_counts, toxicity
+from . import chat_format, embedding_dedup, hard_negatives, language_id, near_dedup, packing, pii, quality_classifier, quality_rules, sentencepiece_tokens, token_counts, toxicity
 from .common import held_out, table
 
 
@@ -89,6 +89,12 @@ def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_chat(told.unionByName(odd)))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    mixed = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(mixed, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -101,6 +107,7 @@ QUERIES = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_chat_formatting": op11_chat_formatting,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: Smallest id reachable over ``links(a, b)`` (both directions) from ``nodes(id)``.
@@ -169,4 +176,27 @@ ORACLE: dict[str, str] = {
                           when role = 'assistant' then 9 else 20 + length(role) end))::bigint as formatted_chars
     from marked group by conv_id
     """,
+    "op13_hard_negatives": """
+    with part as (
+        select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * x::double)) as v
+        from embeddings
+        where vec_id is not null and label is not null and embedding is not null
+          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ),
+    scores as (
+        select a.id as anchor, b.id as id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+        from part a join part b on a.id <> b.id and len(a.v) = len(b.v) where a.id % 50 = 0
+    ),
+    positives as (
+        select anchor, id as positive, score as p from scores where same
+        qualify row_number() over (partition by anchor order by score desc, id) <= 5
+    ),
+    ranked as (
+        select anchor, positive, p, s.id as id, score, row_number() over (partition by anchor, positive order by score desc, s.id) as rank
+        from positives join scores s using (anchor) where not same and 50 * p <= 100 * score and 100 * score <= 95 * p
+    )
+    select anchor as anchor_id, positive as positive_id, rank::int as rank, id as negative_id, p as positive_score, score as negative_score
+    from ranked where rank <= 3
+    """,
 }
