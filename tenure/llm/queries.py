@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, embedding_dedup, hard_negatives, language_id, near_dedup, packing, pii, quality_classifier, quality_rules, sentencepiece_tokens, token_counts, toxicity
+from . import chat_format, conversation_repair, embedding_dedup, hard_negatives, language_id, near_dedup, packing, pii, quality_classifier, quality_rules, sentencepiece_tokens, token_counts, toxicity
 from .common import held_out, table
 
 
@@ -89,6 +89,11 @@ def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_chat(told.unionByName(odd)))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations")
+    return conversation_repair.digest(conversation_repair.repair(conversation_repair.damaged(told)), told)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     mixed = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
@@ -107,6 +112,7 @@ QUERIES = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_chat_formatting": op11_chat_formatting,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
