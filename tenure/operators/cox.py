@@ -9,7 +9,7 @@ Per Newton iteration, two passes over the data (cached / checkpointed):
 A. per distinct time: S0 = Σ w, S1 = Σ w·x over rows with that stop (and,
    negated, over rows with that start), plus event count, Σ x and Σ w, Σ w·x
    over the events.  Partitions emit partial sums (``mapInPandas``), a
-   ``groupBy(kind, time)`` adds them.  Driver state: times × d.
+   ``groupBy(kind, time)`` adds them in the JVM.  Driver state: times × d.
 B. the second-order term Σ_t Σ_l (S2 - l/d·A2)/φ_l collapses into one
    weighted Gram matrix Σ_i ω_i x_i x_iᵀ with ω_i = w_i (C(stop_i) - C(start_i)
    - event_i·e(stop_i)), where C and e are per-time scalars from pass A; one
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -72,15 +73,66 @@ def summary_frame(spark, model: CoxModel) -> DataFrame:
     return spark.createDataFrame(model.summary_rows(), SUMMARY_SCHEMA).orderBy(F.desc("abs_coef"), "feature")
 
 
+# ------------------------------------------------------------- tied events --
+_DIRECT, _NODES = 64, 16  # terms summed one by one; nodes of a longer block
+
+
+def _block_rule(m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and weights of the sum over 0..m-1 (Gauss rule of the uniform
+    discrete measure: the eigenvalues of the Gram polynomials' recurrence)."""
+    j = np.arange(1, _NODES, dtype=float)
+    off = np.sqrt(j * j * (float(m) * m - j * j) / (4.0 * (4.0 * j * j - 1.0)))
+    nodes, vectors = np.linalg.eigh(np.diag(np.full(_NODES, (m - 1) / 2.0)) + np.diag(off, 1) + np.diag(off, -1))
+    return nodes, m * vectors[0] ** 2
+
+
+@lru_cache(maxsize=4096)
+def tie_rule(d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes l and weights w with Σ_{l<d} f(l) = Σ w·f(l) for the Efron terms.
+
+    The terms are smooth functions of l whose pole lies at or beyond d.  The
+    last 64 are taken one by one; before them come blocks that double in
+    length, each at least its own length away from the pole, so 16 nodes
+    a block give the sum to machine precision.  The length is of the order
+    of log d."""
+    lo = max(0, d - _DIRECT)
+    nodes, weights = [np.arange(lo, d, dtype=float)], [np.ones(d - lo)]
+    size = _DIRECT
+    while lo > 0:
+        m = min(size, lo)
+        lo, size = lo - m, size * 2
+        x, w = (np.arange(m, dtype=float), np.ones(m)) if m <= _NODES else _block_rule(m)
+        nodes.append(lo + x)
+        weights.append(w)
+    return np.concatenate(nodes[::-1]), np.concatenate(weights[::-1])
+
+
 # ----------------------------------------------------------------- pass A --
-_A_SCHEMA = "kind int, time double, s0 double, s1 array<double>, d long, a0 double, a1 array<double>, xd array<double>"
+@dataclass
+class TimeSums:
+    """Sums per distinct time, in order: weights, weighted features, events
+    and their sums (Σ w, Σ w·x, Σ x over the events)."""
+
+    time: np.ndarray
+    s0: np.ndarray
+    s1: np.ndarray
+    d: np.ndarray
+    a0: np.ndarray
+    a1: np.ndarray
+    xd: np.ndarray
+
+    @staticmethod
+    def of(rows: list, d: int) -> "TimeSums":
+        v = np.array([list(r)[1:] for r in sorted(rows, key=lambda r: r["time"])], dtype=float).reshape(len(rows), 4 + 3 * d)
+        return TimeSums(v[:, 0], v[:, 1], v[:, 4:4 + d], v[:, 2].astype(np.int64), v[:, 3], v[:, 4 + d:4 + 2 * d], v[:, 4 + 2 * d:])
 
 
 def _pass_a(data: DataFrame, features: list[str], beta: np.ndarray, mean: np.ndarray, std: np.ndarray, has_start: bool) -> dict:
     d = len(features)
 
     def part(it):
-        # sums by (kind, time) over all batches of the partition
+        # one vector of sums by (kind, time) over all batches of the partition:
+        # s0, events, a0, s1, a1, xd
         sums: dict = {}
         for pdf in it:
             if pdf.empty:
@@ -88,110 +140,83 @@ def _pass_a(data: DataFrame, features: list[str], beta: np.ndarray, mean: np.nda
             x = (pdf[features].to_numpy(dtype=float) - mean) / std
             w = np.exp(x @ beta)
             ev = pdf["event"].to_numpy(dtype=float)
-            keys = [(1, pdf["stop"].to_numpy(dtype=float))]
+            wx = w[:, None] * x
+            none = np.zeros((len(w), 2 + 2 * d))
+            full = np.c_[w, ev, w * ev, wx, wx * ev[:, None], x * ev[:, None]]
+            kinds = [(1, "stop", full)]
             if has_start:
-                keys.append((0, pdf["start"].to_numpy(dtype=float)))
-            for kind, tvals in keys:
+                kinds.append((0, "start", np.c_[w, none[:, :2], wx, none[:, 2:]]))
+            for kind, col, values in kinds:
                 # group rows by time with one sort, then segment sums
+                tvals = pdf[col].to_numpy(dtype=float)
                 order = np.argsort(tvals, kind="stable")
                 ts = tvals[order]
                 starts = np.flatnonzero(np.r_[True, ts[1:] != ts[:-1]])
-                times = ts[starts]
-                m = len(times)
-                wx = (w[:, None] * x)[order]
-                s0 = np.add.reduceat(w[order], starts)
-                s1 = np.add.reduceat(wx, starts, axis=0)
-                if kind == 1:
-                    evo = ev[order]
-                    dd = np.add.reduceat(evo, starts).astype(np.int64)
-                    a0 = np.add.reduceat(w[order] * evo, starts)
-                    a1 = np.add.reduceat(wx * evo[:, None], starts, axis=0)
-                    xd = np.add.reduceat(x[order] * evo[:, None], starts, axis=0)
-                else:
-                    dd = np.zeros(m, dtype=np.int64)
-                    a0 = np.zeros(m)
-                    a1 = xd = np.zeros((m, d))
-                for k in range(m):
-                    new = [s0[k], s1[k], int(dd[k]), a0[k], a1[k], xd[k]]
-                    have = sums.get((kind, times[k]))
-                    sums[kind, times[k]] = new if have is None else [a + b for a, b in zip(have, new)]
+                for t, v in zip(ts[starts], np.add.reduceat(values[order], starts, axis=0)):
+                    sums[kind, t] = sums[kind, t] + v if (kind, t) in sums else v
         if sums:
-            cols = list(zip(*sums.values()))
-            yield pd.DataFrame({
-                "kind": [k for k, _ in sums], "time": [t for _, t in sums], "s0": cols[0], "s1": cols[1], "d": cols[2],
-                "a0": cols[3], "a1": cols[4], "xd": cols[5],
-            })
-
-    def combine(pdf):
-        return pd.DataFrame({
-            "kind": [int(pdf["kind"].iloc[0])], "time": [float(pdf["time"].iloc[0])], "s0": [pdf["s0"].sum()],
-            "s1": [np.sum(np.stack(pdf["s1"].to_numpy()), axis=0)], "d": [int(pdf["d"].sum())], "a0": [pdf["a0"].sum()],
-            "a1": [np.sum(np.stack(pdf["a1"].to_numpy()), axis=0)], "xd": [np.sum(np.stack(pdf["xd"].to_numpy()), axis=0)],
-        })
+            yield pd.DataFrame({"kind": [k for k, _ in sums], "time": [t for _, t in sums], "v": list(sums.values())})
 
     cols = features + ["stop", "event"] + (["start"] if has_start else [])
-    partial = data.select(*cols).mapInPandas(part, _A_SCHEMA)
-    # added in two levels, so that one time's partials of all partitions never meet in one task
-    spread = _spread(data)
-    partial = partial.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(spread)))
-    rows = partial.groupBy("kind", "time", "g").applyInPandas(combine, _A_SCHEMA).groupBy("kind", "time").applyInPandas(combine, _A_SCHEMA).collect()
-    stop = sorted((r for r in rows if r["kind"] == 1), key=lambda r: r["time"])
-    start = sorted((r for r in rows if r["kind"] == 0), key=lambda r: r["time"])
-    return {"stop": stop, "start": start, "d": d}
-
-
-def _spread(data: DataFrame) -> int:
-    """Groups of the first level: the square root of the number of partitions."""
-    return max(1, int(np.ceil(np.sqrt(data.rdd.getNumPartitions()))))
+    partial = data.select(*cols).mapInPandas(part, "kind int, time double, v array<double>")
+    # the partitions' vectors are added position by position in the JVM
+    total = partial.groupBy("kind", "time").agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(3 + 3 * d)])
+    rows = total.collect()
+    return {
+        kind: TimeSums.of([r for r in rows if r["kind"] == k], d)
+        for kind, k in (("stop", 1), ("start", 0))
+    }
 
 
-def _suffix(rows, times, d):
+def _suffix(sums: TimeSums, times: np.ndarray):
     """Σ over rows with key >= t, for each t in ``times`` (both sorted)."""
-    if not rows:
-        return np.zeros(len(times)), np.zeros((len(times), d))
-    keys = np.array([r["time"] for r in rows])
-    s0 = np.array([r["s0"] for r in rows])
-    s1 = np.array([np.asarray(r["s1"], dtype=float) for r in rows]).reshape(len(rows), d)
-    c0 = np.concatenate([np.cumsum(s0[::-1])[::-1], [0.0]])
-    c1 = np.vstack([np.cumsum(s1[::-1], axis=0)[::-1], np.zeros((1, d))])
-    idx = np.searchsorted(keys, times, side="left")
+    c0 = np.concatenate([np.cumsum(sums.s0[::-1])[::-1], [0.0]])
+    c1 = np.vstack([np.cumsum(sums.s1[::-1], axis=0)[::-1], np.zeros((1, sums.s1.shape[1]))])
+    idx = np.searchsorted(sums.time, times, side="left")
     return c0[idx], c1[idx]
 
 
+def risk_sums(stats: dict, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """S0 and S1 of the rows at risk at each of ``times``."""
+    s0, s1 = _suffix(stats["stop"], times)
+    if len(stats["start"].time):
+        # rows whose start is >= t are not yet at risk at t
+        q0, q1 = _suffix(stats["start"], times)
+        s0, s1 = s0 - q0, s1 - q1
+    return s0, s1
+
+
 def _efron(stats: dict) -> dict:
     """Log-likelihood, gradient, the first-moment part of the Hessian and the
     per-time scalars C(t) = Σ_l 1/φ_l, e(t) = Σ_l (l/d)/φ_l."""
-    d = stats["d"]
-    ev_rows = [r for r in stats["stop"] if r["d"] > 0]
-    times = np.array([r["time"] for r in ev_rows])
-    r_s0, r_s1 = _suffix(stats["stop"], times, d)
-    if stats["start"]:
-        # rows whose start is >= t are not yet at risk at t
-        q0, q1 = _suffix(stats["start"], times, d)
-        r_s0, r_s1 = r_s0 - q0, r_s1 - q1
-    ll, grad, h1 = 0.0, np.zeros(d), np.zeros((d, d))
+    stop = stats["stop"]
+    has = stop.d > 0
+    times = stop.time[has]
+    r_s0, r_s1 = risk_sums(stats, times)
+    n = r_s1.shape[1]
+    ll, grad, h1 = 0.0, np.zeros(n), np.zeros((n, n))
     c_t, e_t = np.zeros(len(times)), np.zeros(len(times))
-    for k, r in enumerate(ev_rows):
-        dk = int(r["d"])
-        a0, a1, xd = r["a0"], np.asarray(r["a1"], dtype=float), np.asarray(r["xd"], dtype=float)
-        frac = np.arange(dk) / dk
+    for k, (dk, a0, a1, xd) in enumerate(zip(stop.d[has], stop.a0[has], stop.a1[has], stop.xd[has])):
+        nodes, weights = tie_rule(int(dk))
+        frac = nodes / dk
         phi = r_s0[k] - frac * a0
-        inv = 1.0 / phi
+        inv = weights / phi
         c_t[k] = inv.sum()
         e_t[k] = (frac * inv).sum()
         s1 = r_s1[k]
         grad += xd - (s1 * c_t[k] - a1 * e_t[k])
-        inv2 = inv * inv
+        inv2 = inv / phi
         q0, q1, q2 = inv2.sum(), (frac * inv2).sum(), (frac * frac * inv2).sum()
         h1 += np.outer(s1, s1) * q0 - (np.outer(s1, a1) + np.outer(a1, s1)) * q1 + np.outer(a1, a1) * q2
-        ll -= float(np.log(phi).sum())
-    return {"times": times, "ll_tail": ll, "grad": grad, "h1": h1, "C": c_t, "e": e_t, "rows": ev_rows}
+        ll -= float(weights @ np.log(phi))
+    return {"times": times, "ll_tail": ll, "grad": grad, "h1": h1, "C": c_t, "e": e_t, "xd": stop.xd.sum(axis=0)}
 
 
 # ----------------------------------------------------------------- pass B --
 def _pass_b(data: DataFrame, features: list[str], beta, mean, std, has_start, times, c_t, e_t) -> np.ndarray:
     d = len(features)
     cum = np.concatenate([[0.0], np.cumsum(c_t)])  # cum[j] = Σ_{k<j} C(t_k)
+    upper = np.triu_indices(d)
 
     def weight_sum(tvals):
         return cum[np.searchsorted(times, tvals, side="right")]  # Σ C(t) for t <= tvals
@@ -218,20 +243,16 @@ def _pass_b(data: DataFrame, features: list[str], beta, mean, std, has_start, ti
             omega = w * (cc - et)
             acc += (x * omega[:, None]).T @ x
         if seen:
-            yield pd.DataFrame({"g": [0], "m": [acc.ravel()]})
-
-    def combine(pdf):
-        return pd.DataFrame({"g": [0], "m": [np.sum(np.stack(pdf["m"].to_numpy()), axis=0)]})
+            yield pd.DataFrame({"m": [acc[upper]]})
 
     cols = features + ["stop", "event"] + (["start"] if has_start else [])
-    partial = data.select(*cols).mapInPandas(part, "g int, m array<double>")
-    # two-level reduction: partition partials by groups first, the driver adds the groups
-    partial = partial.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(_spread(data))))
-    rows = partial.groupBy("g").applyInPandas(combine, "g int, m array<double>").collect()
-    total = np.zeros(d * d)
+    partial = data.select(*cols).mapInPandas(part, "m array<double>")
+    # the partitions' triangles are added position by position in the JVM
+    rows = partial.select(F.posexplode("m").alias("pos", "x")).groupBy("pos").agg(F.sum("x").alias("x")).collect()
+    total = np.zeros((d, d))
     for r in rows:
-        total += np.asarray(r["m"], dtype=float)
-    return total.reshape(d, d)
+        total[upper[0][r["pos"]], upper[1][r["pos"]]] = r["x"]
+    return total + np.triu(total, 1).T
 
 
 def _moments(data: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
@@ -272,8 +293,7 @@ def fit_cox(
     def evaluate(b):
         stats = _pass_a(model_data, features, b, mean, std, has_start)
         ef = _efron(stats)
-        xd_total = sum((np.asarray(r["xd"], dtype=float) for r in ef["rows"]), np.zeros(d))
-        ll = float(xd_total @ b) + ef["ll_tail"] - 0.5 * penalizer * n * float(b @ b)
+        ll = float(ef["xd"] @ b) + ef["ll_tail"] - 0.5 * penalizer * n * float(b @ b)
         return ll, ef, stats
 
     ll, ef, stats = evaluate(beta)
@@ -301,39 +321,40 @@ def fit_cox(
     variance = var_norm / np.outer(std, std)
     model = CoxModel(list(features), coef, variance, mean, ll, it, n, converged=converged)
     if baseline:
-        model.baseline = _breslow(stats, d)
+        model.baseline = _breslow(stats)
     return model
 
 
-def _breslow(stats: dict, d: int) -> pd.DataFrame:
+def _breslow(stats: dict) -> pd.DataFrame:
     """Breslow baseline hazard at every distinct stop time (partial hazards
     centred at the feature means)."""
-    rows = stats["stop"]
-    times = np.array([r["time"] for r in rows])
-    r0, _ = _suffix(rows, times, d)
-    if stats["start"]:
-        q0, _ = _suffix(stats["start"], times, d)
-        r0 = r0 - q0
-    events = np.array([r["d"] for r in rows], dtype=float)
-    h = np.where(r0 > 0, events / np.where(r0 > 0, r0, 1.0), 0.0)
+    times = stats["stop"].time
+    r0, _ = risk_sums(stats, times)
+    h = np.where(r0 > 0, stats["stop"].d / np.where(r0 > 0, r0, 1.0), 0.0)
     return pd.DataFrame({"time": times, "baseline_hazard": h, "baseline_cumulative_hazard": np.cumsum(h)})
 
 
-def risk_set_stats(data: DataFrame, duration_col: str, event_col: str) -> DataFrame:
-    """At β = 0, per distinct event time t: events and number at risk
-    (duration >= t) — the counts pass A produces for the standard model.
-    The suffix sum runs over one row per distinct time (months), not rows."""
-    from pyspark.sql import Window
-
-    per_time = data.groupBy(F.col(duration_col).alias("time")).agg(
-        F.count_if(F.col(event_col) == 1).alias("n_events"), F.count(F.lit(1)).alias("n")
-    )
-    w = Window.orderBy(F.desc("time")).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        per_time.withColumn("n_at_risk", F.sum("n").over(w))
-        .where(F.col("n_events") > 0)
-        .select(F.col("time").cast("int").alias("time"), "n_events", "n_at_risk")
-    )
+def risk_set_sums(
+    data: DataFrame, coefficients: dict[str, float], stop_col: str, event_col: str, start_col: str | None = None
+) -> DataFrame:
+    """The fit's own risk-set sums at given coefficients: per distinct event
+    time the events, S0 = Σ exp(x·β) and per feature S1 = Σ x·exp(x·β) over
+    the rows at risk (features as they are).  One row per event time."""
+    names = list(coefficients)
+    cols = [F.col(c).cast("double").alias(c) for c in names]
+    cols += [F.col(stop_col).cast("double").alias("stop"), F.col(event_col).cast("double").alias("event")]
+    if start_col:
+        cols.append(F.col(start_col).cast("double").alias("start"))
+    d = len(names)
+    stats = _pass_a(data.select(*cols), names, np.array(list(coefficients.values())), np.zeros(d), np.ones(d), start_col is not None)
+    stop = stats["stop"]
+    has = stop.d > 0
+    s0, s1 = risk_sums(stats, stop.time[has])
+    rows = [
+        (float(t), int(n), float(z), *map(float, v)) for t, n, z, v in zip(stop.time[has], stop.d[has], s0, s1)
+    ]
+    kinds = ", ".join(["time double", "n_events long", "s0 double", *[f"s1_{c} double" for c in names]])
+    return data.sparkSession.createDataFrame(rows, kinds)
 
 
 def partial_hazard(df: DataFrame, model: CoxModel, out_col: str = "partial_hazard") -> DataFrame:

@@ -228,11 +228,23 @@ def _z(c: str, src: str) -> str:
 
 
 COX_STD_SQL = "select business_id, duration_months, event, " + ", ".join(_z(c, "bl") for c in BL_FEATURES) + " from (" + BL_SQL + ") bl"
+#: Fixed coefficients at which the fit's risk-set sums are compared.
+RISK_BETA = {"active_license_count": 0.15, CMP_COLS[0]: 0.05, "business_latitude": -0.01}
+
+
+def _risk_sql(src: str, stop: str, at_risk: str) -> str:
+    w = "exp(" + " + ".join(f"{b} * {c}" for c, b in RISK_BETA.items()) + ")"
+    sums = ", ".join(f"sum({c} * {w}) s1_{c}" for c in RISK_BETA)
+    return (
+        f"select cast(t as integer) time, n_events, count(*) n_at_risk, sum({w}) s0, {sums} from (select {stop} t,"
+        f" count(*) filter (where event = 1) n_events from {src} group by 1) e join {src} on {at_risk} where n_events > 0 group by 1, 2"
+    )
+
+
 RISK_SET_SQL = (
-    "select cast(time as integer) time, n_events, n_at_risk from (select duration_months time,"
-    " count(*) filter (where event = 1) n_events, cast(sum(count(*)) over (order by duration_months desc"
-    " rows between unbounded preceding and current row) as bigint) n_at_risk from (" + BL_SQL + ") bl group by duration_months) t"
-    " where n_events > 0"
+    ", bl AS (" + BL_SQL + "), tv AS (" + TV_SQL + ")\n"
+    "select 'standard' model, * from (" + _risk_sql("bl", "duration_months", "duration_months >= t") + ") a"
+    " union all select 'time_varying', * from (" + _risk_sql("tv", "stop", '"start" < t and stop >= t') + ") b"
 )
 
 

@@ -496,8 +496,20 @@ def q_cox_prepare_tv(spark, sf):
 
 @query("cox_risk_set_stats", O.with_ctes("pc") + O.RISK_SET_SQL)
 def q_cox_risk_sets(spark, sf):
-    bl = survival.business_level_dataset(_panel_core(spark, sf), FIXTURE_STUDY_END)
-    return cox.risk_set_stats(bl, "duration_months", "event")
+    """Events, rows at risk and the fit's sums S0, S1 at fixed coefficients,
+    per event time of both models."""
+    core = _panel_core(spark, sf)
+    bl = survival.business_level_dataset(core, FIXTURE_STUDY_END)
+    tv = survival.time_varying_panel(core, FIXTURE_STUDY_END)
+    out = None
+    for kind, data, span in (("standard", bl, ("duration_months", "event")), ("time_varying", tv, ("stop", "event", "start"))):
+        sums = cox.risk_set_sums(data, O.RISK_BETA, *span)
+        counts = cox.risk_set_sums(data, {}, *span).select("time", F.col("s0").cast("long").alias("n_at_risk"))
+        both = sums.join(counts, "time").select(
+            F.lit(kind).alias("model"), F.col("time").cast("int").alias("time"), "n_events", "n_at_risk", "s0", *[f"s1_{c}" for c in O.RISK_BETA]
+        )
+        out = both if out is None else out.unionByName(both)
+    return out
 
 
 def _cox_runs(spark, sf):

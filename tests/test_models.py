@@ -187,3 +187,40 @@ def test_cox_says_whether_it_converged(spark):
     whole, cut = (cox.fit_cox(df, ["a"], "stop", "event", max_steps=k) for k in (50, 1))
     assert whole.converged and not cut.converged
     assert [r.converged for r in cox.summary_frame(spark, cut).collect()] == [False]
+
+
+@pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 80, 81, 200, 1000, 4097, 50_000])
+def test_tie_rule_equals_the_loop(n):
+    l = np.arange(n)  # noqa: E741
+    nodes, weights = cox.tie_rule(n)
+    assert len(nodes) <= 64 + 16 * 20 and np.isclose(weights.sum(), n, rtol=1e-13)
+    for share in (1.0, 1 - 1e-9, 0.9, 0.3, 1e-3, 1e-8):  # A / S
+        phi, fast = 1.7 * (1 - share * l / n), 1.7 * (1 - share * nodes / n)
+        for power in range(3):
+            for down in (1, 2):
+                assert np.isclose(weights @ ((nodes / n) ** power / fast**down), ((l / n) ** power / phi**down).sum(), rtol=1e-11, atol=1e-12)
+        assert np.isclose(weights @ np.log(fast), np.log(phi).sum(), rtol=1e-11, atol=1e-9)
+
+
+def test_tie_rule_stays_short():
+    nodes, weights = cox.tie_rule(10**12)
+    assert len(nodes) < 700 and np.isclose(weights.sum(), 1e12, rtol=1e-12)
+
+
+@pytest.mark.parametrize("tv", [False, True])
+def test_risk_set_sums(spark, tv):
+    rng = np.random.default_rng(9)
+    n = 300
+    x = rng.normal(size=(n, 2))
+    stop = rng.integers(1, 9, n).astype(float)
+    start = stop - rng.integers(1, 4, n)
+    ev = (rng.random(n) < 0.4).astype(float)
+    rows = [(float(a), float(b), float(s), float(t), float(e)) for (a, b), s, t, e in zip(x, start, stop, ev)]
+    df = spark.createDataFrame(rows, "a double, b double, start double, stop double, event double").repartition(5)
+    got = cox.risk_set_sums(df, {"a": 0.4, "b": -0.3}, "stop", "event", "start" if tv else None).collect()
+    w = np.exp(x @ np.array([0.4, -0.3]))
+    assert [r.time for r in got] == sorted(set(stop[ev == 1]))
+    for r in got:
+        at = (stop >= r.time) & ((start < r.time) if tv else True)
+        assert r.n_events == int(ev[stop == r.time].sum())
+        assert np.allclose([r.s0, r.s1_a, r.s1_b], [w[at].sum(), *(w[at, None] * x[at]).sum(0)])
