@@ -1,29 +1,95 @@
-"""Location clusters: MLlib KMeans over business coordinates.
+"""Location clusters: KMeans over business coordinates.
 
-The reference keeps the best of 20 seeded restarts.  MLlib has no
-``n_init``, so the restarts are separate fits (run concurrently from a
-thread pool: each is a distributed job) and the lowest training cost wins.
+The best of 20 seeded restarts is kept, as in the reference.  All restarts run
+together: the centres of every restart are held on the driver (restarts x k
+pairs of numbers), and each step is one job that assigns every point to its nearest
+centre of each restart and adds weights and coordinates per (restart, centre),
+partial sums per partition first.  A restart whose centres have settled is
+left out of further steps.
+
+Starts are k-means++ draws on a bounded sample (``sample`` distinct points of
+smallest hash), refined on that sample; the steps that decide run over all points.
 If there are fewer businesses than clusters, every business is cluster 0 at
-the coordinate mean (at most k-1 rows, so the mean is a bounded collect).
+the coordinate mean.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenure.operators.sampling import _checkpoint
 from tenure.operators.spatial import nearest_centroid
 
+_CHUNK = 8192
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of and squared distance to the nearest centre (ties: the first)."""
+    d = (x[:, :1] - centres[None, :, 0]) ** 2 + (x[:, 1:] - centres[None, :, 1]) ** 2
+    best = d.argmin(axis=1)
+    return best, d[np.arange(len(x)), best]
+
+
+def _sums(x: np.ndarray, w: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Per centre: weight, weighted coordinates, weighted squared distance."""
+    out = np.zeros((len(centres), 4))
+    for at in range(0, len(x), _CHUNK):
+        part, weight = x[at : at + _CHUNK], w[at : at + _CHUNK]
+        best, d = _nearest(part, centres)
+        for i, v in enumerate((weight, weight * part[:, 0], weight * part[:, 1], weight * d)):
+            out[:, i] += np.bincount(best, weights=v, minlength=len(centres))
+    return out
+
+
+def _moved(centres: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Centres at the means of their points; one without points stays."""
+    has = sums[:, 0] > 0
+    return np.where(has[:, None], sums[:, 1:3] / np.where(has, sums[:, 0], 1.0)[:, None], centres)
+
 
-def _fit(points: DataFrame, k: int, seed: int, max_iter: int, tol: float):
-    model = KMeans(
-        k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", weightCol="w", initMode="k-means||"
-    ).fit(points)
-    return model.summary.trainingCost, seed, model
+def _start(x: np.ndarray, w: np.ndarray, k: int, rng: np.random.Generator, steps: int = 30) -> np.ndarray:
+    """k-means++ centres, each the best of a few draws, then Lloyd steps."""
+    tries = 2 + int(np.log(k))
+    centres = [x[rng.choice(len(x), p=w / w.sum())]]
+    near = ((x - centres[0]) ** 2).sum(axis=1)
+    while len(centres) < k:
+        mass = near * w
+        p = mass / mass.sum() if mass.sum() > 0 else w / w.sum()
+        drawn = rng.choice(len(x), size=tries, p=p)
+        left = [np.minimum(near, ((x - x[i]) ** 2).sum(axis=1)) for i in drawn]
+        best = int(np.argmin([(v * w).sum() for v in left]))
+        centres.append(x[drawn[best]])
+        near = left[best]
+    out = np.array(centres)
+    for _ in range(steps):
+        new = _moved(out, _sums(x, w, out))
+        if np.allclose(new, out, rtol=0, atol=0):
+            break
+        out = new
+    return out
+
+
+def _step(points: DataFrame, centres: dict[int, np.ndarray], origin: np.ndarray) -> dict[int, np.ndarray]:
+    """One job: the sums of every restart's centres over all points."""
+
+    def part(batches):
+        total = {r: np.zeros((len(c), 4)) for r, c in centres.items()}
+        for pdf in batches:
+            x = pdf[["a", "b"]].to_numpy(dtype=float) - origin
+            w = pdf["w"].to_numpy(dtype=float)
+            for r, c in centres.items():
+                total[r] += _sums(x, w, c)
+        rows = [(r, i, *v) for r, m in total.items() for i, v in enumerate(m.tolist()) if v[0]]
+        yield pd.DataFrame(rows, columns=["r", "i", "w", "sa", "sb", "cost"])
+
+    partial = points.mapInPandas(part, "r int, i int, w double, sa double, sb double, cost double")
+    out = {r: np.zeros((len(c), 4)) for r, c in centres.items()}
+    for row in partial.groupBy("r", "i").agg(*[F.sum(c).alias(c) for c in ("w", "sa", "sb", "cost")]).collect():
+        out[row["r"]][row["i"]] = row[2:]
+    return out
 
 
 def fit_location_clusters(
@@ -33,45 +99,47 @@ def fit_location_clusters(
     seed: int = 42,
     max_iter: int = 300,
     tol: float = 1e-4,
+    sample: int = 8192,
 ) -> list[tuple[int, float, float]]:
     """Cluster centres [(cluster_id, lat, lng)] for ``locations``
     (business_latitude, business_longitude).  Empty input -> [].
     ``tol`` is relative to the mean coordinate variance, as in the
-    reference's clustering."""
-    coords = locations.select("business_latitude", "business_longitude").where(
-        F.col("business_latitude").isNotNull() & F.col("business_longitude").isNotNull()
-    )
-    stats = coords.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.var_pop("business_latitude").alias("va"),
-        F.var_pop("business_longitude").alias("vb"),
-    ).first()
-    n = stats["n"]
-    if n == 0:
-        return []
-    if n < k:
-        row = coords.agg(F.avg("business_latitude").alias("a"), F.avg("business_longitude").alias("b")).first()
-        return [(0, float(row["a"]), float(row["b"]))]
+    reference's clustering: a restart has settled once the summed squared shift of
+    its centres is no more."""
+    coords = locations.select(F.col("business_latitude").cast("double").alias("a"), F.col("business_longitude").cast("double").alias("b"))
+    coords = coords.where(F.col("a").isNotNull() & F.col("b").isNotNull())
     # Businesses sharing a coordinate become one weighted point: the KMeans
     # objective and its Lloyd steps are identical, the input is smaller.
-    weighted = coords.groupBy("business_latitude", "business_longitude").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    points = VectorAssembler(inputCols=["business_latitude", "business_longitude"], outputCol="features").transform(weighted)
-    points = points.select("features", "w").persist()
-    # The reference's tolerance is relative: the summed squared centre shift
-    # must fall below tol * mean feature variance.  MLlib stops when every
-    # centre moves less than its tol, so per-centre sqrt(tol * var / k)
-    # guarantees the same condition.
-    mean_var = ((stats["va"] or 0.0) + (stats["vb"] or 0.0)) / 2.0
-    mllib_tol = max((tol * mean_var / k) ** 0.5, 1e-12)
-    try:
-        seeds = [seed + i for i in range(max(1, restarts))]
-        # restarts are independent jobs; run them concurrently
-        with ThreadPoolExecutor(max_workers=min(32, len(seeds))) as pool:
-            fits = list(pool.map(lambda s: _fit(points, k, s, max_iter, mllib_tol), seeds))
-    finally:
-        points.unpersist()
-    cost, _, best = min(fits, key=lambda t: (t[0], t[1]))
-    return [(i, float(c[0]), float(c[1])) for i, c in enumerate(best.clusterCenters())]
+    points = _checkpoint(coords.groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("w")))
+    total = F.sum("w")
+    mean = points.agg(total.alias("n"), (F.sum(F.col("a") * F.col("w")) / total).alias("a"), (F.sum(F.col("b") * F.col("w")) / total).alias("b")).first()
+    if not mean["n"]:
+        return []
+    if mean["n"] < k:
+        return [(0, float(mean["a"]), float(mean["b"]))]
+    origin = np.array([mean["a"], mean["b"]])
+    spread = points.agg(*[(F.sum(F.pow(F.col(c) - F.lit(float(m)), 2) * F.col("w")) / total).alias(c) for c, m in zip("ab", origin)]).first()
+    limit = tol * (spread["a"] + spread["b"]) / 2.0
+
+    drawn = points.orderBy(F.xxhash64("a", "b", F.lit(seed)), "a", "b").limit(max(sample, k)).collect()
+    x, w = np.array([(r["a"], r["b"]) for r in drawn]) - origin, np.array([r["w"] for r in drawn])
+    if len(x) <= k:  # no more coordinates than clusters
+        return [(i, float(a + origin[0]), float(b + origin[1])) for i, (a, b) in enumerate(sorted(x.tolist()))]
+    centres = {r: _start(x, w, k, np.random.default_rng(seed + r)) for r in range(max(1, restarts))}
+    settled: dict[int, np.ndarray] = {}
+    for _ in range(max_iter):
+        sums = _step(points, centres, origin)
+        moved = {r: _moved(c, sums[r]) for r, c in centres.items()}
+        for r, c in list(moved.items()):
+            if ((c - centres[r]) ** 2).sum() <= limit:
+                settled[r] = moved.pop(r)
+        centres = moved
+        if not centres:
+            break
+    settled.update(centres)
+    cost = {r: m[:, 3].sum() for r, m in _step(points, settled, origin).items()}
+    best = settled[min(cost, key=lambda r: (cost[r], r))] + origin
+    return [(i, float(a), float(b)) for i, (a, b) in enumerate(sorted(best.tolist()))]
 
 
 def assign_location_clusters(locations: DataFrame, centres: list[tuple[int, float, float]]) -> DataFrame:

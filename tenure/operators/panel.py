@@ -3,9 +3,9 @@ business locations and the final merge.
 
 Shuffle plan (see README "Panel plan"):
 
-* licence months are aggregated on ``(business_id, month)`` with map-side
-  partial aggregation, so a business with a huge number of licences never
-  lands whole in one task;
+* licence months are aggregated by ``(business_id, month, licence)`` and rolled
+  up to ``(business_id, month)``, both with map-side partial aggregation, so a
+  business with a huge number of licences never lands whole in one task;
 * per-business facts (first licence date, median location) come from one
   ``groupBy(business_id)`` over the cleaned licences;
 * the complaint counts are aggregated on the same ``(business_id, month)``
@@ -97,20 +97,14 @@ def license_month_counts(expanded: DataFrame, dictionary: FeatureDictionary) ->
     """Per (business, month): distinct active licence numbers and non-distinct
     licence rows per category, 0-filled.
 
-    Categories are counted in long form first (narrow rows, whole-stage
-    codegen) and pivoted last over the much smaller long form; the distinct
-    counts are joined on the same keys."""
-    long = expanded.groupBy("business_id", "month", "business_category").agg(F.count(F.lit(1)).alias("n"))
-    wide = long.groupBy("business_id", "month").agg(
-        F.sum("n").alias("_rows"),
-        *[
-            F.coalesce(F.sum(F.when(F.col("business_category").isin(dictionary.labels_for(c)), F.col("n"))), F.lit(0)).alias(c)
-            for c in dictionary.columns
-        ]
+    One aggregate by (business, month, licence) counts the categories, one over
+    its rows adds them up and counts the licences: the expanded rows are
+    made and shuffled once, and nothing is joined."""
+    each = expanded.groupBy("business_id", "month", "license_number").agg(
+        F.count(F.lit(1)).alias("_rows"), *_wide_counts("business_category", dictionary)
     )
-    distinct = expanded.groupBy("business_id", "month").agg(F.countDistinct("license_number").alias("active_license_count"))
-    return distinct.join(wide, ["business_id", "month"], "inner").select(
-        "business_id", "month", "active_license_count", *dictionary.columns
+    return each.groupBy("business_id", "month").agg(
+        F.count("license_number").alias("active_license_count"), *[F.sum(c).alias(c) for c in dictionary.columns]
     )
 
 
@@ -148,12 +142,6 @@ def license_panel(licenses: DataFrame, dictionary: FeatureDictionary | None = No
     return panel, dictionary
 
 
-def complaint_counts_long(pairs: DataFrame) -> DataFrame:
-    """Long form (business_id, month, complaint_type, n): the radius pairs
-    aggregated once, with map-side partial aggregation."""
-    return pairs.groupBy("business_id", "month", "complaint_type").agg(F.count("unique_key").alias("n"))
-
-
 def complaint_panel_from_long(long: DataFrame, dictionary: FeatureDictionary) -> DataFrame:
     """Wide complaint panel from the long form: total_311 and one column per
     complaint type (pivot with an explicit value list, pivot last)."""
@@ -166,18 +154,6 @@ def complaint_panel_from_long(long: DataFrame, dictionary: FeatureDictionary) ->
     )
 
 
-def complaint_panel(pairs: DataFrame, dictionary: FeatureDictionary | None = None) -> tuple[DataFrame, FeatureDictionary]:
-    """Per (business, month): ``total_311`` and one count column per complaint
-    type.  Empty pairs give a typed empty frame."""
-    if dictionary is None:
-        dictionary = feature_dictionary(pairs, "complaint_type", COMPLAINT_PREFIX)
-    panel = pairs.groupBy("business_id", "month").agg(
-        F.count("unique_key").alias("total_311"),
-        *_wide_counts("complaint_type", dictionary),
-    )
-    return panel, dictionary
-
-
 def merge_panel(
     license_counts: DataFrame,
     complaints: DataFrame,

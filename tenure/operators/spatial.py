@@ -10,16 +10,21 @@ neighbourhood, requests stay in their own cell, the equi-join runs on the
 cell, and the exact haversine test removes the false candidates.  Each true
 pair meets in exactly one cell, so no dedupe is needed.
 
-Hot cells (a cell holding more requests than ``hot_cell_rows``) are salted:
-their requests are spread over ``ceil(n / hot_cell_rows)`` salt values and
-the business rows of that cell are replicated once per salt, so no task ever
-receives a hot cell whole.  The hot-cell list has at most
-``total_requests / hot_cell_rows`` rows, which bounds what is broadcast.
+Hot cells are split on both sides.  A cell whose requests x businesses exceed
+a block's pairs is cut into parts of both: a request goes to one part of its
+side and meets every part of the other, so each pair still meets once and no
+task gets a hot cell whole.  The list of hot cells is joined without a hint:
+Spark broadcasts it while it is small.
+
+``radius_counts`` needs no pairs of rows at all: requests are counted by
+coordinate, month and type, distinct coordinates are joined, and the counts are
+handed to the businesses of each coordinate last.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +33,7 @@ from tenure.config import CLAMP_LAT, CLAMP_LNG, EARTH_RADIUS_METERS
 from tenure.functions.exprs import clamp, haversine_radians
 
 PAIR_COLUMNS = ("unique_key", "month", "complaint_type", "business_id")
-_BROADCAST_HOT_CELLS = 100_000
+_PAIRS_PER_ROW = 256  # a block holds hot_cell_rows x this many pairs
 
 
 def grid_geometry(radius_meters: float, max_abs_lat: float) -> tuple[float, float, int]:
@@ -50,6 +55,85 @@ def _cell_x(lng: Column, width: float, n_cols: int) -> Column:
     return F.pmod(F.floor((lng + F.lit(180.0)) / F.lit(width)).cast("long"), F.lit(n_cols).cast("long"))
 
 
+@dataclass(frozen=True)
+class Grid:
+    """Cells of a radius; ``None`` bounds mean that there is no business."""
+
+    radius: float
+    height: float
+    width: float
+    columns: int
+
+    @staticmethod
+    def over(businesses: DataFrame, radius_meters: float) -> Grid | None:
+        # One small aggregate over the businesses fixes the cell width: a request
+        # farther than one cell beyond the highest business latitude has no
+        # partner, so the business side alone bounds the latitudes that matter.
+        bounds = businesses.agg(F.max(F.abs("business_latitude")).alias("m")).first()["m"]
+        return None if bounds is None else Grid(radius_meters, *grid_geometry(radius_meters, float(bounds)))
+
+    def own(self, requests: DataFrame) -> DataFrame:
+        """Requests in their cell."""
+        return requests.withColumn("cy", _cell_y(F.col("latitude"), self.height)).withColumn(
+            "cx", _cell_x(F.col("longitude"), self.width, self.columns)
+        )
+
+    def around(self, businesses: DataFrame) -> DataFrame:
+        """Businesses in their cell and its neighbours."""
+        offsets = F.array(*[F.lit(d) for d in (-1, 0, 1)])
+        out = (
+            businesses.withColumn("dy", F.explode(offsets))
+            .withColumn("dx", F.explode(offsets))
+            .withColumn("cy", _cell_y(F.col("business_latitude"), self.height) + F.col("dy"))
+            .withColumn("cx", F.pmod(_cell_x(F.col("business_longitude"), self.width, self.columns) + F.col("dx"), F.lit(self.columns).cast("long")))
+            .drop("dy", "dx")
+        )
+        # fewer than three longitude columns: neighbours coincide
+        return out.dropDuplicates([*businesses.columns, "cy", "cx"]) if self.columns < 3 else out
+
+    def near(self) -> Column:
+        theta = self.radius / EARTH_RADIUS_METERS
+        spot = [F.col(c) for c in ("latitude", "longitude", "business_latitude", "business_longitude")]
+        return haversine_radians(*spot) <= F.lit(theta)
+
+
+def _located(df: DataFrame, lat: str, lng: str) -> DataFrame:
+    return df.where(F.col(lat).isNotNull() & F.col(lng).isNotNull())
+
+
+def hot_cells(req_cells: DataFrame, biz_cells: DataFrame, block_pairs: int) -> DataFrame:
+    """Cells over ``block_pairs`` pairs with the parts that each side is cut
+    into: as many blocks as needed, the larger side cut more."""
+    a = req_cells.groupBy("cy", "cx").agg(F.count(F.lit(1)).alias("nr"))
+    b = biz_cells.groupBy("cy", "cx").agg(F.count(F.lit(1)).alias("nb"))
+    blocks = F.ceil(F.col("nr") * F.col("nb") / F.lit(block_pairs))
+    cut = F.least(F.col("nr"), F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("nr") / F.col("nb") * F.col("blocks"))))).cast("int")
+    return (
+        a.join(b, ["cy", "cx"])
+        .withColumn("blocks", blocks)
+        .where(F.col("blocks") > 1)
+        .select("cy", "cx", cut.alias("parts_r"), F.ceil(F.col("blocks") / cut).cast("int").alias("parts_b"))
+    )
+
+
+def _meet(grid: Grid, requests: DataFrame, businesses: DataFrame, req_id: list[str], biz_id: list[str], hot_cell_rows: int | None) -> DataFrame:
+    """Rows of both sides within the radius of each other."""
+    from tenure.operators.sampling import _checkpoint
+
+    req_cells, biz_cells = grid.own(requests), grid.around(businesses)
+    keys = ["cy", "cx"]
+    if hot_cell_rows:
+        hot = _checkpoint(hot_cells(req_cells, biz_cells, hot_cell_rows * _PAIRS_PER_ROW))
+        if not hot.isEmpty():
+            part = lambda ids, n: F.pmod(F.xxhash64(*ids), F.coalesce(F.col(n), F.lit(1))).cast("int")
+            every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n), F.lit(1)) - 1))
+            req_cells = req_cells.join(hot, keys, "left").withColumn("pr", part(req_id, "parts_r")).withColumn("pb", every("parts_b"))
+            biz_cells = biz_cells.join(hot, keys, "left").withColumn("pb", part(biz_id, "parts_b")).withColumn("pr", every("parts_r"))
+            req_cells, biz_cells = (x.drop("parts_r", "parts_b") for x in (req_cells, biz_cells))
+            keys = ["cy", "cx", "pr", "pb"]
+    return req_cells.join(biz_cells, keys, "inner").where(grid.near())
+
+
 def radius_join(
     businesses: DataFrame,
     requests: DataFrame,
@@ -63,65 +147,48 @@ def radius_join(
     Returns (unique_key, month, complaint_type, business_id); rows with null
     coordinates on either side never match.
     """
-    biz = businesses.select("business_id", "business_latitude", "business_longitude").where(
-        F.col("business_latitude").isNotNull() & F.col("business_longitude").isNotNull()
-    )
-    req = requests.select("unique_key", "month", "complaint_type", "latitude", "longitude").where(
-        F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-    )
-    # One small aggregate over the businesses fixes the cell width: a request
-    # farther than one cell beyond the highest business latitude has no
-    # partner, so the business side alone bounds the latitudes that matter.
-    bounds = biz.agg(F.max(F.abs("business_latitude")).alias("m")).first()["m"]
-    if bounds is None:
+    biz = _located(businesses.select("business_id", "business_latitude", "business_longitude"), "business_latitude", "business_longitude")
+    req = _located(requests.select("unique_key", "month", "complaint_type", "latitude", "longitude"), "latitude", "longitude")
+    grid = Grid.over(biz, radius_meters)
+    if grid is None:
         return _empty_pairs(requests, businesses)
-    height, width, n_cols = grid_geometry(radius_meters, float(bounds))
+    hot = None if requests.isStreaming else hot_cell_rows
+    return _meet(grid, req, biz, ["unique_key"], ["business_id"], hot).select(*PAIR_COLUMNS)
 
-    req_cells = req.withColumn("cy", _cell_y(F.col("latitude"), height)).withColumn(
-        "cx", _cell_x(F.col("longitude"), width, n_cols)
-    )
-    offsets = F.array(*[F.lit(d) for d in (-1, 0, 1)])
-    biz_cells = (
-        biz.withColumn("dy", F.explode(offsets))
-        .withColumn("dx", F.explode(offsets))
-        .withColumn("cy", _cell_y(F.col("business_latitude"), height) + F.col("dy"))
-        .withColumn("cx", F.pmod(_cell_x(F.col("business_longitude"), width, n_cols) + F.col("dx"), F.lit(n_cols).cast("long")))
-        .drop("dy", "dx")
-    )
-    if n_cols < 3:  # fewer than three longitude columns: neighbours coincide
-        biz_cells = biz_cells.dropDuplicates(["business_id", "cy", "cx"])
 
-    keys = ["cy", "cx"]
-    if hot_cell_rows and not requests.isStreaming:
-        hot = (
-            req_cells.groupBy("cy", "cx")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > F.lit(hot_cell_rows))
-            .select("cy", "cx", F.ceil(F.col("n") / F.lit(hot_cell_rows)).cast("int").alias("salts"))
-        )
-        n_hot = hot.count()
-        if n_hot:
-            hot_side = F.broadcast(hot) if n_hot <= _BROADCAST_HOT_CELLS else hot
-            req_cells = req_cells.join(hot_side, keys, "left").withColumn(
-                "salt",
-                F.when(F.col("salts").isNull(), F.lit(0)).otherwise(
-                    F.pmod(F.xxhash64("unique_key"), F.col("salts")).cast("int")
-                ),
-            ).drop("salts")
-            biz_cells = biz_cells.join(hot_side, keys, "left").withColumn(
-                "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))
-            ).drop("salts")
-            keys = ["cy", "cx", "salt"]
-
-    theta = radius_meters / EARTH_RADIUS_METERS
-    return (
-        req_cells.join(biz_cells, keys, "inner")
-        .where(
-            haversine_radians(F.col("latitude"), F.col("longitude"), F.col("business_latitude"), F.col("business_longitude"))
-            <= F.lit(theta)
-        )
-        .select(*PAIR_COLUMNS)
-    )
+def radius_counts(
+    businesses: DataFrame,
+    requests: DataFrame,
+    radius_meters: float,
+    hot_cell_rows: int = 200_000,
+) -> DataFrame:
+    """Requests within ``radius_meters`` of each business, counted: long form
+    (business_id, month, complaint_type, n).  Same rows as counting the pairs
+    of ``radius_join``, which are never made.
+
+    Requests become counts by coordinate, month and type, and businesses one site a
+    coordinate; only distinct coordinates are joined.  The counts of a site
+    go to its businesses last, a site of more than ``hot_cell_rows``
+    businesses in parts.
+    """
+    from tenure.operators.sampling import _checkpoint
+
+    biz = _located(businesses.select("business_id", "business_latitude", "business_longitude"), "business_latitude", "business_longitude")
+    req = _located(requests.select("unique_key", "month", "complaint_type", "latitude", "longitude"), "latitude", "longitude")
+    grid = Grid.over(biz, radius_meters)
+    if grid is None:
+        return _empty_pairs(requests, businesses).select("business_id", "month", "complaint_type", F.lit(0).cast("long").alias("n"))
+    spot, site = ["latitude", "longitude"], ["business_latitude", "business_longitude"]
+    events = _checkpoint(req.groupBy(*spot, "month", "complaint_type").agg(F.count("unique_key").alias("n")))
+    sites = _checkpoint(biz.groupBy(*site).agg(F.count(F.lit(1)).alias("tenants")))
+    met = _meet(grid, events.select(*spot).distinct(), sites, spot, site, hot_cell_rows).select(*spot, *site, "tenants")
+    counts = met.join(events, spot).groupBy(*site, "tenants", "month", "complaint_type").agg(F.sum("n").alias("n"))
+    parts = F.ceil(F.col("tenants") / F.lit(hot_cell_rows)).cast("int")
+    counts = counts.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("tenants")
+    crowded = sites.where(F.col("tenants") > F.lit(hot_cell_rows)).withColumn("parts", parts).drop("tenants")
+    spread = F.pmod(F.xxhash64("business_id"), F.coalesce(F.col("parts"), F.lit(1))).cast("int")
+    placed = biz.join(crowded, site, "left").withColumn("part", spread).drop("parts")
+    return placed.join(counts, [*site, "part"]).select("business_id", "month", "complaint_type", "n")
 
 
 def _empty_pairs(requests: DataFrame, businesses: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ class PanelParts:
     locations: DataFrame
     centres: list
     clustered: DataFrame
-    pairs: DataFrame
+    complaint_counts: DataFrame
     license_counts: DataFrame
     complaints: DataFrame
     categories: panel.FeatureDictionary
@@ -50,16 +50,15 @@ def build_panel_parts(
     locations = facts.where(F.col("business_latitude").isNotNull()).select(
         "business_id", "business_latitude", "business_longitude"
     )
-    pairs = spatial.radius_join(locations, requests, settings.radius_meters, settings.hot_cell_rows)
 
     def complaint_side():
-        # the join runs once: its long-form counts are materialised, and both
+        # the join of coordinates runs once: its long-form counts are materialised, and both
         # the complaint dictionary and the wide pivot are read from them
-        long = _checkpoint(panel.complaint_counts_long(pairs))
+        long = _checkpoint(spatial.radius_counts(locations, requests, settings.radius_meters, settings.hot_cell_rows))
         types = panel.feature_dictionary(long, "complaint_type", COMPLAINT_PREFIX)
-        return types, panel.complaint_panel_from_long(long, types)
+        return long, types, panel.complaint_panel_from_long(long, types)
 
-    # KMeans (small iterative jobs) and the radius join (one large job) only
+    # KMeans (small iterative jobs) and the radius counts (one large job) only
     # share the business locations: run them side by side
     from concurrent.futures import ThreadPoolExecutor
 
@@ -69,14 +68,14 @@ def build_panel_parts(
             centres = clustering.fit_location_clusters(
                 locations, settings.location_k, settings.kmeans_restarts, settings.kmeans_seed
             )
-        complaint_types, complaints = side.result()
+        complaint_counts, complaint_types, complaints = side.result()
     clustered = clustering.assign_location_clusters(
         facts.where(F.col("business_latitude").isNotNull()), centres
     )  # keeps first_license_date: one per-business join in the merge
 
     merged = panel.merge_panel(license_counts, complaints, clustered, categories, complaint_types)
     return PanelParts(
-        licenses, requests, facts, locations, centres, clustered, pairs, license_counts, complaints,
+        licenses, requests, facts, locations, centres, clustered, complaint_counts, license_counts, complaints,
         categories, complaint_types, merged,
     )
 

@@ -75,6 +75,17 @@ def _pairs(spark, sf):
     return spatial.radius_join(_locations(spark, sf), _requests(spark, sf), PanelSettings().radius_meters)
 
 
+def _complaint_counts(spark, sf):
+    """Long-form counts of requests around each business (no pairs of rows),
+    built and checkpointed once per application."""
+    from tenure.operators.sampling import _checkpoint
+
+    def build():
+        return _checkpoint(spatial.radius_counts(_locations(spark, sf), _requests(spark, sf), PanelSettings().radius_meters))
+
+    return _memo(("complaint_counts", sf), spark, build)
+
+
 def _panel_core(spark, sf):
     """The panel flow without KMeans (core columns only: cluster ids are
     arbitrary, so the oracle-checked queries derive from this), built and
@@ -89,11 +100,7 @@ def _build_panel_core(spark, sf):
     cats = panel.feature_dictionary(lic, "business_category", CATEGORY_PREFIX)
     counts = panel.license_month_counts(panel.expand_to_months(lic), cats)
     facts = panel.business_facts(lic)
-    locs = facts.where(F.col("business_latitude").isNotNull()).select("business_id", "business_latitude", "business_longitude")
-    pairs = spatial.radius_join(locs, _requests(spark, sf), PanelSettings().radius_meters)
-    from tenure.operators.sampling import _checkpoint
-
-    long = _checkpoint(panel.complaint_counts_long(pairs))
+    long = _complaint_counts(spark, sf)
     cmps = panel.feature_dictionary(long, "complaint_type", COMPLAINT_PREFIX)
     complaints = panel.complaint_panel_from_long(long, cmps)
     located = (
@@ -152,7 +159,7 @@ def q_dict_cat(spark, sf):
 
 @query("feature_dictionary_complaints", O.with_ctes("dict_cmp") + "select raw, feature from dict_cmp")
 def q_dict_cmp(spark, sf):
-    return panel.feature_dictionary_frame(_pairs(spark, sf), "complaint_type", COMPLAINT_PREFIX)
+    return panel.feature_dictionary_frame(_complaint_counts(spark, sf), "complaint_type", COMPLAINT_PREFIX)
 
 
 @query(
@@ -170,9 +177,9 @@ def q_pivot_categories(spark, sf):
     O.with_ctes("ccounts") + "select business_id, month, " + ", ".join(O.CMP_COLS) + " from ccounts",
 )
 def q_pivot_complaints(spark, sf):
-    pairs = _pairs(spark, sf)
-    cmps = panel.feature_dictionary(pairs, "complaint_type", COMPLAINT_PREFIX)
-    return panel.complaint_panel(pairs, cmps)[0].drop("total_311")
+    long = _complaint_counts(spark, sf)
+    cmps = panel.feature_dictionary(long, "complaint_type", COMPLAINT_PREFIX)
+    return panel.complaint_panel_from_long(long, cmps).drop("total_311")
 
 
 # ------------------------------------------------------ 2.6 aggregates ----
@@ -229,7 +236,7 @@ def q_business_locations(spark, sf):
     O.with_ctes("pairs") + "select business_id, month, count(unique_key) total_311 from pairs group by all",
 )
 def q_complaint_totals(spark, sf):
-    return _pairs(spark, sf).groupBy("business_id", "month").agg(F.count("unique_key").alias("total_311"))
+    return _complaint_counts(spark, sf).groupBy("business_id", "month").agg(F.sum("n").alias("total_311"))
 
 
 @query(
@@ -237,13 +244,13 @@ def q_complaint_totals(spark, sf):
     O.with_ctes("pairs") + "select business_id, month, complaint_type, count(unique_key) n from pairs group by all",
 )
 def q_complaint_type_counts(spark, sf):
-    return _pairs(spark, sf).groupBy("business_id", "month", "complaint_type").agg(F.count("unique_key").alias("n"))
+    return _complaint_counts(spark, sf)
 
 
 @query("complaint_panel", O.with_ctes("ccounts") + "select * from ccounts")
 def q_complaint_panel(spark, sf):
     """Long-form counts of the radius pairs, pivoted last."""
-    long = panel.complaint_counts_long(_pairs(spark, sf))
+    long = _complaint_counts(spark, sf)
     return panel.complaint_panel_from_long(long, panel.feature_dictionary(long, "complaint_type", COMPLAINT_PREFIX))
 
 
@@ -916,7 +923,7 @@ from tenure.functions import exprs as X  # noqa: E402
 def _feature_names(spark, sf):
     lic = _licenses(spark, sf)
     cats = panel.feature_dictionary_frame(lic, "business_category", CATEGORY_PREFIX)
-    cmps = panel.feature_dictionary_frame(_pairs(spark, sf), "complaint_type", COMPLAINT_PREFIX)
+    cmps = panel.feature_dictionary_frame(_complaint_counts(spark, sf), "complaint_type", COMPLAINT_PREFIX)
     return (
         cats.select(F.concat("feature", F.lit("_first12m_max")).alias("feature"))
         .unionByName(cmps.select(F.concat("feature", F.lit("_first12m_sum")).alias("feature")))

@@ -116,3 +116,60 @@ def test_kmeans_invariants(spark):
     # fewer businesses than clusters: one cluster at the mean
     few = clustering.fit_location_clusters(locs.limit(3), 6)
     assert len(few) == 1 and few[0][0] == 0
+
+
+def _count_case(spark, biz, req, hot):
+    import datetime as dt
+
+    rows = [(k, dt.date(2024, 1 + i % 3, 1), "ab"[i % 2], la, ln) for i, (k, la, ln) in enumerate(req)]
+    bdf = spark.createDataFrame(biz, "business_id string, business_latitude double, business_longitude double")
+    rdf = spark.createDataFrame(rows, "unique_key string, month date, complaint_type string, latitude double, longitude double")
+    want: dict = {}
+    for b, bla, bln in biz:
+        for _, month, kind, la, ln in rows:
+            if None not in (bla, bln, la, ln) and _hav(la, ln, bla, bln) <= 50.0:
+                want[b, month, kind] = want.get((b, month, kind), 0) + 1
+    got = [tuple(r) for r in spatial.radius_counts(bdf, rdf, 50.0, hot_cell_rows=hot).collect()]
+    assert sorted(got) == sorted((*k, n) for k, n in want.items())
+    return bdf, rdf
+
+
+def test_radius_counts_with_a_cell_hot_on_both_sides(spark):
+    rng = random.Random(5)
+    near = lambda: (40.70 + rng.random() * 2e-4, -74.0 + rng.random() * 2e-4)
+    biz = [(f"b{i}", *near()) for i in range(60)] + [(f"s{i}", 40.7001, -73.9999) for i in range(40)] + [("n", None, -74.0)]
+    req = [(f"r{i}", *near()) for i in range(150)] + [(f"q{i}", 40.7001, -73.9999) for i in range(200)] + [("z", 40.7, None)]
+    bdf, rdf = _count_case(spark, biz, req, 2)  # a block of 512 pairs, a site of 2 businesses
+    grid = spatial.Grid.over(bdf, 50.0)
+    hot = spatial.hot_cells(grid.own(rdf.dropna()), grid.around(bdf.dropna()), 512).collect()
+    assert any(r.parts_r > 1 and r.parts_b > 1 for r in hot)
+    _count_case(spark, biz, req, 200_000)
+
+
+def test_radius_counts_of_nothing(spark):
+    bdf, rdf = _count_case(spark, [("b", 40.7, -74.0)], [], 100)
+    assert spatial.radius_counts(bdf.limit(0), rdf, 50.0).columns == ["business_id", "month", "complaint_type", "n"]
+    _count_case(spark, [("b", 10.0, 10.0)], [("r", 40.0, 40.0)], 100)
+
+
+def test_kmeans_no_worse_than_separate_fits(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    from tenure.operators import clustering
+
+    rng = np.random.default_rng(2)
+    spots = rng.uniform((40.5, -74.2), (40.9, -73.7), (40, 2))
+    pts = np.round(spots[rng.integers(0, 40, 3000)] + rng.normal(0, 0.01, (3000, 2)), 4)
+    locs = spark.createDataFrame([(f"b{i}", float(a), float(b)) for i, (a, b) in enumerate(pts)], "business_id string, business_latitude double, business_longitude double")
+    # a sample smaller than the data: the steps over all points decide
+    centres = clustering.fit_location_clusters(locs, 12, restarts=10, sample=500)
+    ours = clustering.clustering_cost(clustering.assign_location_clusters(locs, centres)).first().cost
+    data = VectorAssembler(inputCols=["business_latitude", "business_longitude"], outputCol="features").transform(locs).select("features").cache()
+    theirs = min(KMeans(k=12, seed=42 + i, maxIter=100).fit(data).summary.trainingCost for i in range(10))
+    data.unpersist()
+    assert len(centres) == 12 and ours <= theirs * (1 + 1e-3)
+    assert clustering.fit_location_clusters(locs, 12, restarts=10, sample=500) == centres
+    same = spark.createDataFrame([(str(i), 40.0 + i % 3, -74.0) for i in range(30)], locs.schema)
+    assert [c[1] for c in clustering.fit_location_clusters(same, 5)] == [40.0, 41.0, 42.0]
+    assert clustering.fit_location_clusters(locs.limit(0), 5) == []
