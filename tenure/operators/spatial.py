@@ -156,6 +156,44 @@ def radius_join(
     return _meet(grid, req, biz, ["unique_key"], ["business_id"], hot).select(*PAIR_COLUMNS)
 
 
+class BusinessSites:
+    """The businesses' side of ``radius_counts``, prepared and saved once: a
+    stream counts every micro-batch against it."""
+
+    spot, site = ["latitude", "longitude"], ["business_latitude", "business_longitude"]
+
+    def __init__(self, businesses: DataFrame, radius_meters: float, hot_cell_rows: int = 200_000):
+        from tenure.operators.sampling import _checkpoint
+
+        self.hot_cell_rows = hot_cell_rows
+        biz = _located(businesses.select("business_id", *self.site), *self.site)
+        self.grid = Grid.over(biz, radius_meters)
+        self.businesses = businesses
+        if self.grid is None:
+            return
+        self.sites = _checkpoint(biz.groupBy(*self.site).agg(F.count(F.lit(1)).alias("tenants")))
+        crowded = self.sites.where(F.col("tenants") > F.lit(hot_cell_rows)).withColumn("parts", self._parts()).drop("tenants")
+        spread = F.pmod(F.xxhash64("business_id"), F.coalesce(F.col("parts"), F.lit(1))).cast("int")
+        self.placed = _checkpoint(biz.join(crowded, self.site, "left").withColumn("part", spread).drop("parts"))
+
+    def _parts(self) -> Column:
+        return F.ceil(F.col("tenants") / F.lit(self.hot_cell_rows)).cast("int")
+
+    def counts(self, requests: DataFrame) -> DataFrame:
+        """Long form (business_id, month, complaint_type, n)."""
+        from tenure.operators.sampling import _checkpoint
+
+        if self.grid is None:
+            return _empty_pairs(requests, self.businesses).select("business_id", "month", "complaint_type", F.lit(0).cast("long").alias("n"))
+        req = _located(requests.select("unique_key", "month", "complaint_type", *self.spot), *self.spot)
+        events = _checkpoint(req.groupBy(*self.spot, "month", "complaint_type").agg(F.count("unique_key").alias("n")))
+        met = _meet(self.grid, events.select(*self.spot).distinct(), self.sites, self.spot, self.site, self.hot_cell_rows)
+        counts = met.select(*self.spot, *self.site, "tenants").join(events, self.spot)
+        counts = counts.groupBy(*self.site, "tenants", "month", "complaint_type").agg(F.sum("n").alias("n"))
+        counts = counts.withColumn("part", F.explode(F.sequence(F.lit(0), self._parts() - 1))).drop("tenants")
+        return self.placed.join(counts, [*self.site, "part"]).select("business_id", "month", "complaint_type", "n")
+
+
 def radius_counts(
     businesses: DataFrame,
     requests: DataFrame,
@@ -171,24 +209,7 @@ def radius_counts(
     go to its businesses last, a site of more than ``hot_cell_rows``
     businesses in parts.
     """
-    from tenure.operators.sampling import _checkpoint
-
-    biz = _located(businesses.select("business_id", "business_latitude", "business_longitude"), "business_latitude", "business_longitude")
-    req = _located(requests.select("unique_key", "month", "complaint_type", "latitude", "longitude"), "latitude", "longitude")
-    grid = Grid.over(biz, radius_meters)
-    if grid is None:
-        return _empty_pairs(requests, businesses).select("business_id", "month", "complaint_type", F.lit(0).cast("long").alias("n"))
-    spot, site = ["latitude", "longitude"], ["business_latitude", "business_longitude"]
-    events = _checkpoint(req.groupBy(*spot, "month", "complaint_type").agg(F.count("unique_key").alias("n")))
-    sites = _checkpoint(biz.groupBy(*site).agg(F.count(F.lit(1)).alias("tenants")))
-    met = _meet(grid, events.select(*spot).distinct(), sites, spot, site, hot_cell_rows).select(*spot, *site, "tenants")
-    counts = met.join(events, spot).groupBy(*site, "tenants", "month", "complaint_type").agg(F.sum("n").alias("n"))
-    parts = F.ceil(F.col("tenants") / F.lit(hot_cell_rows)).cast("int")
-    counts = counts.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("tenants")
-    crowded = sites.where(F.col("tenants") > F.lit(hot_cell_rows)).withColumn("parts", parts).drop("tenants")
-    spread = F.pmod(F.xxhash64("business_id"), F.coalesce(F.col("parts"), F.lit(1))).cast("int")
-    placed = biz.join(crowded, site, "left").withColumn("part", spread).drop("parts")
-    return placed.join(counts, [*site, "part"]).select("business_id", "month", "complaint_type", "n")
+    return BusinessSites(businesses, radius_meters, hot_cell_rows).counts(requests)
 
 
 def _empty_pairs(requests: DataFrame, businesses: DataFrame) -> DataFrame:

@@ -10,9 +10,10 @@
 * ``upsert``: target rows whose key is not in the source, plus the source
   (anti-join + union: MERGE update-all / insert-all).
 * ``PartitionedTable``: the large-table layout, partitioned by the month of
-  a timestamp.  An upsert reads the keys and months of the table and rewrites
-  only the months that the batch falls in or that hold its keys.  There is no
-  atomic commit over several months: a failed run is repeated whole.
+  a timestamp.  An index beside it says in which months a key may stand, so an
+  upsert reads and rewrites only the months that the batch falls in or that
+  hold its keys.  There is no atomic commit over several months: a failed run is
+  repeated whole.
 """
 
 from __future__ import annotations
@@ -105,6 +106,12 @@ class PartitionedTable:
     if its ``ts_col`` is not earlier (for streams, whose files come in any order; at
     equal timestamps the later batch wins).  Within a batch the latest row
     of a key counts.  A key that moves to another month leaves the old one.
+
+    The index (``<root>_keys``) holds (key, month) in ``buckets`` by the key's
+    hash.  It is only appended to, before the months are written, so it
+    names all months of a key and perhaps some that the key has left; those
+    cost a read and no more.  A batch reads the buckets of its keys.  A
+    table without one gets it from its stored keys once.
     """
 
     NO_MONTH = "none"
@@ -118,7 +125,9 @@ class PartitionedTable:
         part_col: str = "part_month",
         part_source: str | None = None,
         latest_wins: bool = False,
+        buckets: int = 64,
     ):
+        self.buckets = buckets
         self.spark, self.root = spark, root.rstrip("/")
         self.keys = [key_col] if isinstance(key_col, str) else list(key_col)
         self.ts_col, self.part_col, self.latest_wins = ts_col, part_col, latest_wins
@@ -147,27 +156,40 @@ class PartitionedTable:
         month = F.date_format(F.col(self.part_source), "yyyy-MM")
         return df.withColumn(self.part_col, F.coalesce(month, F.lit(self.NO_MONTH)))
 
-    def upsert(self, source: DataFrame) -> int:
-        """Merge ``source``; returns the number of months rewritten."""
+    @property
+    def index_root(self) -> str:
+        return f"{self.root}_keys"
+
+    def _index_rows(self, df: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return df.select(*self.keys, F.col(self.part_col).alias("held_in"), bucket.alias("bucket"))
+
+    def _append_index(self, rows: DataFrame) -> None:
+        (
+            self._index_rows(rows).distinct().repartition("bucket").write.mode("append").partitionBy("bucket").parquet(self.index_root)
+        )
+
+    def _months_of(self, src: DataFrame) -> set[str]:
+        """Months that may hold keys of the batch, from the batch's buckets of the index."""
+        if not self._fs.exists(self._path(f"{self.index_root}/_SUCCESS")):
+            self._append_index(self._stored())
+        wanted = self._index_rows(src).select(*self.keys, "bucket")
+        buckets = sorted(r[0] for r in wanted.select("bucket").distinct().collect())
+        index = self.spark.read.option("basePath", self.index_root).parquet(self.index_root).where(F.col("bucket").isin(buckets))
+        held = index.join(wanted.drop("bucket"), self.keys, "left_semi").select("held_in").distinct()
+        there = {r[0] for r in held.collect()}
+        return {m for m in there if self._fs.exists(self._path(f"{self.root}/{self.part_col}={m}"))}
+
+    def _months(self, months: set[str]) -> DataFrame:
+        """The stored rows of some months; only their folders are read."""
+        paths = [f"{self.root}/{self.part_col}={m}" for m in sorted(months)]
+        df = self.spark.read.option("basePath", self.root).parquet(*paths)
+        return df.withColumn(self.part_col, F.col(self.part_col).cast("string"))
+
+    def _replace(self, merged: DataFrame, months: set[str]) -> None:
+        """Write the new rows of ``months`` over the stored ones."""
         from tenure.operators.sampling import _checkpoint
 
-        src = _checkpoint(self._with_part(dedupe_latest(source, self.keys, self.ts_col)))
-        months = {r[0] for r in src.select(self.part_col).distinct().collect()}
-        if not months:
-            return 0
-        if self.exists():
-            stored = self._stored()
-            # months in which keys of the batch stand now: keys and months of the table only
-            held = stored.join(src.select(*self.keys), self.keys, "left_semi").select(self.part_col).distinct()
-            months |= {r[0] for r in held.collect()}
-            target = stored.where(F.col(self.part_col).isin(sorted(months)))
-            both = target.withColumn("_batch", F.lit(0)).unionByName(src.select(*target.columns).withColumn("_batch", F.lit(1)))
-            others = [c for c in both.columns if c not in self.keys]
-            rank = F.struct(F.col(self.ts_col), F.col("_batch")) if self.latest_wins else F.col("_batch")
-            newest = both.groupBy(*self.keys).agg(F.max_by(F.struct(*others), rank).alias("_r"))
-            merged = newest.select(*self.keys, "_r.*").select(*target.columns)
-        else:
-            merged = src
         # lineage cut: the write below must not read the paths it replaces;
         # a month is spread over tasks by its keys
         merged = _checkpoint(merged.repartition(self.part_col, *self.keys))
@@ -180,4 +202,63 @@ class PartitionedTable:
         )
         for month in months - left:  # all their keys have moved
             self._fs.delete(self._path(f"{self.root}/{self.part_col}={month}"), True)
+
+    def _present(self, months: set[str]) -> set[str]:
+        return {m for m in months if self._fs.exists(self._path(f"{self.root}/{self.part_col}={m}"))}
+
+    def accumulate(self, source: DataFrame, columns: list[str], epoch: int) -> int:
+        """Add the numbers in ``columns`` to those stored under the same keys;
+        returns the number of months rewritten.
+
+        The month must be one of the keys.  ``ts_col`` holds the last epoch
+        added to a row, and an epoch that is repeated changes nothing, so a
+        failed batch may be run again whole.
+        """
+        from tenure.operators.sampling import _checkpoint
+
+        src = source.groupBy(*self.keys).agg(*[F.sum(c).cast("long").alias(c) for c in columns])
+        src = _checkpoint(self._with_part(src.withColumn(self.ts_col, F.lit(epoch).cast("long"))))
+        months = {r[0] for r in src.select(self.part_col).distinct().collect()}
+        if not months:
+            return 0
+        both = src.withColumn("_new", F.lit(1))
+        if present := self._present(months):
+            stored = self._months(present)
+            both = both.unionByName(stored.select(*src.columns).withColumn("_new", F.lit(0)))
+        old, new = F.col("_new") == 0, F.col("_new") == 1
+        before = F.max(F.when(old, F.col(self.ts_col)))
+        sums = [
+            (F.coalesce(F.sum(F.when(old, F.col(c))), F.lit(0)) + F.when(F.coalesce(before >= epoch, F.lit(False)), 0)
+             .otherwise(F.coalesce(F.sum(F.when(new, F.col(c))), F.lit(0)))).alias(c)
+            for c in columns
+        ]
+        merged = both.groupBy(*self.keys, self.part_col).agg(*sums, F.max(self.ts_col).alias(self.ts_col)).select(*src.columns)
+        self._replace(merged, months)
+        return len(months)
+
+    def upsert(self, source: DataFrame) -> int:
+        """Merge ``source``; returns the number of months rewritten."""
+        from tenure.operators.sampling import _checkpoint
+
+        src = _checkpoint(self._with_part(dedupe_latest(source, self.keys, self.ts_col)))
+        months = {r[0] for r in src.select(self.part_col).distinct().collect()}
+        if not months:
+            return 0
+        if self.exists():
+            months |= self._months_of(src)
+            self._append_index(src)
+            columns = src.columns
+            both = src.withColumn("_batch", F.lit(1))
+            if present := self._present(months):
+                target = self._months(present)
+                columns = target.columns
+                both = target.withColumn("_batch", F.lit(0)).unionByName(src.select(*columns).withColumn("_batch", F.lit(1)))
+            others = [c for c in both.columns if c not in self.keys]
+            rank = F.struct(F.col(self.ts_col), F.col("_batch")) if self.latest_wins else F.col("_batch")
+            newest = both.groupBy(*self.keys).agg(F.max_by(F.struct(*others), rank).alias("_r"))
+            merged = newest.select(*self.keys, "_r.*").select(*columns)
+        else:
+            self._append_index(src)
+            merged = src
+        self._replace(merged, months)
         return len(months)

@@ -65,16 +65,26 @@ def run_cox(panel: DataFrame, settings: ModelSettings = ModelSettings(), validat
 
 
 def save_cox_artifacts(run: CoxRun, out_dir: str) -> dict[str, str]:
+    """Summary, scaler, centring means, kept and dropped features, baseline
+    hazard (standard model) and the model in the store below ``models``."""
+    from tenure.plans.model_store import ModelStore
+
     spark = run.modeling.sparkSession
     base = f"{out_dir.rstrip('/')}/{run.kind}"
     paths = {}
-    cox.summary_frame(spark, run.model).write.mode("overwrite").parquet(f"{base}/summary")
-    paths["summary"] = f"{base}/summary"
-    run.scaler.frame(spark).write.mode("overwrite").parquet(f"{base}/scaler")
-    paths["scaler"] = f"{base}/scaler"
-    spark.createDataFrame([(c,) for c in run.selection.kept_columns], "feature string").write.mode("overwrite").parquet(f"{base}/kept")
-    paths["kept"] = f"{base}/kept"
+
+    def put(name, df):
+        paths[name] = f"{base}/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+
+    put("summary", cox.summary_frame(spark, run.model))
+    put("scaler", run.scaler.frame(spark))
+    put("centring", spark.createDataFrame(list(zip(run.model.features, map(float, run.model.norm_mean))), "feature string, mean double"))
+    put("kept", spark.createDataFrame([(c,) for c in run.selection.kept_columns], "feature string"))
+    put("dropped", spark.createDataFrame([(c,) for c in run.selection.dropped_columns], "feature string"))
     if run.model.baseline is not None:
-        spark.createDataFrame(run.model.baseline).write.mode("overwrite").parquet(f"{base}/baseline_hazard")
-        paths["baseline_hazard"] = f"{base}/baseline_hazard"
+        put("baseline_hazard", spark.createDataFrame(run.model.baseline))
+    root = f"{out_dir.rstrip('/')}/models"
+    version = ModelStore(spark, root).save(f"cox_{run.kind}", run.model, run.scaler, run.selection.dropped_columns)
+    paths["model"] = f"{root}/kind=cox_{run.kind}/version={version}"
     return paths

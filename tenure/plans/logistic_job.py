@@ -62,9 +62,12 @@ def run_logistic(panel: DataFrame, settings: ModelSettings = ModelSettings(), va
 
 
 def save_logistic_artifacts(run: LogisticRun, out_dir: str) -> dict[str, str]:
-    """Model table, kept/dropped features, coefficients, splits, metrics."""
+    """Model table, kept/dropped features, coefficients, splits, metrics, and
+    the model in the store below ``models``."""
     import json
 
+    from tenure.plans.model_store import ModelStore
+
     spark = run.training.sparkSession
     paths = {}
 
@@ -76,9 +79,9 @@ def save_logistic_artifacts(run: LogisticRun, out_dir: str) -> dict[str, str]:
     put("model", run.model.scaler.frame(spark).join(
         spark.createDataFrame(list(zip(run.model.scaler.columns, run.model.coefficients)), "feature string, coefficient double"),
         "feature",
-    ))
+    ).withColumn("intercept", F.lit(float(run.model.intercept))))
     put("kept_features", spark.createDataFrame([(c,) for c in run.selection.kept_columns], "feature string"))
-    put("dropped_features", spark.createDataFrame([(c,) for c in run.selection.dropped_columns] or [("",)], "feature string"))
+    put("dropped_features", spark.createDataFrame([(c,) for c in run.selection.dropped_columns], "feature string"))
     put("coefficients", run.model.coefficient_frame(spark))
     put("training_dataset", run.training)
     put("balanced", run.balanced)
@@ -87,4 +90,7 @@ def save_logistic_artifacts(run: LogisticRun, out_dir: str) -> dict[str, str]:
     metrics = dict(run.metrics)
     metrics["intercept"] = run.model.intercept
     put("metrics", spark.createDataFrame([(json.dumps(metrics, default=str),)], "value string"), "text")
+    root = f"{out_dir.rstrip('/')}/models"
+    version = ModelStore(spark, root).save("logistic", run.model, run.model.scaler, run.selection.dropped_columns)
+    paths["stored_model"] = f"{root}/kind=logistic/version={version}"
     return paths

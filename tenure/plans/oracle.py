@@ -248,6 +248,31 @@ RISK_SET_SQL = (
 )
 
 
+# ------------------------------------------------- models of fixed values ----
+FIXED_INTERCEPT, FIXED_CENTRE = -0.25, 0.125
+FIXED_BASELINE = [(6.0, 0.05, 0.05), (24.0, 0.1, 0.15), (60.0, 0.25, 0.4)]
+FIXED_HORIZONS = (6, 15, 60, 72)
+_FIXED_H0 = (0.05, 0.1, 0.4, 0.4)  # between the times on the line, beyond them constant
+
+
+def fixed_weight(i: int) -> float:
+    return (0.02 + 0.01 * (i % 5)) * (-1) ** i
+
+
+FIXED_LOGIT_SQL = (
+    "select business_id, 1 / (1 + exp(-z)) probability, cast(1 / (1 + exp(-z)) > 0.5 as integer) predicted_label from (select business_id, "
+    + " + ".join([str(FIXED_INTERCEPT), *[f"{fixed_weight(i)} * {c}" for i, c in enumerate(LOGIT_FEATURES)]])
+    + " z from (select business_id, " + ", ".join(_z(c, "t") for c in LOGIT_FEATURES) + " from (select business_id, "
+    + ", ".join(f"coalesce({c}, 0) {c}" for c in LOGIT_FEATURES) + " from train) t) s) q"
+)
+FIXED_COX_SQL = (
+    "select business_id, h partial_hazard, " + ", ".join(f"exp(-{x} * h) survival_prob_{t}m" for x, t in zip(_FIXED_H0, FIXED_HORIZONS))
+    + " from (select business_id, exp(" + " + ".join(f"{fixed_weight(i)} * ({c} - {FIXED_CENTRE})" for i, c in enumerate(BL_FEATURES)) + ") h from ("
+    + "select business_id, " + ", ".join(_z(c, "t") for c in BL_FEATURES) + " from (select business_id, "
+    + ", ".join(f"coalesce({c}, 0) {c}" for c in BL_FEATURES) + " from (" + BL_SQL + ") bl) t) s) q"
+)
+
+
 # ------------------------------------------------------------- scoring ----
 LOGISTIC_SCENARIOS = (
     ("electronics_store", "business_category_electronics_store_first12m_max", 1.0),

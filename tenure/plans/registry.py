@@ -10,6 +10,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -902,10 +904,13 @@ def q_stream_ingest(spark, sf):
     return U.PartitionedTable(spark, f"{root}/table", "event_id", "ts").read()
 
 
-@query("stream_monthly_complaints")
+@query(
+    "stream_monthly_complaints",
+    O.with_ctes("pairs") + "select business_id, month, count(unique_key) total_311 from pairs group by all",
+)
 def q_stream_complaints(spark, sf):
-    """Request files streamed through cleaning and the radius join into
-    per-(business, month) complaint counts kept current by upsert."""
+    """Request files streamed through cleaning and the radius counts into
+    per-(business, month) complaint counts kept current by addition."""
     from tenure.streaming.ingest import stream_monthly_complaints
 
     root = _scratch(spark, "stream-complaints")
@@ -1115,7 +1120,6 @@ for _name, _target in [
     ("coef_rank", "coef_summary_logistic"),
     ("ranked_predictions", "predict_profiles_logistic"),
     ("job_panel", "write_panel"),
-    ("job_cox", "cox_summary"),
     ("scan_panel", "write_panel"),
     ("relation_label", "risk_vs_baseline"),
     ("coef_direction", "directional_check_logistic"),
@@ -1250,20 +1254,100 @@ def q_write_logistic(spark, sf):
     return spark.read.parquet(paths["model"])
 
 
-alias("scan_model_artifacts", "write_logistic_artifacts")
+@query("scan_model_artifacts")
+def q_scan_models(spark, sf):
+    """The three models stored, loaded again and scoring every training row:
+    score of the loaded model beside that of the fitted one."""
+    from tenure.plans.model_store import ModelStore, save_runs
+
+    run, runs = _logistic_run(spark, sf), _cox_runs(spark, sf)
+    store = ModelStore(spark, _scratch(spark, "models"))
+    save_runs(store, run, runs)
+    back = store.load("logistic").score(run.training, keep=["business_id"])
+    out = back.join(logistic.predict_logistic(run.training, run.model).select("business_id", F.col("probability").alias("fitted_score")), "business_id")
+    out = out.select(F.lit("logistic").alias("kind"), "business_id", F.lit(None).cast("date").alias("month"), F.col("probability").alias("score"), "fitted_score")
+    for kind, r in runs.items():
+        loaded, keys = store.load(f"cox_{kind}"), [c for c in ("business_id", "month") if c in r.modeling.columns]
+        both = cox.partial_hazard(cox.partial_hazard(r.modeling, r.model, "fitted_score"), loaded.model, "score")
+        month = F.col("month") if "month" in keys else F.lit(None).cast("date")
+        out = out.unionByName(both.select(F.lit(f"cox_{kind}").alias("kind"), "business_id", month.alias("month"), "score", "fitted_score"))
+    return out
+
+
+def _stored_fixed(spark, sf):
+    """Logistic and Cox models of fixed coefficients, with the scalers of the
+    data, stored and loaded."""
+    from tenure.plans.model_store import ModelStore
+
+    store = ModelStore(spark, _scratch(spark, "fixed-models"))
+    t = _training(spark, sf)
+    cols = _logit_features(t)
+    scaler = features.fit_scaler(t, cols)
+    store.save("logistic", logistic.LogisticModel(scaler, [O.fixed_weight(i) for i in range(len(cols))], O.FIXED_INTERCEPT, 0), scaler, [])
+    bl = survival.business_level_dataset(_panel_core(spark, sf), FIXTURE_STUDY_END)
+    names = [c for c in O.BL_FEATURES]
+    scaler = features.fit_scaler(bl, names)
+    baseline = pd.DataFrame(O.FIXED_BASELINE, columns=["time", "baseline_hazard", "baseline_cumulative_hazard"])
+    weights, n = np.array([O.fixed_weight(i) for i in range(len(names))]), len(names)
+    store.save("cox", cox.CoxModel(names, weights, np.eye(n), np.full(n, O.FIXED_CENTRE), 0.0, 1, 0, baseline), scaler, ["open"])
+    return store, t, bl
+
+
+@query("score_stored_logistic", O.with_ctes("train") + O.FIXED_LOGIT_SQL)
+def q_score_stored_logistic(spark, sf):
+    """Training rows scored by a stored model of fixed coefficients."""
+    store, t, _ = _stored_fixed(spark, sf)
+    return store.load("logistic").score(t, keep=["business_id"])
+
+
+@query("score_stored_cox", O.with_ctes("pc") + O.FIXED_COX_SQL)
+def q_score_stored_cox(spark, sf):
+    """Businesses scored by a stored Cox model of fixed coefficients: partial
+    hazard and survival at and between the baseline's times."""
+    store, _, bl = _stored_fixed(spark, sf)
+    stored = store.load("cox")
+    scored = cox.survival_at(stored.score(bl, keep=["business_id"]), stored.model, O.FIXED_HORIZONS)
+    return scored.select("business_id", "partial_hazard", *[f"survival_prob_{t}m" for t in O.FIXED_HORIZONS])
+
+
+def _cox_artifacts(spark, sf, *kinds):
+    """Artifacts of the given models written and read back: one row a file
+    table with its rows, and the summaries."""
+    from tenure.plans.cox_job import save_cox_artifacts
+
+    root = _scratch(spark, "cox")
+    paths = {kind: save_cox_artifacts(_cox_runs(spark, sf)[kind], root) for kind in kinds}
+    out = None
+    for kind, own in paths.items():
+        back = spark.read.parquet(own["summary"]).withColumn("model", F.lit(kind))
+        out = back if out is None else out.unionByName(back)
+    return paths, out
 
 
 @query("write_cox_artifacts")
 def q_write_cox(spark, sf):
     """Artifacts of both Cox models written, their summaries read back."""
-    from tenure.plans.cox_job import save_cox_artifacts
+    return _cox_artifacts(spark, sf, "standard", "time_varying")[1]
 
-    root = _scratch(spark, "cox")
-    standard, varying = (
-        spark.read.parquet(save_cox_artifacts(_cox_runs(spark, sf)[kind], root)["summary"]).withColumn("model", F.lit(kind))
-        for kind in ("standard", "time_varying")
-    )
-    return standard.unionByName(varying)
+
+def _cox_job(*kinds):
+    def fn(spark, sf):
+        paths, _ = _cox_artifacts(spark, sf, *kinds)
+        out = None
+        for kind, own in sorted(paths.items()):
+            for name, path in sorted(own.items()):
+                back = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
+                back = back.select(F.lit(kind).alias("model"), F.lit(name).alias("artifact"), "n_rows")
+                out = back if out is None else out.unionByName(back)
+        return out
+
+    fn.__doc__ = "Cox job: every artifact written, read back and counted."
+    return fn
+
+
+QUERIES["job_cox"] = _cox_job("standard", "time_varying")
+QUERIES["job_cox_standard"] = _cox_job("standard")
+QUERIES["job_cox_time_varying"] = _cox_job("time_varying")
 
 
 @query("job_ingest", O.with_ctes("ev_upsert") + "select * from ev_upsert")
@@ -1301,8 +1385,6 @@ for _name, _target in [
     ("panel_finalize", "merge_panel"),
     ("feature_group", "prettify_feature_name"),
     ("directional_check", "directional_check_logistic"),
-    ("job_cox_time_varying", "cox_fit_time_varying"),
-    ("job_cox_standard", "cox_fit_standard"),
 ]:
     alias(_name, _target)
 

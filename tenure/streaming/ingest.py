@@ -1,15 +1,19 @@
 """Structured Streaming twins of the incremental jobs.
 
-* ``stream_ingest_upsert``: landing files -> per micro-batch align / cast ->
-  latest-timestamp-wins merge into a month-partitioned table, rewriting only
-  the months the batch's rows and keys stand in (files may arrive out of order).
-  Re-running a batch after a failure gives the same table (idempotent); the
-  checkpoint records consumed files.
-* ``stream_monthly_complaints``: landing request files -> cleaning -> grid
-  radius join against the static business locations (stream-static join) ->
-  counts per (business, month) in update mode -> upsert on the two keys into
-  a month-partitioned table (only the batch's months are rewritten).
-  Calendar months are not fixed-width windows, so the month is a key column.
+* ``stream_ingest_upsert``: landing files -> rows that have just arrived once
+  already are dropped -> per micro-batch align / cast -> latest-timestamp-wins
+  merge into a month-partitioned table, reading and rewriting only the months the
+  batch's rows and keys stand in (files may arrive out of order).
+* ``stream_monthly_complaints``: landing request files -> cleaning -> repeated
+  rows dropped -> per micro-batch counts around the saved business sites (the batch
+  operators, hot cells split) -> added to a month-partitioned table.
+
+Repeated rows are found by a hash of the whole row, kept in state for
+``repeat_window`` after its arrival (``dropDuplicatesWithinWatermark``).  The watermark
+runs on arrival time and not on the rows' own timestamps, so no row is ever late:
+a request of any month is counted, and the state holds what arrived lately and
+shrinks again.  Re-running a batch after a failure gives the same tables; the
+checkpoint records consumed files.
 """
 
 from __future__ import annotations
@@ -29,6 +33,13 @@ def _file_stream(spark: SparkSession, landing_dir: str, schema: StructType, file
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing_dir).select(*schema.names)
 
 
+def _without_repeats(rows: DataFrame, window: str) -> DataFrame:
+    """Rows not seen within ``window`` of their first arrival."""
+    columns = rows.columns
+    marked = rows.withColumn("_arrived", F.current_timestamp()).withColumn("_row", F.sha2(F.to_json(F.struct(*columns)), 256))
+    return marked.withWatermark("_arrived", window).dropDuplicatesWithinWatermark(["_row"]).select(*columns)
+
+
 def stream_ingest_upsert(
     spark: SparkSession,
     landing_dir: str,
@@ -37,6 +48,7 @@ def stream_ingest_upsert(
     checkpoint_dir: str,
     cfg: IngestConfig,
     files_per_trigger: int = 8,
+    repeat_window: str = "1 day",
 ) -> StreamingQuery:
     table = U.PartitionedTable(spark, table_root, cfg.key, cfg.ts_col, latest_wins=True)
 
@@ -46,9 +58,9 @@ def stream_ingest_upsert(
         # files arrive in any order: the latest timestamp wins, at a tie the later batch
         table.upsert(src)
 
+    rows = _without_repeats(_file_stream(spark, landing_dir, schema, files_per_trigger), repeat_window)
     return (
-        _file_stream(spark, landing_dir, schema, files_per_trigger)
-        .writeStream.foreachBatch(batch)
+        rows.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()
@@ -64,25 +76,20 @@ def stream_monthly_complaints(
     checkpoint_dir: str,
     radius_meters: float = 50.0,
     files_per_trigger: int = 8,
+    repeat_window: str = "1 day",
+    hot_cell_rows: int = 200_000,
 ) -> StreamingQuery:
-    # State holds one running count per (business, month): the panel's key
-    # space, not the request volume.  No watermark, so late requests are
-    # never dropped.  On a cluster, run with the RocksDB state store
-    # (spark.sql.streaming.stateStore.providerClass) to keep it off the heap;
-    # the provider is the cluster's choice, since it must match the checkpoint.
-    table = U.PartitionedTable(spark, table_root, ["business_id", "month"], "_epoch", part_source="month", latest_wins=True)
+    table = U.PartitionedTable(spark, table_root, ["business_id", "month"], "_epoch", part_source="month")
+    sites = spatial.BusinessSites(locations, radius_meters, hot_cell_rows)  # saved once for all micro-batches
     requests = cleaning.clean_service_requests(_file_stream(spark, landing_dir, schema, files_per_trigger))
-    pairs = spatial.radius_join(locations, requests, radius_meters, hot_cell_rows=None)
-    counts = pairs.groupBy("business_id", "month").agg(F.count("unique_key").alias("total_311"))
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        # update mode emits the running count of each touched key; the later
-        # micro-batch wins, and only the batch's months are rewritten
-        table.upsert(df.withColumn("_epoch", F.lit(epoch_id).cast("long")))
+        # an epoch that is run again adds nothing twice
+        table.accumulate(sites.counts(df).withColumnRenamed("n", "total_311"), ["total_311"], epoch_id)
 
     return (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(batch)
+        _without_repeats(requests, repeat_window)
+        .writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()
