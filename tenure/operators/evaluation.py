@@ -23,17 +23,16 @@ def prefix_sums(df: DataFrame, order_col: str, cols: list[str], suffix: str = "_
 
     ranged = _checkpoint(ranged)
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in cols]).collect()
-    offsets: dict[int, list[float]] = {}
-    acc = [0.0] * len(cols)
+    offsets, acc = [], [0.0] * len(cols)
     for r in sorted(totals, key=lambda r: r["_pid"]):
-        offsets[r["_pid"]] = list(acc)
+        offsets.append((r["_pid"], *acc))
         acc = [a + float(r[c] or 0) for a, c in zip(acc, cols)]
+    kinds = ", ".join(["_pid int", *[f"_off{i} double" for i in range(len(cols))]])
+    offset_rows = df.sparkSession.createDataFrame(offsets, kinds)  # one row a partition
     w = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    out = ranged
+    out = ranged.join(offset_rows, "_pid")
     for i, c in enumerate(cols):
-        m = F.create_map(*[x for pid, off in offsets.items() for x in (F.lit(pid), F.lit(off[i]))]) if offsets else None
-        base = m[F.col("_pid")] if m is not None else F.lit(0.0)
-        out = out.withColumn(c + suffix, F.coalesce(F.sum(c).over(w), F.lit(0)).cast("double") + base)
+        out = out.withColumn(c + suffix, F.coalesce(F.sum(c).over(w), F.lit(0)).cast("double") + F.col(f"_off{i}")).drop(f"_off{i}")
     return out.drop("_pid")
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tenure.config import CATEGORY_PREFIX, COMPLAINT_PREFIX, LOCATION_FEATURE_COLUMNS
 from tenure.functions.exprs import month_diff, sanitize_feature_name
+from tenure.operators.quantiles import grouped_medians
 
 
 @dataclass(frozen=True)
@@ -108,15 +109,34 @@ def license_month_counts(expanded: DataFrame, dictionary: FeatureDictionary) ->
     )
 
 
-def business_facts(licenses: DataFrame) -> DataFrame:
+def business_facts(licenses: DataFrame, hot_rows: int = 100_000) -> DataFrame:
     """Per business: first licence date and median lat / lng over licences that
-    have both coordinates (exact, interpolated medians)."""
+    have both coordinates (exact, interpolated medians).
+
+    A business of more than ``hot_rows`` licences is not gathered: its
+    medians come from rank selection over range partitions
+    (``quantiles.grouped_medians``).  Both ways give the same value."""
+    from tenure.operators.sampling import _checkpoint
+
     located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-    return licenses.groupBy("business_id").agg(
+    sizes = licenses.groupBy("business_id").agg(F.count(F.lit(1)).alias("_rows"), F.min("issue_date").alias("first_license_date"))
+    hot = _checkpoint(sizes.where(F.col("_rows") > hot_rows).drop("_rows"))
+    few = licenses if hot.isEmpty() else licenses.join(hot.select("business_id"), "business_id", "left_anti")
+    facts = few.groupBy("business_id").agg(
         F.min("issue_date").alias("first_license_date"),
         F.median(F.when(located, F.col("latitude"))).alias("business_latitude"),
         F.median(F.when(located, F.col("longitude"))).alias("business_longitude"),
     )
+    if few is licenses:
+        return facts
+    spots = licenses.where(located).join(hot.select("business_id"), "business_id", "left_semi")
+    axes = F.array(*[F.struct(F.lit(i).alias("axis"), F.col(c).cast("double").alias("value")) for i, c in enumerate(("latitude", "longitude"))])
+    long = spots.select("business_id", F.explode(axes).alias("x")).select("business_id", "x.axis", "x.value")
+    axis = lambda i: F.max(F.when(F.col("axis") == i, F.col("median")))
+    middle = grouped_medians(long, ["business_id", "axis"]).groupBy("business_id").agg(
+        axis(0).alias("business_latitude"), axis(1).alias("business_longitude")
+    )
+    return facts.unionByName(hot.join(middle, "business_id", "left").select(*facts.columns))
 
 
 def business_locations(licenses: DataFrame) -> DataFrame:

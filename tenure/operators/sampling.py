@@ -4,7 +4,8 @@
   partitioning plus per-partition counts (one row per partition reaches the
   driver), so no single task sees all rows.
 * ``balance_oversample``: the minority class drawn with replacement up to the
-  majority size.  Draw d picks minority row ``pmod(xxhash64(d, seed), n)``;
+  majority size.  Rows are indexed in the order of md5(keys:seed), and draw d picks
+  the row at the number in md5(d:seed) modulo n, so any engine with md5 repeats it;
   draws are counted per picked row with map-side partial aggregation and the
   copies are generated in chunks, so even a one-row minority does not put all
   copies in one task.
@@ -41,14 +42,23 @@ def dense_index(df: DataFrame, order_cols: list[str], idx_col: str = "_idx") ->
     )
     ranged = _checkpoint(ranged)
     parts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.min("_mid").alias("m0")).collect()
-    offset, shift = 0, {}
+    offset, shift = 0, []
     for r in sorted(parts, key=lambda r: r["_pid"]):
-        shift[r["_pid"]] = offset - r["m0"]
+        shift.append((r["_pid"], offset - r["m0"]))
         offset += r["n"]
-    if not shift:
-        return ranged.withColumn(idx_col, F.lit(0).cast("long")).drop("_pid", "_mid")
-    mapping = F.create_map(*[x for pid, s in shift.items() for x in (F.lit(pid), F.lit(s).cast("long"))])
-    return ranged.withColumn(idx_col, F.col("_mid") + mapping[F.col("_pid")]).drop("_pid", "_mid")
+    shifts = df.sparkSession.createDataFrame(shift, "_pid int, _shift long")  # one row a partition
+    return ranged.join(shifts, "_pid").withColumn(idx_col, F.col("_mid") + F.col("_shift")).drop("_pid", "_mid", "_shift")
+
+
+def row_order(key_cols: list[str], seed: int):
+    """md5 of a row's keys and the seed (null keys are left out)."""
+    return F.md5(F.concat_ws(":", *[F.col(f"`{c}`").cast("string") for c in key_cols], F.lit(str(seed))).cast("binary"))
+
+
+def draw_number(draw, seed: int):
+    """A number below 2^60 from md5(draw:seed)."""
+    digest = F.md5(F.concat_ws(":", draw.cast("string"), F.lit(str(seed))).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
@@ -61,18 +71,18 @@ def balance_oversample(df: DataFrame, label: str, key_cols: list[str], seed: int
     already balanced and returned as they are."""
     counts = class_counts(df, label)
     if len(counts) < 2:
-        raise ValueError("Target must contain both classes for balancing and training.")
+        raise ValueError(f"balancing needs rows of two classes; {label} has {sorted(counts, key=str)}")
     (maj, n_maj), (mino, n_min) = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))
     base = df.withColumn("_copy", F.lit(-1).cast("long"))
     if n_maj == n_min:
         return base
     majority = base.where(F.col(label) == F.lit(maj))
-    minority = df.where(F.col(label) == F.lit(mino)).withColumn("_h", F.xxhash64(*key_cols, F.lit(seed)))
+    minority = df.where(F.col(label) == F.lit(mino)).withColumn("_h", row_order(key_cols, seed))
     indexed = dense_index(minority, ["_h", *key_cols])
     spark = df.sparkSession
     draws = (
         spark.range(n_maj)
-        .select(F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(n_min)).alias("_idx"))
+        .select((draw_number(F.col("id"), seed) % F.lit(n_min)).alias("_idx"))
         .groupBy("_idx")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -115,7 +125,7 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_size:
     """(train, test) with exact per-class sizes; membership by seeded hash rank."""
     counts = class_counts(df, label)
     test_n = stratified_allocation(counts, test_size)
-    ordered = df.withColumn("_h", F.xxhash64(*key_cols, F.lit(seed + 1)))
+    ordered = df.withColumn("_h", row_order(key_cols, seed + 1))
     indexed = dense_index(ordered, [label, "_h", *key_cols])
     start, acc = {}, 0
     for lab in sorted(counts):

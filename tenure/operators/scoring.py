@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tenure.config import CLAMP_LAT, CLAMP_LNG, REFERENCE_LAT, REFERENCE_LNG
 from tenure.functions.exprs import clamp
+from tenure.operators.quantiles import column_medians
 from tenure.operators.spatial import nearest_centroid
 
 # Model-specific names of the numeric profile inputs
@@ -55,11 +56,12 @@ COX_CATEGORY_SCENARIOS = (
 def reference_median(df: DataFrame, lat_col: str, lng_col: str) -> DataFrame:
     """One row (median_lat, median_lng); fallback (40.7128, -74.0060) when
     the column is absent or all-null."""
-    lat = F.median(F.col(lat_col)) if lat_col in df.columns else F.lit(None)
-    lng = F.median(F.col(lng_col)) if lng_col in df.columns else F.lit(None)
-    return df.agg(
-        F.coalesce(lat, F.lit(REFERENCE_LAT)).cast("double").alias("median_lat"),
-        F.coalesce(lng, F.lit(REFERENCE_LNG)).cast("double").alias("median_lng"),
+    have = [c for c in (lat_col, lng_col) if c in df.columns]
+    found = column_medians(df, have) if have else df.agg(F.count(F.lit(1)))
+    value = lambda c: F.col(f"`{c}`") if c in have else F.lit(None)
+    return found.select(
+        F.coalesce(value(lat_col), F.lit(REFERENCE_LAT)).cast("double").alias("median_lat"),
+        F.coalesce(value(lng_col), F.lit(REFERENCE_LNG)).cast("double").alias("median_lng"),
     )
 
 
@@ -77,12 +79,10 @@ def distinct_centroids(df: DataFrame, cluster_col: str, lat_col: str, lng_col: s
     )
 
 
-def centroid_list(centroids: DataFrame, limit: int = 10_000) -> list[tuple]:
-    """Bounded collect of a centroid table (k rows) for the array-literal
-    nearest-centroid expression; refuses oversize tables."""
-    rows = centroids.orderBy("location_cluster").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("centroid table is larger than a model-sized table")
+def centroid_list(centroids: DataFrame) -> list[tuple]:
+    """The centroid table as a list for the array-literal nearest-centroid
+    expression: one row per cluster of the fitted model."""
+    rows = centroids.orderBy("location_cluster").collect()
     return [(r["location_cluster"], r["location_cluster_lat"], r["location_cluster_lng"]) for r in rows]
 
 
@@ -141,10 +141,8 @@ def baseline_median_profile(train: DataFrame, kept_columns: list[str]) -> DataFr
     """One row 'baseline': exact median of each kept feature."""
     missing = [c for c in kept_columns if c not in train.columns]
     if missing:
-        raise ValueError(f"Training split is missing kept feature columns: {missing}")
-    return train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in kept_columns]).select(
-        F.lit("baseline").alias("profile"), *kept_columns
-    )
+        raise ValueError(f"no median can be taken of kept features that the rows lack: {missing}")
+    return column_medians(train, kept_columns).select(F.lit("baseline").alias("profile"), *kept_columns)
 
 
 def _scenario_rows(baseline: DataFrame, scenarios, kept_columns: list[str]) -> DataFrame:
@@ -215,12 +213,11 @@ def unpivot_nonzero_features(profiles: DataFrame, id_col: str, feature_cols: lis
 
 def relation_to_baseline(scored: DataFrame, score_col: str, higher: str = "above_baseline", lower: str = "below_baseline", same: str = "same_as_baseline") -> DataFrame:
     """Label each profile's score against the 'baseline' profile's score."""
-    base = scored.where(F.col("profile") == "baseline").select(F.col(score_col).alias("_base"), F.lit(1).alias("_k"))
-    joined = scored.withColumn("_k", F.lit(1)).join(base, "_k", "left").drop("_k")
-    return joined.withColumn(
-        "actual_vs_baseline",
-        F.when(F.col(score_col) > F.col("_base"), F.lit(higher)).when(F.col(score_col) < F.col("_base"), F.lit(lower)).otherwise(F.lit(same)),
-    ).withColumn("ratio_to_baseline", F.try_divide(F.col(score_col), F.col("_base"))).drop("_base")
+    # one value: the first (and only) score of the profile named so
+    found = scored.where(F.col("profile") == "baseline").select(F.col(score_col).cast("double")).first()
+    base = F.lit(None if found is None else found[0]).cast("double")
+    relation = F.when(F.col(score_col) > base, F.lit(higher)).when(F.col(score_col) < base, F.lit(lower)).otherwise(F.lit(same))
+    return scored.withColumn("actual_vs_baseline", relation).withColumn("ratio_to_baseline", F.try_divide(F.col(score_col), base))
 
 
 def directional_check(related: DataFrame, coefs: DataFrame, coef_col: str, up: str, down: str, same: str) -> DataFrame:
@@ -252,8 +249,8 @@ def check_features_available(kept: DataFrame, required: DataFrame) -> DataFrame:
 def flatten_timelines(timepoints: DataFrame) -> DataFrame:
     """One display row per timepoint: business, month, licence count,
     coordinates, prettified categories joined by ', ' and complaint counts as
-    'Label (n)' sorted by column name; 'None' when empty.  Sorted by
-    business, month.  ``timepoints`` has the profile-request shape plus
+    'Label (n)' sorted by column name; 'None' when empty.  A business stands
+    together in month order, without a global sort.  ``timepoints`` has the profile-request shape plus
     ``business`` and ``month``."""
     from tenure.functions.exprs import prettify_feature_name
 
@@ -271,13 +268,13 @@ def flatten_timelines(timepoints: DataFrame) -> DataFrame:
         F.col("business_longitude").cast("double").alias("longitude"),
         F.when(F.size("categories") > 0, cats).otherwise(F.lit("None")).alias("categories"),
         F.when(F.size("complaints") > 0, cmps).otherwise(F.lit("None")).alias("complaint_counts"),
-    ).orderBy("business", "month")
+    ).repartition("business").sortWithinPartitions("business", "month")
 
 
-def pivot_risk_over_time(scored: DataFrame, id_col: str, ids: list[str], month_col: str = "month", value_col: str = "partial_hazard", max_columns: int = 1000) -> DataFrame:
-    """Month (rows) × chosen profile (columns) risk table for a chart.  The
-    column list is explicit and bounded; a table with one column per
-    business of the whole data is refused."""
-    if len(ids) > max_columns:
-        raise ValueError(f"{len(ids)} columns requested; a chart pivot takes at most {max_columns}")
-    return scored.where(F.col(id_col).isin(ids)).groupBy(month_col).pivot(id_col, ids).agg(F.first(value_col)).orderBy(month_col)
+def pivot_risk_over_time(scored: DataFrame, id_col: str, ids: list[str], month_col: str = "month", value_col: str = "partial_hazard") -> DataFrame:
+    """Month (rows) x chosen profile (columns) risk table for a chart; the
+    columns are those asked for, in that order."""
+    rows = scored.where(F.col(id_col).cast("string").isin([str(x) for x in ids]))
+    return rows.groupBy(month_col).agg(
+        *[F.first(F.when(F.col(id_col).cast("string") == str(x), F.col(value_col)), ignorenulls=True).alias(str(x)) for x in ids]
+    ).orderBy(month_col)

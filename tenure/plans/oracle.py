@@ -449,3 +449,22 @@ SPLIT_SIZES_SQL = """
 select * from (select 'train' split, survived_36m, n_tr n from a
 union all select 'test', survived_36m, n_c - n_tr from a) g where n > 0
 """
+
+
+# ------------------------------------------------------------ sampling ----
+_SAMPLE_COLS = ", ".join(["business_id", *LOGIT_FEATURES, "survived_36m"])
+_CLASS_ORDER = "select survived_36m lab, count(*) n from train group by 1 order by n desc, lab"
+BALANCE_SQL = f"""
+, maj AS ({_CLASS_ORDER} limit 1), mino AS ({_CLASS_ORDER} limit 1 offset 1)
+, idx AS (select *, row_number() over (order by md5(business_id || ':42'), business_id) - 1 i from train
+    where survived_36m = (select lab from mino) and (select n from maj) > (select n from mino))
+, draws AS (select ('0x' || substr(md5(d || ':42'), 1, 15))::bigint % (select n from mino) i, count(*) k
+    from range((select n from maj)) g(d) group by 1)
+select {_SAMPLE_COLS}, -1::bigint "_copy" from train
+    where survived_36m = (select lab from maj) or (select n from maj) = (select n from mino)
+union all select {_SAMPLE_COLS}, unnest(range(k)) from idx join draws using (i)
+"""
+SPLIT_SQL = SPLIT_SIZES_SQL[: SPLIT_SIZES_SQL.index("select * from (select 'train'")] + f"""
+, ranked AS (select *, row_number() over (partition by survived_36m order by md5(business_id || ':-1:43'), business_id) rk from train)
+select {_SAMPLE_COLS}, -1::bigint "_copy", case when rk <= n_c - n_tr then 'test' else 'train' end split from ranked join a using (survived_36m)
+"""

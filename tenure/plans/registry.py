@@ -442,14 +442,14 @@ def q_class_metrics(spark, sf):
     return evaluation.class_metrics(evaluation.confusion_counts(_eval_scored(spark, sf), "survived_36m", "predicted_label"))
 
 
-@query("balance_oversample")
+@query("balance_oversample", O.with_ctes("train") + O.BALANCE_SQL)
 def q_balance(spark, sf):
     t = _training(spark, sf)
     data = t.select("business_id", *_logit_features(t), "survived_36m")
     return sampling.balance_oversample(data, "survived_36m", ["business_id"], 42)
 
 
-@query("stratified_split")
+@query("stratified_split", O.with_ctes("train") + O.SPLIT_SQL)
 def q_split(spark, sf):
     t = _training(spark, sf)
     data = t.select("business_id", *_logit_features(t), "survived_36m").withColumn("_copy", F.lit(-1).cast("long"))
