@@ -5,8 +5,10 @@ borough, OR-within / AND-across facet filter).
 Every per-business value is an aggregate with map-side partial aggregation
 (``max``, ``sum``, ``count``, ``min_by`` over the file ordinal), so a business
 with a huge number of licences never lands whole in one task.  Licence
-records stay one row per record (with the file ordinal) and are written beside
-the Features, both newline-delimited by the executors.
+records (with the file ordinal) are nested in chunks of bounded size: a Feature
+carries its records if they make one chunk and the number of its chunks
+otherwise, and the chunks are written beside the Features, all newline-delimited
+by the executors.
 """
 
 from __future__ import annotations
@@ -88,6 +90,8 @@ def filter_bbox(meta: DataFrame, lat=MAP_LAT, lng=MAP_LNG) -> DataFrame:
 
 
 def prepare_geojson_inputs(panel: DataFrame, meta: DataFrame) -> tuple[DataFrame, DataFrame]:
+    validate_panel_map(panel)
+    validate_license_metadata(meta)
     licenses = filter_bbox(filter_boroughs(build_full_address(clean_license_fields(meta))))
     return clean_business_ids(panel), licenses
 
@@ -138,6 +142,39 @@ def license_record_rows(meta: DataFrame) -> DataFrame:
     return meta.select("business_id", "record_ordinal", F.struct(*fields).alias("record"))
 
 
+def license_record_chunks(meta: DataFrame, per_chunk: int = 1000) -> DataFrame:
+    """(business_id, chunk, chunks, license_records): the records of a business
+    in file order, those of a business of more than ``per_chunk`` spread over
+    chunks by a hash of their ordinal, so none is gathered whole."""
+    rows = license_record_rows(meta)
+    large = rows.groupBy("business_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > per_chunk)
+    large = large.select("business_id", F.ceil(F.col("n") / F.lit(per_chunk)).cast("int").alias("chunks"))
+    chunks = F.coalesce(F.col("chunks"), F.lit(1))
+    placed = rows.join(large, "business_id", "left").withColumn("chunk", F.pmod(F.xxhash64("record_ordinal"), chunks).cast("int"))
+    nested = placed.groupBy("business_id", "chunk").agg(
+        F.max(chunks).alias("chunks"), F.sort_array(F.collect_list(F.struct("record_ordinal", "record"))).alias("own")
+    )
+    return nested.select("business_id", "chunk", "chunks", F.transform("own", lambda x: x["record"]).alias("license_records"))
+
+
+def with_license_records(businesses: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Businesses with ``license_records`` (where they are one chunk) and
+    ``license_record_chunks``."""
+    one = chunks.groupBy("business_id").agg(
+        F.max("chunks").alias("license_record_chunks"), F.first(F.when(F.col("chunks") == 1, F.col("license_records")), ignorenulls=True).alias("license_records")
+    )
+    return businesses.join(one, "business_id", "left")
+
+
+def write_record_chunks(features: DataFrame, chunks: DataFrame, path: str) -> str:
+    """The chunks of the exported businesses that have several, one
+    {"business_id", "chunk", "license_records"} per line."""
+    rows = chunks.where("chunks > 1").join(features.select("business_id"), "business_id", "left_semi")
+    value = F.to_json(F.struct("business_id", "chunk", "license_records"), {"ignoreNullFields": "false"})
+    rows.select(value.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
 def join_geo(summary: DataFrame, metadata: DataFrame) -> DataFrame:
     return summary.join(metadata, "business_id", "inner")
 
@@ -153,8 +190,7 @@ def geo_feature(businesses: DataFrame) -> DataFrame:
         F.coalesce(F.col("license_count"), F.lit(0)).cast("int").alias("license_count"),
         F.col("first_borough").alias("borough"),
     ]
-    if "license_records" in businesses.columns:
-        props.append(F.col("license_records"))
+    props += [F.col(c) for c in ("license_record_chunks", "license_records") if c in businesses.columns]
     return businesses.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
         "business_id",
         F.struct(

@@ -23,25 +23,6 @@ SERVICE_REQUESTS = IngestConfig("unique_key", "created_date", ("created_date", "
 LICENSES = IngestConfig("license_nbr", "license_creation_date", ("license_creation_date", "lic_expir_dd"))
 
 
-def ingest_batch(target: DataFrame | None, landing: DataFrame, cfg: IngestConfig) -> tuple[DataFrame | None, int]:
-    """Return (new table or None when there is nothing new, new-row count)."""
-    if target is not None:
-        wm = U.high_watermark(target, cfg.ts_col).first()["watermark"]
-        columns = target.columns
-    else:
-        wm = U.first_of_month()
-        columns = landing.columns
-    src = U.incremental_source(landing, cfg.ts_col, wm)
-    src = U.align_to_schema(src, columns, cfg.timestamp_cols)
-    src = U.dedupe_latest(src, cfg.key, cfg.ts_col)
-    n = src.count()
-    if n == 0:
-        return None, 0
-    if target is None:
-        return src, n
-    return U.upsert(target, src, cfg.key), n
-
-
 def ingest(spark: SparkSession, table_root: str, landing: DataFrame, cfg: IngestConfig) -> int:
     """One incremental run against a month-partitioned table; only the
     months the new rows fall in, or leave, are rewritten.  No-op on an empty batch."""

@@ -468,3 +468,39 @@ SPLIT_SQL = SPLIT_SIZES_SQL[: SPLIT_SIZES_SQL.index("select * from (select 'trai
 , ranked AS (select *, row_number() over (partition by survived_36m order by md5(business_id || ':-1:43'), business_id) rk from train)
 select {_SAMPLE_COLS}, -1::bigint "_copy", case when rk <= n_c - n_tr then 'test' else 'train' end split from ranked join a using (survived_36m)
 """
+
+
+# --------------------------------------------- fixed centres, map, sources ----
+FIXED_CENTRES = [(0, 40.55, -74.15), (1, 40.65, -73.95), (2, 40.75, -74.0), (3, 40.85, -73.8)]
+_D2 = "({lat} - business_latitude) * ({lat} - business_latitude) + ({lng} - business_longitude) * ({lng} - business_longitude)"
+CLUSTER_SQL = (
+    "select l.*, c.id location_cluster, c.lat location_cluster_lat, c.lng location_cluster_lng from loc l, (values "
+    + ", ".join(f"({i}, {a}::double, {b}::double)" for i, a, b in FIXED_CENTRES) + ") c(id, lat, lng)"
+    " qualify row_number() over (partition by business_id order by " + _D2.format(lat="c.lat", lng="c.lng") + ", c.id) = 1"
+)
+FINALIZE_SQL = (
+    ", clustered AS (" + CLUSTER_SQL + ")\n"
+    "select p.*, c.location_cluster, c.location_cluster_lat, c.location_cluster_lng from panel_core p"
+    " join clustered c on p.business_id = c.business_id"
+)
+_HAZARD = "exp(" + " + ".join(f"{b} * {c}" for c, b in RISK_BETA.items()) + ")"
+RISK_PIVOT_SQL = (
+    f", h AS (select business_id, months_since_first_license m, {_HAZARD} h from pc)"
+    ", top AS (select business_id, row_number() over (order by max(h) desc, business_id) rk from h group by business_id qualify rk <= 5)\n"
+    "select m as month, " + ", ".join(f"max(h) filter (where rk = {i}) top_{i}" for i in range(1, 6)) + " from h join top using (business_id) group by m"
+)
+METADATA_COLUMNS = (
+    "business_id", "latitude", "longitude", "borough", "business_name", "industry", "address_building", "address_street_name",
+    "address_city", "address_state", "address_zip", "license_status", "license_creation_date", "license_expiration_date",
+)
+SCAN_GEOJSON_SQL = (
+    "select g.*, 1 license_record_chunks, r.license_numbers, r.creation_dates from gfeat g join (select business_id,"
+    " string_agg(license_number, ',' order by record_ordinal) license_numbers,"
+    " string_agg(strftime(license_creation_date, '%Y-%m-%d'), ',' order by record_ordinal) creation_dates from meta group by business_id) r"
+    " on g.business_id = r.business_id"
+)
+REJECTS_SQL = (
+    "select case when o_orderkey % 97 = 0 then 'reject' else 'row' end kind, cast(o_orderkey as varchar) as key,"
+    " case when o_orderkey % 97 = 0 then null else replace(o_orderpriority, '-', ',\"') end priority,"
+    " case when o_orderkey % 97 = 0 then 4 else 3 end n_fields from orders"
+)

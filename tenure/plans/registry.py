@@ -796,13 +796,35 @@ def q_write_geojson(spark, sf):
 def q_job_geojson(spark, sf):
     """Map export written and read back: the Features and their licence records."""
     root = _scratch(spark, "map")
-    feats = geojson.geo_feature(_geo_businesses(spark, sf))
+    meta = _geo_inputs(spark, sf)[1]
+    chunks = geojson.license_record_chunks(meta)
+    feats = geojson.geo_feature(geojson.with_license_records(_geo_businesses(spark, sf), chunks))
     paths = {
         "feature": geojson.write_geojson(feats, f"{root}/geojson"),
-        "license_record": geojson.write_license_records(feats, _geo_inputs(spark, sf)[1], f"{root}/license_records"),
+        "license_record": geojson.write_license_records(feats, meta, f"{root}/license_records"),
+        "license_record_chunk": geojson.write_record_chunks(feats, chunks, f"{root}/license_record_chunks"),
     }
-    feature, record = (spark.read.text(path).select(F.lit(kind).alias("kind"), "value") for kind, path in paths.items())
-    return feature.unionByName(record)
+    feature, record, chunk = (spark.read.text(path).select(F.lit(kind).alias("kind"), "value") for kind, path in paths.items())
+    return feature.unionByName(record).unionByName(chunk)
+
+
+@query("scan_geojson", O.with_ctes("gfeat") + O.SCAN_GEOJSON_SQL)
+def q_scan_geojson(spark, sf):
+    """Features with their licence records written as lines, parsed again."""
+    panel_df, meta = _geo_inputs(spark, sf)
+    businesses = geojson.join_geo(geojson.business_activity_summary(panel_df, FIXTURE_STUDY_END), geojson.business_license_metadata(meta))
+    feats = geojson.geo_feature(geojson.with_license_records(businesses, geojson.license_record_chunks(meta)))
+    path = geojson.write_geojson(feats, _scratch(spark, "geojson-records"))
+    f = spark.read.text(path).select(F.from_json("value", feats.schema["feature"].dataType).alias("f"))
+    p = F.col("f.properties")
+    return f.select(
+        p["business_id"].alias("business_id"), p["active"].alias("active"), p["last_month"].alias("last_month"),
+        p["complaint_sum"].alias("complaint_sum"), p["license_count"].alias("license_count"), p["borough"].alias("borough"),
+        F.col("f.geometry.coordinates")[0].alias("lng"), F.col("f.geometry.coordinates")[1].alias("lat"),
+        p["license_record_chunks"].alias("license_record_chunks"),
+        F.array_join(F.transform(p["license_records"], lambda x: x["license_number"]), ",").alias("license_numbers"),
+        F.array_join(F.transform(p["license_records"], lambda x: x["license_creation_date"]), ",").alias("creation_dates"),
+    )
 
 
 @query("facet_table", O.with_ctes("gfacet") + "select * from gfacet")
@@ -1085,20 +1107,49 @@ def q_write_panel(spark, sf):
     return scan_panel(spark, f"{root}/panel")
 
 
+def _metadata_csv(spark, sf, path):
+    from tenure.config import LICENSE_METADATA_HEADER_MAP
+    from tenure.sources import readers
+
+    dates = {c: "M/d/yyyy" for c in ("license_creation_date", "license_expiration_date")}
+    return readers.write_source_csv(fixtures.license_metadata(spark, sf), path, LICENSE_METADATA_HEADER_MAP, dates)
+
+
 @query("job_all")
 def q_job_all(spark, sf):
-    """Whole pipeline run; one row with the JSON run summary."""
-    import json
-
-    from tenure.config import ModelSettings
-    from tenure.plans.run_pipeline import PipelineConfig, run_pipeline
+    """Whole pipeline run from raw exports; one row with the JSON run summary."""
+    from tenure.config import LICENSE_HEADER_MAP, REQUEST_HEADER_MAP, REQUEST_TS_FORMAT, ModelSettings
+    from tenure.plans.run_pipeline import InputPaths, PipelineConfig, run_from_paths
+    from tenure.sources import readers
 
     root = _scratch(spark, "run")
-    cfg = PipelineConfig(output_dir=root, model=ModelSettings(study_end=FIXTURE_STUDY_END))
-    summary = run_pipeline(fixtures.licenses(spark, sf), fixtures.requests(spark, sf), fixtures.license_metadata(spark, sf), cfg)
+    readers.write_source_csv(fixtures.licenses(spark, sf), f"{root}/licenses", LICENSE_HEADER_MAP, {"issue_date": "M/d/yyyy", "expire_date": "MM/dd/yyyy"})
+    readers.write_source_csv(fixtures.requests(spark, sf), f"{root}/requests", REQUEST_HEADER_MAP, {"created_date": REQUEST_TS_FORMAT})
+    paths = InputPaths(f"{root}/licenses", f"{root}/requests", _metadata_csv(spark, sf, f"{root}/metadata"))
+    run_from_paths(spark, paths, PipelineConfig(output_dir=root, model=ModelSettings(study_end=FIXTURE_STUDY_END)))
     return spark.read.text(f"{root}/summary").select(F.col("value").alias("summary_json"))
 
 
+@query("scan_source_rejects", O.REJECTS_SQL)
+def q_scan_rejects(spark, sf):
+    """An export whose every 97th record has a field too many: rows read and
+    records rejected."""
+    from tenure.sources import readers
+
+    root = _scratch(spark, "rejects")
+    orders = fixtures.table(spark, sf, "orders")
+    quoted = F.concat(F.lit('"'), F.replace("o_orderpriority", F.lit("-"), F.lit(',""')), F.lit('"'))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), quoted, F.when(F.col("o_orderkey") % 97 == 0, F.lit("x,y")).otherwise("x"))
+    lines = spark.createDataFrame([("Key,Priority,Mark",)], "value string").withColumn("k", F.lit(-1).cast("long"))
+    # one file, so that its first line is the header; it is read by many tasks
+    body = lines.unionByName(orders.select(line.alias("value"), F.col("o_orderkey").cast("long").alias("k")))
+    body.coalesce(1).sortWithinPartitions("k").select("value").write.text(f"{root}/orders")
+    read = readers.read_source(spark, f"{root}/orders", {"Key": "key", "Priority": "priority", "Mark": "mark"}, ["Key"], multi_line=False)
+    kept = read.rows.select(F.lit("row").alias("kind"), "key", "priority", F.lit(3).alias("n_fields"))
+    lost = read.rejects.select(F.lit("reject").alias("kind"), F.col("first_field").alias("key"), F.lit(None).cast("string").alias("priority"), "n_fields")
+    return kept.unionByName(lost)
+
+
 # ------------------------------------------- explicit inventory entries ----
 def alias(name: str, target: str, doc: str | None = None) -> None:
     """Register ``name`` as the same computation as ``target`` (a step the
@@ -1114,13 +1165,11 @@ for _name, _target in [
     ("join_window_counts", "first_year_aggregate"),
     ("join_training", "training_dataset"),
     ("join_survival_labels", "business_level_dataset"),
-    ("join_cluster_centers", "kmeans_locations"),
     ("union_balanced", "balance_oversample"),
     ("union_profiles", "scenario_profiles_logistic"),
     ("coef_rank", "coef_summary_logistic"),
     ("ranked_predictions", "predict_profiles_logistic"),
     ("job_panel", "write_panel"),
-    ("scan_panel", "write_panel"),
     ("relation_label", "risk_vs_baseline"),
     ("coef_direction", "directional_check_logistic"),
     ("safe_divide", "class_metrics"),
@@ -1227,12 +1276,61 @@ def q_choose_agg(spark, sf):
     return spark.createDataFrame(plan, "feature string, rule string")  # one row per column (schema-sized)
 
 
-@query("feature_columns")
+@query(
+    "feature_columns",
+    O.with_ctes("train") + "select cast(row_number() over (order by c.column_index) - 1 as integer) as position, c.column_name feature"
+    " from (values " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(O.LOGIT_FEATURES)) + ") c(column_index, column_name)"
+    " where (select count(*) from train) > 0",
+)
 def q_feature_columns(spark, sf):
-    """Candidate logistic features of the training set, in column order."""
-    t = _training(spark, sf)
-    cols = _logit_features(t)
-    return t.limit(1).select(F.posexplode(F.array(*[F.lit(c) for c in cols])).alias("position", "feature"))
+    """Candidate logistic features of the training set, in column order (from
+    the data's column names; nothing is read)."""
+    cols = _logit_features(_training(spark, sf))
+    return spark.createDataFrame(list(enumerate(cols)), "position int, feature string")
+
+
+# ------------------------------------- steps at fixed cluster centres ----
+def _fixed_clusters(spark, sf):
+    return clustering.assign_location_clusters(_locations(spark, sf), O.FIXED_CENTRES)
+
+
+@query("join_cluster_centers", O.with_ctes("loc") + O.CLUSTER_SQL)
+def q_join_cluster_centers(spark, sf):
+    """Located businesses with the nearest of fixed centres and its coordinates."""
+    return _fixed_clusters(spark, sf)
+
+
+@query("panel_finalize", O.with_ctes("panel_core") + O.FINALIZE_SQL)
+def q_panel_finalize(spark, sf):
+    """The whole panel at fixed centres, cluster columns included; businesses
+    without a cluster are left out."""
+    from tenure.plans.panel import build_panel_parts
+
+    return build_panel_parts(fixtures.licenses(spark, sf), fixtures.requests(spark, sf), centres=O.FIXED_CENTRES).panel
+
+
+@query("scan_panel", O.with_ctes("panel_core") + "select * from panel_core")
+def q_scan_panel(spark, sf):
+    """The panel written as CSV and read back with its types."""
+    from tenure.sources.readers import scan_panel
+
+    root = _scratch(spark, "panel-typed")
+    core = _panel_core(spark, sf)
+    core.write.option("header", True).csv(f"{root}/p")
+    back = scan_panel(spark, f"{root}/p", fmt="csv")
+    return back.select(*[F.col(c).cast(core.schema[c].dataType).alias(c) for c in core.columns])
+
+
+@query("pivot_risk_over_time", O.with_ctes("pc") + O.RISK_PIVOT_SQL)
+def q_pivot_risk(spark, sf):
+    """Month x business chart of the five riskiest businesses (top-k report) at
+    fixed coefficients."""
+    eta = sum((F.col(c) * F.lit(b) for c, b in O.RISK_BETA.items()), F.lit(0.0))
+    scored = _study_panel(spark, sf).select("business_id", F.col("months_since_first_license").alias("month"), F.exp(eta).alias("partial_hazard"))
+    top = scored.groupBy("business_id").agg(F.max("partial_hazard").alias("h")).orderBy(F.desc("h"), "business_id").limit(5).collect()
+    ids = [r["business_id"] for r in top]
+    wide = scoring.pivot_risk_over_time(scored, "business_id", ids)
+    return wide.select("month", *[F.col(f"`{x}`").alias(f"top_{i}") for i, x in enumerate(ids, 1)])
 
 
 @query("job_logistic")
@@ -1382,7 +1480,6 @@ def q_pivot_trajectory(spark, sf):
 # ------------------------------------------- remaining inventory entries ----
 for _name, _target in [
     ("feature_dictionary", "feature_dictionary_categories"),
-    ("panel_finalize", "merge_panel"),
     ("feature_group", "prettify_feature_name"),
     ("directional_check", "directional_check_logistic"),
 ]:
@@ -1445,26 +1542,18 @@ def q_scan_panel_map(spark, sf):
     return back.select("business_id", "month", geojson.complaint_signal(back).alias("complaint_sum"))
 
 
-@query(
-    "scan_license_metadata",
-    O.with_ctes("meta_raw") + "select business_id, borough, latitude, longitude, license_status from meta_raw",
-)
+@query("scan_license_metadata", O.with_ctes("meta_raw") + "select " + ", ".join(O.METADATA_COLUMNS) + " from meta_raw")
 def q_scan_meta(spark, sf):
-    """Licence metadata written in the raw export layout and read back."""
-    from tenure.config import LICENSE_METADATA_HEADER_MAP
-    from tenure.functions.exprs import to_double
+    """Licence metadata written in the raw export layout and read back, every
+    column of the export."""
+    from tenure.functions.exprs import to_date, to_double
     from tenure.sources import readers
 
-    root = _scratch(spark, "meta-csv")
-    meta = fixtures.license_metadata(spark, sf)
-    inv = {v: k for k, v in LICENSE_METADATA_HEADER_MAP.items()}
-    meta.select(*[F.col(c).cast("string").alias(inv[c]) for c in ("business_id", "borough", "latitude", "longitude", "license_status")]) \
-        .write.option("header", True).option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(f"{root}/m")
-    raw = readers.read_source_csv(spark, f"{root}/m", LICENSE_METADATA_HEADER_MAP, ["Business Unique ID", "Latitude", "Longitude", "Borough"])
-    return raw.select(
-        "business_id", "borough", to_double(F.col("latitude"), raw.schema["latitude"].dataType).alias("latitude"),
-        to_double(F.col("longitude"), raw.schema["longitude"].dataType).alias("longitude"), "license_status",
-    )
+    raw = readers.load_license_metadata(spark, _metadata_csv(spark, sf, _scratch(spark, "meta-csv")))
+    text = raw.schema["latitude"].dataType
+    typed = {c: to_double(F.col(c), text) for c in ("latitude", "longitude")}
+    typed |= {c: to_date(F.col(c), text, "M/d/yyyy") for c in ("license_creation_date", "license_expiration_date")}
+    return raw.select(*[typed.get(c, F.col(c)).alias(c) for c in O.METADATA_COLUMNS])
 
 
 @query("write_table_artifact")

@@ -6,7 +6,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tenure.config import ModelSettings, PanelSettings
 from tenure.operators import geojson
@@ -14,6 +14,7 @@ from tenure.operators.sampling import _checkpoint
 from tenure.plans.cox_job import run_cox, save_cox_artifacts
 from tenure.plans.logistic_job import run_logistic, save_logistic_artifacts
 from tenure.plans.panel import build_panel, write_panel
+from tenure.sources import readers
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,36 @@ class PipelineConfig:
     extra: dict = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class InputPaths:
+    """Raw exports: licences and requests are needed, the map's records not."""
+
+    licenses: str
+    requests: str
+    metadata: str | None = None
+
+
+def missing_inputs(spark: SparkSession, paths: InputPaths) -> list[str]:
+    """Named inputs that are not there, on whatever file system they name."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    named = [p for p in (paths.licenses, paths.requests, paths.metadata) if p is not None]
+    out = []
+    for p in named:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        if not path.getFileSystem(conf).exists(path):
+            out.append(p)
+    return out
+
+
+def run_from_paths(spark: SparkSession, paths: InputPaths, cfg: PipelineConfig) -> dict:
+    """The whole run from raw exports; nothing is started if one is missing."""
+    if gone := missing_inputs(spark, paths):
+        raise FileNotFoundError(f"input not found: {', '.join(gone)}")
+    licenses, requests = readers.load_source_data(spark, paths.licenses, paths.requests)
+    metadata = readers.load_license_metadata(spark, paths.metadata) if paths.metadata else None
+    return run_pipeline(licenses, requests, metadata, cfg)
+
+
 def run_pipeline(licenses_raw: DataFrame, requests_raw: DataFrame, metadata_raw: DataFrame | None, cfg: PipelineConfig) -> dict:
     out = cfg.output_dir.rstrip("/")
     summary: dict = {}
@@ -51,7 +82,10 @@ def run_pipeline(licenses_raw: DataFrame, requests_raw: DataFrame, metadata_raw:
     if "geojson" in cfg.stages and metadata_raw is not None:
         p, meta = geojson.prepare_geojson_inputs(panel_df, metadata_raw)
         s = geojson.business_activity_summary(p, cfg.map_cutoff or cfg.model.study_end)
-        feats = geojson.geo_feature(geojson.join_geo(s, geojson.business_license_metadata(meta)))
+        chunks = _checkpoint(geojson.license_record_chunks(meta))
+        businesses = geojson.join_geo(s, geojson.business_license_metadata(meta))
+        feats = geojson.geo_feature(geojson.with_license_records(businesses, chunks))
+        summary["record_chunks_path"] = geojson.write_record_chunks(feats, chunks, f"{out}/license_record_chunks")
         summary["geojson_path"] = geojson.write_geojson(feats, f"{out}/geojson")
         summary["license_records_path"] = geojson.write_license_records(feats, meta, f"{out}/license_records")
         if cfg.extra.get("feature_collection"):  # opt-in single document, size-checked
