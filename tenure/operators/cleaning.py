@@ -81,9 +81,9 @@ def validate_panel(panel: DataFrame) -> None:
     """Raise ``ValueError`` on missing columns, null months or duplicate keys."""
     row = panel_violations(panel).first()
     if row["null_months"]:
-        raise ValueError("Joined dataset contains null month values.")
+        raise ValueError(f"panel has {row['null_months']} rows with a null month")
     if row["duplicate_keys"]:
-        raise ValueError("Duplicate business_id-month rows found in joined dataset.")
+        raise ValueError(f"panel has {row['duplicate_keys']} (business_id, month) keys with several rows")
 
 
 def restrict_study_window(panel: DataFrame, study_end) -> DataFrame:

@@ -47,13 +47,13 @@ def variances(df: DataFrame, columns: list[str]) -> DataFrame:
 def variance_filter(df: DataFrame, columns: list[str], threshold: float) -> FeatureSelection:
     """Keep columns whose population variance is strictly above ``threshold``."""
     if not columns:
-        raise ValueError("No candidate feature columns available for model fitting.")
+        raise ValueError("variance filter: no columns given")
     if df.limit(1).count() == 0:
-        raise ValueError("Feature matrix is empty before variance filtering.")
+        raise ValueError("variance filter: no rows given")
     row = variances(df, columns).first()
     kept = [c for c in columns if row[c] is not None and row[c] > threshold]
     if not kept:
-        raise ValueError("No features remain after low-variance filtering.")
+        raise ValueError(f"variance filter: no column varies by more than {threshold}")
     return FeatureSelection(kept, [c for c in columns if c not in kept])
 
 

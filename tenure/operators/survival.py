@@ -64,7 +64,7 @@ def rule_for(name: str, is_binary: bool | None = None) -> str:
     mean; open / months_since_first_license -> max; other 0/1 columns -> max;
     anything else -> last.  Identifier columns are an error."""
     if name in ID_COLUMNS:
-        raise ValueError(f"Aggregation should not be chosen for identifier column {name}.")
+        raise ValueError(f"{name} identifies rows and has no aggregation rule")
     if name in STATIC_FIRST:
         return "first"
     if name.startswith("business_category_"):

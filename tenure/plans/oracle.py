@@ -504,3 +504,38 @@ REJECTS_SQL = (
     " case when o_orderkey % 97 = 0 then null else replace(o_orderpriority, '-', ',\"') end priority,"
     " case when o_orderkey % 97 = 0 then 4 else 3 end n_fields from orders"
 )
+
+
+# ------------------------------------- rows of steps at fixed values, read back ----
+COX_TV_SQL = (
+    "select business_id, month, \"start\", stop, event, "
+    + ", ".join(_z(c, "tv") for c in BL_FEATURES) + " from (" + TV_SQL + ") tv"
+)
+SIGNAL_SQL = "select distinct trim(business_id) business_id, 'complaint_sum' signal_column from pc0 where business_id is not null and trim(business_id) <> ''"
+CENTROID_SQL = FINALIZE_SQL.replace("select p.*, c.location_cluster,", "select distinct cast(c.location_cluster as double) location_cluster,")
+MISSING_SQL = (
+    "select feature from (values " + ", ".join(f"('{f}')" for _, f, _ in LOGISTIC_SCENARIOS) + ") t(feature)"
+    " where feature not in (select feature from fnames)"
+)
+
+
+def _profile_value(c: str) -> str:
+    if c.startswith("business_category_"):
+        return f"case when {c} > 0 then 1.0 else 0.0 end"
+    if c.startswith("complaint_type_"):
+        return f"cast({c} as double)"
+    if c == "business_latitude_first12m_first":
+        return f"least(greatest({c}, 40.49), 40.92)"
+    if c == "business_longitude_first12m_first":
+        return f"least(greatest({c}, -74.27), -73.68)"
+    return f"cast({c} as double)" if c == "active_license_count_first12m_mean" else "0.0"
+
+
+PROFILE_COLS = [*LOGIT_FEATURES, "location_cluster_lat_first12m_first", "location_cluster_lng_first12m_first", "business_category_unheard_first12m_max"]
+_AT = "least(greatest(business_latitude_first12m_first, 40.49), 40.92)", "least(greatest(business_longitude_first12m_first, -74.27), -73.68)"
+PROFILES_SQL = (
+    "select business_id profile_id, " + ", ".join(f"cast({_profile_value(c)} as double) {c}" for c in LOGIT_FEATURES)
+    + ", c.lat location_cluster_lat_first12m_first, c.lng location_cluster_lng_first12m_first, 0::double business_category_unheard_first12m_max"
+    " from train, (values " + ", ".join(f"({i}, {a}::double, {b}::double)" for i, a, b in FIXED_CENTRES) + ") c(id, lat, lng)"
+    f" qualify row_number() over (partition by business_id order by (c.lat - {_AT[0]}) * (c.lat - {_AT[0]}) + (c.lng - {_AT[1]}) * (c.lng - {_AT[1]}), c.id) = 1"
+)

@@ -88,6 +88,17 @@ def _complaint_counts(spark, sf):
     return _memo(("complaint_counts", sf), spark, build)
 
 
+def _fixed_panel(spark, sf):
+    """The complete panel at fixed cluster centres, built once per session."""
+    from tenure.operators.sampling import _checkpoint
+    from tenure.plans.panel import build_panel_parts
+
+    def build():
+        return _checkpoint(build_panel_parts(fixtures.licenses(spark, sf), fixtures.requests(spark, sf), centres=O.FIXED_CENTRES).panel)
+
+    return _memo(("fixed_panel", sf), spark, build)
+
+
 def _panel_core(spark, sf):
     """The panel flow without KMeans (core columns only: cluster ids are
     arbitrary, so the oracle-checked queries derive from this), built and
@@ -494,12 +505,12 @@ def q_cox_prepare_std(spark, sf):
     return modeling
 
 
-@query("cox_prepare_tv")
+@query("cox_prepare_tv", O.with_ctes("pc") + O.COX_TV_SQL)
 def q_cox_prepare_tv(spark, sf):
     from tenure.config import ModelSettings
     from tenure.plans.cox_job import prepare_time_varying
 
-    modeling, _, _ = prepare_time_varying(_full_panel(spark, sf), ModelSettings(study_end=FIXTURE_STUDY_END))
+    modeling, _, _ = prepare_time_varying(_study_panel(spark, sf), ModelSettings(study_end=FIXTURE_STUDY_END))
     return modeling
 
 
@@ -614,16 +625,16 @@ def q_clamp(spark, sf):
     return spatial.clamp_bounds(_locations(spark, sf), "business_latitude", "business_longitude")
 
 
-@query("distinct_centroids")
+@query("distinct_centroids", O.with_ctes("panel_core") + O.CENTROID_SQL)
 def q_distinct_centroids(spark, sf):
-    return scoring.distinct_centroids(_full_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
+    return scoring.distinct_centroids(_fixed_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
 
 
-@query("nearest_centroid")
+@query("nearest_centroid", O.with_ctes("loc") + "select * replace (cast(location_cluster as double) as location_cluster) from (" + O.CLUSTER_SQL + ") q")
 def q_nearest_centroid(spark, sf):
-    """Every business location mapped to its nearest panel cluster centre."""
+    """Every business location mapped to the nearest of the panel's cluster centres."""
     cents = scoring.centroid_list(
-        scoring.distinct_centroids(_full_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
+        scoring.distinct_centroids(_fixed_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
     )
     return spatial.nearest_centroid(_locations(spark, sf), "business_latitude", "business_longitude", cents)
 
@@ -644,14 +655,11 @@ def _profile_requests(training, prefix_cat="business_category_", prefix_cmp="com
     ))
 
 
-@query("build_profiles")
+@query("build_profiles", O.with_ctes("train") + O.PROFILES_SQL)
 def q_build_profiles(spark, sf):
-    """Profile requests of every eligible business -> logistic feature rows."""
-    run = _logistic_run(spark, sf)
-    cents = scoring.centroid_list(
-        scoring.distinct_centroids(_full_panel(spark, sf), "location_cluster", "location_cluster_lat", "location_cluster_lng")
-    )
-    return scoring.build_profiles(_profile_requests(run.training), run.selection.kept_columns, cents)
+    """Profile requests of every eligible business -> logistic feature rows
+    (fixed centres; a column that no profile sets is 0)."""
+    return scoring.build_profiles(_profile_requests(_training(spark, sf)), O.PROFILE_COLS, O.FIXED_CENTRES)
 
 
 @query("predict_profiles_logistic")
@@ -718,16 +726,14 @@ def q_profiles_over_time(spark, sf):
     )
     prof = scoring.build_profiles(req, run.selection.kept_columns, cents, scoring.COX_INPUTS)
     scaled = features.standardize(prof, run.scaler, keep=["profile_id", "month"])
-    return cox.partial_hazard(scaled, run.model).select("profile_id", "month", "partial_hazard").orderBy("profile_id", "month")
+    return cox.partial_hazard(scaled, run.model).select("profile_id", "month", "partial_hazard")
 
 
-@query("check_features_available")
+@query("check_features_available", O.with_ctes("fnames") + O.MISSING_SQL)
 def q_check_features(spark, sf):
-    """Scenario features the logistic model did not keep (left-anti join)."""
-    run = _logistic_run(spark, sf)
-    kept = spark.createDataFrame([(c,) for c in run.selection.kept_columns], "feature string")
-    req = run.training.select(F.explode(F.array(*[F.lit(f) for _, f, _ in scoring.LOGISTIC_SCENARIOS])).alias("feature")).distinct()
-    return scoring.check_features_available(kept, req)
+    """Scenario features that the training data doesn't have (left-anti join)."""
+    req = spark.createDataFrame([(f,) for _, f, _ in scoring.LOGISTIC_SCENARIOS], "feature string")
+    return scoring.check_features_available(_feature_names(spark, sf).select("feature"), req)
 
 
 # ------------------------------------------------------------- 2.x geo ----
@@ -1096,15 +1102,16 @@ def q_scan_requests_csv(spark, sf):
     )
 
 
-@query("write_panel")
+@query("write_panel", O.with_ctes("panel_core") + O.FINALIZE_SQL)
 def q_write_panel(spark, sf):
     """Panel written (partitioned by year, business-ordered) and scanned back."""
     from tenure.plans.panel import write_panel
     from tenure.sources.readers import scan_panel
 
     root = _scratch(spark, "panel")
-    write_panel(_full_panel(spark, sf), f"{root}/panel")
-    return scan_panel(spark, f"{root}/panel")
+    written = _fixed_panel(spark, sf)
+    write_panel(written, f"{root}/panel")
+    return scan_panel(spark, f"{root}/panel").select(*written.columns)
 
 
 def _metadata_csv(spark, sf, path):
@@ -1304,9 +1311,7 @@ def q_join_cluster_centers(spark, sf):
 def q_panel_finalize(spark, sf):
     """The whole panel at fixed centres, cluster columns included; businesses
     without a cluster are left out."""
-    from tenure.plans.panel import build_panel_parts
-
-    return build_panel_parts(fixtures.licenses(spark, sf), fixtures.requests(spark, sf), centres=O.FIXED_CENTRES).panel
+    return _fixed_panel(spark, sf)
 
 
 @query("scan_panel", O.with_ctes("panel_core") + "select * from panel_core")
@@ -1510,13 +1515,13 @@ def q_complaint_signal(spark, sf):
     return p.select("business_id", "month", geojson.complaint_signal(p).alias("complaint_value"))
 
 
-@query("panel_sort")
+@query("panel_sort", O.with_ctes("panel_core") + O.FINALIZE_SQL)
 def q_panel_sort(spark, sf):
     """Panel rows of a business together and month-ordered (no global sort)."""
-    return panel.sort_panel(_full_panel(spark, sf))
+    return panel.sort_panel(_fixed_panel(spark, sf))
 
 
-@query("validate_panel_map")
+@query("validate_panel_map", O.with_ctes("pc0") + O.SIGNAL_SQL)
 def q_validate_panel_map(spark, sf):
     """Map-side panel check; one row per business with the signal column used."""
     p = _panel_core(spark, sf)
@@ -1524,7 +1529,7 @@ def q_validate_panel_map(spark, sf):
     return geojson.clean_business_ids(p).select("business_id").distinct().withColumn("signal_column", F.lit(col))
 
 
-@query("validate_license_metadata")
+@query("validate_license_metadata", O.with_ctes("meta_raw") + "select business_id, latitude, longitude, borough from meta_raw")
 def q_validate_meta(spark, sf):
     meta = fixtures.license_metadata(spark, sf)
     geojson.validate_license_metadata(meta)
@@ -1556,7 +1561,7 @@ def q_scan_meta(spark, sf):
     return raw.select(*[typed.get(c, F.col(c)).alias(c) for c in O.METADATA_COLUMNS])
 
 
-@query("write_table_artifact")
+@query("write_table_artifact", O.with_ctes("train") + "select * from train")
 def q_write_table(spark, sf):
     """Training dataset written as a table artifact and read back."""
     root = _scratch(spark, "table")
@@ -1564,7 +1569,7 @@ def q_write_table(spark, sf):
     return spark.read.parquet(f"{root}/training")
 
 
-@query("write_json_artifact")
+@query("write_json_artifact", O.with_ctes("train") + O.EVAL_SQL)
 def q_write_json(spark, sf):
     """Evaluation metrics written as a one-row JSON artifact and read back."""
     root = _scratch(spark, "json")
