@@ -271,9 +271,12 @@ def flatten_timelines(timepoints: DataFrame) -> DataFrame:
     ).repartition("business").sortWithinPartitions("business", "month")
 
 
-def pivot_risk_over_time(scored: DataFrame, id_col: str, ids: list[str], month_col: str = "month", value_col: str = "partial_hazard") -> DataFrame:
+def pivot_risk_over_time(scored: DataFrame, id_col: str, ids: list[str], month_col: str = "month", value_col: str = "partial_hazard", max_columns: int = 1000) -> DataFrame:
     """Month (rows) x chosen profile (columns) risk table for a chart; the
-    columns are those asked for, in that order."""
+    columns are those asked for, in that order.  More than ``max_columns`` are
+    refused: a chart has a line for each, and nothing is left out silently."""
+    if len(ids) > max_columns:
+        raise ValueError(f"{len(ids)} columns asked for, a chart table has at most {max_columns}")
     rows = scored.where(F.col(id_col).cast("string").isin([str(x) for x in ids]))
     return rows.groupBy(month_col).agg(
         *[F.first(F.when(F.col(id_col).cast("string") == str(x), F.col(value_col)), ignorenulls=True).alias(str(x)) for x in ids]
