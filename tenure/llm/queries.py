@@ -30,7 +30,7 @@ def _learnable(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "labels").where(~held_out()).withColumnRenamed("doc_id", "id")
+    return table(spark, sf_dir, "labels").where(~held_out()).select(F.col("doc_id").alias("id"), "quality", "toxic")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
