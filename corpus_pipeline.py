@@ -23,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; the model learns from the labels outside the held-out fifth."""
-    labels = table(spark, sf_dir, "labels").where(~held_out()).withColumnRenamed("doc_id", "id")
+    labels = table(spark, sf_dir, "labels").where(~held_out()).select(F.col("doc_id").alias("id"), "toxic")
     source = table(spark, sf_dir, "documents").where(~held_out()).select(F.col("doc_id").alias("id"), "text", "lang")
     return toxicity.keep(docs, toxicity.learn(source, labels))
 
