@@ -2,34 +2,50 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, without_copies
+from .common import save, slices, without_copies
 
-_LETTER = re.compile(r"[^\W\d_]")
 _LEVEL, _PIECE = 6, 1024
 
 
-def learn(df: DataFrame, per_language: int = 400, chars: int = 2000, size: int = 131072) -> dict[str, bytes]:
+def learn(df: DataFrame, per_language: int = 600, window: int = 48, size: int = 131072) -> dict[str, bytes]:
     """A dictionary of up to ``size`` bytes for each language in ``df`` (id, text, lang).
 
-    It holds, in lower case, texts of at most ``per_language`` documents (those of smallest hash), cut at
-    ``chars`` characters, copies left out.
+    It holds, in lower case, one run of ``window`` words from each of at most ``per_language`` documents
+    (those of smallest hash).  The run starts anywhere in the whole text, by the id's hash, so
+    ends of texts are learnt like starts.  Runs that share six words with an earlier one are left
+    out; the others get equal shares of the dictionary.
     """
-    rows = df.where("lang is not null and id is not null and length(text) > 0").select("lang", "id", F.xxhash64("id").alias("h"))
-    first = Window.partitionBy("lang").orderBy("h", "id")
-    picked = rows.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).select("lang", "id")
-    cut = df.select("id", "lang", F.substring("text", 1, chars).alias("text")).where("length(text) > 0")
-    found = cut.join(picked, ["lang", "id"], "left_semi").groupBy("lang", "id").agg(F.min("text").alias("text"))
-    texts: dict[str, list[str]] = {}
-    for r in found.orderBy("lang", "id").collect():
-        texts.setdefault(r["lang"], []).append(r["text"])
-    return {lang: " ".join(without_copies(x)).lower().encode("utf-8", "replace")[:size] for lang, x in sorted(texts.items())}
+    rows = df.where("lang is not null and id is not null and length(text) > 0").select("lang", "id", F.xxhash64("id").alias("h")).distinct()
+    # first within parts of a language: a language may hold most rows
+    rows = rows.withColumn("part", F.pmod("h", F.lit(64)))
+    for keys in (["lang", "part"], ["lang"]):
+        rows = rows.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("h", "id"))).where(F.col("k") <= per_language)
+    picked = save(rows.select("lang", "id"), "language-sample")  # Spark knows its size when it joins
+    found = df.select("id", "lang", "text").where("length(text) > 0").join(picked, ["lang", "id"], "left_semi")
+    words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
+    start = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.size("words") - window, F.lit(0)) + 1).cast("int") + 1
+    run = F.array_join(F.slice("words", start, F.lit(window)), " ")
+    runs = found.withColumn("words", words).groupBy("lang", "id").agg(F.min(run).alias("run"))
+    by_language: dict[str, list[str]] = {}
+    for r in runs.orderBy("lang", "id").collect():
+        by_language.setdefault(r["lang"], []).append(r["run"])
+    return {lang: _joined(without_copies(x), size) for lang, x in sorted(by_language.items())}
+
+
+def _joined(runs: list[str], size: int) -> bytes:
+    """The runs one after the other, each cut to an equal share of ``size``; what short ones leave goes to the others."""
+    raw = sorted((x.lower().encode("utf-8", "replace") for x in runs), key=len)
+    out, left = [], size
+    for k, x in enumerate(raw):
+        x = x[: max(0, left // (len(raw) - k) - 1)]
+        left -= len(x) + 1
+        out.append(x)
+    return b" ".join(out)
 
 
 class Classifier:
@@ -50,7 +66,7 @@ class Classifier:
 
     def __call__(self, text: str) -> tuple[str, float, float]:
         """Language, score and margin (the next smallest length's excess)."""
-        if not self.names or not _LETTER.search(text):
+        if not self.names or not any(map(str.isalpha, text)):
             return "und", 0.0, 0.0
         raw = text.lower().encode("utf-8", "replace")
         pieces = [raw[k : k + _PIECE] for k in range(0, len(raw), _PIECE)]
@@ -72,7 +88,7 @@ def identify(
     The whole text is encoded with every dictionary, in pieces, so that the end of a long
     text counts like its start; equal lengths go to the name that sorts first.  ``rejected``
     marks narrow margins, where the smallest length says little.  Null texts and texts
-    without a letter are ``und`` with score 0, and rejected.  Null ids stay null, repeated rows give a
+    without a letter (Unicode category L; numerals such as ² are none) are ``und`` with score 0, and rejected.  Null ids stay null, repeated rows give a
     row each, other columns are not read, an empty table gives an empty result.
     """
     key = hash(tuple(sorted(dictionaries.items())))
