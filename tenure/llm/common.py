@@ -83,13 +83,6 @@ def sample_ids(df: DataFrame, most: int, id_col: str = "id", salt: int = 0) -> D
     return df.select(id_col).where(F.col(id_col).isNotNull()).distinct().orderBy(F.xxhash64(id_col, F.lit(salt)), id_col).limit(most)
 
 
-def texts_of(docs: DataFrame, ids: DataFrame, chars: int) -> list[tuple]:
-    """(id, text) of a bounded table of ids, texts cut at ``chars``: a fitting sample for the driver."""
-    cut = docs.select("id", F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text"))
-    found = cut.join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text").alias("text"))
-    return [(r["id"], r["text"]) for r in found.orderBy("id").collect()]
-
-
 def without_copies(texts: list[str], seen: set | None = None, words: int = 6) -> list[str]:
     """Texts that share no run of ``words`` words with an earlier one."""
     seen = set() if seen is None else seen

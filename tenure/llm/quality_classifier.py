@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import logistic, sample_ids, slices, texts_of
+from .common import logistic, sample_ids, slices
 
 _CLASSES = (" \t\r\x0b\x0c", "\n", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#*$%&|<>", "!?", ".,;:")
 _KIND = np.full(256, len(_CLASSES), np.int64)
@@ -78,10 +78,18 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(min(ratio, default=0.5), 0.05, 0.98))
 
 
-def fit(positive: list[str], unlabelled: list[str], rounds: int = 400, rate: float = 0.05, ridge: float = 1e-3, caution: float = 0.85) -> Model:
+def fit(positive: list[str], unlabelled: list[str], **options) -> Model:
+    """The classifier from texts."""
+    return fit_features([features(t) for t in positive], [features(t) for t in unlabelled], **options)
+
+
+def fit_features(
+    positive: list[list[float]], unlabelled: list[list[float]], rounds: int = 400, rate: float = 0.05, ridge: float = 1e-3, caution: float = 0.85
+) -> Model:
+    """The classifier from ``features`` of positive and unlabelled texts."""
     if not positive or not unlabelled:
         return Model([], np.zeros(1), 1.0 if positive else 0.5)
-    x = np.array([features(t) for t in [*positive, *unlabelled]])
+    x = np.array([*positive, *unlabelled])
     n = len(positive)
     edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, _STEPS + 1)[1:-1])) for k in range(x.shape[1])]
     at = _steps(x, edges)
@@ -115,14 +123,29 @@ def fit(positive: list[str], unlabelled: list[str], rounds: int = 400, rate: flo
     return Model(edges, np.r_[w, b], prior)
 
 
-def learn(docs: DataFrame, labels: DataFrame, positives: int = 6000, unlabelled: int = 12000, chars: int = 20000) -> Model:
-    """Fit on at most so many labelled positives and unlabelled texts (those of smallest hash), cut at ``chars`` characters.
+def _sampled(docs: DataFrame, ids: DataFrame) -> list[list[float]]:
+    """Features of a bounded table of ids, taken on executors over whole texts; only the numbers come to the driver."""
+
+    def run(batches):
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                got = [features(x or "") for x in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.list_(pa.float64()))], ["id", "x"])
+
+    rows = docs.select("id", "text").join(F.broadcast(ids), "id")
+    found = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, x array<double>")
+    return [r["x"] for r in found.groupBy("id").agg(F.min("x").alias("x")).orderBy("id").collect()]
+
+
+def learn(docs: DataFrame, labels: DataFrame, positives: int = 6000, unlabelled: int = 12000) -> Model:
+    """Fit on the whole texts of at most so many labelled positives and unlabelled documents (those of smallest hash).
 
     ``docs``: id, text, without held-out rows.  ``labels``: id, quality; only rows with quality 1 are used.
+    Of rows that share an id the least features count.
     """
-    good = texts_of(docs, sample_ids(labels.where("quality = 1"), positives), chars)
-    web = texts_of(docs, sample_ids(docs, unlabelled, salt=1), chars)
-    return fit([t for _, t in good], [t for _, t in web])
+    good = _sampled(docs, sample_ids(labels.where("quality = 1"), positives))
+    web = _sampled(docs, sample_ids(docs, unlabelled, salt=1))
+    return fit_features(good, web)
 
 
 def score(df: DataFrame, model: Model, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -288,3 +288,51 @@ def test_quality_from_positives_and_unlabelled(spark, docs):
     assert 0.5 <= model.prior <= 0.9
     assert all(0 <= r.score <= 1 for r in quality_classifier.score(docs, model).collect())
     assert {r.score for r in quality_classifier.score(docs, quality_classifier.fit([], ["x"])).collect()} == {0.5}
+
+
+def test_language_needs_letters_and_learns_whole_texts(spark):
+    filler = lambda k: " ".join(f"{k}x{j}" for j in range(3000))
+    rows = [(k, f"{filler(k)} {_prose(k, PLAIN if k % 2 else [x[::-1] for x in PLAIN], 3000)}", "ab"[k % 2]) for k in range(80)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    dictionaries = language_id.learn(df)
+    assert sorted(dictionaries) == ["a", "b"] and all(0 < len(x) <= 131072 for x in dictionaries.values())
+    got = {r.id: r.lang_pred for r in language_id.identify(df, dictionaries, id_col="id").collect()}
+    assert all(got[k] == "ab"[k % 2] for k in got)  # the prose lies far beyond the first 2,000 characters
+    signs = spark.createDataFrame([(0, "²"), (1, "½ ①"), (2, "Ⅷ"), (3, "12 ²"), (4, "ß")], "doc_id long, text string")
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(signs, dictionaries).collect()}
+    assert [found[k] for k in range(4)] == ["und"] * 4 and found[4] in "ab"
+    same = {"b": b"one two three", "a": b"one two three"}
+    assert language_id.identify(signs.where("doc_id = 4"), same).first().lang_pred == "a"  # a tie: the first name
+    assert language_id.identify(signs.limit(0), dictionaries).count() == 0
+
+
+def test_language_dictionary_shares_its_bytes():
+    got = language_id._joined(["AB" * 500, "c" * 10, "d" * 900], 300)
+    assert len(got) <= 300 and b"cccccccccc" in got and got.count(b"ab") > 60 and got.count(b"d") > 130
+
+
+def test_quality_learns_from_whole_texts(spark):
+    good = lambda k: _prose(k, PLAIN, 4000).capitalize() + "."
+    bad = lambda k: _prose(k, PLAIN, 4000).capitalize() + "." + " | $$ %%" * 3000
+    rows = [(k, bad(k) if k % 2 else good(k), "x") for k in range(60)]
+    docs = spark.createDataFrame([*rows, (None, "x", "x"), (2, None, "x")], "id long, text string, source string")
+    labels = spark.createDataFrame([(k, (k + 1) % 2, k) for k in range(0, 60, 3)], "id long, quality int, toxic int")
+    model = quality_classifier.learn(docs, labels)
+    got = {r.id: r.score for r in quality_classifier.score(docs.where("id > 2"), model, id_col="id").collect()}
+    assert min(s for k, s in got.items() if k % 2 == 0) > max(s for k, s in got.items() if k % 2)
+    assert quality_classifier.learn(docs.limit(0), labels).edges == [] and quality_classifier.learn(docs, labels.where("quality = 0")).edges == []
+    assert quality_classifier.score(docs.limit(0), model, id_col="id").count() == 0
+
+
+def test_sentencepiece_decodes_what_it_spells(spark):
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    codec, ref = sentencepiece_tokens.Codec(path, 1), sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["", " ", "a", " a", "a ", "a  b", "a   b", "\u2581", "x\u2581y z", "日本 \x01 <s> <0x41> <unk>", "\u0130 é\n\t", "w" * 100 + " v", "one two one  two"]
+    for _ in range(2):  # the second time from what is kept
+        for text, (ids, back) in zip(texts, codec.encode(texts)):
+            ids = np.frombuffer(ids, "<u4").tolist()
+            assert ids == ref.encode(text)
+            assert back == ref.decode(ids)
