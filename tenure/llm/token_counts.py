@@ -29,6 +29,8 @@ from .common import Memo
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _PLAIN = re.compile(r"(\n?)( ?[A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
 _MOVES = re.compile(r"\s+|['’]\w{0,2}")
+_LEAD = re.compile(r"[ \n](?!\s)")
+_PAIRS = 500_000
 _ODD = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
 
 
@@ -73,6 +75,7 @@ class PrefixCounter:
         self.entries.make_automaton()
         self.words = Memo(self._word, memo_size)
         self.counts = Memo(self._counts, memo_size)
+        self.pairs: dict[str, bool] = {}  # _apart of two entries, joined by a space; emptied when full
 
     def bpe(self, s: str) -> list[str]:
         """Merge by rank, leftmost first (only used on one or two vocabulary entries)."""
@@ -103,19 +106,29 @@ class PrefixCounter:
             else:
                 return True
 
-    def _word(self, s: str) -> list[int]:
+    def _word(self, s: str) -> bytes | list[int]:
         """Token counts after each byte of one pre-token (``s`` in the byte alphabet)."""
-        last, count, apart = [""], [0], self._apart
+        last, count, pairs, known = [""], [0], self.pairs, 0
         for end, (size, t) in self.entries.iter(s):  # by end, the longest entry first
-            if end + 2 == len(last):  # this prefix has its last token
+            if end < known:  # this prefix has its last token
                 continue
             start = end + 1 - size
-            if not start or apart(last[start], t):
-                last.append(t)
-                count.append(count[start] + 1)
-        if len(last) != len(s) + 1:
+            if start:
+                before = last[start]
+                pair = before + " " + t
+                apart = pairs.get(pair)
+                if apart is None:
+                    if len(pairs) >= _PAIRS:
+                        pairs.clear()
+                    apart = pairs[pair] = self._apart(before, t)
+                if not apart:
+                    continue
+            last.append(t)
+            count.append(count[start] + 1)
+            known += 1
+        if known != len(s):
             raise ValueError(f"{s!r} has bytes outside the vocabulary")
-        return count
+        return bytes(count) if len(count) <= 256 else count  # no count exceeds the bytes
 
     def _counts(self, piece: str) -> bytes | array:
         """Token counts after each character of an independently encoded piece."""
@@ -129,16 +142,18 @@ class PrefixCounter:
         elif any(x in piece for x in self.special):
             got = [len(self.tok.encode(piece[:k], add_special_tokens=False)) for k in range(len(piece) + 1)]
         else:
-            got, done = [0], 0
+            got, done, ascii_only = [0], 0, piece.isascii()
             for mapped, _ in self.tok.pre_tokenizer.pre_tokenize_str(piece):
                 per_byte = self.words[mapped]
-                pos = 0
-                for width in self._widths(piece, len(got) - 1, len(mapped)):
-                    pos += width
-                    got.append(done + per_byte[pos])
+                if ascii_only:
+                    got += [done + x for x in per_byte[1:]]
+                else:
+                    pos = 0
+                    for width in self._widths(piece, len(got) - 1, len(mapped)):
+                        pos += width
+                        got.append(done + per_byte[pos])
                 done += per_byte[-1]
-            if _MOVES.search(piece):
-                self._mend(piece, got)
+            self._mend(piece, got)
         return bytes(got) if max(got) < 256 else array("I", got)
 
     @staticmethod
@@ -152,7 +167,8 @@ class PrefixCounter:
     def _mend(self, piece: str, got: list[int]) -> None:
         """A cut inside or after a run of space, or after an apostrophe, moves the
         pre-tokens before the cut; those prefixes are split on their own."""
-        for m in _MOVES.finditer(piece):
+        first = 1 if _LEAD.match(piece) else 0  # one byte of space at the start is one token by itself too
+        for m in _MOVES.finditer(piece, first):
             for end in range(m.start() + 1, min(m.end() + 1, len(piece))):
                 got[end] = sum(self.words[w][-1] for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(piece[:end]))
 
