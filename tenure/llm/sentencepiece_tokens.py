@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -24,6 +25,8 @@ from .common import Memo, slices
 
 _SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
+#: packs so many ids
+_IDS = [struct.Struct(f"<{n}I").pack for n in range(65)]
 _CHUNK = re.compile(f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
 
 
@@ -96,7 +99,9 @@ class Codec:
         self.part, _ = build(path)  # for what is normalised already
         self.part.normalizer = normalizers.Sequence([])
         self.scores = usable if proto.trainer_spec.model_type == 2 else None
-        self.known = Memo(lambda x: self._new([x])[0])
+        #: what each id decodes to by itself; None where it needs its neighbours (bytes) or is special
+        self.spelt = [None if p.type != _NORMAL or p.piece.startswith("<0x") else p.piece.replace(_SPACE, " ") for p in proto.pieces]
+        self.known = Memo(self._new)
 
     def _by_score(self, chunk: str) -> list[str]:
         """BPE by score, the leftmost pair first among equal scores.
@@ -125,13 +130,37 @@ class Codec:
             offer(k)
         return [x for x in parts if x]
 
-    def _new(self, chunks: list[str]) -> list[tuple[bytes, str]]:
+    def _new(self, keys: list[str]) -> list[bytes | tuple[bytes, str]]:
+        """Of each chunk its ids, and what they decode to where that is not the chunk itself.
+
+        The keys of a ``plain`` model leave out the chunk's first space marker.
+        """
+        chunks = [_SPACE + k for k in keys] if self.plain else keys
         got = [x.ids for x in self.part.encode_batch_fast(chunks, add_special_tokens=False)]
         if self.scores:
             for k, chunk in enumerate(chunks):
                 if _SPACE * 3 in chunk:
                     got[k] = [i for x in self._by_score(chunk) for i in self._one(x)]
-        return [(np.array(x, "<u4").tobytes(), t) for x, t in zip(got, self._decoded(got))]
+        out: list = [np.array(x, "<u4").tobytes() if len(x) > 64 else _IDS[len(x)](*x) for x in got]
+        spelt, hard = self.spelt.__getitem__, []
+        spoken = [self._spoken(k) for k in keys]
+        for k, ids in enumerate(got):
+            try:
+                text = "".join(map(spelt, ids))
+            except TypeError:
+                hard.append(k)
+                continue
+            if text != spoken[k]:
+                out[k] = out[k], text
+        for k, text in zip(hard, self._decoded([got[k] for k in hard])):
+            if text != spoken[k]:
+                out[k] = out[k], text
+        return out
+
+    def _spoken(self, key: str) -> str:
+        """The text that a chunk stands for."""
+        text = key.replace(_SPACE, " ")
+        return " " + text if self.plain else text
 
     def _one(self, piece: str) -> list[int]:
         known = self.tok.token_to_id(piece)
@@ -153,21 +182,38 @@ class Codec:
         for text in texts:
             if not text:
                 docs.append([])
-                continue
-            flat = _SPACE + text.replace(" ", _SPACE) if self.plain else self.tok.normalizer.normalize_str(text)
-            if flat[:1] == _SPACE and _SPACE * 2 not in flat:
-                docs.append([_SPACE + x for x in flat[1:].split(_SPACE)])
+            elif self.plain and text[0] != " " and "  " not in text and _SPACE not in text:
+                docs.append(text.split(" "))
             else:
-                docs.append(_CHUNK.findall(flat))
-        new = list({c for doc in docs for c in doc if len(c) <= self.known.longest} - self.known.keys() - self.known.old.keys())
+                flat = _SPACE + text.replace(" ", _SPACE) if self.plain else self.tok.normalizer.normalize_str(text)
+                chunks = _CHUNK.findall(flat)
+                docs.append([x[1:] for x in chunks] if self.plain else chunks)
+        here, new, known, old = {}, [], self.known, self.known.old
+        for c in set().union(*docs):
+            value = known.get(c)
+            if value is None:
+                value = old.get(c)
+                if value is None:
+                    new.append(c)
+                    continue
+                known.put(c, value)
+            here[c] = value
         for at in range(0, len(new), 10_000):
-            for c, x in zip(new[at : at + 10_000], self._new(new[at : at + 10_000])):
-                self.known.put(c, x)
+            some = new[at : at + 10_000]
+            for c, value in zip(some, self._new(some)):
+                known.put(c, value)
+                here[c] = value
         out = []
+        mark = " " if self.plain else ""
         for doc in docs:
-            parts = list(map(self.known.__getitem__, doc))
-            text = "".join([x[1] for x in parts])
-            out.append((b"".join([x[0] for x in parts]), text[1:] if self.prefix and text[:1] == " " else text))
+            parts = list(map(here.__getitem__, doc))
+            try:
+                ids = b"".join(parts)
+                text = mark + mark.join(doc).replace(_SPACE, " ") if doc else ""
+            except TypeError:  # some chunk decodes to something else
+                both = [x if isinstance(x, tuple) else (x, self._spoken(c)) for x, c in zip(parts, doc)]
+                ids, text = b"".join([x for x, _ in both]), "".join([t for _, t in both])
+            out.append((ids, text[1:] if self.prefix and text[:1] == " " else text))
         return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
