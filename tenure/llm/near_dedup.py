@@ -9,10 +9,10 @@ lists, and the long lists of common values are skipped.  Shared coordinates
 are then counted on whole signatures, and what passes is confirmed on the full
 shingle sets.
 
-A list of n sets never becomes n^2 pairs: in each round one member is compared
-with the others, and members that hang together already are left out.  For what is
-still apart after the rounds the same prefix argument is used once more, on the
-full sets: only pairs that can still reach the similarity are confirmed.
+A list of n sets never becomes n^2 pairs: in each round every set is compared with
+a few centres of its lists, and lists whose members hang together already are left
+out.  For what is still apart after the rounds the same prefix argument is used once
+more, on the full sets: only pairs that can still reach the similarity are confirmed.
 """
 
 from __future__ import annotations
@@ -203,9 +203,36 @@ def _confirm(pairs: DataFrame, active: DataFrame, sets: DataFrame, matches: int,
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _apart(lists: DataFrame, edges: DataFrame) -> DataFrame:
+def _hang(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """``id, component`` after ``edges`` (a, b) join what ``labels`` says so far; components are contracted first."""
+    if labels is None:
+        return save(components(edges), "near-labels")
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias("of_" + c))
+    between = edges.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    between = between.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    roots = save(components(between), "near-roots")
+    moved = labels.join(roots.select(F.col("id").alias("component"), F.col("component").alias("root")), "component", "left")
+    moved = moved.select("id", F.coalesce("root", "component").alias("component"))
+    return save(moved.unionByName(roots.join(labels.select("id"), "id", "left_anti")), "near-labels")
+
+
+def _stars(lists: DataFrame, salt: int, each: int) -> DataFrame:
+    """Up to ``each`` pairs (a, b) for a member: with the centres of its lists (token, id, component, common).
+
+    A list's centre is the member whose values are the commonest: of edited copies the
+    one nearest to their common text.  After the first round (salt 0) only a drawn part
+    of a list's members can be its centre, so that other pairs are tried.
+    """
+    drawn = F.lit(True) if salt == 0 else F.pmod(F.xxhash64("id", "token", F.lit(salt)), F.lit(8)) == 0
+    centres = lists.groupBy("token").agg(F.max(F.struct(drawn.alias("drawn"), "common", "id", "component")).alias("c"))
+    other = lists.join(centres, "token").where("component != c.component")
+    best = other.groupBy("id").agg(F.slice(F.sort_array(F.collect_set(F.struct("c.common", "c.id")), asc=False), 1, each).alias("best"))
+    pairs = best.select("id", F.explode("best.id").alias("centre"))
+    return pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+
+
+def _apart(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """The lists whose members belong to several components, with each member's component."""
-    labels = components(edges)
     got = lists.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     got = save(got, "near-lists")
     several = got.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("token")
@@ -216,8 +243,10 @@ def _across(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that can reach the similarity, by prefixes of full sets.
 
     With a set's shingles ordered by rising frequency, a similar set shares one
-    of the first ``size - ceil(percent * size) + 1``.  Shingles that no other set has
-    come first and need no list, so sets with many of their own drop out.
+    of the first ``size - ceil(percent * size) + 1``.  Shingles that one component alone
+    has come first and need no list, so sets with many of them drop out.  Two sets
+    meet only at places from which the rest of both still reaches the overlap that
+    their sizes ask for; the first shingle they share is such a place if they are similar.
     """
     who = apart.select("id", "component").distinct()
     rows = sets.join(who, "id").select("id", "component", "shingles")
@@ -232,20 +261,19 @@ def _across(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     kind = apart.schema["id"].dataType.simpleString()
     posts = save(rows.mapInArrow(spread, f"id {kind}, component {kind}, size long, shingle long"), "near-shingles")
-    shared = posts.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    shared = posts.groupBy("shingle").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+    shared = shared.where("x != y").select("shingle", "n")
     own = Window.partitionBy("id")
     ranked = (
         posts.join(shared, "shingle")
         .withColumn("rank", F.row_number().over(own.orderBy("n", "shingle")) + F.col("size") - F.count("*").over(own))
         .where(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
     )
-    lists = save(ranked.select("shingle", "id", "component", "size"), "near-shingle-lists")
-    mixed = lists.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("shingle")
-    lists = lists.join(mixed, "shingle", "left_semi")
-    left = lists.select("shingle", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("size").alias("na"))
-    right = lists.select("shingle", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("size").alias("nb"))
-    pairs = left.join(right, "shingle").where("a < b and ca != cb").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    return pairs.select("a", "b").distinct()
+    lists = save(ranked.select("shingle", "id", "component", "size", (F.col("size") - F.col("rank") + 1).alias("rest")), "near-shingle-lists")
+    left = lists.select("shingle", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("size").alias("na"), F.col("rest").alias("ra"))
+    right = lists.select("shingle", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("size").alias("nb"), F.col("rest").alias("rb"))
+    reach = F.least("ra", "rb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    return left.join(right, "shingle").where("a < b and ca != cb").where(reach).select("a", "b").distinct()
 
 
 def near_duplicates(
@@ -254,8 +282,9 @@ def near_duplicates(
     percent: int = 80,
     coordinates: int = 48,
     matches: int = 26,
-    rounds: int = 2,
+    rounds: int = 4,
     common_values: int = 8,
+    centres: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -287,32 +316,32 @@ def near_duplicates(
     lists = prefix.groupBy("token").agg(
         F.count("*").alias("n"), F.min("id").alias("least"), F.max("id").alias("most"), F.bit_xor(who).alias("x"), F.sum(who.cast("decimal(38,0)")).alias("s")
     )
-    lists = lists.where("n > 1").groupBy("n", "least", "most", "x", "s").agg(F.min("token").alias("token")).select("token", F.col("least").alias("centre"))
+    lists = lists.where("n > 1").groupBy("n", "least", "most", "x", "s").agg(F.min("token").alias("token")).select("token")
     lists = save(prefix.join(lists, "token"), "near-prefixes")
 
     signature = active.select("id", F.transform("hits", lambda x: x["token"]).alias("tokens"))
-    sets = save(full_sets(src.join(lists.select("id").distinct(), "id", "left_semi"), words), "near-sets")
+    listed = lists.select("id").distinct()
+    sets = save(full_sets(src.join(listed, "id", "left_semi"), words), "near-sets")
     confirm = lambda pairs: save(_confirm(pairs, signature, sets, matches, percent), "near-edges")
 
-    # first stars over each set's commonest values: they join large groups at once,
-    # whose prefixes hold only what few members have in common
-    common = active.select("id", F.explode(F.slice("hits", -common_values, common_values)).alias("hit")).select("id", "hit.token")
-    middle = common.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", "token").alias("h"), "id")).alias("c")).select("token", F.col("c.id").alias("centre"))
-    star = lambda df: df.where("id != centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-    edges = confirm(star(common.join(middle, "token")).unionByName(star(lists)).distinct())
-    members = lists.select("token", "id")
-    apart = _apart(members, edges)
+    # first each set's commonest values: they join large groups at once, whose prefixes
+    # hold only what few members have in common
+    weights = active.withColumn("common", F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["n"]))
+    common = weights.join(listed, "id", "left_semi").select(
+        "id", F.col("id").alias("component"), "common", F.explode(F.slice("hits", -common_values, common_values)).alias("hit")
+    )
+    labels = _hang(None, confirm(_stars(common.withColumn("token", F.col("hit.token")), 0, centres)))
+    members = lists.select("token", "id").join(weights.select("id", "common"), "id")
+    apart = _apart(members, labels)
     for r in range(1, rounds):
         if apart.isEmpty():
             break
-        centre = apart.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", "token", F.lit(r)).alias("h"), "id", "component")).alias("c"))
-        other = apart.join(centre, "token").where("component != c.component")
-        edges = edges.unionByName(confirm(star(other.select("id", F.col("c.id").alias("centre")))))
-        apart = _apart(members, edges)
+        labels = _hang(labels, confirm(_stars(apart, r - 1, centres)))
+        apart = _apart(members, labels)
     if not apart.isEmpty():
-        edges = edges.unionByName(confirm(_across(apart, sets, percent)))
+        labels = _hang(labels, confirm(_across(apart, sets, percent)))
 
-    roots = components(edges).select(F.col("id").alias("node"), "component")
+    roots = labels.select(F.col("id").alias("node"), "component")
     of_key = nodes.join(roots, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
     out = found.select("id", "n_shingles", "key").join(of_key, "key", "left")
     # rows with one id but different texts: the id's smallest component
