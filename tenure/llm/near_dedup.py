@@ -181,7 +181,10 @@ def _confirm(pairs: DataFrame, active: DataFrame, sets: DataFrame, matches: int,
         .where(F.size(F.array_intersect("ta", "tb")) >= matches)
         .select("a", "b")
     )
-    both = counted.join(side(sets, "a", "sa"), "a").join(side(sets, "b", "sb"), "b").select("a", "b", "sa", "sb")
+    counted = save(counted, "near-counted")
+    # sets are long: only those that a pair needs are shuffled
+    needed = lambda c: sets.join(counted.select(F.col(c).alias("id")).distinct(), "id", "left_semi")
+    both = counted.join(side(needed("a"), "a", "sa"), "a").join(side(needed("b"), "b", "sb"), "b").select("a", "b", "sa", "sb")
 
     def run(batches):
         for batch in batches:
@@ -257,15 +260,18 @@ def _across(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 values = np.frombuffer(batch.column(2)[k].as_buffer(), np.int64)
                 n = len(values)
                 one = lambda c: pa.array([batch.column(c)[k].as_py()] * n, batch.schema.field(c).type)  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays([one(0), one(1), pa.array([n] * n, pa.int64()), pa.array(values)], ["id", "component", "size", "shingle"])
+                yield pa.RecordBatch.from_arrays([one(0), one(1), pa.array(values)], ["id", "component", "shingle"])
 
     kind = apart.schema["id"].dataType.simpleString()
-    posts = save(rows.mapInArrow(spread, f"id {kind}, component {kind}, size long, shingle long"), "near-shingles")
+    posts = save(rows.mapInArrow(spread, f"id {kind}, component {kind}, shingle long"), "near-shingles")
     shared = posts.groupBy("shingle").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
     shared = shared.where("x != y").select("shingle", "n")
     own = Window.partitionBy("id")
+    sizes = rows.select("id", "component", F.expr("octet_length(shingles) div 8").alias("size"))
     ranked = (
-        posts.join(shared, "shingle")
+        posts.select("shingle", "id")
+        .join(shared, "shingle")
+        .join(sizes, "id")
         .withColumn("rank", F.row_number().over(own.orderBy("n", "shingle")) + F.col("size") - F.count("*").over(own))
         .where(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
     )
