@@ -932,6 +932,14 @@ def q_stream_ingest(spark, sf):
     return U.PartitionedTable(spark, f"{root}/table", "event_id", "ts").read()
 
 
+def _land_requests(requests, folder):
+    """Request files by month.  A month's rows stand together (a large month in
+    several files), or every task would leave a small file for each month and the
+    stream a micro-batch for every few of them."""
+    dated = requests.withColumn("m", F.date_format("created_date", "yyyy-MM"))
+    dated.hint("rebalance", "m").write.partitionBy("m").parquet(folder)
+
+
 @query(
     "stream_monthly_complaints",
     O.with_ctes("pairs") + "select business_id, month, count(unique_key) total_311 from pairs group by all",
@@ -943,7 +951,7 @@ def q_stream_complaints(spark, sf):
 
     root = _scratch(spark, "stream-complaints")
     req = fixtures.requests(spark, sf)
-    req.withColumn("m", F.date_format("created_date", "yyyy-MM")).write.partitionBy("m").parquet(f"{root}/landing")
+    _land_requests(req, f"{root}/landing")
     q = stream_monthly_complaints(spark, f"{root}/landing", req.schema, _locations(spark, sf), f"{root}/table", f"{root}/ckpt")
     q.awaitTermination()
     return U.PartitionedTable(spark, f"{root}/table", ["business_id", "month"], "_epoch", part_source="month").read().drop("_epoch")

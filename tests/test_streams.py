@@ -95,3 +95,14 @@ def test_accumulate_adds_an_epoch_once(spark, tmp_path):
     assert table.accumulate(one.where("b = 'x'"), ["n"], 1) == 1
     assert table.accumulate(one.limit(0), ["n"], 2) == 0
     assert sorted((r.b, r.n, r._epoch) for r in table.read().collect()) == [("x", 10, 1), ("y", 1, 0)]
+
+
+def test_landed_files_do_not_grow_with_the_tasks(spark, tmp_path):
+    from tenure.plans.registry import _land_requests
+
+    req = _requests(spark, range(400), (2024, 3)).unionByName(_requests(spark, range(400, 800), (2024, 4)))
+    _land_requests(req.repartition(16), str(tmp_path / "land"))
+    files = [f for m in ("2024-03", "2024-04") for f in os.listdir(tmp_path / "land" / f"m={m}") if f.endswith(".parquet")]
+    assert len(files) == 2
+    back = spark.read.schema(req.schema).parquet(str(tmp_path / "land")).select(*req.columns)
+    assert back.count() == 800 and back.exceptAll(req).isEmpty()
