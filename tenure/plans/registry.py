@@ -55,11 +55,12 @@ def _memo(key, spark, build):
 
 def _full_panel(spark, sf):
     """The complete panel (KMeans clusters included), built once per session
-    and checkpointed to the shared checkpoint folder."""
-    from tenure.operators.sampling import _checkpoint
+    and saved in the shared checkpoint folder."""
+    from tenure.operators.sampling import _saved
     from tenure.plans.panel import build_panel
 
-    return _memo(("panel", sf), spark, lambda: _checkpoint(build_panel(fixtures.licenses(spark, sf), fixtures.requests(spark, sf))))
+    return _memo(("panel", sf), spark, lambda: _saved(build_panel(fixtures.licenses(spark, sf), fixtures.requests(spark, sf)), "panel"))
+
 
 def _licenses(spark, sf):
     return cleaning.clean_licenses(fixtures.licenses(spark, sf))
@@ -90,11 +91,12 @@ def _complaint_counts(spark, sf):
 
 def _fixed_panel(spark, sf):
     """The complete panel at fixed cluster centres, built once per session."""
-    from tenure.operators.sampling import _checkpoint
+    from tenure.operators.sampling import _saved
     from tenure.plans.panel import build_panel_parts
 
     def build():
-        return _checkpoint(build_panel_parts(fixtures.licenses(spark, sf), fixtures.requests(spark, sf), centres=O.FIXED_CENTRES).panel)
+        parts = build_panel_parts(fixtures.licenses(spark, sf), fixtures.requests(spark, sf), centres=O.FIXED_CENTRES)
+        return _saved(parts.panel, "fixed-panel")
 
     return _memo(("fixed_panel", sf), spark, build)
 
@@ -102,27 +104,28 @@ def _fixed_panel(spark, sf):
 def _panel_core(spark, sf):
     """The panel flow without KMeans (core columns only: cluster ids are
     arbitrary, so the oracle-checked queries derive from this), built and
-    checkpointed once per application."""
-    from tenure.operators.sampling import _checkpoint
+    saved once per application."""
+    from tenure.operators.sampling import _saved
 
-    return _memo(("panel_core", sf), spark, lambda: _checkpoint(_build_panel_core(spark, sf)))
+    return _memo(("panel_core", sf), spark, lambda: _saved(_build_panel_core(spark, sf), "panel-core"))
 
 
 def _build_panel_core(spark, sf):
+    from tenure.operators.sampling import _checkpoint
+    from tenure.plans.panel import complaint_months
+
     lic = _licenses(spark, sf)
     cats = panel.feature_dictionary(lic, "business_category", CATEGORY_PREFIX)
-    counts = panel.license_month_counts(panel.expand_to_months(lic), cats)
-    facts = panel.business_facts(lic)
-    long = _complaint_counts(spark, sf)
-    cmps = panel.feature_dictionary(long, "complaint_type", COMPLAINT_PREFIX)
-    complaints = panel.complaint_panel_from_long(long, cmps)
+    counts = panel.license_month_counts_by_business(lic, cats)
+    facts = _checkpoint(panel.business_facts(lic).where(F.col("business_latitude").isNotNull()))
+    sites = spatial.BusinessSites(facts, PanelSettings().radius_meters)
+    cmps, complaints = complaint_months(sites, _requests(spark, sf))
     located = (
-        facts.where(F.col("business_latitude").isNotNull())
-        .withColumn("location_cluster", F.lit(0))
+        facts.withColumn("location_cluster", F.lit(0))
         .withColumn("location_cluster_lat", F.col("business_latitude"))
         .withColumn("location_cluster_lng", F.col("business_longitude"))
     )
-    merged = panel.merge_panel(counts, complaints, located, cats, cmps)
+    merged = panel.merge_panel_by_business(counts, complaints, located, cats, cmps)
     return merged.drop("location_cluster", "location_cluster_lat", "location_cluster_lng")
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tenure.functions.exprs import month_diff, sanitize_feature_name
@@ -118,3 +119,40 @@ def test_license_counts_by_category(spark):
     assert len(got) == 5
     # Jan: two licence numbers, Cat A twice; Feb: L1 twice (two categories) counts once
     assert ("B1", dt.date(2020, 2, 1), 1, 1, 0, 1) in got
+
+
+def _licence_rows():
+    d = dt.date
+    return [
+        ("b1", "L1", "A", d(2024, 1, 1), d(2024, 4, 1)), ("b1", "L1", "B", d(2024, 1, 1), d(2024, 2, 1)), ("b1", "L1", "A", d(2024, 6, 1), d(2024, 6, 1)),
+        ("b1", "L1", "A", d(2024, 2, 1), d(2024, 6, 1)), ("b1", "L2", "A", d(2024, 3, 1), d(2024, 5, 1)), ("b1", "L1", "A", d(2024, 1, 1), d(2024, 4, 1)),
+        ("b2", "L1", "B", d(2024, 2, 1), d(2024, 2, 1)), ("b3", "L9", "A", d(2023, 12, 1), d(2024, 1, 1)),
+    ]
+
+
+@pytest.mark.parametrize("hot_rows,task_rows", [(100, 100), (3, 2)])
+def test_license_counts_by_business_equal_the_expanded_rows(spark, hot_rows, task_rows):
+    lic = spark.createDataFrame(_licence_rows(), "business_id string, license_number string, business_category string, issue_month date, expire_month date")
+    d = panel.feature_dictionary(lic, "business_category", "business_category")
+    want = panel.license_month_counts(panel.expand_to_months(lic), d)
+    got = panel.license_month_counts_by_business(lic, d, hot_rows, task_rows)
+    assert sorted(map(tuple, got.rows.collect())) == sorted(map(tuple, want.select(*got.rows.columns).collect()))
+    assert got.tasks == -(-8 // task_rows)
+
+
+def test_panel_rows_are_not_shuffled(spark):
+    lic = spark.createDataFrame(_licence_rows(), "business_id string, license_number string, business_category string, issue_month date, expire_month date")
+    d = panel.feature_dictionary(lic, "business_category", "business_category")
+    counts = panel.license_month_counts_by_business(lic, d)
+    cmps = panel.FeatureDictionary((("Noise", "complaint_type_noise"),))
+    months = spark.sql("select 'b1' business_id, map(date'2024-02-01', struct(3L as total_311, 2L as complaint_type_noise)) complaints")
+    located = spark.createDataFrame(
+        [("b1", dt.date(2024, 1, 5), 40.7, -74.0, 0, 40.7, -74.0), ("b2", dt.date(2024, 2, 5), 40.7, -74.0, 0, 40.7, -74.0), ("b3", dt.date(2023, 12, 5), 40.7, -74.0, None, None, None)],
+        "business_id string, first_license_date date, business_latitude double, business_longitude double, location_cluster int, location_cluster_lat double, location_cluster_lng double",
+    )
+    got = panel.merge_panel_by_business(counts, months, located, d, cmps)
+    wide = months.select("business_id", F.explode("complaints").alias("month", "c")).select("business_id", "month", "c.*")
+    want = panel.merge_panel(counts.rows, wide, located, d, cmps)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.columns == want.columns
+    plan = got._jdf.queryExecution().sparkPlan().toString() + got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(business_id" in plan and ", month" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
