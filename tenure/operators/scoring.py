@@ -246,29 +246,41 @@ def check_features_available(kept: DataFrame, required: DataFrame) -> DataFrame:
     return required.join(kept, "feature", "left_anti")
 
 
-def flatten_timelines(timepoints: DataFrame) -> DataFrame:
+def flatten_timelines(timepoints: DataFrame, names: list[str] | None = None) -> DataFrame:
     """One display row per timepoint: business, month, licence count,
     coordinates, prettified categories joined by ', ' and complaint counts as
     'Label (n)' sorted by column name; 'None' when empty.  A business stands
-    together in month order, without a global sort.  ``timepoints`` has the profile-request shape plus
-    ``business`` and ``month``."""
+    together in month order, without a global sort: the rows are moved and sorted
+    before their texts are made.  ``timepoints`` has the profile-request shape plus
+    ``business`` and ``month``.
+
+    The labels of the feature ``names`` are made once; a name not among them is
+    made readable in its row."""
     from tenure.functions.exprs import prettify_feature_name
 
-    cats = F.array_join(F.transform(F.col("categories"), lambda c: prettify_feature_name(c)), ", ")
+    label = prettify_feature_name
+    if names:
+        frame = timepoints.sparkSession.createDataFrame([(n,) for n in dict.fromkeys(names)], "name string")
+        known = frame.select("name", prettify_feature_name(F.col("name")).alias("label")).collect()
+        labels = F.create_map(*[F.lit(x) for r in known for x in (r["name"], r["label"])])
+        label = lambda c: F.coalesce(F.try_element_at(labels, c), prettify_feature_name(c))
+
+    cats = F.array_join(F.transform(F.col("categories"), label), ", ")
     entries = F.array_sort(F.map_entries(F.col("complaints")))
     cmps = F.array_join(
-        F.transform(entries, lambda e: F.concat(prettify_feature_name(e["key"]), F.lit(" ("), e["value"].cast("int").cast("string"), F.lit(")"))),
+        F.transform(entries, lambda e: F.concat(label(e["key"]), F.lit(" ("), e["value"].cast("int").cast("string"), F.lit(")"))),
         ", ",
     )
-    return timepoints.select(
+    at = F.col("month").cast("int")
+    return timepoints.repartition("business").sortWithinPartitions("business", at).select(
         F.col("business").alias("business"),
-        F.col("month").cast("int").alias("month"),
+        at.alias("month"),
         F.col("active_license_count").cast("int").alias("active_license_count"),
         F.col("business_latitude").cast("double").alias("latitude"),
         F.col("business_longitude").cast("double").alias("longitude"),
         F.when(F.size("categories") > 0, cats).otherwise(F.lit("None")).alias("categories"),
         F.when(F.size("complaints") > 0, cmps).otherwise(F.lit("None")).alias("complaint_counts"),
-    ).repartition("business").sortWithinPartitions("business", "month")
+    )
 
 
 def pivot_risk_over_time(scored: DataFrame, id_col: str, ids: list[str], month_col: str = "month", value_col: str = "partial_hazard", max_columns: int = 1000) -> DataFrame:

@@ -1614,7 +1614,7 @@ def q_flatten(spark, sf):
         F.filter(F.array(*[F.when(F.col(c) > 0, F.lit(c)) for c in cats]), lambda x: x.isNotNull()).alias("categories"),
         F.map_filter(F.create_map(*[x for c in cmps for x in (F.lit(c), F.col(c).cast("double"))]), lambda k, v: v > 0).alias("complaints"),
     )
-    return scoring.flatten_timelines(tp)
+    return scoring.flatten_timelines(tp, [*cats, *cmps])
 
 
 @query("job_inspect_logistic")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenure.functions.exprs import month_diff, sanitize_feature_name
-from tenure.operators import cleaning, panel
+from tenure.operators import cleaning, panel, scoring
 
 
 def test_sanitize_feature_name(spark):
@@ -156,3 +156,16 @@ def test_panel_rows_are_not_shuffled(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.columns == want.columns
     plan = got._jdf.queryExecution().sparkPlan().toString() + got._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(business_id" in plan and ", month" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_flatten_timelines_with_known_names(spark):
+    tp = spark.createDataFrame(
+        [("b", 2, 1, 40.7, -74.0, ["business_category_tow_truck", "business_category_new"], {"complaint_type_noise": 3.0, "complaint_type_heat": 1.0}), ("b", 0, 2, None, None, [], {})],
+        "business string, month int, active_license_count long, business_latitude double, business_longitude double, categories array<string>, complaints map<string,double>",
+    )
+    names = ["business_category_tow_truck", "complaint_type_noise", "complaint_type_noise"]
+    got = scoring.flatten_timelines(tp, names)
+    assert got.collect() == scoring.flatten_timelines(tp).collect() and [r.month for r in got.collect()] == [0, 2]
+    # texts are made after the rows have been moved
+    moved = got._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert len(moved) == 2 and "array_join" in moved[0] and "array_join" not in moved[1]
