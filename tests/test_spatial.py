@@ -173,3 +173,21 @@ def test_kmeans_no_worse_than_separate_fits(spark):
     same = spark.createDataFrame([(str(i), 40.0 + i % 3, -74.0) for i in range(30)], locs.schema)
     assert [c[1] for c in clustering.fit_location_clusters(same, 5)] == [40.0, 41.0, 42.0]
     assert clustering.fit_location_clusters(locs.limit(0), 5) == []
+
+
+def test_kmeans_spreads_points_by_their_number(spark, monkeypatch):
+    from tenure.operators import clustering
+
+    rows = [(str(i), 40.5 + (i % 40) * 0.01, -74.0 + (i // 40) * 0.01) for i in range(800)]
+    locs = spark.createDataFrame(rows, "business_id string, business_latitude double, business_longitude double").coalesce(1)
+    step, tasks = clustering._step, []
+
+    def counted(points, centres, origin):
+        tasks.append(points.rdd.getNumPartitions())
+        return step(points, centres, origin)
+
+    monkeypatch.setattr(clustering, "_step", counted)
+    spread = clustering.fit_location_clusters(locs, 6, restarts=3, task_points=100)
+    assert set(tasks) == {8}
+    for a, b in zip(spread, clustering.fit_location_clusters(locs, 6, restarts=3)):
+        assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-9 and abs(a[2] - b[2]) < 1e-9
