@@ -169,3 +169,27 @@ def test_flatten_timelines_with_known_names(spark):
     # texts are made after the rows have been moved
     moved = got._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
     assert len(moved) == 2 and "array_join" in moved[0] and "array_join" not in moved[1]
+
+
+def test_license_counts_by_business_make_no_licence_months(spark):
+    """Overlapping, touching, nested and repeated spans, gaps and null numbers; licences stay unexpanded."""
+    import datetime as dt
+    import random
+
+    from tenure.operators import panel
+
+    draw = random.Random(5)
+    month = lambda k: dt.date(2000 + k // 12, k % 12 + 1, 1)
+    rows = []
+    for _ in range(400):
+        a = draw.randrange(40)
+        number = draw.choice([None, *map(str, range(6))])
+        rows.append((str(draw.randrange(12)), number, draw.choice(["x", "y", None]), month(a), month(a + draw.choice([0, 1, 3, 30]))))
+    lic = spark.createDataFrame(rows, "business_id string, license_number string, business_category string, issue_month date, expire_month date")
+    d = panel.feature_dictionary(lic, "business_category", "business_category_")
+    want = {tuple(r) for r in panel.license_month_counts(panel.expand_to_months(lic), d).collect()}
+    counts = panel.license_month_counts_by_business(lic, d)
+    assert [tuple(r) for r in counts.rows.collect()].__len__() == len(want)
+    assert {tuple(r) for r in counts.rows.collect()} == want
+    changes = panel._month_changes(lic, d)
+    assert changes.count() <= 3 * len(rows) < panel.expand_to_months(lic).count()
