@@ -4,7 +4,7 @@ Efron ties, fitted by Newton-Raphson over distributed sufficient statistics.
 Rows are ``(start, stop, event, x)``; a row is at risk at event time t when
 ``start < t <= stop`` (standard model: no start, i.e. ``duration >= t``).
 
-Per Newton iteration, two passes over the data (cached / checkpointed):
+Per Newton iteration, two passes over the data (saved as Parquet):
 
 A. per distinct time: S0 = Σ w, S1 = Σ w·x over rows with that stop (and,
    negated, over rows with that start), plus event count, Σ x and Σ w, Σ w·x
@@ -282,9 +282,9 @@ def fit_cox(
     cols += [F.col(stop_col).cast("double").alias("stop"), F.col(event_col).cast("double").alias("event")]
     if start_col:
         cols.append(F.col(start_col).cast("double").alias("start"))
-    from tenure.operators.sampling import _checkpoint
+    from tenure.operators.sampling import _saved
 
-    model_data = _checkpoint(data.select(*cols))
+    model_data = _saved(data.select(*cols), "cox-rows")  # every pass reads it: columns, not rows
     mean, std, n = _moments(model_data, features)
     d = len(features)
     has_start = start_col is not None

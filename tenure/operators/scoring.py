@@ -178,7 +178,11 @@ def baseline_first_row(panel: DataFrame, kept_columns: list[str]) -> DataFrame:
 
 def scenario_profiles_cox(baseline: DataFrame, kept_columns: list[str], active_license_override: int = 3) -> DataFrame:
     """Baseline; three category scenarios (other categories zeroed, licence
-    count 1); multi-licence business (licence count overridden)."""
+    count 1); multi-licence business (licence count overridden).  The baseline row is
+    found once, not once a scenario and reader."""
+    from tenure.operators.sampling import _checkpoint
+
+    baseline = _checkpoint(baseline)
     cats = [c for c in kept_columns if c.startswith("business_category_") and c != "business_category_sum"]
     rows = [baseline.select(F.lit("baseline").alias("profile"), F.lit(None).cast("string").alias("scenario_feature"), *kept_columns)]
     for name, feat in COX_CATEGORY_SCENARIOS:

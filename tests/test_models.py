@@ -224,3 +224,18 @@ def test_risk_set_sums(spark, tv):
         at = (stop >= r.time) & ((start < r.time) if tv else True)
         assert r.n_events == int(ev[stop == r.time].sum())
         assert np.allclose([r.s0, r.s1_a, r.s1_b], [w[at].sum(), *(w[at, None] * x[at]).sum(0)])
+
+
+def test_cox_scenarios_find_the_baseline_once(spark, tmp_path):
+    import datetime as dt
+
+    from tenure.operators import scoring
+
+    rows = [("b", dt.date(2024, 1, 1), 2, 1), ("a", dt.date(2024, 2, 1), 5, 0), ("a", dt.date(2024, 1, 1), 7, 1)]
+    path = str(tmp_path / "panel")
+    spark.createDataFrame(rows, "business_id string, month date, active_license_count long, business_category_x long").write.parquet(path)
+    kept = ["active_license_count", "business_category_x"]
+    got = scoring.scenario_profiles_cox(scoring.baseline_first_row(spark.read.parquet(path), kept), kept, 3)
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    found = {r.profile: (r.active_license_count, r.business_category_x) for r in got.collect()}
+    assert len(found) == 5 and found["baseline"] == (7.0, 1.0) and found["multi_license_business"] == (3.0, 1.0)
