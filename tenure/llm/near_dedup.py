@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save, slices
+from .common import marked, marks, save, slices
 from .components import components
 
 _M = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -158,32 +158,85 @@ def signatures(df: DataFrame, words: int, coordinates: int) -> DataFrame:
     return df.mapInArrow(run, f"id {kind}, n_shingles long, key binary, tokens array<bigint>")
 
 
-def full_sets(df: DataFrame, words: int) -> DataFrame:
-    """``id, shingles``: the sorted 64-bit hashes of the whole set."""
+def full_sets(df: DataFrame, words: int, listed: np.ndarray | None = None) -> DataFrame:
+    """``id, shingles``: the sorted 64-bit hashes of the whole set.
+
+    With ``listed``, only of ids whose xxhash64 ``marks`` may have had."""
+    sent = None if listed is None else df.sparkSession.sparkContext.broadcast(listed)
 
     def run(batches):
         for whole in batches:
+            if sent is not None:
+                whole = whole.filter(pa.array(marked(sent.value, whole.column(2).to_numpy())))
             for batch in slices(whole, "text"):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), words)], pa.binary())],
                     ["id", "shingles"],
                 )
 
-    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, shingles binary")
+    rows = df.select("id", "text", F.xxhash64("id").alias("h"))
+    return rows.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, shingles binary")
 
 
-def _confirm(pairs: DataFrame, active: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that share enough coordinates and, on full sets, are similar enough."""
-    side = lambda df, c, to: df.select(F.col("id").alias(c), F.col(df.columns[1]).alias(to))
-    counted = (
-        pairs.join(side(active, "a", "ta"), "a")
-        .join(side(active, "b", "tb"), "b")
-        .where(F.size(F.array_intersect("ta", "tb")) >= matches)
-        .select("a", "b")
-    )
-    counted = save(counted, "near-counted")
-    # sets are long: only those that a pair needs are shuffled
-    needed = lambda c: sets.join(counted.select(F.col(c).alias("id")).distinct(), "id", "left_semi")
+def _marked_rows(df: DataFrame, ids: np.ndarray, among: bool = True) -> DataFrame:
+    """The rows of ``df`` whose id's xxhash64 ``ids`` (of ``marks``) may have had, or the others: read and filtered, not shuffled."""
+    sent = df.sparkSession.sparkContext.broadcast(ids)
+
+    def run(batches):
+        for batch in batches:
+            kept = batch.filter(pa.array(marked(sent.value, batch.column("h").to_numpy()) == among))
+            yield kept.drop_columns(["h"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.withColumn("h", F.xxhash64("id")).mapInArrow(run, kinds)
+
+
+def _first_rows(own: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``own`` (id, key, ...) whose id is a node of ``nodes`` (key, node, n).
+
+    Only rows that may be another one's copy are shuffled: signatures are long.
+    """
+    own = own.select("id", "key", "tokens")
+    copies = own.select("key", "id").join(nodes.where("n > 1"), "key").where("id != node").select(F.xxhash64("id").alias("h"))
+    copies = save(copies, "near-copies")
+    if copies.isEmpty():
+        return own
+    ids = marks(copies)
+    again = _marked_rows(own, ids).join(nodes.select(F.col("node").alias("id")).distinct(), "id", "left_semi")
+    return _marked_rows(own, ids, among=False).unionByName(again.select(*own.columns))
+
+
+def _with_shared(rows: DataFrame, shared: DataFrame, matches: int) -> DataFrame:
+    """``id, tokens`` with about those tokens that are in ``shared``; rows that are left with fewer than ``matches`` go."""
+    sent = rows.sparkSession.sparkContext.broadcast(marks(shared.select("token"), each=16))
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            tokens, lengths = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+            may = marked(sent.value, tokens)
+            row = np.repeat(np.arange(len(lists)), lengths)
+            many = np.bincount(row[may], minlength=len(lists)) >= matches
+            may &= many[row]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[may], minlength=len(lists))[many])])
+            left = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens[may]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(many)), left], ["id", "tokens"])
+
+    return rows.select("id", "tokens").mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, tokens array<bigint>")
+
+
+def _counted(pairs: DataFrame, active: DataFrame, matches: int) -> DataFrame:
+    """The pairs (a, b) that share enough coordinates."""
+    side = lambda c, to: active.select(F.col("id").alias(c), F.col("tokens").alias(to))
+    both = pairs.join(side("a", "ta"), "a").join(side("b", "tb"), "b")
+    return both.where(F.size(F.array_intersect("ta", "tb")) >= matches).select("a", "b")
+
+
+def _confirm(counted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that, on full sets, are similar enough."""
+    side = lambda df, c, to: df.select(F.col("id").alias(c), F.col("shingles").alias(to))
+    # sets are long: only those that a pair needs, and a few more, are shuffled
+    needed = lambda c: _marked_rows(sets, marks(counted.select(c).distinct().select(F.xxhash64(c))))
     both = counted.join(side(needed("a"), "a", "sa"), "a").join(side(needed("b"), "b", "sb"), "b").select("a", "b", "sa", "sb")
 
     def run(batches):
@@ -202,7 +255,7 @@ def _confirm(pairs: DataFrame, active: DataFrame, sets: DataFrame, matches: int,
                 ok.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    kind = pairs.schema["a"].dataType.simpleString()
+    kind = counted.schema["a"].dataType.simpleString()
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
@@ -260,18 +313,16 @@ def _across(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 values = np.frombuffer(batch.column(2)[k].as_buffer(), np.int64)
                 n = len(values)
                 one = lambda c: pa.array([batch.column(c)[k].as_py()] * n, batch.schema.field(c).type)  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays([one(0), one(1), pa.array(values)], ["id", "component", "shingle"])
+                size = pa.array(np.full(n, n, np.int64))
+                yield pa.RecordBatch.from_arrays([one(0), one(1), size, pa.array(values)], ["id", "component", "size", "shingle"])
 
     kind = apart.schema["id"].dataType.simpleString()
-    posts = save(rows.mapInArrow(spread, f"id {kind}, component {kind}, shingle long"), "near-shingles")
+    posts = save(rows.mapInArrow(spread, f"id {kind}, component {kind}, size long, shingle long"), "near-shingles")
     shared = posts.groupBy("shingle").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
     shared = shared.where("x != y").select("shingle", "n")
-    own = Window.partitionBy("id")
-    sizes = rows.select("id", "component", F.expr("octet_length(shingles) div 8").alias("size"))
+    own = Window.partitionBy("id", "size")
     ranked = (
-        posts.select("shingle", "id")
-        .join(shared, "shingle")
-        .join(sizes, "id")
+        posts.join(shared, "shingle")
         .withColumn("rank", F.row_number().over(own.orderBy("n", "shingle")) + F.col("size") - F.count("*").over(own))
         .where(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
     )
@@ -309,10 +360,12 @@ def near_duplicates(
 
     # one node for all copies of a set
     own = found.where("key is not null and id is not null")
-    nodes = save(own.groupBy("key").agg(F.min("id").alias("node")), "near-nodes")
-    posts = own.join(nodes.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select("id", F.explode("tokens").alias("token"))
-    shared = posts.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    hits = posts.join(shared, "token")
+    nodes = save(own.groupBy("key").agg(F.min("id").alias("node"), F.count("*").alias("n")), "near-nodes")
+    first = _first_rows(own, nodes)
+    posts = lambda rows: rows.select("id", F.explode("tokens").alias("token"))
+    shared = save(posts(first).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "near-shared")
+    # most sets share too few tokens with any other: theirs are not shuffled again
+    hits = posts(_with_shared(first, shared, matches)).join(shared, "token")
     active = hits.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("n", "token"))).alias("hits")).where(F.size("hits") >= matches)
     active = save(active, "near-active")
     prefix = active.select("id", F.explode(F.slice("hits", F.lit(1), F.size("hits") - (matches - 1))).alias("hit")).select("id", "hit.token")
@@ -326,9 +379,20 @@ def near_duplicates(
     lists = save(prefix.join(lists, "token"), "near-prefixes")
 
     signature = active.select("id", F.transform("hits", lambda x: x["token"]).alias("tokens"))
-    listed = lists.select("id").distinct()
-    sets = save(full_sets(src.join(listed, "id", "left_semi"), words), "near-sets")
-    confirm = lambda pairs: save(_confirm(pairs, signature, sets, matches, percent), "near-edges")
+    listed = save(lists.select("id").distinct(), "near-listed")
+    if listed.count() <= 1 << 24:  # texts are filtered where they are read, not shuffled; a few more pass
+        sets = full_sets(src, words, marks(listed.select(F.xxhash64("id"))))
+    else:
+        sets = full_sets(src.join(listed, "id", "left_semi"), words)
+    sets = save(sets, "near-sets")
+    tried = []  # no pair is compared on full sets twice
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        for earlier in tried:
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        tried.append(save(_counted(pairs, signature, matches), "near-counted"))
+        return save(_confirm(tried[-1], sets, percent), "near-edges")
+
 
     # first each set's commonest values: they join large groups at once, whose prefixes
     # hold only what few members have in common

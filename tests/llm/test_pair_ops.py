@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 from brute import roots, shingles
 
-from tenure.llm import components, embedding_dedup, near_dedup
+from tenure.llm import common, components, embedding_dedup, near_dedup
 
 WORDS = [f"w{k}" for k in range(400)]
 
@@ -53,6 +53,41 @@ def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_near_duplicates_move_neither_texts_nor_pairs_twice(spark, monkeypatch):
+    """Without broadcasts texts are not shuffled for their sets, and no pair is compared on full sets twice."""
+    plans, pairs, real = {}, [], near_dedup.save
+
+    def save(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        out = real(df, name)
+        if name == "near-counted":
+            pairs.extend((r.a, r.b) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(near_dedup, "save", save)
+    base = [f"v{k}" for k in range(100)]  # far from the base, and from each other, at 0.75: tried in every round
+    far = [" ".join([*base[:at], *(f"x{at}-{k}" for k in range(9)), *base[at + 9 :]]) for at in range(0, 90, 9)]
+    df = spark.createDataFrame(list(enumerate(_texts() + far)), "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near_dedup.near_duplicates(df, words=4).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plans["near-sets"]
+    assert pairs and len(pairs) == len(set(pairs))
+
+
+def test_marks_miss_no_hash(spark):
+    """Also with far more hashes than bits."""
+    hashes = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 20_000)
+    df = spark.createDataFrame([(int(h),) for h in hashes[:10_000]], "h long")
+    for most in (1 << 26, 1 << 13):
+        seen = common.marked(common.marks(df, most=most), hashes)
+        assert seen[:10_000].all()
+        assert seen[10_000:].mean() <= (0.05 if most > 1 << 20 else 1)
+
+
 def test_prefixes_find_what_stars_leave(spark):
     """One round only, so that other links between the copies come from the full sets' prefixes."""
     texts = _texts()[:160]
