@@ -103,8 +103,12 @@ def classification_report(counts: DataFrame) -> DataFrame:
 
 
 def evaluate_classifier(scored: DataFrame, label: str, prob: str, pred: str) -> DataFrame:
-    """One row: confusion, report, AUC, U, z, mean probability by class."""
+    """One row: confusion, report, AUC, U, z, mean probability by class.  The
+    scores are made once, not for each of the three."""
+    from tenure.operators.sampling import _saved
+
     scored = scored.select(F.col(label).cast("int").alias(label), F.col(prob).cast("double").alias(prob), F.col(pred).cast("int").alias(pred))
+    scored = _saved(scored, "scored")
     report = classification_report(confusion_counts(scored, label, pred))
     ranks = rank_statistics(scored, label, prob)
     means = scored.agg(

@@ -239,3 +239,21 @@ def test_cox_scenarios_find_the_baseline_once(spark, tmp_path):
     assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
     found = {r.profile: (r.active_license_count, r.business_category_x) for r in got.collect()}
     assert len(found) == 5 and found["baseline"] == (7.0, 1.0) and found["multi_license_business"] == (3.0, 1.0)
+
+
+def test_evaluation_makes_the_scores_once(spark):
+    from pyspark.sql import functions as F
+
+    from tenure.operators import evaluation
+
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.range(40).select((F.col("id") % 2).cast("int").alias("y"), (F.col("id") / 40).alias("p"), (F.col("id") > 20).cast("int").alias("d"))
+    row = evaluation.evaluate_classifier(rows.mapInArrow(counted, rows.schema), "y", "p", "d").first()
+    assert row["support_0"] + row["support_1"] == 40
+    assert made.value == 40
