@@ -34,6 +34,9 @@ _LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, *range(9, 14)]] = True
 _POWERS: dict[int, np.ndarray] = {}
+#: Bytes of text that are hashed at once, and of a call of ``shingle_sets``: a task's memory beside
+#: its Arrow batch is a few tens of times the first and a few times the second.
+_BLOCK, _SLICE = 1 << 17, 1 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -74,7 +77,7 @@ def _words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return _mix(h ^ ((ends - starts).astype(np.uint64) << np.uint64(48))), starts
 
 
-def _word_blocks(data: np.ndarray, breaks: np.ndarray, block: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+def _word_blocks(data: np.ndarray, breaks: np.ndarray, block: int = _BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """``_words`` over blocks that end at white space, so tables of powers stay small."""
     hashes, starts, at = [], [], 0
     while at < len(data):
@@ -138,7 +141,7 @@ def signatures(df: DataFrame, words: int, coordinates: int) -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", _SLICE):
                 sizes, keys, tokens = [], [], []
                 for s in shingle_sets(batch.column(1), words):
                     sizes.append(len(s))
@@ -168,7 +171,7 @@ def full_sets(df: DataFrame, words: int, listed: np.ndarray | None = None) -> Da
         for whole in batches:
             if sent is not None:
                 whole = whole.filter(pa.array(marked(sent.value, whole.column(2).to_numpy())))
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", _SLICE):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), words)], pa.binary())],
                     ["id", "shingles"],

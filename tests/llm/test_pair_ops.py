@@ -1,10 +1,13 @@
 """Operators on pairs, the pipeline and the registration, against brute force."""
 
 import random
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from brute import roots, shingles
+from pyspark.sql.types import LongType, StructField
 
 from tenure.llm import common, components, embedding_dedup, near_dedup
 
@@ -178,3 +181,31 @@ def test_registration():
     names = [k for k in E.queries() if k.startswith("op") and k[2].isdigit()]
     assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
     assert "pipeline" in E.queries()
+
+
+def test_hashing_takes_little_memory(spark):
+    """Signatures and full sets of a batch of texts: beside the batch only a block's tables and a slice's sets."""
+
+    class Rows:  # the functions as they run in a task
+        def __init__(self):
+            self.schema = {"id": StructField("id", LongType())}
+
+        def select(self, *cols):
+            return self
+
+        def mapInArrow(self, run, kinds):
+            return run
+
+    pick = random.Random(9)
+    texts = [" ".join(pick.choices(WORDS, k=500)) for _ in range(4_000)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(texts), ids], ["id", "text", "h"])
+    assert batch.nbytes > 8 << 20
+    peaks = []
+    near_dedup._POWERS.clear()
+    for run in (near_dedup.signatures(Rows(), 5, 48), near_dedup.full_sets(Rows(), 5)):
+        tracemalloc.start()
+        assert sum(x.num_rows for x in run([batch])) == len(texts)
+        peaks.append(tracemalloc.get_traced_memory()[1] >> 20)
+        tracemalloc.stop()
+    assert max(peaks) < 48, peaks
