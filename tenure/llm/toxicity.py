@@ -80,12 +80,6 @@ def _runs(text: str) -> Iterator[tuple[str, str]]:
         yield w, " ".join(words[k : k + _RUN])
 
 
-def _least(sizes: dict[str, tuple[int, int]]) -> int:
-    """Texts that a word needs to be significant in any language, if one class holds them all."""
-    shares = [min(n) / sum(n) for n in sizes.values() if min(n) > 0]
-    return math.ceil(_SIGNIFICANT / (2 * math.log(1 / min(shares)))) if shares else 1
-
-
 def _marked(counts: dict[str, dict[str, tuple[int, int]]], sizes: dict[str, tuple[int, int]]) -> tuple[list[str], list[str]]:
     """Toxic and ordinary words, the strongest last.
 
@@ -196,11 +190,30 @@ def _shared(text: str, toxic: set[str]) -> list[bytes]:
     return [x for x in windows(text) if toxic.isdisjoint(w for y in x.decode("utf-8", "replace").split() for w in (y, y.strip(_SIGNS)))]
 
 
+def _telling(found: DataFrame, sizes: dict[str, tuple[int, int]]) -> DataFrame:
+    """Of the words in ``found`` (toxic, lang, word, id) those that ``_marked`` may keep: ``word, by`` (lang, a, b).
+
+    Its statistic is taken on the executors first, with some room for rounding.
+    """
+    shares = [(lang, n[0] / sum(n)) for lang, n in sizes.items() if min(n) > 0]
+    by_lang = F.broadcast(found.sparkSession.createDataFrame(shares, "lang string, share double"))
+    counts = found.groupBy("word", "lang").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    words = counts.join(by_lang, "lang").groupBy("word").agg(
+        F.collect_list(F.struct("lang", "a", "b")).alias("by"),
+        F.sum("a").alias("a"),
+        F.sum("b").alias("b"),
+        F.sum((F.col("a") + F.col("b")) * F.col("share")).alias("e"),
+    )
+    part = lambda k, e: F.when(k > 0, k * F.log(k / e)).otherwise(0.0)
+    a, b, e = F.col("a"), F.col("b"), F.col("e")
+    return words.where(2 * (part(a, e) + part(b, a + b - e)) >= _SIGNIFICANT - 1e-6).select("word", "by")
+
+
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, base_size: int = 65536) -> Model:
     """Fit on at most ``per_class`` labelled texts of each class, read whole on the executors.
 
     ``docs``: id, text and, where known, lang; as many of them, not labelled toxic, serve as background.  ``labels``: id, toxic
-    (0 or 1; other values and nulls are left out).  The driver gets counts of words, at most
+    (0 or 1; other values and nulls are left out).  The driver gets counts of significant words, at most
     100,000 windows and a few numbers for each labelled text.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
@@ -224,10 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, base_size:
     classes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     if len(classes) < 2:
         return _untaught(classes.get(1, 0), classes.get(0, 0))
-    by_word = found.groupBy("word", "lang").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    # words too rare to be significant wherever they stand stay on the executors
-    by_word = by_word.groupBy("word").agg(F.collect_list(F.struct("lang", "a", "b")).alias("by"), F.sum(F.col("a") + F.col("b")).alias("n"))
-    counts = {r["word"]: {x["lang"]: (x["a"], x["b"]) for x in r["by"]} for r in by_word.where(F.col("n") >= _least(sizes)).collect()}
+    counts = {r["word"]: {x["lang"]: (x["a"], x["b"]) for x in r["by"]} for r in _telling(found, sizes).collect()}
     marks = _marked(counts, sizes)
 
     def shared(batches):
@@ -237,7 +247,10 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, base_size:
                 yield pa.RecordBatch.from_arrays([pa.array(_shared(text.as_py(), toxic), pa.binary())], ["part"])
 
     samples = sample.where("toxic <= 0").select("text").mapInArrow(shared, "part binary").distinct()
-    samples = [bytes(r["part"]) for r in samples.orderBy(F.xxhash64("part"), "part").limit(_SAMPLES).collect()]
+    # cut to the bound on executors: the driver would else gather each task's first windows to choose from
+    order = [F.xxhash64("part").alias("h"), F.col("part")]
+    drawn = save(samples.select(*order).orderBy("h", "part").limit(_SAMPLES), "toxicity-windows").toArrow()
+    samples = drawn.sort_by([("h", "ascending"), ("part", "ascending")])["part"].to_pylist()
     contents = _contents(marks, samples, base_size)
 
     def measured(batches):

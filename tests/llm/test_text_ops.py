@@ -246,6 +246,20 @@ def test_toxicity_keeps_words_of_small_languages(spark):
     assert np.mean([r.predicted == r.doc_id % 2 for r in toxicity.score(df, model).collect()]) >= 0.9
 
 
+def test_toxicity_sends_the_driver_significant_words_only(spark, monkeypatch):
+    """Other words, and the windows in the rows of a sort, stay on the executors."""
+    frame, marks, rows = type(spark.range(0)), [], []
+    collect, marked = frame.collect, toxicity._marked
+    monkeypatch.setattr(frame, "collect", lambda self: rows.extend(found := collect(self)) or found)
+    monkeypatch.setattr(toxicity, "_marked", lambda *a: marks.extend(found := marked(*a)) or found)
+    bad = ["wretched", "vileness", "hateful", "rottenly"]
+    make = lambda k: _prose(k, [*PLAIN, *(f"odd{k}x{i}" for i in range(9)), *bad * 3 * (k % 2)], 60)
+    _taught(spark, [(make(k), ("en", "xx")[k % 5 == 0], k % 2) for k in range(120)])
+    words = [r.word for r in rows if "word" in r.__fields__]
+    assert sorted(words) == sorted(marks[0] + marks[1]) and set(bad) <= set(marks[0])
+    assert not any("part" in r.__fields__ for r in rows)
+
+
 def test_toxicity_learns_from_whole_texts(spark):
     bad = ["wretched", "vileness", "hateful", "rottenly"]
     late = lambda k, toxic: _prose(k, PLAIN, 1700) + " " + _prose(k + 9000, PLAIN + bad * 9 * toxic, 60)
