@@ -45,6 +45,20 @@ def _saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _saved_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``_saved``, as a table whose files each hold one hash bucket of ``key``: what
+    groups, windows or joins by it reads whole groups from the files and shuffles none
+    of the rows.  The table stays in the session's catalog."""
+    import uuid
+
+    from tenure.session import ensure_checkpoint_dir
+
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{table}"
+    df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def dense_index(df: DataFrame, order_cols: list[str], idx_col: str = "_idx") -> DataFrame:
     """Add ``idx_col`` = 0-based position of each row in ``order_cols`` order."""
     ranged = (

@@ -104,10 +104,10 @@ def _fixed_panel(spark, sf):
 def _panel_core(spark, sf):
     """The panel flow without KMeans (core columns only: cluster ids are
     arbitrary, so the oracle-checked queries derive from this), built and
-    saved once per application."""
-    from tenure.operators.sampling import _saved
+    saved once per application, by business: its months are in one file."""
+    from tenure.operators.sampling import _saved_by
 
-    return _memo(("panel_core", sf), spark, lambda: _saved(_build_panel_core(spark, sf), "panel-core"))
+    return _memo(("panel_core", sf), spark, lambda: _saved_by(*_build_panel_core(spark, sf)))
 
 
 def _build_panel_core(spark, sf):
@@ -126,7 +126,8 @@ def _build_panel_core(spark, sf):
         .withColumn("location_cluster_lng", F.col("business_longitude"))
     )
     merged = panel.merge_panel_by_business(counts, complaints, located, cats, cmps)
-    return merged.drop("location_cluster", "location_cluster_lat", "location_cluster_lng")
+    core = merged.drop("location_cluster", "location_cluster_lat", "location_cluster_lng")
+    return core, "panel-core", "business_id", counts.tasks
 
 
 # --------------------------------------------------------- 2.3 cleaning ----

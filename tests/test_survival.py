@@ -87,3 +87,17 @@ def test_time_varying_panel_invariants(spark):
     bl = {r.business_id: r for r in survival.business_level_dataset(df, dt.date(2026, 3, 1)).collect()}
     assert (bl["A"].duration_months, bl["A"].event) == (4, 1)
     assert (bl["B"].duration_months, bl["B"].event) == (5, 0)
+
+
+def test_training_shuffles_no_panel_rows(spark):
+    """The panel is saved by business, so that its groups and windows by business read whole groups."""
+    from tenure.plans import registry
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        training = registry._training(spark, "/root/testdata/sf0.001")
+        assert "Exchange" not in training._jdf.queryExecution().executedPlan().toString()
+        assert training.count() == training.select("business_id").distinct().count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
