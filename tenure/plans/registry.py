@@ -806,14 +806,8 @@ def q_write_geojson(spark, sf):
 def q_job_geojson(spark, sf):
     """Map export written and read back: the Features and their licence records."""
     root = _scratch(spark, "map")
-    meta = _geo_inputs(spark, sf)[1]
-    chunks = geojson.license_record_chunks(meta)
-    feats = geojson.geo_feature(geojson.with_license_records(_geo_businesses(spark, sf), chunks))
-    paths = {
-        "feature": geojson.write_geojson(feats, f"{root}/geojson"),
-        "license_record": geojson.write_license_records(feats, meta, f"{root}/license_records"),
-        "license_record_chunk": geojson.write_record_chunks(feats, chunks, f"{root}/license_record_chunks"),
-    }
+    _, paths = geojson.export_map(_geo_businesses(spark, sf), _geo_inputs(spark, sf)[1], root)
+    paths = {"feature": paths["geojson"], "license_record": paths["license_records"], "license_record_chunk": paths["record_chunks"]}
     feature, record, chunk = (spark.read.text(path).select(F.lit(kind).alias("kind"), "value") for kind, path in paths.items())
     return feature.unionByName(record).unionByName(chunk)
 

@@ -82,12 +82,8 @@ def run_pipeline(licenses_raw: DataFrame, requests_raw: DataFrame, metadata_raw:
     if "geojson" in cfg.stages and metadata_raw is not None:
         p, meta = geojson.prepare_geojson_inputs(panel_df, metadata_raw)
         s = geojson.business_activity_summary(p, cfg.map_cutoff or cfg.model.study_end)
-        chunks = _checkpoint(geojson.license_record_chunks(meta))
-        businesses = geojson.join_geo(s, geojson.business_license_metadata(meta))
-        feats = geojson.geo_feature(geojson.with_license_records(businesses, chunks))
-        summary["record_chunks_path"] = geojson.write_record_chunks(feats, chunks, f"{out}/license_record_chunks")
-        summary["geojson_path"] = geojson.write_geojson(feats, f"{out}/geojson")
-        summary["license_records_path"] = geojson.write_license_records(feats, meta, f"{out}/license_records")
+        feats, paths = geojson.export_map(geojson.join_geo(s, geojson.business_license_metadata(meta)), meta, out)
+        summary |= {f"{name}_path": path for name, path in paths.items()}
         if cfg.extra.get("feature_collection"):  # opt-in single document, size-checked
             summary["feature_collection_path"] = geojson.write_feature_collection(feats, f"{out}/feature_collection")
     summary_json = json.dumps(summary, default=str, sort_keys=True)

@@ -246,3 +246,31 @@ def test_cox_artifacts_hold_both_models(spark):
 
     kinds = {r.model for r in registry.QUERIES["write_cox_artifacts"](spark, "/root/testdata/sf0.001").select("model").distinct().collect()}
     assert kinds == {"standard", "time_varying"}
+
+
+def test_export_map_shuffles_records_once(spark, tmp_path, monkeypatch):
+    """Features, records and chunks come from records saved once, in compressed lines, and are what the separate steps give."""
+    rows = [(i, f"b{i % 9}" if i < 40 else "big", 40.7, -73.9, "Queens" if i % 2 else "Bronx", f"n{i}") for i in range(90)]
+    meta = spark.createDataFrame(rows, "record_ordinal long, business_id string, latitude double, longitude double, borough string, license_number string")
+    summary = spark.createDataFrame(
+        [(b, dt.date(2020, 1, 1), 1.0, 1) for b in [f"b{i}" for i in range(8)] + ["big", "none"]],
+        "business_id string, last_month date, complaint_sum double, active int",
+    )
+    biz = geojson.join_geo(summary, geojson.business_license_metadata(meta))
+    chunks = geojson.license_record_chunks(meta, per_chunk=20)
+    feats = geojson.geo_feature(geojson.with_license_records(biz, chunks))
+    want = [geojson.write_geojson(feats, str(tmp_path / "f")), geojson.write_license_records(feats, meta, str(tmp_path / "r")), geojson.write_record_chunks(feats, chunks, str(tmp_path / "c"))]
+    of, made = geojson.SavedRecords.of, []
+    monkeypatch.setattr(geojson.SavedRecords, "of", staticmethod(lambda m: made.append(of(m, per_chunk=20)) or made[-1]))
+    _, paths = geojson.export_map(biz, meta, str(tmp_path / "map"))
+    for a, b in zip(want, (paths["geojson"], paths["license_records"], paths["record_chunks"])):
+        lines = [sorted(r.value for r in spark.read.text(p).collect()) for p in (a, b)]
+        assert lines[0] == lines[1] and lines[0]
+    assert len(made) == 1 and all(p.suffix == ".gz" for p in (tmp_path / "map").rglob("part-*") if p.suffix != ".crc")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = made[0].whole.groupBy("business_id").agg(F.first("own")).join(made[0].whole, "business_id")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
