@@ -4,16 +4,19 @@ Efron ties, fitted by Newton-Raphson over distributed sufficient statistics.
 Rows are ``(start, stop, event, x)``; a row is at risk at event time t when
 ``start < t <= stop`` (standard model: no start, i.e. ``duration >= t``).
 
-Per Newton iteration, two passes over the data (saved as Parquet):
+Rows that follow each other with the same features and no event between are one span
+(``_spans``): the same weights are at risk at every time.  Per Newton iteration, passes over
+the spans (saved as Parquet):
 
 A. per distinct time: S0 = Σ w, S1 = Σ w·x over rows with that stop (and,
    negated, over rows with that start), plus event count, Σ x and Σ w, Σ w·x
-   over the events.  Partitions emit partial sums (``mapInPandas``), a
-   ``groupBy(kind, time)`` adds them in the JVM.  Driver state: times × d.
+   over the events.  Partitions emit partial sums (``mapInArrow``), a
+   ``groupBy(kind, time)`` adds them in the JVM.  Driver state: times × d (× d where B is not run).
 B. the second-order term Σ_t Σ_l (S2 - l/d·A2)/φ_l collapses into one
    weighted Gram matrix Σ_i ω_i x_i x_iᵀ with ω_i = w_i (C(stop_i) - C(start_i)
    - event_i·e(stop_i)), where C and e are per-time scalars from pass A; one
-   d×d partial per partition, summed in a two-level reduction.
+   d×d partial per partition, summed in a two-level reduction.  With few
+   distinct times (``MOST_SECONDS``) pass A brings Σ w·x·xᵀ per time, too, and B is not run.
 
 Risk sets are suffix sums over times on the driver (bounded by the number of
 distinct times).  Penalty: ½·penalizer·n·‖β‖² on internally normalised
@@ -29,10 +32,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Z95 = 1.959963984540054
+MOST_SECONDS = 4_000_000  # numbers of second-order sums by time that may reach the driver
 
 
 @dataclass
@@ -111,7 +116,8 @@ def tie_rule(d: int) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class TimeSums:
     """Sums per distinct time, in order: weights, weighted features, events
-    and their sums (Σ w, Σ w·x, Σ x over the events)."""
+    and their sums (Σ w, Σ w·x, Σ x over the events); where asked for, the upper triangles of Σ w·x·xᵀ
+    over the rows and over the events."""
 
     time: np.ndarray
     s0: np.ndarray
@@ -120,50 +126,94 @@ class TimeSums:
     a0: np.ndarray
     a1: np.ndarray
     xd: np.ndarray
+    s2: np.ndarray
+    a2: np.ndarray
 
     @staticmethod
-    def of(rows: list, d: int) -> "TimeSums":
-        v = np.array([list(r)[1:] for r in sorted(rows, key=lambda r: r["time"])], dtype=float).reshape(len(rows), 4 + 3 * d)
-        return TimeSums(v[:, 0], v[:, 1], v[:, 4:4 + d], v[:, 2].astype(np.int64), v[:, 3], v[:, 4 + d:4 + 2 * d], v[:, 4 + 2 * d:])
-
-
-def _pass_a(data: DataFrame, features: list[str], beta: np.ndarray, mean: np.ndarray, std: np.ndarray, has_start: bool) -> dict:
+    def of(rows: list, d: int, m: int) -> "TimeSums":
+        v = np.array([list(r)[1:] for r in sorted(rows, key=lambda r: r["time"])], dtype=float).reshape(len(rows), 4 + 3 * d + 2 * m)
+        first, second = v[:, 4:4 + 3 * d], v[:, 4 + 3 * d:]
+        return TimeSums(v[:, 0], v[:, 1], first[:, :d], v[:, 2].astype(np.int64), v[:, 3], first[:, d:2 * d], first[:, 2 * d:], second[:, :m], second[:, m:])
+
+
+def _columns(batches, names: list[str], least: int = 1 << 16):
+    """Arrow batches as matrices of at least ``least`` rows (but the last), a column a name."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1, dtype=float))
+            n += batch.num_rows
+        if n >= least:
+            yield np.concatenate(held)
+            held, n = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def _by_time(t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by time, where each time starts in it, and the times."""
+    order = np.argsort(t, kind="stable")
+    ts = t[order]
+    starts = np.flatnonzero(np.r_[True, ts[1:] != ts[:-1]])
+    return order, starts, ts[starts]
+
+
+def _pass_a(
+    data: DataFrame, features: list[str], beta: np.ndarray, mean: np.ndarray, std: np.ndarray, has_start: bool, second: bool = False
+) -> dict:
     d = len(features)
+    upper = np.triu_indices(d)
+    m = len(upper[0]) if second else 0
+    cols = features + ["stop", "event"] + (["start"] if has_start else [])
 
     def part(it):
         # one vector of sums by (kind, time) over all batches of the partition:
-        # s0, events, a0, s1, a1, xd
+        # s0, events, a0, s1, a1, xd, s2, a2
         sums: dict = {}
-        for pdf in it:
-            if pdf.empty:
-                continue
-            x = (pdf[features].to_numpy(dtype=float) - mean) / std
+
+        def add(kind, times, at, values):
+            for t, v in zip(times, values):
+                if (kind, t) not in sums:
+                    sums[kind, t] = np.zeros(3 + 3 * d + 2 * m)
+                sums[kind, t][at : at + len(v)] += v
+
+        def seconds(kind, times, starts, x, wx, at):
+            for t, a, b in zip(times, starts, [*starts[1:], len(x)]):
+                sums[kind, t][at : at + m] += (x[a:b].T @ wx[a:b])[upper]
+
+        for rows in _columns(it, cols):
+            x = (rows[:, :d] - mean) / std
             w = np.exp(x @ beta)
-            ev = pdf["event"].to_numpy(dtype=float)
-            wx = w[:, None] * x
-            none = np.zeros((len(w), 2 + 2 * d))
-            full = np.c_[w, ev, w * ev, wx, wx * ev[:, None], x * ev[:, None]]
-            kinds = [(1, "stop", full)]
-            if has_start:
-                kinds.append((0, "start", np.c_[w, none[:, :2], wx, none[:, 2:]]))
-            for kind, col, values in kinds:
-                # group rows by time with one sort, then segment sums
-                tvals = pdf[col].to_numpy(dtype=float)
-                order = np.argsort(tvals, kind="stable")
-                ts = tvals[order]
-                starts = np.flatnonzero(np.r_[True, ts[1:] != ts[:-1]])
-                for t, v in zip(ts[starts], np.add.reduceat(values[order], starts, axis=0)):
-                    sums[kind, t] = sums[kind, t] + v if (kind, t) in sums else v
+            for kind, col in ((1, d), (0, d + 2))[: 1 + has_start]:
+                order, starts, times = _by_time(rows[:, col])
+                xs = x[order]
+                wx = xs * w[order, None]
+                add(kind, times, 0, np.add.reduceat(w[order], starts)[:, None])
+                add(kind, times, 3, np.add.reduceat(wx, starts, axis=0))
+                if m:
+                    seconds(kind, times, starts, xs, wx, 3 + 3 * d)
+            hit = np.flatnonzero(rows[:, d + 1])
+            if len(hit):
+                order, starts, times = _by_time(rows[hit, d])
+                hit = hit[order]
+                ev, xs = rows[hit, d + 1], x[hit]
+                wx = xs * (w[hit] * ev)[:, None]
+                add(1, times, 1, np.add.reduceat(np.c_[ev, w[hit] * ev], starts, axis=0))
+                add(1, times, 3 + d, np.add.reduceat(np.c_[wx, xs * ev[:, None]], starts, axis=0))
+                if m:
+                    seconds(1, times, starts, xs, wx, 3 + 3 * d + m)
         if sums:
-            yield pd.DataFrame({"kind": [k for k, _ in sums], "time": [t for _, t in sums], "v": list(sums.values())})
+            kinds, times = zip(*sums)
+            yield pa.RecordBatch.from_pydict(
+                {"kind": pa.array(kinds, pa.int32()), "time": pa.array(times, pa.float64()), "v": pa.array(list(sums.values()), pa.list_(pa.float64()))}
+            )
 
-    cols = features + ["stop", "event"] + (["start"] if has_start else [])
-    partial = data.select(*cols).mapInPandas(part, "kind int, time double, v array<double>")
+    partial = data.select(*cols).mapInArrow(part, "kind int, time double, v array<double>")
     # the partitions' vectors are added position by position in the JVM
-    total = partial.groupBy("kind", "time").agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(3 + 3 * d)])
+    total = partial.groupBy("kind", "time").agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(3 + 3 * d + 2 * m)])
     rows = total.collect()
     return {
-        kind: TimeSums.of([r for r in rows if r["kind"] == k], d)
+        kind: TimeSums.of([r for r in rows if r["kind"] == k], d, m)
         for kind, k in (("stop", 1), ("start", 0))
     }
 
@@ -186,6 +236,20 @@ def risk_sums(stats: dict, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s0, s1
 
 
+def _second_term(stats: dict, ef: dict, d: int) -> np.ndarray:
+    """Σ_t C(t)·S2(t) - e(t)·A2(t) from the sums per time: what ``_pass_b`` gives."""
+    stop, start = stats["stop"], stats["start"]
+    upper = np.triu_indices(d)
+    cum = np.concatenate([[0.0], np.cumsum(ef["C"])])  # Σ C(t) for t <= each time
+    upto = lambda times: cum[np.searchsorted(ef["times"], times, side="right")]
+    total = upto(stop.time) @ stop.s2 - ef["e"] @ stop.a2[stop.d > 0]
+    if len(start.time):
+        total -= upto(start.time) @ start.s2
+    out = np.zeros((d, d))
+    out[upper] = total
+    return out + np.triu(out, 1).T
+
+
 def _efron(stats: dict) -> dict:
     """Log-likelihood, gradient, the first-moment part of the Hessian and the
     per-time scalars C(t) = Σ_l 1/φ_l, e(t) = Σ_l (l/d)/φ_l."""
@@ -255,15 +319,35 @@ def _pass_b(data: DataFrame, features: list[str], beta, mean, std, has_start, ti
     return total + np.triu(total, 1).T
 
 
-def _moments(data: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
-    exprs = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(features):
-        exprs += [F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}")]
-    row = data.agg(*exprs).first()
-    mean = np.array([row[f"m{i}"] or 0.0 for i in range(len(features))], dtype=float)
-    std = np.array([row[f"s{i}"] or 1.0 for i in range(len(features))], dtype=float)
+def _moments(data: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Mean and sample deviation of each feature, rows (a span counts as the rows it stands for), and about how many times there are."""
+    n = F.sum("rows")
+    row = data.agg(n.alias("n"), F.approx_count_distinct("stop").alias("times"), *[F.sum(F.col(c) * F.col("rows")).alias(f"m{i}") for i, c in enumerate(features)]).first()
+    rows = int(row["n"] or 0)
+    mean = np.array([(row[f"m{i}"] or 0.0) / max(1, rows) for i in range(len(features))], dtype=float)
+    away = [F.sum(F.pow(F.col(c) - F.lit(float(m)), 2) * F.col("rows")).alias(f"s{i}") for i, (c, m) in enumerate(zip(features, mean))]
+    spread = data.agg(F.lit(0), *away).first() if features else []
+    std = np.sqrt(np.array([spread[i + 1] or 0.0 for i in range(len(features))], dtype=float) / max(1, rows - 1))
     std[std == 0] = 1.0
-    return mean, std, int(row["n"])
+    return mean, std, rows, int(row["times"])
+
+
+def _spans(data: DataFrame, features: list[str]) -> DataFrame:
+    """Rows that follow each other, alike in all features and without an event between, as one: at every time the
+    same weights are at risk.  ``rows`` says how many rows a span stands for."""
+    d = len(features)
+
+    def run(batches):
+        for v in _columns(batches, [*features, "stop", "event", "start"]):
+            like = (v[1:, :d] == v[:-1, :d]).all(axis=1) & (v[1:, d + 2] == v[:-1, d]) & (v[:-1, d + 1] == 0)
+            first = np.flatnonzero(np.r_[True, ~like])
+            last = np.r_[first[1:] - 1, len(v) - 1]
+            out = [*v[first, :d].T, v[last, d], v[last, d + 1], v[first, d + 2], last - first + 1]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names)
+
+    names = [*features, "stop", "event", "start", "rows"]
+    kinds = ", ".join([*(f"`{c}` double" for c in names[:-1]), "rows long"])
+    return data.select(*names[:-1]).mapInArrow(run, kinds)
 
 
 def fit_cox(
@@ -284,22 +368,31 @@ def fit_cox(
         cols.append(F.col(start_col).cast("double").alias("start"))
     from tenure.operators.sampling import _saved
 
-    model_data = _saved(data.select(*cols), "cox-rows")  # every pass reads it: columns, not rows
-    mean, std, n = _moments(model_data, features)
+    rows = data.select(*cols)
+    # the baseline hazard has all stop times, so there no rows become one
+    rows = _spans(rows, features) if start_col and not baseline else rows.withColumn("rows", F.lit(1).cast("long"))
+    model_data = _saved(rows, "cox-rows")  # every pass reads it: columns, not rows
+    mean, std, n, times = _moments(model_data, features)
     d = len(features)
     has_start = start_col is not None
+    second = times * d * (d + 1) <= MOST_SECONDS
     beta = np.zeros(d)
 
     def evaluate(b):
-        stats = _pass_a(model_data, features, b, mean, std, has_start)
+        stats = _pass_a(model_data, features, b, mean, std, has_start, second)
         ef = _efron(stats)
         ll = float(ef["xd"] @ b) + ef["ll_tail"] - 0.5 * penalizer * n * float(b @ b)
         return ll, ef, stats
 
+    def second_term(b, ef, stats):
+        if second:
+            return _second_term(stats, ef, d)
+        return _pass_b(model_data, features, b, mean, std, has_start, ef["times"], ef["C"], ef["e"])
+
     ll, ef, stats = evaluate(beta)
     step, it, converged = 1.0, 0, False
     for it in range(1, max_steps + 1):
-        h2 = _pass_b(model_data, features, beta, mean, std, has_start, ef["times"], ef["C"], ef["e"])
+        h2 = second_term(beta, ef, stats)
         grad = ef["grad"] - penalizer * n * beta
         hess = -(h2 - ef["h1"]) - penalizer * n * np.eye(d)
         delta = np.linalg.solve(-hess, grad)
@@ -314,7 +407,7 @@ def fit_cox(
         if np.linalg.norm(step * delta) < precision or np.linalg.norm(delta) < precision:
             converged = True
             break
-    h2 = _pass_b(model_data, features, beta, mean, std, has_start, ef["times"], ef["C"], ef["e"])
+    h2 = second_term(beta, ef, stats)
     hess = -(h2 - ef["h1"]) - penalizer * n * np.eye(d)
     var_norm = np.linalg.inv(-hess)
     coef = beta / std
@@ -346,7 +439,7 @@ def risk_set_sums(
     if start_col:
         cols.append(F.col(start_col).cast("double").alias("start"))
     d = len(names)
-    stats = _pass_a(data.select(*cols), names, np.array(list(coefficients.values())), np.zeros(d), np.ones(d), start_col is not None)
+    stats = _pass_a(data.select(*cols), names, np.array(list(coefficients.values()), dtype=float), np.zeros(d), np.ones(d), start_col is not None)
     stop = stats["stop"]
     has = stop.d > 0
     s0, s1 = risk_sums(stats, stop.time[has])

@@ -7,6 +7,7 @@ moments, so both are expressed directly as one ``agg`` over the columns.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -66,11 +67,37 @@ def fit_scaler(df: DataFrame, columns: list[str]) -> Scaler:
     means = [float(row[f"m{i}"] or 0.0) for i in range(len(columns))]
     scales = []
     for i in range(len(columns)):
-        s = float(row[f"s{i}"] or 0.0)
-        scales.append(s if s > 10 * 2.220446049250313e-16 * max(1.0, abs(means[i])) else 1.0)
+        scales.append(_scale(float(row[f"s{i}"] or 0.0), means[i]))
     return Scaler(list(columns), means, scales)
 
 
+def filter_and_scale(df: DataFrame, columns: list[str], threshold: float) -> tuple[FeatureSelection, Scaler]:
+    """``variance_filter`` and ``fit_scaler`` of the kept columns, in one pass where these have no null."""
+    if not columns:
+        raise ValueError("variance filter: no columns given")
+    exprs = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        exprs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.var_pop(v).alias(f"v{i}")]
+    row = df.agg(*exprs).first()
+    if not row["n"]:
+        raise ValueError("variance filter: no rows given")
+    kept = [i for i in range(len(columns)) if row[f"v{i}"] is not None and row[f"v{i}"] > threshold]
+    if not kept:
+        raise ValueError(f"variance filter: no column varies by more than {threshold}")
+    names = [columns[i] for i in kept]
+    selection = FeatureSelection(names, [c for c in columns if c not in names])
+    if any(row[f"n{i}"] < row["n"] for i in kept):
+        return selection, fit_scaler(df, names)
+    means = [float(row[f"m{i}"]) for i in kept]
+    return selection, Scaler(names, means, [_scale(math.sqrt(row[f"v{i}"]), m) for i, m in zip(kept, means)])
+
+
+def _scale(deviation: float, mean: float) -> float:
+    """The deviation, or 1 where it is only rounding."""
+    return deviation if deviation > 10 * 2.220446049250313e-16 * max(1.0, abs(mean)) else 1.0
+
+
 def standardize(df: DataFrame, scaler: Scaler, keep=()) -> DataFrame:
     """Impute 0, subtract mean, divide by scale; other columns in ``keep`` pass through."""
     scaled = [

@@ -5,7 +5,7 @@ Shuffle plan (see README "Panel plan"):
 
 * licences are shuffled by ``business_id`` as they are, in as
   many tasks as their number needs; there the months in which a business's counts change are
-  summed up, and the months between are filled in last, so no licence is expanded; a business with a
+  summed up, and the months between are filled in last, after the join, so no licence is expanded; a business with a
   huge number of licences never lands whole in one task: its months are aggregated by
   ``(business_id, month, licence)`` with map-side partial aggregation;
 * per-business facts (first licence date, median location) come from one
@@ -114,12 +114,17 @@ def license_month_counts(expanded: DataFrame, dictionary: FeatureDictionary) ->
 
 @dataclass(frozen=True)
 class MonthCounts:
-    """Licence counts by (business, month), and the number of tasks that their
-    businesses are spread over."""
+    """Licence counts by business and run of months with the same counts (``_from`` to ``_to``),
+    and the number of tasks that their businesses are spread over."""
 
-    rows: DataFrame
+    runs: DataFrame
     tasks: int
 
+    @property
+    def rows(self) -> DataFrame:
+        """Licence counts by (business, month)."""
+        return _months_of_runs(self.runs)
+
 
 def license_month_counts_by_business(
     licenses: DataFrame, dictionary: FeatureDictionary, hot_rows: int = 100_000, task_rows: int = 100_000
@@ -143,8 +148,10 @@ def license_month_counts_by_business(
         hot = _checkpoint(sizes.where(F.col("_rows") > hot_rows).select("business_id"))
         few = slim.join(hot, "business_id", "left_anti")
         many = license_month_counts(expand_to_months(slim.join(hot, "business_id", "left_semi")), dictionary)
-    rows = _months_of_changes(_month_changes(few.repartition(tasks, "business_id"), dictionary), dictionary)
-    return MonthCounts(rows if many is None else rows.unionByName(many), tasks)
+    runs = _runs_of_changes(_month_changes(few.repartition(tasks, "business_id"), dictionary), dictionary)
+    if many is not None:
+        runs = runs.unionByName(many.withColumn("_to", F.col("month")).withColumnRenamed("month", "_from"))
+    return MonthCounts(runs, tasks)
 
 
 def _month_changes(licenses: DataFrame, dictionary: FeatureDictionary) -> DataFrame:
@@ -176,8 +183,8 @@ def _month_changes(licenses: DataFrame, dictionary: FeatureDictionary) -> DataFr
     )
 
 
-def _months_of_changes(changes: DataFrame, dictionary: FeatureDictionary) -> DataFrame:
-    """Counts of every month with a licence, from the running sums of the changes."""
+def _runs_of_changes(changes: DataFrame, dictionary: FeatureDictionary) -> DataFrame:
+    """Runs of months with a licence and the same counts, from the running sums of the changes."""
     order = Window.partitionBy("business_id").orderBy("month")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     counts = ["active_license_count", *dictionary.columns]
@@ -186,9 +193,13 @@ def _months_of_changes(changes: DataFrame, dictionary: FeatureDictionary) -> Dat
         F.col("month").alias("_from"),
         F.add_months(F.lead("month").over(order), -1).alias("_to"),
         *[F.sum(c).over(upto).alias(c) for c in ("_rows", *counts)],
-    ).where(F.col("_rows") > 0)
+    )
+    return run.where(F.col("_rows") > 0).drop("_rows")
+
+
+def _months_of_runs(runs: DataFrame) -> DataFrame:
     months = F.explode(F.sequence("_from", "_to", F.expr("INTERVAL 1 MONTH"))).alias("month")
-    return run.select("business_id", months, *counts)
+    return runs.select("business_id", months, *[c for c in runs.columns if c not in ("business_id", "_from", "_to")])
 
 
 def business_facts(licenses: DataFrame, hot_rows: int = 100_000) -> DataFrame:
@@ -285,9 +296,10 @@ def merge_panel_by_business(
     """``merge_panel`` of complaint counts that come as one row a business:
     (business_id, complaints = map of month to total_311 and the types' counts,
     from ``spatial.BusinessSites.months``).  Businesses are joined once, in the
-    tasks that hold their licence months."""
+    tasks that hold their runs of months; the months are made from the joined runs, so that none is sorted."""
     months = _placed(located).join(complaint_months, "business_id", "left").repartition(license_counts.tasks, "business_id")
-    joined = license_counts.rows.join(months, "business_id", "inner").withColumn("_c", F.try_element_at("complaints", F.col("month")))
+    joined = _months_of_runs(license_counts.runs.join(months, "business_id", "inner"))
+    joined = joined.withColumn("_c", F.try_element_at("complaints", F.col("month")))
     counted = [F.col("_c")[c].alias(c) for c in ("total_311", *complaint_types.columns)]
     return _panel_rows(joined.select("*", *counted).drop("complaints", "_c"), categories, complaint_types)
 

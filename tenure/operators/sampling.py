@@ -53,10 +53,18 @@ def _saved_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
 
     from tenure.session import ensure_checkpoint_dir
 
+    spark = df.sparkSession
     table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{table}"
-    df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(table)
-    return df.sparkSession.table(table)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{table}"
+    # a task of rows spread by ``key`` has one bucket: with a second writer at hand they are not sorted for it
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "2")
+    try:
+        df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(table)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.table(table)
 
 
 def dense_index(df: DataFrame, order_cols: list[str], idx_col: str = "_idx") -> DataFrame:

@@ -163,7 +163,9 @@ def time_varying_panel(panel: DataFrame, study_end) -> DataFrame:
     months_since_first, event = last observed month and before study end;
     model-excluded columns dropped."""
     p = restrict_study_window(panel, study_end)
-    last = F.max("month").over(Window.partitionBy("business_id"))
+    # in the order of the months: the rows of a business come out as they follow each other
+    whole = Window.partitionBy("business_id").orderBy("month").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = F.max("month").over(whole)
     end = F.lit(study_end).cast("date")
     out = (
         p.withColumn("start", (F.col("months_since_first_license") - 1).cast("int"))

@@ -1,5 +1,6 @@
 """Cox survival models: time-varying (business-month intervals) and
-standard (one row per business), sharing one read of the panel."""
+standard (one row per business).  Each reads the panel as the caller saved it (best by business,
+``plans.panel.saved_panel``): neither keeps a copy of it or of its intervals."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from tenure.config import ModelSettings
 from tenure.operators import cleaning, cox, features, survival
-from tenure.operators.sampling import _checkpoint, _saved
+from tenure.operators.sampling import _checkpoint
 
 
 @dataclass
@@ -24,17 +25,15 @@ class CoxRun:
 def prepare_time_varying(panel: DataFrame, settings: ModelSettings):
     tv = survival.time_varying_panel(panel, settings.study_end)
     cand = features.feature_columns(tv.columns, ["business_id", "month", "start", "stop", "event"])
-    sel = features.variance_filter(tv, cand, settings.variance_threshold)
-    scaler = features.fit_scaler(tv, sel.kept_columns)
+    sel, scaler = features.filter_and_scale(tv, cand, settings.variance_threshold)
     modeling = features.standardize(tv, scaler, keep=["business_id", "month", "start", "stop", "event"])
-    return _saved(modeling, "cox-intervals"), sel, scaler
+    return modeling, sel, scaler
 
 
 def prepare_business_level(panel: DataFrame, settings: ModelSettings):
     bl = survival.business_level_dataset(panel, settings.study_end)
     cand = features.feature_columns(bl.columns, ["business_id", "duration_months", "event"])
-    sel = features.variance_filter(bl, cand, settings.variance_threshold)
-    scaler = features.fit_scaler(bl, sel.kept_columns)
+    sel, scaler = features.filter_and_scale(bl, cand, settings.variance_threshold)
     modeling = features.standardize(bl, scaler, keep=["business_id", "duration_months", "event"])
     return _checkpoint(modeling), sel, scaler
 
@@ -54,7 +53,7 @@ def run_standard(panel: DataFrame, settings: ModelSettings = ModelSettings()) ->
 def run_cox(panel: DataFrame, settings: ModelSettings = ModelSettings(), validate: bool = True) -> dict[str, CoxRun]:
     if validate:
         cleaning.validate_panel(panel)
-    shared = _saved(survival.restrict_study_window(panel, settings.study_end), "cox-panel")
+    shared = survival.restrict_study_window(panel, settings.study_end)
     # the two fits are independent job sequences: run them side by side
     from concurrent.futures import ThreadPoolExecutor
 

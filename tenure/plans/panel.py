@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tenure.config import CATEGORY_PREFIX, COMPLAINT_PREFIX, PanelSettings
 from tenure.operators import cleaning, clustering, panel, spatial
-from tenure.operators.sampling import _checkpoint, _saved
+from tenure.operators.sampling import _checkpoint, _saved, _saved_by
 
 
 @dataclass
@@ -29,6 +29,7 @@ class PanelParts:
     categories: panel.FeatureDictionary
     complaint_types: panel.FeatureDictionary
     panel: DataFrame
+    tasks: int
 
 
 def build_panel_parts(
@@ -71,7 +72,7 @@ def build_panel_parts(
     merged = panel.merge_panel_by_business(license_counts, complaints, clustered, categories, complaint_types)
     return PanelParts(
         licenses, requests, facts, locations, centres, clustered, license_counts.rows, complaints,
-        categories, complaint_types, merged,
+        categories, complaint_types, merged, license_counts.tasks,
     )
 
 
@@ -91,6 +92,14 @@ def build_panel(licenses_raw: DataFrame, requests_raw: DataFrame, settings: Pane
     return build_panel_parts(licenses_raw, requests_raw, settings).panel
 
 
+def saved_panel(
+    licenses_raw: DataFrame, requests_raw: DataFrame, settings: PanelSettings = PanelSettings(), centres: list | None = None
+) -> DataFrame:
+    """The panel built and saved by business: what groups or windows by business shuffles none of its rows."""
+    parts = build_panel_parts(licenses_raw, requests_raw, settings, centres)
+    return _saved_by(parts.panel, "panel", "business_id", parts.tasks)
+
+
 def write_panel(panel_df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Write the panel partitioned by year, rows of a business together and
     month-ordered within each file (no global sort)."""

@@ -55,11 +55,10 @@ def _memo(key, spark, build):
 
 def _full_panel(spark, sf):
     """The complete panel (KMeans clusters included), built once per session
-    and saved in the shared checkpoint folder."""
-    from tenure.operators.sampling import _saved
-    from tenure.plans.panel import build_panel
+    and saved by business in the shared checkpoint folder."""
+    from tenure.plans.panel import saved_panel
 
-    return _memo(("panel", sf), spark, lambda: _saved(build_panel(fixtures.licenses(spark, sf), fixtures.requests(spark, sf)), "panel"))
+    return _memo(("panel", sf), spark, lambda: saved_panel(fixtures.licenses(spark, sf), fixtures.requests(spark, sf)))
 
 
 def _licenses(spark, sf):

@@ -257,3 +257,72 @@ def test_evaluation_makes_the_scores_once(spark):
     row = evaluation.evaluate_classifier(rows.mapInArrow(counted, rows.schema), "y", "p", "d").first()
     assert row["support_0"] + row["support_1"] == 40
     assert made.value == 40
+
+
+@pytest.mark.parametrize("few_times", [True, False])
+def test_cox_reads_spans_not_months(spark, monkeypatch, few_times):
+    """Months without a change are one row of the fit; one pass a step with few times; same coefficients as the dense fit."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(120):
+        x, at = rng.normal(size=2), 0
+        for month in range(int(rng.integers(3, 14))):
+            if rng.random() < 0.2:
+                x = rng.normal(size=2)
+            rows.append([*x, at, at + 1, 0.0])
+            at += 1
+        rows[-1][4] = float(rng.random() < 0.7)
+    v = np.array(rows)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in rows], "a double, b double, start double, stop double, event double").coalesce(1)
+    saved, passes, real, second = [], [], cox._spans, cox._pass_b
+    monkeypatch.setattr(cox, "_spans", lambda *args: saved.append(real(*args)) or saved[-1])
+    monkeypatch.setattr(cox, "_pass_b", lambda *args: passes.append(1) or second(*args))
+    if not few_times:
+        monkeypatch.setattr(cox, "MOST_SECONDS", 0)
+    model = cox.fit_cox(df, ["a", "b"], "stop", "event", start_col="start", penalizer=0.1)
+    b, se = _dense_cox(v[:, :2], v[:, 2], v[:, 3], v[:, 4], 0.1)
+    assert np.allclose(model.coefficients, b, atol=1e-9) and np.allclose(np.sqrt(np.diag(model.variance)), se, atol=1e-9)
+    got = saved[0].agg(F.count("*").alias("spans"), F.sum("rows").alias("rows")).first()
+    assert got["rows"] == model.n_rows == len(rows) and got["spans"] < 0.5 * len(rows)
+    assert bool(passes) != few_times
+
+
+def test_filter_and_scale_is_both_steps(spark):
+    for rows in ([(1.0, 5.0, 0.0), (2.0, 5.0, 1.0), (4.0, 5.0, 1.0)], [(1.0, 5.0, None), (2.0, None, 1.0), (4.0, 5.0, 3.0)]):
+        df = spark.createDataFrame(rows, "a double, b double, c double")
+        sel, scaler = features.filter_and_scale(df, ["a", "b", "c"], 1e-8)
+        want = features.variance_filter(df, ["a", "b", "c"], 1e-8)
+        assert sel == want and scaler == features.fit_scaler(df, want.kept_columns)
+    with pytest.raises(ValueError):
+        features.filter_and_scale(df.limit(0), ["a"], 1e-8)
+
+
+def test_kmeans_blocks_equal_all_distances():
+    from tenure.operators import clustering
+
+    rng = np.random.default_rng(9)
+    for n in (1, 63, 5000):
+        x = rng.random((n, 2))
+        x = x[np.lexsort((x[:, 1], np.floor(x[:, 0] * 9)))]
+        w = rng.integers(1, 5, n).astype(float)
+        for centres in (rng.random((25, 2)), np.round(x[: min(n, 9)], 1), np.zeros((3, 2))):
+            assert np.allclose(clustering._Blocks(x, w).sums(centres), clustering._sums(x, w, centres), atol=1e-8)
+
+
+def test_panel_and_its_intervals_move_no_month(spark):
+    """The panel's months are made after its join and saved by business: neither they nor the model's intervals are shuffled."""
+    from tenure.operators import survival
+    from tenure.plans import panel, registry
+    from tenure.sources import fixtures
+
+    sf = "/root/testdata/sf0.001"
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = panel.build_panel_parts(fixtures.licenses(spark, sf), fixtures.requests(spark, sf), centres=registry.O.FIXED_CENTRES)
+        plan = parts.panel._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("explode(sequence(") < plan.index("Join")
+        intervals = survival.time_varying_panel(registry._full_panel(spark, sf), registry.FIXTURE_STUDY_END)
+        assert "Exchange" not in intervals._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
