@@ -1,5 +1,5 @@
 """Whole pipeline: panel -> logistic -> Cox (both) -> GeoJSON, panel built
-and checkpointed once, artifacts under one output folder, JSON summary."""
+and saved once, artifacts under one output folder, JSON summary."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tenure.config import ModelSettings, PanelSettings
 from tenure.operators import geojson
-from tenure.operators.sampling import _checkpoint
+from tenure.operators.sampling import _saved
 from tenure.plans.cox_job import run_cox, save_cox_artifacts
 from tenure.plans.logistic_job import run_logistic, save_logistic_artifacts
-from tenure.plans.panel import build_panel, write_panel
+from tenure.plans.panel import saved_panel, write_panel
 from tenure.sources import readers
 
 
@@ -54,13 +54,17 @@ def run_from_paths(spark: SparkSession, paths: InputPaths, cfg: PipelineConfig)
         raise FileNotFoundError(f"input not found: {', '.join(gone)}")
     licenses, requests = readers.load_source_data(spark, paths.licenses, paths.requests)
     metadata = readers.load_license_metadata(spark, paths.metadata) if paths.metadata else None
+    # each is read several times: the text is parsed once
+    licenses, requests = _saved(licenses, "source-licenses"), _saved(requests, "source-requests")
+    if metadata is not None and "geojson" in cfg.stages:
+        metadata = _saved(metadata, "source-metadata")
     return run_pipeline(licenses, requests, metadata, cfg)
 
 
 def run_pipeline(licenses_raw: DataFrame, requests_raw: DataFrame, metadata_raw: DataFrame | None, cfg: PipelineConfig) -> dict:
     out = cfg.output_dir.rstrip("/")
     summary: dict = {}
-    panel_df = _checkpoint(build_panel(licenses_raw, requests_raw, cfg.panel))
+    panel_df = saved_panel(licenses_raw, requests_raw, cfg.panel)
     if "panel" in cfg.stages:
         summary["panel_path"] = write_panel(panel_df, f"{out}/panel")
         summary["panel_rows"] = panel_df.count()

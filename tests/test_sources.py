@@ -84,3 +84,25 @@ def test_run_needs_its_inputs(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="gone.csv"):
         run_from_paths(spark, paths, PipelineConfig(output_dir=str(tmp_path / "out")))
     assert not (tmp_path / "out").exists()
+
+
+def test_exports_are_parsed_once(spark, tmp_path, monkeypatch):
+    """The run reads its sources several times, but their text once; the panel is saved by business, not checkpointed row by row."""
+    from tenure.config import LICENSE_HEADER_MAP, LICENSE_METADATA_HEADER_MAP, REQUEST_HEADER_MAP
+    from tenure.plans import run_pipeline as P
+    from tenure.sources import fixtures, readers
+
+    sf, paths = "/root/testdata/sf0.001", []
+    for name, df, names in (
+        ("licenses", fixtures.licenses(spark, sf), LICENSE_HEADER_MAP),
+        ("requests", fixtures.requests(spark, sf), REQUEST_HEADER_MAP),
+        ("metadata", fixtures.license_metadata(spark, sf), LICENSE_METADATA_HEADER_MAP),
+    ):
+        paths.append(readers.write_source_csv(df, str(tmp_path / name), names, {}))
+    seen = []
+    monkeypatch.setattr(P, "run_pipeline", lambda *args: seen.extend(args) or {})
+    P.run_from_paths(spark, P.InputPaths(*paths), P.PipelineConfig(output_dir=str(tmp_path / "out")))
+    for df, path in zip(seen, paths):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Format: Parquet" in plan and "Format: CSV" not in plan
+        assert df.count() == spark.read.option("header", True).csv(path).count()
