@@ -161,7 +161,7 @@ def fit_location_clusters(
     max_iter: int = 300,
     tol: float = 1e-4,
     sample: int = 8192,
-    task_points: int = 25_000,
+    task_points: int = 100_000,
 ) -> list[tuple[int, float, float]]:
     """Cluster centres [(cluster_id, lat, lng)] for ``locations``
     (business_latitude, business_longitude).  Empty input -> [].

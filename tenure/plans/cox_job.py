@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from tenure.config import ModelSettings
 from tenure.operators import cleaning, cox, features, survival
-from tenure.operators.sampling import _checkpoint
+from tenure.operators.sampling import _saved
 
 
 @dataclass
@@ -31,11 +31,11 @@ def prepare_time_varying(panel: DataFrame, settings: ModelSettings):
 
 
 def prepare_business_level(panel: DataFrame, settings: ModelSettings):
-    bl = survival.business_level_dataset(panel, settings.study_end)
+    bl = _saved(survival.business_level_dataset(panel, settings.study_end), "business-level")  # a row per business, read by every later step
     cand = features.feature_columns(bl.columns, ["business_id", "duration_months", "event"])
     sel, scaler = features.filter_and_scale(bl, cand, settings.variance_threshold)
     modeling = features.standardize(bl, scaler, keep=["business_id", "duration_months", "event"])
-    return _checkpoint(modeling), sel, scaler
+    return modeling, sel, scaler
 
 
 def run_time_varying(panel: DataFrame, settings: ModelSettings = ModelSettings()) -> CoxRun:

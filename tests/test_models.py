@@ -326,3 +326,15 @@ def test_panel_and_its_intervals_move_no_month(spark):
         assert "Exchange" not in intervals._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_business_rows_are_made_once(spark):
+    """The standard model's rows are saved before they are filtered and scaled, not made again for each step."""
+    from tenure.config import ModelSettings
+    from tenure.plans import registry
+    from tenure.plans.cox_job import prepare_business_level
+
+    settings = ModelSettings(study_end=registry.FIXTURE_STUDY_END)
+    modeling, sel, _ = prepare_business_level(registry._panel_core(spark, "/root/testdata/sf0.001"), settings)
+    plan = modeling._jdf.queryExecution().executedPlan().toString()
+    assert "business-level" in plan and "Aggregate" not in plan and modeling.count() > 0 and sel.kept_columns
